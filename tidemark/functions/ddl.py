@@ -72,8 +72,8 @@ def parse_ddl(df: DataFrame, payload: str = "payload", keep: list[str] | None =
         name.alias("column"),
         mtype.alias("mysql_type"),
         F.lower(F.col("piece")).rlike(r"\bunsigned\b").alias("unsigned"),
-        F.regexp_extract(F.col(payload), args_rx, 1).try_cast("int").alias("precision"),
-        F.regexp_extract(F.col(payload), args_rx, 2).try_cast("int").alias("scale"),
+        F.call_function("regexp_extract", F.col(payload), args_rx, F.lit(1)).try_cast("int").alias("precision"),
+        F.call_function("regexp_extract", F.col(payload), args_rx, F.lit(2)).try_cast("int").alias("scale"),
     )
 
 

@@ -44,10 +44,17 @@ ordchunks as (
          count(*) as n_rows
   from ordrows group by dump_ts, chunk),
 ordcells as (
-  select dump_ts, id as row_id, lpad(cast(id as varchar), cast(greatest(9, length(cast(id as varchar))) as integer), '0') row_key,
-         c."column", c.value
+  select dump_ts, chunk, id as row_id,
+         lpad(cast(id as varchar), cast(greatest(9, length(cast(id as varchar))) as integer), '0') row_key,
+         c."column", c.value, false as is_null
   from snap, lateral (values ('mysql:custkey', cast(custkey as varchar)), ('mysql:st', st),
-                             ('mysql:cents', cast(cents as varchar)), ('mysql:pr', pr)) c("column", value))"""
+                             ('mysql:cents', cast(cents as varchar)), ('mysql:pr', pr)) c("column", value)),
+manifest as (select namespace, tbl_name, dump_ts, seq, md5 from ordchunks),
+didx as (select dump_ts, dense_rank() over (order by dump_ts) - 1 idx from (select distinct dump_ts from manifest)),
+mset as (select distinct m.dump_ts, idx, md5 from manifest m join didx using (dump_ts)),
+newc as (select a.dump_ts, a.md5 from mset a where not exists
+           (select 1 from mset b where b.idx = a.idx - 1 and b.md5 = a.md5)),
+cellmd5 as (select c.*, k.md5 from ordcells c join ordchunks k on k.dump_ts = c.dump_ts and k.seq = c.chunk)"""
 
 
 def with_(*ctes: str) -> str:
@@ -62,3 +69,122 @@ SQL["asof_scan"] = with_(EV) + f"""
 select row_key, "column", max(row_id) row_id, max(ts) ts, arg_max(value, ts) value, arg_max(is_null, ts) is_null
 from ev where ts <= {ASOF_T} group by row_key, "column"
 """
+
+ORD_LATE = """
+h15 as (
+  select row_key, row_id, "column", cast(100 as bigint) ts, value, is_null, cast(100 as bigint) publish_id
+  from ordcells where dump_ts = 100
+  union all
+  select c5.row_key, c5.row_id, c5."column", 500, c5.value, c5.is_null, 500
+  from (select * from ordcells where dump_ts = 500) c5
+  left join (select * from ordcells where dump_ts = 100) c1 using (row_key, "column")
+  where c1.value is null or c1.value is distinct from c5.value),
+inc as (select * from cellmd5 where dump_ts = 300
+        and md5 not in (select md5 from ordchunks where dump_ts = 100)),
+prevs as (select row_key, "column", arg_max(value, ts) value, max(ts) ts from h15 where ts <= 299
+          group by row_key, "column"),
+nexts as (select row_key, "column", arg_max(value, ts) value, arg_max(is_null, ts) is_null, max(ts) ts,
+                 max(row_id) row_id from h15 where ts <= 500 group by row_key, "column"),
+changed as (select i.* from inc i left join prevs p using (row_key, "column")
+            where p.ts is null or p.value is distinct from i.value),
+ident as (select i.row_key, i.row_id, i."column", i.value, i.is_null, i.md5, n.ts n_ts
+          from inc i join nexts n using (row_key, "column") where n.value is not distinct from i.value),
+ncount as (select row_key, count(*) n_cells from nexts group by row_key),
+fullrows as (select row_key from (select row_key, count(*) n_same from ident group by row_key) x
+             join ncount using (row_key) where n_same = n_cells),
+redundant as (
+  select distinct n_ts ts, md5, row_key, row_id, cast(null as varchar) "column" from ident
+  where row_key in (select row_key from fullrows) and n_ts > 300
+  union all
+  select n_ts, md5, row_key, row_id, "column" from ident
+  where row_key not in (select row_key from fullrows) and n_ts > 300),
+removed as (select md5 from ordchunks where dump_ts = 100
+            except select md5 from ordchunks where dump_ts = 300),
+deletes as (select distinct cast(300 as bigint) ts, md5, row_key, row_id, cast(null as varchar) "column"
+            from cellmd5 where dump_ts = 100 and md5 in (select md5 from removed)
+            and row_key not in (select row_key from inc)),
+restores as (select cast(500 as bigint) ts, c.row_key, c.row_id, c."column", n.value, n.is_null
+             from changed c join nexts n using (row_key, "column")
+             where n.ts < 300 and n.value is distinct from c.value),
+writes as (select cast(300 as bigint) ts, row_key, row_id, "column", value, is_null from changed)"""
+
+SQL["milestones"] = with_(ORD) + """
+select 'shop' namespace, 'orders' tbl_name, dump_ts, count(*) n_new from newc group by dump_ts"""
+
+SQL["removed_chunks"] = with_(ORD) + """
+select 'shop' namespace, 'orders' tbl_name, a.dump_ts, b.md5 from mset a join mset b on b.idx = a.idx - 1
+where not exists (select 1 from mset c where c.idx = a.idx and c.md5 = b.md5)
+group by a.dump_ts, b.md5"""
+
+SQL["milestone_bounds"] = with_(ORD) + """, ms as (select distinct dump_ts from newc)
+select 'shop' namespace, 'orders' tbl_name, dump_ts,
+       cast(coalesce(lag(dump_ts) over (order by dump_ts), 0) as bigint) prev_ts,
+       cast(coalesce(lead(dump_ts) over (order by dump_ts), 1000) as bigint) next_ts from ms"""
+
+SQL["manifest_changed"] = with_(ORD) + """, l as (
+  select dump_ts, list(md5 order by seq) hl, count(*) n from manifest group by dump_ts)
+select 'shop' namespace, 'orders' tbl_name, dump_ts, n n_chunks,
+       coalesce(hl <> lag(hl) over (order by dump_ts), true) changed from l"""
+
+SQL["chunks_since_published"] = with_(ORD) + """, d as (select distinct dump_ts from manifest),
+pub as (select * from (values (100), (500)) t(p)),
+base as (select d.dump_ts, (select max(p) from pub where p < d.dump_ts) baseline_ts from d)
+select distinct 'shop' namespace, 'orders' tbl_name, m.dump_ts, cast(b.baseline_ts as bigint) baseline_ts, m.md5
+from manifest m join base b using (dump_ts)
+where not exists (select 1 from manifest o where o.dump_ts = b.baseline_ts and o.md5 = m.md5)"""
+
+SQL["manifest_history"] = with_(ORD) + """
+select namespace, tbl_name, dump_ts, row_number() over (partition by dump_ts order by seq) - 1 position, md5
+from manifest"""
+
+SQL["chunk_lookup"] = with_(ORD) + """
+select dump_ts, seq, md5, payload from ordchunks"""
+
+SQL["chunk_id_range"] = with_(ORD) + """
+select distinct k.md5, min(c.id) first_id, max(c.id) last_id, count(*) n_rows
+from ordchunks k join snap c on c.dump_ts = k.dump_ts and c.chunk = k.seq group by k.dump_ts, k.md5"""
+
+SQL["publish_full"] = with_(ORD) + """
+select row_key, row_id, "column", cast(100 as bigint) ts, value, is_null, cast(100 as bigint) publish_id
+from ordcells where dump_ts = 100"""
+
+SQL["publish_incremental"] = with_(ORD) + """, l as (
+  select *, lag(value) over (partition by row_key, "column" order by dump_ts) pv,
+            lag(dump_ts) over (partition by row_key, "column" order by dump_ts) pd
+  from ordcells)
+select row_key, row_id, "column", dump_ts ts, value, is_null, dump_ts publish_id from l
+where pd is null or pv is distinct from value"""
+
+SQL["publish_table"] = with_(ORD, ORD_LATE) + """
+select * from h15
+union all select row_key, row_id, "column", ts, value, is_null, 300 from writes
+union all select row_key, row_id, "column", ts, value, is_null, 300 from restores"""
+
+SQL["diff_changed_cells"] = with_(ORD, ORD_LATE) + """
+select row_key, row_id, "column", value, is_null from changed"""
+
+SQL["diff_identical_next"] = with_(ORD, ORD_LATE) + """
+select row_key, row_id, "column", value, is_null, n_ts from ident"""
+
+SQL["diff_redundant_future"] = with_(ORD, ORD_LATE) + """
+select * from redundant"""
+
+SQL["diff_deletes"] = with_(ORD, ORD_LATE) + """
+select * from deletes"""
+
+SQL["diff_restore"] = with_(ORD, ORD_LATE) + """
+select * from restores"""
+
+SQL["snapshot_diff"] = with_(ORD, ORD_LATE) + """
+select 'write' change_kind, ts, row_key, row_id, "column", value, is_null from writes
+union all select 'delete', ts, row_key, row_id, "column", null, null from deletes
+union all select 'redundant', ts, row_key, row_id, "column", null, null from redundant
+union all select 'restore', ts, row_key, row_id, "column", value, is_null from restores"""
+
+SQL["diff_delete_counts"] = with_(ORD, ORD_LATE) + """
+select ts, count(*) n_deletes from deletes group by ts"""
+
+SQL["diff_doomed_lists"] = with_(ORD, ORD_LATE) + """, doomed as (select * from deletes union all select * from redundant)
+select ts, md5, count(*) n,
+       array_to_string(list_sort(list(cast(row_id as varchar) || coalesce(':' || "column", ''))), ',') doomed
+from doomed group by ts, md5"""

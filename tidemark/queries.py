@@ -23,3 +23,173 @@ def query(fn):
 def asof_scan(spark, sf):
     """Whole EV table as of ASOF_T."""
     return H.asof(FX.events_cells(spark, sf), ASOF_T).select("row_key", "column", "row_id", "ts", "value", "is_null")
+
+
+# ------------------------------------------------------------------ ORD: staging, milestones, diff, publish
+from tidemark.operators import diff as D  # noqa: E402
+from tidemark.operators import milestones as M  # noqa: E402
+from tidemark.operators.cells import chunk_cells, chunk_id_range as _chunk_id_range  # noqa: E402
+from tidemark.plans.publish import Staged, publish_sequence, publish_step  # noqa: E402
+from tidemark.session import checkpointed  # noqa: E402
+
+NS, TBL = FX.NAMESPACE, FX.ORD_TABLE
+NOW = 1000  # 'now' of the milestone bounds: a parameter, so results are reproducible
+_MEMO: dict = {}
+
+
+def _memo(key, spark, sf, build):
+    k = (key, id(spark), sf)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
+def ord_staged(spark, sf) -> Staged:
+    def build():
+        ch = checkpointed(FX.orders_chunks(spark, sf))
+        manifest = ch.select("namespace", "tbl_name", "dump_ts", "seq", "md5")
+        chunks = ch.select("namespace", "tbl_name", "md5", "payload").dropDuplicates(["namespace", "tbl_name", "md5"])
+        return Staged(manifest, chunks, FX.orders_ddl(spark, sf))
+    return _memo("ord", spark, sf, build)
+
+
+def ord_late(spark, sf):
+    """History after publishing 100 and 500, and the step publishing the late dump 300 (corrected)."""
+    def build():
+        st = ord_staged(spark, sf)
+        h, _ = publish_sequence(spark, st, NS, TBL, [100, 500])
+        r = publish_step(st, h, [100, 500], NS, TBL, 300)
+        return h, r
+    return _memo("late", spark, sf, build)
+
+
+@query
+def milestones(spark, sf):
+    """Dumps bringing new chunks."""
+    return M.milestones(ord_staged(spark, sf).manifest)
+
+
+@query
+def removed_chunks(spark, sf):
+    """Chunks of the preceding dump missing from each dump."""
+    return M.removed_chunks(ord_staged(spark, sf).manifest)
+
+
+@query
+def milestone_bounds(spark, sf):
+    """previous/next milestone of each milestone, extremes 0 and NOW."""
+    return M.milestone_bounds(ord_staged(spark, sf).manifest, NOW)
+
+
+@query
+def manifest_changed(spark, sf):
+    """Ordered hash list differs from the preceding dump."""
+    return M.manifest_changed(ord_staged(spark, sf).manifest)
+
+
+@query
+def chunks_since_published(spark, sf):
+    """Chunks new since the latest published dump (published: 100 and 500)."""
+    st = ord_staged(spark, sf)
+    log = spark.createDataFrame([(NS, TBL, 100), (NS, TBL, 500)], "namespace string, tbl_name string, dump_ts bigint")
+    return M.chunks_since(st.manifest, log)
+
+
+@query
+def manifest_history(spark, sf):
+    """Ordered hash list of the table in every dump, as (dump, position, md5) rows."""
+    from tidemark.operators.positions import positions
+    m = ord_staged(spark, sf).manifest
+    return positions(m, ["namespace", "tbl_name", "dump_ts"], "seq", "position").select(
+        "namespace", "tbl_name", "dump_ts", "position", "md5")
+
+
+@query
+def chunk_lookup(spark, sf):
+    """Manifest joined with the content-addressed chunks."""
+    st = ord_staged(spark, sf)
+    return st.manifest.join(st.chunks, ["namespace", "tbl_name", "md5"]).select(
+        "dump_ts", "seq", "md5", "payload")
+
+
+@query
+def chunk_id_range(spark, sf):
+    """A1: first/last id and row count of every distinct chunk."""
+    st = ord_staged(spark, sf)
+    cells = chunk_cells(st.chunks.select("md5", "payload"), FX.ORD_COLUMNS, keep=["md5"])
+    return _chunk_id_range(cells)
+
+
+@query
+def publish_full(spark, sf):
+    """L2 / K4: first publish of dump 100 into an empty history."""
+    h, _ = publish_sequence(spark, ord_staged(spark, sf), NS, TBL, [100], materialize=False)
+    return h
+
+
+@query
+def publish_incremental(spark, sf):
+    """L3: publish every dump in order (200 and 400 bring nothing new)."""
+    h, _ = publish_sequence(spark, ord_staged(spark, sf), NS, TBL, [100, 200, 300, 400, 500])
+    return h
+
+
+@query
+def publish_table(spark, sf):
+    """L4 with a late dump: publish 100, 500, then 300 — the final history including restores."""
+    h, r = ord_late(spark, sf)
+    return h.unionByName(r.cells)
+
+
+def _late_diff(spark, sf):
+    return ord_late(spark, sf)[1].diff
+
+
+@query
+def diff_changed_cells(spark, sf):
+    """Incoming cells of dump 300 that differ from the state as of the previous published dump."""
+    return _late_diff(spark, sf).changed
+
+
+@query
+def diff_identical_next(spark, sf):
+    """Incoming cells identical to the state as of the next published dump."""
+    return _late_diff(spark, sf).identical_next
+
+
+@query
+def diff_redundant_future(spark, sf):
+    """Future cells/rows (ts > when) identical to incoming ones."""
+    return _late_diff(spark, sf).redundant
+
+
+@query
+def diff_deletes(spark, sf):
+    """J4 (corrected): rows of removed chunks absent from the dump's new chunks."""
+    return _late_diff(spark, sf).deletes
+
+
+@query
+def diff_restore(spark, sf):
+    """Values of the next published dump that the late write would shadow, re-written at next."""
+    return _late_diff(spark, sf).restores
+
+
+@query
+def snapshot_diff(spark, sf):
+    """Writes, deletes, redundant and restores in one tagged frame."""
+    return _late_diff(spark, sf).tagged()
+
+
+@query
+def diff_delete_counts(spark, sf):
+    """Delete candidates per timestamp."""
+    return D.delete_counts(_late_diff(spark, sf).deletes)
+
+
+@query
+def diff_doomed_lists(spark, sf):
+    """Deletes and redundant entries grouped by (ts, chunk) into sorted lists."""
+    d = _late_diff(spark, sf)
+    doomed = d.deletes.unionByName(d.redundant)
+    return D.doomed_lists(doomed)
