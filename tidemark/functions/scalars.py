@@ -39,7 +39,7 @@ def dump_time_epoch(line, tz: str = "UTC") -> Column:
     ``tz`` (explicit, instead of the machine's zone)."""
     text = F.regexp_replace(_c(line), r"\s+", " ")
     rx = r"Dump completed on (\d{4}-\d{2}-\d{2}) (\d{1,2}):(\d{2}):(\d{2})"
-    day = F.try_to_date(F.regexp_extract(text, rx, 1), F.lit("yyyy-MM-dd"))
+    day = F.try_to_date(F.regexp_extract(text, rx, 1), "yyyy-MM-dd")
     secs = (
         F.unix_date(day).cast("bigint") * 86400
         + F.regexp_extract(text, rx, 2).try_cast("bigint") * 3600
@@ -55,7 +55,7 @@ def dump_time_epoch(line, tz: str = "UTC") -> Column:
 
 def forced_date_epoch(date_text) -> Column:
     """'Y-m-d' (the forced dump date) to epoch seconds at midnight UTC; null when not a date."""
-    return F.unix_date(F.try_to_date(_c(date_text), F.lit("yyyy-MM-dd"))).cast("bigint") * 86400
+    return F.unix_date(F.try_to_date(_c(date_text), "yyyy-MM-dd")).cast("bigint") * 86400
 
 
 def epoch_iso(epoch) -> Column:

@@ -51,6 +51,7 @@ def rows_to_cells(rows: DataFrame, columns: list[str] | None = None, names: str
     key_v, _ = token_value(F.element_at("fields", 1))
     r = r.select(*keep, zero_pad(key_v).alias("row_key"), key_v.try_cast("bigint").alias("row_id"),
                  name_arr.alias("_names"), "fields")
+    n = F.lit(len(columns)) if columns is not None else F.size("_names")
     c = r.select(*keep, "row_key", "row_id",
                  F.posexplode(F.arrays_zip(F.slice("fields", 2, n - 1).alias("tok"),
                                            F.slice("_names", 2, n - 1).alias("name"))).alias("_p", "_z"))

@@ -188,3 +188,187 @@ SQL["diff_doomed_lists"] = with_(ORD, ORD_LATE) + """, doomed as (select * from
 select ts, md5, count(*) n,
        array_to_string(list_sort(list(cast(row_id as varchar) || coalesce(':' || "column", ''))), ',') doomed
 from doomed group by ts, md5"""
+
+
+# ------------------------------------------------------------------ DUMP fixture in SQL
+def _sqlstr(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def _esc(x: str) -> str:
+    for a, b in [("chr(92)", "chr(92) || chr(92)"), ("chr(39)", "chr(92) || chr(39)"), ("chr(10)", "chr(92) || 'n'"),
+                 ("chr(13)", "chr(92) || 'r'"), ("chr(26)", "chr(92) || 'Z'")]:
+        x = f"replace({x}, {a}, {b})"
+    return x
+
+
+def _render(col: str, kind: str) -> str:
+    if kind == "int":
+        v = f"cast({col} as varchar)"
+    elif kind == "money":
+        v = f"cast(cast({col} as decimal(15,2)) as varchar)"
+    else:
+        v = f"(chr(39) || {_esc(col)} || chr(39))"
+    return f"coalesce({v}, 'NULL')"
+
+
+def _dump_cte() -> str:
+    from tidemark.sources import fixtures as FX
+    rows = ", ".join(f"({o}, {_sqlstr(v)})" for o, v in FX.dump_text_lines())
+    ctes = [f"txt as (select cast({FX.DUMP_ID} as bigint) dump_id, cast(o as bigint) ord, v as value "
+            f"from (values {rows}) t(o, v))",
+            "src_customer as (select * replace (case when c_custkey % 11 = 0 then null else c_mktsegment end "
+            "as c_mktsegment) from customer)",
+            "src_nation as (select * from nation)",
+            "src_documents as (select * replace ("
+            "case when doc_id % 5 = 0 then text || ' ' || chr(39) || 'q' || chr(92) || 'b ),(9,' || chr(39) || 'x' "
+            "|| chr(92) || chr(92) || 'n' else text end as text, "
+            "case when doc_id % 7 = 3 then 'NULL' when doc_id % 7 = 4 then null else source end as source) "
+            "from documents)"]
+    parts = ["select * from txt"]
+    for ti, (table, key, cols, _k) in enumerate(FX.DUMP_TABLES, start=1):
+        tup = " || ',' || ".join(_render(c, kind) for c, _d, kind in cols)
+        ctes.append(
+            f"tup_{table} as (select cast({key} as bigint) k, cast(floor({key} / {FX.DUMP_CHUNK}) as bigint) chunk, "
+            f"'(' || {tup} || ')' t from src_{table})")
+        ctes.append(
+            f"ins_{table} as (select cast({FX.DUMP_ID} as bigint) dump_id, "
+            f"cast({ti * FX.TABLE_BLOCK + FX.INSERT_OFFSET} + chunk as bigint) ord, "
+            f"'INSERT INTO `{table}` VALUES ' || string_agg(t, ',' order by k) || ';' as value "
+            f"from tup_{table} group by chunk)")
+        parts.append(f"select * from ins_{table}")
+    ctes.append("dumpsrc as (" + " union all ".join(parts) + ")")
+    ctes.append("dlines as (select dump_id, row_number() over (partition by dump_id order by ord) - 1 line_no, "
+                "value, ord from dumpsrc)")
+    ctes.append(r"""dkind as (select *, case
+      when substr(value, 1, 13) = '/*!50001 VIEW' then 'view'
+      when regexp_replace(substr(value, 1, 6), '^\s+|\s+$', '', 'g') = 'INSERT' then 'insert'
+      when regexp_replace(substr(value, 1, 6), '^\s+|\s+$', '', 'g') = 'CREATE' then 'create'
+      when substr(regexp_replace(substr(value, 1, 6), '^\s+|\s+$', '', 'g'), 1, 2) in ('--', '/*')
+           or regexp_replace(substr(value, 1, 6), '^\s+|\s+$', '', 'g') = '' then 'useless'
+      else 'other' end as kind from dlines)""")
+    ctes.append(r"""dstmt as (select *, case
+      when kind = 'view' then regexp_extract(value, '^/\*!50001 VIEW\s+`?([^`\s]+)`?\s+AS\s', 1)
+      when kind in ('insert', 'create') then
+        trim(split_part(regexp_replace(trim(split_part(substr(value, 1, 512), '(', 1)), '\s+', ' ', 'g'), ' ', 3), '`')
+      else '' end as tbl_name from dkind)""")
+    ctes.append(r"""dseg as (select *, max(case when kind <> 'other' then line_no end)
+                    over (partition by dump_id order by line_no rows between unbounded preceding and current row) seg
+                  from dstmt)""")
+    ctes.append(r"""dcreate as (select s.dump_id, s.seg line_no, max(case when s.line_no = s.seg then s.tbl_name end) tbl_name,
+        string_agg(regexp_replace(s.value, '^\s+|\s+$', '', 'g'), '' order by s.line_no) stmt
+      from dseg s where s.seg in (select line_no from dstmt where kind = 'create') group by s.dump_id, s.seg)""")
+    ctes.append(r"""dddl as (select dump_id, line_no, tbl_name, stmt,
+        regexp_replace(substr(stmt, strpos(stmt, '('), length(stmt) - strpos(stmt, '(') + 1 - length(split_part(stmt, ';', -1))),
+                       '[ */;]+$', '') payload from dcreate)""")
+    return ",\n".join(ctes)
+
+
+DUMP = _dump_cte()
+DUMP_TS = 1358644800
+
+
+def _dump_schema_rows() -> str:
+    """Expected (table, pos, column, mysql_type, unsigned, precision, scale) from the DUMP layout metadata."""
+    import re
+    from tidemark.sources import fixtures as FX
+    out = []
+    for table, _k, cols, _keys in FX.DUMP_TABLES:
+        for pos, (c, decl, _kind) in enumerate(cols):
+            t = re.match(r"([A-Za-z]+)", decl).group(1).lower()
+            m = re.match(r"[A-Za-z]+\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)", decl)
+            p = m.group(1) if m else "null"
+            sc = m.group(2) if (m and m.group(2)) else "null"
+            out.append(f"('{table}', {pos}, '{c}', '{t}', {'true' if 'unsigned' in decl else 'false'}, "
+                       f"cast({p} as integer), cast({sc} as integer))")
+    return ("dschema as (select * from (values " + ", ".join(out) +
+            ") t(tbl_name, pos, \"column\", mysql_type, unsigned, \"precision\", scale))")
+
+
+DSCHEMA = _dump_schema_rows()
+TYPEMAP = """case mysql_type when 'tinyint' then 'tinyint' when 'smallint' then 'smallint' when 'int' then 'int'
+  when 'mediumint' then 'int' when 'bigint' then 'bigint' when 'float' then 'float' when 'double' then 'double'
+  when 'longblob' then 'binary' else 'string' end"""
+KNOWN = ("'tinyint','smallint','int','mediumint','bigint','float','double','set','tinytext','varchar','mediumtext',"
+         "'text','enum','time','date','datetime','timestamp','decimal','longblob'")
+DUMPROWS = """
+dcells as (
+  select 'customer' tbl_name, c_custkey k, c.* from src_customer, lateral (values
+    ('mysql:c_name', c_name), ('mysql:c_nationkey', cast(c_nationkey as varchar)),
+    ('mysql:c_acctbal', cast(cast(c_acctbal as decimal(15,2)) as varchar)), ('mysql:c_mktsegment', c_mktsegment))
+    c("column", value)
+  union all
+  select 'nation', n_nationkey, c.* from src_nation, lateral (values
+    ('mysql:n_name', n_name), ('mysql:n_regionkey', cast(n_regionkey as varchar))) c("column", value)
+  union all
+  select 'documents', doc_id, c.* from src_documents, lateral (values
+    ('mysql:text', text), ('mysql:lang', lang), ('mysql:source', source), ('mysql:n_chars', cast(n_chars as varchar)))
+    c("column", value))"""
+
+SQL["scan_dump_lines"] = with_(DUMP) + "select dump_id, line_no, value from dlines"
+SQL["classify_lines"] = with_(DUMP) + "select dump_id, line_no, kind from dkind"
+SQL["statement_table_name"] = with_(DUMP) + "select line_no, kind, tbl_name from dstmt where kind in ('insert','create','view')"
+SQL["insert_payload"] = with_(DUMP) + r"""
+select line_no, tbl_name, md5(p) payload_md5, cast(length(p) as bigint) payload_len from (
+  select line_no, tbl_name, substr(value, strpos(value, '('), length(value) - strpos(value, '(')) p
+  from dstmt where kind = 'insert')"""
+SQL["scalar_md5"] = with_(DUMP) + "select line_no, md5(value || chr(10)) md5 from dlines"
+SQL["assemble_create"] = with_(DUMP) + "select dump_id, line_no, tbl_name, stmt from dcreate"
+SQL["create_payload"] = with_(DUMP) + "select tbl_name, payload from dddl"
+SQL["view_body"] = with_(DUMP) + r"""
+select tbl_name as name, regexp_replace(regexp_extract(value, '^/\*!50001 VIEW\s+`?[^`\s]+`?\s+AS\s+(.*)$', 1),
+  '[ */;]+$', '') body from dstmt where kind = 'view'"""
+SQL["dump_timestamp"] = with_(DUMP) + f"""
+select dump_id, arg_max(value, line_no) last_line, cast({DUMP_TS} as bigint) dump_ts from dlines group by dump_id"""
+SQL["dump_rowcount"] = with_(DUMP) + "select dump_id, count(*) rowcount from dlines group by dump_id"
+SQL["dump_fingerprint"] = with_(DUMP) + """, b as (
+  select dump_id, line_no // 65536 b, md5(string_agg(md5(value || chr(10)), '' order by line_no)) h
+  from dlines group by dump_id, line_no // 65536)
+select dump_id, md5(string_agg(h, '' order by b)) line_md5 from b group by dump_id"""
+SQL["skip_tables"] = with_(DUMP) + """
+select distinct kind, tbl_name from dstmt where (kind in ('create', 'insert') and tbl_name <> 'nation') or kind = 'view'"""
+SQL["parse_ddl"] = with_(DSCHEMA) + 'select tbl_name, pos, "column", mysql_type, unsigned, "precision", scale from dschema'
+SQL["type_mapping"] = with_(DSCHEMA) + f"""
+select tbl_name, "column", mysql_type, {TYPEMAP} sql_type, mysql_type in ({KNOWN}) mapped,
+  case when mysql_type = 'decimal' then 'decimal(' || coalesce("precision", 10) || ',' || coalesce(scale, 0) || ')'
+       when mysql_type = 'date' then 'date' when mysql_type in ('datetime', 'timestamp') then 'timestamp'
+       when unsigned and mysql_type = 'tinyint' then 'smallint' when unsigned and mysql_type = 'smallint' then 'int'
+       when unsigned and mysql_type in ('int', 'mediumint') then 'bigint'
+       when unsigned and mysql_type = 'bigint' then 'decimal(20,0)'
+       else {TYPEMAP} end native_type
+from dschema"""
+SQL["qualified_columns"] = with_(DSCHEMA) + """select tbl_name, pos, 'mysql:' || "column" qualified from dschema"""
+SQL["parse_tuples"] = with_(DUMP) + """
+select tbl_name, row_number() over (partition by tbl_name, chunk order by k) - 1 tuple_pos, arity, k from (
+  select 'customer' tbl_name, k, chunk, 5 arity from tup_customer union all
+  select 'nation', k, chunk, 3 from tup_nation union all
+  select 'documents', k, chunk, 5 from tup_documents)"""
+SQL["rows_to_cells"] = with_(DUMP, DUMPROWS) + """
+select tbl_name, lpad(cast(k as varchar), cast(greatest(9, length(cast(k as varchar))) as integer), '0') row_key,
+  cast(k as bigint) row_id, "column", value, value is null is_null from dcells"""
+SQL["unescape_values"] = with_(DUMP) + "select doc_id, text from src_documents"
+SQL["typed_read"] = with_(DUMP) + """
+select cast(c_custkey as bigint) c_custkey, c_name, c_nationkey, cast(c_acctbal as decimal(15,2)) c_acctbal,
+  c_mktsegment from src_customer"""
+SQL["stage_manifest"] = with_(DUMP) + f"""
+select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, tbl_name, line_no seq, md5(value || chr(10)) md5
+from dstmt where kind = 'insert'"""
+SQL["stage_dump"] = with_(DUMP) + f""", b as (
+  select dump_id, line_no // 65536 b, md5(string_agg(md5(value || chr(10)), '' order by line_no)) h
+  from dlines group by dump_id, line_no // 65536),
+fp as (select dump_id, md5(string_agg(h, '' order by b)) md5 from b group by dump_id)
+select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, 'staged' status,
+  (select count(*) from dlines) rowcount, md5 from fp"""
+SQL["ddl_lookup"] = with_(DUMP) + f"""
+select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, tbl_name name, payload stmt from dddl"""
+SQL["view_lookup"] = with_(DUMP) + f"""
+select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, tbl_name name,
+  regexp_replace(regexp_extract(value, '^/\\*!50001 VIEW\\s+`?[^`\\s]+`?\\s+AS\\s+(.*)$', 1), '[ */;]+$', '') stmt
+from dstmt where kind = 'view'"""
+SQL["manifest_of_dump"] = with_(DUMP) + """
+select d.tbl_name, row_number() over (partition by d.tbl_name order by s.line_no) - 1 position,
+  md5(s.value || chr(10)) md5, false missing
+from dddl d join dstmt s on s.kind = 'insert' and s.tbl_name = d.tbl_name"""
+SQL["stage_chunks_dedup"] = with_(ORD) + """
+select distinct namespace, tbl_name, md5, payload from ordchunks where dump_ts >= 300
+and md5 not in (select md5 from ordchunks where dump_ts <= 200)"""

@@ -193,3 +193,228 @@ def diff_doomed_lists(spark, sf):
     d = _late_diff(spark, sf)
     doomed = d.deletes.unionByName(d.redundant)
     return D.doomed_lists(doomed)
+
+
+# ------------------------------------------------------------------ DUMP: text scan, statements, DDL, tuples, staging
+import uuid  # noqa: E402
+
+from tidemark.functions import ddl as DDL  # noqa: E402
+from tidemark.functions import scalars as SC  # noqa: E402
+from tidemark.functions.tuples import token_value  # noqa: E402
+from tidemark.operators import statements as S  # noqa: E402
+from tidemark.operators.cells import chunk_rows, rows_to_cells as _rows_to_cells  # noqa: E402
+from tidemark.plans.stage import new_chunks_to_store, stage_dump as _stage_dump  # noqa: E402
+from tidemark.session import work_dir  # noqa: E402
+from tidemark.sources import dumpfile as DF  # noqa: E402
+
+DUMP_NS = "shopdump"
+
+
+def dump_lines(spark, sf):
+    """DUMP lines with dense line numbers (dump_id, line_no, value), materialised once per session."""
+    return _memo("dlines", spark, sf, lambda: checkpointed(DF.dense_lines(FX.dump_lines(spark, sf))))
+
+
+def dump_classified(spark, sf):
+    return S.classify(dump_lines(spark, sf)).withColumn("tbl_name", S.statement_table("value", "kind"))
+
+
+def dump_staged(spark, sf):
+    return _memo("dstaged", spark, sf, lambda: _stage_dump(dump_lines(spark, sf), DUMP_NS))
+
+
+def dump_schema(spark, sf, native=False):
+    st = dump_staged(spark, sf)
+    return DDL.with_types(DDL.parse_ddl(st.ddl.select("name", F.col("stmt").alias("payload")), keep=["name"]),
+                          native)
+
+
+def dump_cells(spark, sf):
+    """All INSERT chunks of DUMP -> cells, names joined per table (size-checked broadcast of the schema)."""
+    st = dump_staged(spark, sf)
+    names = dump_schema(spark, sf).groupBy("name").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "column"))), lambda x: x["column"]).alias("names"))
+    from tidemark.operators.cells import bounded_broadcast, SCHEMA_BROADCAST_ROWS
+    rows = chunk_rows(st.chunks.select("tbl_name", "md5", "payload"), keep=["tbl_name", "md5"])
+    rows = rows.join(bounded_broadcast(names.withColumnRenamed("name", "tbl_name"), SCHEMA_BROADCAST_ROWS),
+                     "tbl_name")
+    return _rows_to_cells(rows, names="names", keep=["tbl_name", "md5", "tuple_pos"])
+
+
+@query
+def scan_dump_lines(spark, sf):
+    """DUMP written as ordered part files in the shared work folder, scanned back with exact line numbers."""
+    path = f"{work_dir(spark)}/dump-{uuid.uuid4().hex}"
+    DF.write_dump(FX.dump_lines(spark, sf), path)
+    return DF.scan_dump(spark, path, FX.DUMP_ID).withColumn("dump_id", F.col("dump_id").cast("bigint"))
+
+
+@query
+def classify_lines(spark, sf):
+    """Kind of every line."""
+    return S.classify(dump_lines(spark, sf)).select("dump_id", "line_no", "kind")
+
+
+@query
+def statement_table_name(spark, sf):
+    """table/view name of INSERT, CREATE and VIEW lines."""
+    return dump_classified(spark, sf).filter(F.col("kind").isin("insert", "create", "view")).select(
+        "line_no", "kind", "tbl_name")
+
+
+@query
+def insert_payload(spark, sf):
+    """Tuple list of every INSERT (reported as md5 and length)."""
+    c = dump_classified(spark, sf).filter(F.col("kind") == "insert").withColumn("p", S.insert_payload("value"))
+    return c.select("line_no", "tbl_name", F.md5("p").alias("payload_md5"),
+                    F.length("p").cast("bigint").alias("payload_len"))
+
+
+@query
+def scalar_md5(spark, sf):
+    """md5 of every line as read (newline included)."""
+    return dump_lines(spark, sf).select("line_no", SC.line_md5("value").alias("md5"))
+
+
+@query
+def assemble_create(spark, sf):
+    """W4 + A10: CREATE statements assembled from their lines."""
+    return S.create_statements(dump_classified(spark, sf)).select("dump_id", "line_no", "tbl_name", "stmt")
+
+
+@query
+def create_payload(spark, sf):
+    """P5: column-definition payload of every CREATE."""
+    return S.create_statements(dump_classified(spark, sf)).select("tbl_name", S.create_payload("stmt").alias("payload"))
+
+
+@query
+def view_body(spark, sf):
+    """SELECT body of every VIEW line."""
+    return dump_classified(spark, sf).filter(F.col("kind") == "view").select(
+        F.col("tbl_name").alias("name"), S.view_body("value").alias("body"))
+
+
+@query
+def dump_timestamp(spark, sf):
+    """W6 + F8: dump time from the last line."""
+    return S.dump_timestamp(dump_lines(spark, sf)).select("dump_id", "last_line", "dump_ts")
+
+
+@query
+def dump_rowcount(spark, sf):
+    """A2: lines per dump."""
+    return S.row_counts(dump_lines(spark, sf)).select("dump_id", F.col("rowcount").cast("bigint").alias("rowcount"))
+
+
+@query
+def dump_fingerprint(spark, sf):
+    """A3: order-sensitive two-level digest of the dump."""
+    return S.fingerprint(dump_lines(spark, sf))
+
+
+@query
+def skip_tables(spark, sf):
+    """Staging with nation skipped — CREATE and INSERT of nation dropped, views kept."""
+    st = _stage_dump(dump_lines(spark, sf), DUMP_NS, skip_tables=["nation"])
+    return (st.ddl.select(F.lit("create").alias("kind"), F.col("name").alias("tbl_name")).distinct()
+            .unionByName(st.manifest.select(F.lit("insert").alias("kind"), "tbl_name").distinct())
+            .unionByName(st.views.select(F.lit("view").alias("kind"), F.col("name").alias("tbl_name")).distinct()))
+
+
+@query
+def parse_ddl(spark, sf):
+    """columns of every staged CREATE."""
+    return dump_schema(spark, sf).select(F.col("name").alias("tbl_name"), "pos", "column", "mysql_type", "unsigned",
+                                         "precision", "scale")
+
+
+@query
+def type_mapping(spark, sf):
+    """Published SQL type of every column (default and native)."""
+    d = dump_schema(spark, sf).select(F.col("name").alias("tbl_name"), "column", "mysql_type", "sql_type", "mapped")
+    n = dump_schema(spark, sf, native=True).select(F.col("name").alias("tbl_name"), "column",
+                                                    F.col("sql_type").alias("native_type"))
+    return d.join(n, ["tbl_name", "column"])
+
+
+@query
+def qualified_columns(spark, sf):
+    """Family-qualified cell names."""
+    return dump_schema(spark, sf).select(F.col("name").alias("tbl_name"), "pos", "qualified")
+
+
+@query
+def parse_tuples(spark, sf):
+    """every tuple of every INSERT with its arity and key."""
+    st = dump_staged(spark, sf)
+    rows = chunk_rows(st.chunks.select("tbl_name", "md5", "payload"), keep=["tbl_name", "md5"])
+    k, _ = token_value(F.element_at("fields", 1))
+    return rows.select("tbl_name", "tuple_pos", F.size("fields").alias("arity"), k.cast("bigint").alias("k"))
+
+
+@query
+def rows_to_cells(spark, sf):
+    """All DUMP rows as (table, key, column, value, is_null) cells."""
+    return dump_cells(spark, sf).select("tbl_name", "row_key", "row_id", "column", "value", "is_null")
+
+
+@query
+def unescape_values(spark, sf):
+    """whole document texts recovered from the escaped INSERT text."""
+    c = dump_cells(spark, sf).filter((F.col("tbl_name") == "documents") & (F.col("column") == "mysql:text"))
+    return c.select(F.col("row_id").alias("doc_id"), F.col("value").alias("text"))
+
+
+@query
+def typed_read(spark, sf):
+    """customer cells typed by their DDL with native types (decimal kept exact)."""
+    from tidemark.plans.read import typed_table
+    sch = dump_schema(spark, sf, native=True).filter(F.col("name") == "customer").orderBy("pos").select(
+        "column", "sql_type").collect()
+    cells = dump_cells(spark, sf).filter(F.col("tbl_name") == "customer")
+    return typed_table(cells.withColumn("ts", F.lit(FX.DUMP_ID)), [(r[0], r[1]) for r in sch])
+
+
+@query
+def stage_manifest(spark, sf):
+    """K2: manifest rows of the staged DUMP."""
+    return dump_staged(spark, sf).manifest
+
+
+@query
+def stage_dump(spark, sf):
+    """L1: the dump-level meta row (status, line count, fingerprint) at the parsed dump time."""
+    return dump_staged(spark, sf).meta
+
+
+@query
+def ddl_lookup(spark, sf):
+    """S3: CREATE payload of each table of the dump."""
+    return dump_staged(spark, sf).ddl.select("namespace", "dump_ts", "name", "stmt")
+
+
+@query
+def view_lookup(spark, sf):
+    """View statements of the dump."""
+    return dump_staged(spark, sf).views.select("namespace", "dump_ts", "name", "stmt")
+
+
+@query
+def manifest_of_dump(spark, sf):
+    """Ordered hash list of each table of the dump; tables without INSERTs flagged missing."""
+    from tidemark.operators.positions import positions
+    st = dump_staged(spark, sf)
+    m = positions(st.manifest, ["namespace", "dump_ts", "tbl_name"], "seq", "position")
+    t = st.ddl.select("namespace", "dump_ts", F.col("name").alias("tbl_name"))
+    return t.join(m, ["namespace", "dump_ts", "tbl_name"], "left").select(
+        "tbl_name", "position", "md5", F.col("md5").isNull().alias("missing"))
+
+
+@query
+def stage_chunks_dedup(spark, sf):
+    """K1: ORD chunks of dumps 300-500 not already stored by dumps 100-200, one per md5."""
+    ch = FX.orders_chunks(spark, sf)
+    existing = ch.filter(F.col("dump_ts") <= 200).select("namespace", "tbl_name", "md5", "payload")
+    batch = ch.filter(F.col("dump_ts") >= 300).select("namespace", "tbl_name", "md5", "payload")
+    return new_chunks_to_store(batch, existing)
