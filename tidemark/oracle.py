@@ -372,3 +372,50 @@ from dddl d join dstmt s on s.kind = 'insert' and s.tbl_name = d.tbl_name"""
 SQL["stage_chunks_dedup"] = with_(ORD) + """
 select distinct namespace, tbl_name, md5, payload from ordchunks where dump_ts >= 300
 and md5 not in (select md5 from ordchunks where dump_ts <= 200)"""
+
+LATEST = """select row_key, "column", max(row_id) row_id, max(ts) ts, arg_max(value, ts) value, arg_max(is_null, ts) is_null"""
+SQL["asof_range_scan"] = with_(EV) + f""", r as (select min(row_id) lo, max(row_id) hi from ev)
+{LATEST} from ev, r where ts <= {ASOF_T}
+  and row_id between cast(floor(lo + (hi - lo) / 4) as bigint) and cast(floor(hi - (hi - lo) / 4) as bigint)
+group by row_key, "column" """
+SQL["row_latest"] = with_(EV) + f"""{LATEST} from ev group by row_key, "column" """
+SQL["row_asof"] = with_(EV) + f""", b as (select row_key, cast((min(ts) + max(ts)) / 2 as bigint) bound
+  from ev group by row_key)
+{LATEST} from ev join b using (row_key) where ts <= bound group by row_key, "column" """
+SQL["cell_versions"] = with_(EV) + """
+select * from (select row_key, "column", ts, value,
+  row_number() over (partition by row_key, "column" order by ts desc) version from ev) where version <= 3"""
+SQL["cap_versions"] = with_(EV) + """
+select row_key, "column", ts, value from (select *, row_number() over (partition by row_key, "column" order by ts desc) v
+  from ev) where v <= 999"""
+MASKED = """masked as (select e.* from ev e
+  where not exists (select 1 from tomb t where t.row_key = e.row_key and t."column" = e."column" and t.ts >= e.ts)
+    and not exists (select 1 from tomb t where t.row_key = e.row_key and t."column" is null and t.ts >= e.ts))"""
+SQL["apply_tombstones"] = with_(EV, MASKED) + 'select row_key, "column", ts, value from masked'
+SQL["tombstone_masked_asof"] = with_(EV, MASKED) + """
+select row_key, "column", max(ts) ts, arg_max(value, ts) value from masked group by row_key, "column" """
+SQL["tombstone_asof_corrected"] = with_(EV) + f""", t as (select * from tomb where ts <= {ASOF_T}),
+m as (select e.* from ev e where e.ts <= {ASOF_T}
+  and not exists (select 1 from t where t.row_key = e.row_key and t."column" = e."column" and t.ts >= e.ts)
+  and not exists (select 1 from t where t.row_key = e.row_key and t."column" is null and t.ts >= e.ts))
+select row_key, "column", max(ts) ts, arg_max(value, ts) value from m group by row_key, "column" """
+SQL["state_pivot"] = with_(EV) + f""", s as ({LATEST} from ev where ts <= {ASOF_T} group by row_key, "column")
+select row_key, max(row_id) row_id,
+""" + ",\n".join(f"""  max(case when "column" = 'mysql:{t}' then value end) as {t}"""
+                 for t in ["click", "error", "purchase", "signup", "view"]) + """
+from s group by row_key"""
+PAD = "lpad(cast({x} as varchar), cast(greatest(9, length(cast({x} as varchar))) as integer), '0')"
+SQL["padded_key_order"] = f"""
+select {PAD.format(x='a')} row_key, a row_id from (select o_orderkey a from orders union all
+  select o_orderkey * 100000 from orders)"""
+SQL["scalar_zero_pad"] = f"""
+select o_orderkey, {PAD.format(x='o_orderkey')} k9, {PAD.format(x='o_orderkey * 1000000')} k_wide from orders"""
+SQL["scalar_unpad"] = f"""
+select c_custkey, cast(try_cast({PAD.format(x='c_custkey')} as bigint) as varchar) unpadded,
+  cast(try_cast(c_name as bigint) as varchar) name_key from customer"""
+SQL["scalar_dump_time"] = """
+select event_id, cast(epoch(date_trunc('second', ts)) as bigint) dump_ts,
+  cast(epoch(date_trunc('day', ts)) as bigint) forced_ts from events"""
+SQL["scalar_epoch_iso"] = """
+select event_id, cast(floor(epoch_us(ts) / 1000000) as bigint) epoch,
+  strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') iso from events"""

@@ -418,3 +418,131 @@ def stage_chunks_dedup(spark, sf):
     existing = ch.filter(F.col("dump_ts") <= 200).select("namespace", "tbl_name", "md5", "payload")
     batch = ch.filter(F.col("dump_ts") >= 300).select("namespace", "tbl_name", "md5", "payload")
     return new_chunks_to_store(batch, existing)
+
+
+# ------------------------------------------------------------------ EV: history reads, versions, tombstones
+def _ev(spark, sf):
+    return FX.events_cells(spark, sf)
+
+
+def _id_mid_range(ev):
+    """Middle half of the row-id domain, as scalar subqueries (data-derived range bounds)."""
+    lo, hi = F.min("row_id"), F.max("row_id")
+    first = ev.select(F.floor(lo + (hi - lo) / 4).cast("bigint")).scalar()
+    last = ev.select(F.floor(hi - (hi - lo) / 4).cast("bigint")).scalar()
+    return first, last
+
+
+@query
+def asof_range_scan(spark, sf):
+    """Rows in the middle half of the id domain as of ASOF_T."""
+    ev = _ev(spark, sf)
+    first, last = _id_mid_range(ev)
+    return H.range_scan(ev, first, last, ASOF_T).select("row_key", "column", "row_id", "ts", "value", "is_null")
+
+
+@query
+def row_latest(spark, sf):
+    """Latest version of every cell (row get without bound, for every row)."""
+    return H.asof(_ev(spark, sf)).select("row_key", "column", "row_id", "ts", "value", "is_null")
+
+
+@query
+def row_asof(spark, sf):
+    """Each row read as of its own mid-life time (per-row bound column)."""
+    ev = _ev(spark, sf)
+    bounds = ev.groupBy("row_key").agg(((F.min("ts") + F.max("ts")) / 2).cast("bigint").alias("bound"))
+    return H.asof(ev.join(bounds, "row_key"), F.col("bound")).select(
+        "row_key", "column", "row_id", "ts", "value", "is_null")
+
+
+@query
+def cell_versions(spark, sf):
+    """Newest three versions of every cell."""
+    return H.versions(_ev(spark, sf), 3).select("row_key", "column", "ts", "value", "version")
+
+
+@query
+def cap_versions(spark, sf):
+    """K5: history capped at the store's version limit per cell."""
+    return H.cap_versions(_ev(spark, sf)).select("row_key", "column", "ts", "value")
+
+
+@query
+def apply_tombstones(spark, sf):
+    """K8: every cell version that survives the tombstones (store semantics: regardless of read time)."""
+    return H.mask_tombstones(_ev(spark, sf), FX.events_tombstones(spark, sf), mode="literal").select(
+        "row_key", "column", "ts", "value")
+
+
+@query
+def tombstone_masked_asof(spark, sf):
+    """J8 literal: latest visible state after all tombstones."""
+    return H.masked_asof(_ev(spark, sf), FX.events_tombstones(spark, sf), None, "literal").select(
+        "row_key", "column", "ts", "value")
+
+
+@query
+def tombstone_asof_corrected(spark, sf):
+    """J8 corrected: state as of ASOF_T with only the tombstones issued by then."""
+    return H.masked_asof(_ev(spark, sf), FX.events_tombstones(spark, sf), ASOF_T, "corrected").select(
+        "row_key", "column", "ts", "value")
+
+
+EV_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query
+def state_pivot(spark, sf):
+    """Wide state as of ASOF_T, one column per event type (names taken from the data)."""
+    ev = _ev(spark, sf)
+    names = [r[0] for r in ev.select("column").distinct().orderBy("column").collect()]  # ≤ #columns, metadata
+    return H.pivot_state(H.asof(ev, ASOF_T), names)
+
+
+@query
+def padded_key_order(spark, sf):
+    """Padded keys sort like their numeric ids (keys wider than 9 digits included)."""
+    o = FX.read(spark, sf, "orders")
+    ids = o.select(F.col("o_orderkey").alias("a")).unionByName(
+        o.select((F.col("o_orderkey") * 100000).alias("a")))
+    return ids.select(SC.zero_pad("a").alias("row_key"), F.col("a").alias("row_id"))
+
+
+# ------------------------------------------------------------------ scalars
+@query
+def scalar_zero_pad(spark, sf):
+    """zero padding never truncates."""
+    o = FX.read(spark, sf, "orders")
+    return o.select("o_orderkey", SC.zero_pad("o_orderkey").alias("k9"),
+                    SC.zero_pad(F.col("o_orderkey") * 1000000).alias("k_wide"))
+
+
+@query
+def scalar_unpad(spark, sf):
+    """padded integer keys back to text; non-integer keys become null."""
+    c = FX.read(spark, sf, "customer")
+    return c.select("c_custkey", SC.unpad(SC.zero_pad("c_custkey")).alias("unpadded"),
+                    SC.unpad("c_name").alias("name_key"))
+
+
+def _done_line(ts):
+    return F.concat(F.lit(SC.DUMP_DONE_MARK), F.date_format(ts, "yyyy-MM-dd"), F.lit(" "),
+                    F.lpad(F.hour(ts).cast("string"), 2, " "), F.lit(":"), F.date_format(ts, "mm:ss"))
+
+
+@query
+def scalar_dump_time(spark, sf):
+    """F8 / F9: 'Dump completed on' lines rendered from every event time, parsed back; forced dates too."""
+    e = FX.read(spark, sf, "events")
+    line = _done_line(F.col("ts"))
+    return e.select("event_id", SC.dump_time_epoch(line).alias("dump_ts"),
+                    SC.forced_date_epoch(F.date_format("ts", "yyyy-MM-dd")).alias("forced_ts"))
+
+
+@query
+def scalar_epoch_iso(spark, sf):
+    """epoch seconds to ISO text with a space."""
+    e = FX.read(spark, sf, "events")
+    secs = F.floor(SC.ntz_micros("ts") / 1000000).cast("bigint")
+    return e.select("event_id", secs.alias("epoch"), SC.epoch_iso(secs).alias("iso"))
