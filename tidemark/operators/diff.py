@@ -36,8 +36,9 @@ class Diff:
     deletes: DataFrame      # (ts, row_key, row_id, column=null) rows gone at when
     redundant: DataFrame    # (ts, row_key, row_id, column|null) future cells/rows identical to incoming
     restores: DataFrame     # (ts=next, row_key, row_id, column, value, is_null) corrected mode only
-    changed: DataFrame      # J3 before suppression
+    changed: DataFrame      # J3 before suppression (md5 of the incoming chunk kept)
     identical_next: DataFrame  # J5
+    full_rows: DataFrame    # J6: rows whose next-state cells are all identical to incoming
 
     def tagged(self) -> DataFrame:
         """One frame with change_kind in (write, delete, redundant, restore)."""
@@ -99,6 +100,7 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
             F.min_by("n_ts", "column").alias("_pick_ts"), F.max("md5").alias("md5"))
         full = per_row.join(n_cells, "row_key").filter(F.col("_n_same") == F.col("_n_cells"))
         full_keys = full.select("row_key").withColumn("_full", F.lit(True))
+        full_rows = full.select("row_key", "row_id")
         tagged = ident.join(full_keys, "row_key", "left")
         if mode == "literal":
             red_rows = full.filter(F.col("_pick_ts") > when).select(
@@ -118,6 +120,7 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
                                      F.lit(None).cast("string").alias("column"))
         identical_next = inc.limit(0).select("row_key", "row_id", "column", "value", "is_null",
                                              F.lit(None).cast("bigint").alias("n_ts"))
+        full_rows = empty_ref
 
     if mode == "literal":
         inc_keys = inc.select("md5", "row_key").distinct()
@@ -144,8 +147,9 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
                                        "value", "is_null")
 
     writes = writes.select(F.lit(when).cast("bigint").alias("ts"), "row_key", "row_id", "column", "value", "is_null")
-    changed = changed.select("row_key", "row_id", "column", "value", "is_null")
-    return Diff(writes, deletes, redundant, restores, changed, identical_next)
+    keep = [c for c in ["md5", "row_key", "row_id", "column", "value", "is_null"] if c in changed.columns]
+    changed = changed.select(*keep)
+    return Diff(writes, deletes, redundant, restores, changed, identical_next, full_rows)
 
 
 def delete_counts(deletes: DataFrame) -> DataFrame:

@@ -419,3 +419,54 @@ select event_id, cast(epoch(date_trunc('second', ts)) as bigint) dump_ts,
 SQL["scalar_epoch_iso"] = """
 select event_id, cast(floor(epoch_us(ts) / 1000000) as bigint) epoch,
   strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') iso from events"""
+
+ALLDDL = """alld as (select 'shop' namespace, dump_ts, 'orders' name from (select distinct dump_ts from manifest)
+  union all select 'shopdump', """ + str(1358644800) + """, tbl_name from dddl)"""
+SQL["list_tables"] = with_(ORD, DUMP, ALLDDL) + "select distinct namespace, cast(dump_ts as bigint) dump_ts, name from alld"
+SQL["list_views"] = with_(DUMP) + f"select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, tbl_name name from dstmt where kind = 'view'"
+SQL["list_dumps"] = with_(ORD) + f""", d as (select distinct 'shop' namespace, dump_ts from manifest
+  union all select 'shopdump', cast({DUMP_TS} as bigint))
+select namespace, dump_ts, strftime(make_timestamp(dump_ts * 1000000), '%Y-%m-%d %H:%M:%S') iso from d"""
+SQL["list_namespaces"] = "select * from (values ('shop'), ('shopdump')) t(namespace)"
+SQL["table_list_file"] = with_(DUMP) + "select tbl_name from dstmt where kind = 'create'"
+SQL["select_tables"] = with_(DUMP) + """
+select tbl_name, 'include' rule from dstmt where kind = 'create' and tbl_name <> 'nation'
+union all select tbl_name, 'exclude' from dstmt where kind = 'create' and tbl_name <> 'nation'"""
+SQL["has_data"] = with_(ORD, DUMP, ALLDDL) + "select distinct name tbl_name, true has_data from alld"
+SQL["manifest_wide_map"] = with_(DUMP) + f""", fp as (
+  select md5(string_agg(h, '' order by b)) md5 from (
+    select line_no // 65536 b, md5(string_agg(md5(value || chr(10)), '' order by line_no)) h
+    from dlines group by line_no // 65536))
+select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, 'tables' family, tbl_name "key", payload "value" from dddl
+union all select 'shopdump', {DUMP_TS}, 'views', tbl_name,
+  regexp_replace(regexp_extract(value, '^/\\*!50001 VIEW\\s+`?[^`\\s]+`?\\s+AS\\s+(.*)$', 1), '[ */;]+$', '')
+  from dstmt where kind = 'view'
+union all select 'shopdump', {DUMP_TS}, 'hashes', tbl_name, cast(count(*) as varchar) from dstmt where kind = 'insert' group by tbl_name
+union all select 'shopdump', {DUMP_TS}, 'meta', 'status', 'staged'
+union all select 'shopdump', {DUMP_TS}, 'meta', 'rowcount', cast((select count(*) from dlines) as varchar)
+union all select 'shopdump', {DUMP_TS}, 'meta', 'md5', (select md5 from fp)"""
+TYPED_ORD = """
+select cast(id as bigint) id, arg_max(custkey, dump_ts) custkey, arg_max(st, dump_ts) st,
+  arg_max(cents, dump_ts) cents, arg_max(pr, dump_ts) pr from snap where dump_ts <= {t} group by id"""
+SQL["published_asof"] = with_(ORD) + TYPED_ORD.format(t=300)
+SQL["published_table"] = with_(ORD) + TYPED_ORD.format(t=500)
+SQL["apply_views"] = """
+select cast(c_custkey as bigint) c_custkey, n_name from customer c join nation n on c.c_nationkey = n.n_nationkey"""
+SQL["publish_namespace"] = with_(DUMP, DUMPROWS) + """
+select tbl_name, 'published' status, count(*) n_cells from dcells where tbl_name <> 'nation' group by tbl_name"""
+SQL["rebuild_history"] = SQL["publish_incremental"]
+SQL["asof_prev_next"] = with_(ORD, ORD_LATE) + """, k as (select distinct row_key from inc),
+p as (select p.row_key, p."column", p.ts p_ts, p.value p_value from prevs p join k using (row_key)),
+n as (select n.row_key, n."column", n.ts n_ts, n.value n_value from nexts n join k using (row_key))
+select coalesce(p.row_key, n.row_key) row_key, coalesce(p."column", n."column") "column", p_ts, p_value, n_ts, n_value
+from p full join n on p.row_key = n.row_key and p."column" = n."column" """
+SQL["diff_suppress"] = with_(ORD, ORD_LATE) + """
+select f.row_key, max(i.row_id) row_id from fullrows f join inc i using (row_key) group by f.row_key"""
+SQL["diff_stats"] = with_(ORD, ORD_LATE) + """
+select md5, count(distinct row_key) n_changed_rows,
+  array_to_string(list_slice(list_sort(list(distinct row_id)), 1, 3), ',') preview from changed group by md5"""
+SQL["chunk_range_join"] = with_(ORD) + """, nc as (select md5 from newc where dump_ts = 300),
+r as (select md5, min(row_id) lo, max(row_id) hi from cellmd5 where dump_ts = 300 and md5 in (select md5 from nc)
+      group by md5),
+h as (select distinct row_key, row_id from ordcells where dump_ts = 100)
+select r.md5, h.row_key, h.row_id from r join h on h.row_id between r.lo and r.hi"""

@@ -148,7 +148,7 @@ def _late_diff(spark, sf):
 @query
 def diff_changed_cells(spark, sf):
     """Incoming cells of dump 300 that differ from the state as of the previous published dump."""
-    return _late_diff(spark, sf).changed
+    return _late_diff(spark, sf).changed.select("row_key", "row_id", "column", "value", "is_null")
 
 
 @query
@@ -546,3 +546,202 @@ def scalar_epoch_iso(spark, sf):
     e = FX.read(spark, sf, "events")
     secs = F.floor(SC.ntz_micros("ts") / 1000000).cast("bigint")
     return e.select("event_id", secs.alias("epoch"), SC.epoch_iso(secs).alias("iso"))
+
+
+# ------------------------------------------------------------------ catalogue, publish views, rebuild
+from tidemark.plans import catalog as CAT  # noqa: E402
+from tidemark.plans import read as RD  # noqa: E402
+from tidemark.plans.publish import _dual_state, empty_history, table_columns  # noqa: E402
+from tidemark.plans.rebuild import rebuild_history as _rebuild  # noqa: E402
+
+
+def _all_ddl(spark, sf):
+    return ord_staged(spark, sf).ddl.unionByName(dump_staged(spark, sf).ddl)
+
+
+@query
+def list_tables(spark, sf):
+    """Tables of every staged dump (ORD and DUMP namespaces)."""
+    return CAT.list_tables(_all_ddl(spark, sf))
+
+
+@query
+def list_views(spark, sf):
+    """Views of every staged dump."""
+    return CAT.list_views(dump_staged(spark, sf).views)
+
+
+@query
+def list_dumps(spark, sf):
+    """Staged dumps with readable time."""
+    d = ord_staged(spark, sf).manifest.select("namespace", "dump_ts").unionByName(
+        dump_staged(spark, sf).meta.select("namespace", "dump_ts"))
+    return CAT.list_dumps(d)
+
+
+@query
+def list_namespaces(spark, sf):
+    """Distinct namespaces."""
+    return CAT.list_namespaces(ord_staged(spark, sf).manifest, dump_staged(spark, sf).ddl)
+
+
+def _list_file(spark, sf, names: DataFrame) -> str:
+    path = f"{work_dir(spark)}/list-{uuid.uuid4().hex}"
+    names.select(F.concat(F.lit("  "), F.col("tbl_name"), F.lit(" \t")).alias("value")).write.text(path)
+    return path
+
+
+@query
+def table_list_file(spark, sf):
+    """A list file (one padded table name per line) written from the staged tables, read back trimmed."""
+    names = dump_staged(spark, sf).ddl.select(F.col("name").alias("tbl_name"))
+    return DF.read_list(spark, _list_file(spark, sf, names))
+
+
+@query
+def select_tables(spark, sf):
+    """Include list (customer, documents) vs exclude list (nation) over the dump's tables."""
+    tables = dump_staged(spark, sf).ddl.select(F.col("name").alias("tbl_name"))
+    inc = tables.filter(F.col("tbl_name") != "nation")
+    exc = tables.filter(F.col("tbl_name") == "nation")
+    a = CAT.select_tables(tables, include=inc, exclude=exc).withColumn("rule", F.lit("include"))
+    b = CAT.select_tables(tables, exclude=exc).withColumn("rule", F.lit("exclude"))
+    return a.unionByName(b)
+
+
+@query
+def has_data(spark, sf):
+    """Which tables of the dump have data (DUMP tables plus ORD)."""
+    st = dump_staged(spark, sf)
+    tables = _all_ddl(spark, sf).select(F.col("name").alias("tbl_name"))
+    return CAT.has_data(st.manifest.unionByName(ord_staged(spark, sf).manifest.select(st.manifest.columns)), tables)
+
+
+@query
+def manifest_wide_map(spark, sf):
+    """U4: tables/views/hashes/meta families of the dump manifest as one long frame."""
+    st = dump_staged(spark, sf)
+    return CAT.manifest_wide(st.ddl, st.views, st.manifest, st.meta)
+
+
+def _inorder_history(spark, sf):
+    return _memo("inorder", spark, sf, lambda: publish_sequence(
+        spark, ord_staged(spark, sf), NS, TBL, [100, 200, 300, 400, 500])[0])
+
+
+def _ord_typed(spark, sf, ts):
+    h = _inorder_history(spark, sf)
+    if ts is not None:
+        h = h.filter(F.col("publish_id") <= ts)
+    cols = table_columns(ord_staged(spark, sf), NS, TBL, 500)
+    return RD.typed_table(H.asof(h, ts), cols)
+
+
+@query
+def published_asof(spark, sf):
+    """The published orders table as of dump 300 (deletes not applied), typed by its DDL."""
+    return _ord_typed(spark, sf, 300)
+
+
+@query
+def published_table(spark, sf):
+    """K7: the published orders table, latest state."""
+    return _ord_typed(spark, sf, None)
+
+
+@query
+def schema_only_table(spark, sf):
+    """Schema-only publish — the empty typed table."""
+    return RD.schema_only(spark, table_columns(ord_staged(spark, sf), NS, TBL, 500))
+
+
+@query
+def apply_views(spark, sf):
+    """Publish the dump's customer and nation tables, then create its view over them and read it."""
+    st_dump = dump_staged(spark, sf)
+    staged = Staged(st_dump.manifest, st_dump.chunks.dropDuplicates(["namespace", "tbl_name", "md5"]), st_dump.ddl)
+    when = oracle_dump_ts()
+    tables = ["customer", "nation"]
+    for t in tables:
+        h, _ = publish_sequence(spark, staged, DUMP_NS, t, [when], materialize=False)
+        RD.register(RD.typed_table(H.asof(h), table_columns(staged, DUMP_NS, t, when)), DUMP_NS, t)
+    views = [(r["name"], r["stmt"]) for r in st_dump.views.select("name", "stmt").collect()]  # DDL-sized
+    status = RD.apply_views(spark, views, DUMP_NS, tables)
+    bad = [s for s in status if s[1] != "created"]
+    if bad:
+        raise RuntimeError(f"views failed: {bad}")
+    return spark.table(f"{DUMP_NS}_customer_nation")
+
+
+def oracle_dump_ts() -> int:
+    from tidemark.oracle import DUMP_TS
+    return DUMP_TS
+
+
+@query
+def publish_namespace(spark, sf):
+    """Publish every table of the dump except the excluded ones; cells written per table."""
+    st_dump = dump_staged(spark, sf)
+    staged = Staged(st_dump.manifest, st_dump.chunks.dropDuplicates(["namespace", "tbl_name", "md5"]), st_dump.ddl)
+    tables = [r[0] for r in CAT.select_tables(st_dump.ddl.select(F.col("name").alias("tbl_name")),
+                                              exclude=spark.createDataFrame([("nation",)], "tbl_name string"))
+              .collect()]  # table names: catalogue metadata
+    out = None
+    for t in sorted(tables):
+        r = publish_step(staged, empty_history(spark), [], DUMP_NS, t, oracle_dump_ts())
+        c = r.cells.groupBy().agg(F.count(F.lit(1)).alias("n_cells")).select(
+            F.lit(t).alias("tbl_name"), F.lit(r.status).alias("status"), "n_cells")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query
+def rebuild_history(spark, sf):
+    """History rebuilt from all staged dumps in one pass; equals publishing every dump in order."""
+    return _rebuild(ord_staged(spark, sf), NS, TBL, FX.ORD_COLUMNS)
+
+
+@query
+def asof_prev_next(spark, sf):
+    """State of the late dump's incoming keys as of the previous and the next published dump."""
+    st = ord_staged(spark, sf)
+    h, r = ord_late(spark, sf)
+    inc = r.diff.changed.select("row_key").unionByName(r.diff.identical_next.select("row_key")).distinct()
+    new = st.manifest.filter(F.col("dump_ts") == 300).select("md5").distinct().join(
+        st.manifest.filter(F.col("dump_ts") == 100).select("md5"), "md5", "left_anti")
+    keys = chunk_cells(st.chunks.join(new, "md5", "left_semi").select("md5", "payload"), FX.ORD_COLUMNS,
+                       keep=["md5"]).select("row_key").distinct()
+    prev, nxt = _dual_state(h.join(keys, "row_key", "left_semi"), 299, 500)
+    p = prev.select("row_key", "column", F.col("ts").alias("p_ts"), F.col("value").alias("p_value"))
+    n = nxt.select("row_key", "column", F.col("ts").alias("n_ts"), F.col("value").alias("n_value"))
+    return p.join(n, ["row_key", "column"], "full")
+
+
+@query
+def diff_suppress(spark, sf):
+    """Rows of the late dump fully identical to the next published state (literal mode would not write them)."""
+    return _late_diff(spark, sf).full_rows
+
+
+@query
+def diff_stats(spark, sf):
+    """Per incoming chunk: rows, changed rows and the first three changed ids (bounded per chunk)."""
+    d = _late_diff(spark, sf)
+    ch = d.changed.groupBy("md5").agg(
+        F.countDistinct("row_key").alias("n_changed_rows"),
+        F.array_join(F.slice(F.array_sort(F.collect_set(F.col("row_id"))), 1, 3).cast("array<string>"), ",")
+        .alias("preview"))
+    return ch
+
+
+@query
+def chunk_range_join(spark, sf):
+    """History rows (after publishing 100) inside the id range of each chunk new at 300 (literal scan)."""
+    st = ord_staged(spark, sf)
+    h, _ = publish_sequence(spark, st, NS, TBL, [100], materialize=False)
+    new = M.new_chunks(st.manifest).filter(F.col("dump_ts") == 300).select("md5")
+    cells = chunk_cells(st.chunks.join(new, "md5", "left_semi").select("md5", "payload"), FX.ORD_COLUMNS,
+                        keep=["md5"])
+    ranges = _chunk_id_range(cells)
+    keys = h.select("row_key", "row_id").distinct()
+    return D.range_join(ranges, keys).select("md5", "row_key", "row_id")
