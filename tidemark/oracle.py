@@ -470,3 +470,9 @@ r as (select md5, min(row_id) lo, max(row_id) hi from cellmd5 where dump_ts = 30
       group by md5),
 h as (select distinct row_key, row_id from ordcells where dump_ts = 100)
 select r.md5, h.row_key, h.row_id from r join h on h.row_id between r.lo and r.hi"""
+
+SQL["published_events"] = with_(EV) + f""", s as ({LATEST} from ev where ts <= {ASOF_T} group by row_key, "column")
+select cast(max(row_id) as bigint) user_id,
+""" + ",\n".join(f"""  cast(max(case when "column" = 'mysql:{t}' then value end) as bigint) as {t}"""
+                 for t in ["click", "error", "purchase", "signup", "view"]) + """
+from s group by row_key"""

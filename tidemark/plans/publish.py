@@ -64,12 +64,18 @@ def table_schema(staged: Staged, namespace: str, tbl: str, when: int, native: bo
     return with_types(parse_ddl(d.select(F.col("stmt").alias("payload")), "payload", keep=[]), native)
 
 
+_COLUMNS_CACHE: dict = {}
+
+
 def table_columns(staged: Staged, namespace: str, tbl: str, when: int) -> list[tuple[str, str]]:
-    """Driver-side (column, sql_type) list — DDL metadata, at most a few thousand entries."""
-    rows = table_schema(staged, namespace, tbl, when).orderBy("pos").select("column", "sql_type").collect()
-    if not rows:
-        raise ValueError(f"no CREATE statement for {namespace}.{tbl} in dump {when}")
-    return [(r["column"], r["sql_type"]) for r in rows]
+    """Driver-side (column, sql_type) list — DDL metadata, at most a few thousand entries (cached per frame)."""
+    key = (id(staged.ddl), namespace, tbl, int(when))
+    if key not in _COLUMNS_CACHE:
+        rows = table_schema(staged, namespace, tbl, when).select("pos", "column", "sql_type").collect()
+        if not rows:
+            raise ValueError(f"no CREATE statement for {namespace}.{tbl} in dump {when}")
+        _COLUMNS_CACHE[key] = (staged.ddl, [(r["column"], r["sql_type"]) for r in sorted(rows, key=lambda r: r["pos"])])
+    return _COLUMNS_CACHE[key][1]
 
 
 def _keys_of(chunks: DataFrame) -> DataFrame:
@@ -95,8 +101,11 @@ def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None):
 
 def publish_step(staged: Staged, history: DataFrame, published: list[int], namespace: str, tbl: str, when: int,
                  mode: str = "corrected", now: int | None = None, literal_nulls: bool | None = None,
-                 schema_only: bool = False) -> StepResult:
-    """L3 (L2 is the case of an empty history): the cells publishing dump ``when`` adds to ``history``."""
+                 schema_only: bool = False, materialize: bool = True) -> StepResult:
+    """L3 (L2 is the case of an empty history): the cells publishing dump ``when`` adds to ``history``.
+
+    ``materialize``: the incoming cells (the regex parse of every new chunk, the costliest part) are written once to
+    the shared checkpoint folder and reused by the four joins of the diff instead of being re-parsed."""
     literal_nulls = (mode == "literal") if literal_nulls is None else literal_nulls
     cols = table_columns(staged, namespace, tbl, when)
     names = [c for c, _ in cols]
@@ -123,6 +132,8 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
             new, removed = cur, None
         inc = chunk_cells(st.chunks.join(new, "md5", "left_semi").select("md5", "payload"), names,
                           literal_nulls=literal_nulls, keep=["md5"])
+        if materialize:
+            inc = checkpointed(inc)
         removed_keys = _keys_of(st.chunks.join(removed, "md5", "left_semi")) if removed is not None else None
         hk = hist.join(inc.select("row_key").distinct(), "row_key", "left_semi")
         prev, nxt = _dual_state(hk, when - 1, next_ts)
@@ -138,6 +149,8 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
     new = M.new_chunks(m).filter(F.col("dump_ts") == when).select("md5")
     inc = chunk_cells(st.chunks.join(new, "md5", "left_semi").select("md5", "payload"), names,
                       literal_nulls=literal_nulls, keep=["md5"])
+    if materialize:
+        inc = checkpointed(inc)
     ranges = chunk_id_range(inc)
     hk = D.range_join(ranges.select("md5", "first_id", "last_id"), hist).drop("md5", "first_id", "last_id")
     prev, nxt = _dual_state(hk, prev_ts, next_ts)

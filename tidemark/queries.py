@@ -30,6 +30,7 @@ from tidemark.operators import diff as D  # noqa: E402
 from tidemark.operators import milestones as M  # noqa: E402
 from tidemark.operators.cells import chunk_cells, chunk_id_range as _chunk_id_range  # noqa: E402
 from tidemark.plans.publish import Staged, publish_sequence, publish_step  # noqa: E402
+from tidemark.plans.stage import new_chunks_to_store  # noqa: E402
 from tidemark.session import checkpointed  # noqa: E402
 
 NS, TBL = FX.NAMESPACE, FX.ORD_TABLE
@@ -48,8 +49,10 @@ def ord_staged(spark, sf) -> Staged:
     def build():
         ch = checkpointed(FX.orders_chunks(spark, sf))
         manifest = ch.select("namespace", "tbl_name", "dump_ts", "seq", "md5")
-        chunks = ch.select("namespace", "tbl_name", "md5", "payload").dropDuplicates(["namespace", "tbl_name", "md5"])
-        return Staged(manifest, chunks, FX.orders_ddl(spark, sf))
+        chunks = checkpointed(new_chunks_to_store(ch.select("namespace", "tbl_name", "md5", "payload"), None))
+        ddl = ch.select("namespace", "dump_ts").distinct().select(
+            "namespace", "dump_ts", F.lit(FX.ORD_TABLE).alias("name"), F.lit(FX.ORD_DDL).alias("stmt"))
+        return Staged(manifest, chunks, ddl)
     return _memo("ord", spark, sf, build)
 
 
@@ -203,7 +206,7 @@ from tidemark.functions import scalars as SC  # noqa: E402
 from tidemark.functions.tuples import token_value  # noqa: E402
 from tidemark.operators import statements as S  # noqa: E402
 from tidemark.operators.cells import chunk_rows, rows_to_cells as _rows_to_cells  # noqa: E402
-from tidemark.plans.stage import new_chunks_to_store, stage_dump as _stage_dump  # noqa: E402
+from tidemark.plans.stage import stage_dump as _stage_dump  # noqa: E402
 from tidemark.session import work_dir  # noqa: E402
 from tidemark.sources import dumpfile as DF  # noqa: E402
 
@@ -660,7 +663,7 @@ def apply_views(spark, sf):
     """Publish the dump's customer and nation tables, then create its view over them and read it."""
     st_dump = dump_staged(spark, sf)
     staged = Staged(st_dump.manifest, st_dump.chunks.dropDuplicates(["namespace", "tbl_name", "md5"]), st_dump.ddl)
-    when = oracle_dump_ts()
+    when = int(st_dump.meta.select("dump_ts").first()[0])  # the dump's own timestamp (one metadata row)
     tables = ["customer", "nation"]
     for t in tables:
         h, _ = publish_sequence(spark, staged, DUMP_NS, t, [when], materialize=False)
@@ -673,22 +676,18 @@ def apply_views(spark, sf):
     return spark.table(f"{DUMP_NS}_customer_nation")
 
 
-def oracle_dump_ts() -> int:
-    from tidemark.oracle import DUMP_TS
-    return DUMP_TS
-
-
 @query
 def publish_namespace(spark, sf):
     """Publish every table of the dump except the excluded ones; cells written per table."""
     st_dump = dump_staged(spark, sf)
     staged = Staged(st_dump.manifest, st_dump.chunks.dropDuplicates(["namespace", "tbl_name", "md5"]), st_dump.ddl)
+    when = int(st_dump.meta.select("dump_ts").first()[0])
     tables = [r[0] for r in CAT.select_tables(st_dump.ddl.select(F.col("name").alias("tbl_name")),
                                               exclude=spark.createDataFrame([("nation",)], "tbl_name string"))
               .collect()]  # table names: catalogue metadata
     out = None
     for t in sorted(tables):
-        r = publish_step(staged, empty_history(spark), [], DUMP_NS, t, oracle_dump_ts())
+        r = publish_step(staged, empty_history(spark), [], DUMP_NS, t, when)
         c = r.cells.groupBy().agg(F.count(F.lit(1)).alias("n_cells")).select(
             F.lit(t).alias("tbl_name"), F.lit(r.status).alias("status"), "n_cells")
         out = c if out is None else out.unionByName(c)
@@ -745,3 +744,12 @@ def chunk_range_join(spark, sf):
     ranges = _chunk_id_range(cells)
     keys = h.select("row_key", "row_id").distinct()
     return D.range_join(ranges, keys).select("md5", "row_key", "row_id")
+
+
+@query
+def published_events(spark, sf):
+    """L6 over EV: the event history published as a typed wide table as of ASOF_T (the flagship read)."""
+    ev = _ev(spark, sf)
+    names = [r[0] for r in ev.select("column").distinct().orderBy("column").collect()]  # ≤ #columns, metadata
+    cols = [("user_id", "bigint")] + [(n.split(":", 1)[1], "bigint") for n in names]
+    return RD.typed_table(H.asof(ev, ASOF_T), cols)
