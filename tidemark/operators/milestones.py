@@ -90,8 +90,8 @@ def chunks_since(manifest: DataFrame, published: DataFrame, group: list[str] | N
     g = _g(manifest, group)
     dumps = manifest.select(*g, "dump_ts").distinct()
     pub = published.select(*g, F.col("dump_ts").alias("baseline_ts"))
-    base = dumps.join(pub, g, "left").filter(F.col("baseline_ts").isNull() | (F.col("baseline_ts") < F.col("dump_ts"))) \
-        .groupBy(*g, "dump_ts").agg(F.max("baseline_ts").alias("baseline_ts"))
+    base = dumps.join(pub, g, "left").groupBy(*g, "dump_ts").agg(
+        F.max(F.when(F.col("baseline_ts") < F.col("dump_ts"), F.col("baseline_ts"))).alias("baseline_ts"))
     cur = manifest.select(*g, "dump_ts", "md5").distinct().join(base, g + ["dump_ts"])
     old = manifest.select(*g, F.col("dump_ts").alias("baseline_ts"), "md5").distinct()
     return cur.join(old, g + ["baseline_ts", "md5"], "left_anti").select(*g, "dump_ts", "baseline_ts", "md5")
