@@ -476,3 +476,6 @@ select cast(max(row_id) as bigint) user_id,
 """ + ",\n".join(f"""  cast(max(case when "column" = 'mysql:{t}' then value end) as bigint) as {t}"""
                  for t in ["click", "error", "purchase", "signup", "view"]) + """
 from s group by row_key"""
+
+SQL["published_asof_deletes"] = with_(ORD) + """
+select dump_ts, row_id, "column", value from ordcells where dump_ts in (100, 300, 400, 500)"""

@@ -50,6 +50,7 @@ class StepResult:
     baseline: int | None = None
     next_ts: int | None = None
     columns: list[str] = field(default_factory=list)
+    tombstones: DataFrame | None = None  # apply_deletes: (row_key, column|null, ts) to add, publish_id = when
 
     @property
     def cells(self) -> DataFrame:
@@ -57,6 +58,12 @@ class StepResult:
         w = self.diff.writes.select(*HISTORY_COLS).unionByName(self.diff.restores.select(*HISTORY_COLS))
         return w.withColumn("publish_id", F.lit(self.when).cast("bigint"))
 
+    @property
+    def new_tombstones(self) -> DataFrame | None:
+        if self.tombstones is None:
+            return None
+        return self.tombstones.select("row_key", "column", "ts").withColumn("publish_id", F.lit(self.when).cast("bigint"))
+
 
 def table_schema(staged: Staged, namespace: str, tbl: str, when: int, native: bool = False) -> DataFrame:
     """(pos, column, mysql_type, …, sql_type, mapped) of the table's DDL in dump ``when``."""
@@ -84,13 +91,16 @@ def _keys_of(chunks: DataFrame) -> DataFrame:
     return rows.select("md5", zero_pad(k).alias("row_key"), k.try_cast("bigint").alias("row_id"))
 
 
-def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None):
-    """prev and next state from ONE aggregation over the history slice (one shuffle for both reads)."""
+def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None, materialize: bool = False):
+    """prev and next state from ONE aggregation over the history slice (one shuffle for both reads).
+    ``materialize`` checkpoints that aggregation once: every branch of the diff then reads it."""
     v = F.struct("value", "is_null", "row_id", "ts")
     aggs = [F.max_by(v, F.when(F.col("ts") <= prev_bound, F.col("ts"))).alias("p")]
     if next_bound is not None:
         aggs.append(F.max_by(v, F.when(F.col("ts") <= next_bound, F.col("ts"))).alias("n"))
     g = h.groupBy("row_key", "column").agg(*aggs)
+    if materialize:
+        g = checkpointed(g)
 
     def side(a):
         return g.filter(F.col(a).isNotNull()).select(
@@ -99,13 +109,68 @@ def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None):
     return side("p"), (side("n") if next_bound is not None else None)
 
 
+def _dual_state_masked(h: DataFrame, tomb: DataFrame, prev_bound: int, next_bound: int | None,
+                       materialize: bool = False):
+    """As ``_dual_state`` but each read only sees versions not covered by a tombstone issued by its own bound
+    (corrected masking). Tombstones are reduced to max(ts) per cell / row below each bound first (equi joins)."""
+    def per(keys, col_is_null, name):
+        t = tomb.filter(F.col("column").isNull() if col_is_null else F.col("column").isNotNull())
+        aggs = [F.max(F.when(F.col("ts") <= prev_bound, F.col("ts"))).alias(f"{name}_p")]
+        if next_bound is not None:
+            aggs.append(F.max(F.when(F.col("ts") <= next_bound, F.col("ts"))).alias(f"{name}_n"))
+        return t.groupBy(*keys).agg(*aggs)
+    m = h.join(per(["row_key", "column"], False, "_tc"), ["row_key", "column"], "left") \
+         .join(per(["row_key"], True, "_tr"), ["row_key"], "left")
+
+    def visible(side):
+        tc, tr = F.col(f"_tc_{side}"), F.col(f"_tr_{side}")
+        return (tc.isNull() | (F.col("ts") > tc)) & (tr.isNull() | (F.col("ts") > tr))
+    v = F.struct("value", "is_null", "row_id", "ts")
+    aggs = [F.max_by(v, F.when((F.col("ts") <= prev_bound) & visible("p"), F.col("ts"))).alias("p")]
+    if next_bound is not None:
+        aggs.append(F.max_by(v, F.when((F.col("ts") <= next_bound) & visible("n"), F.col("ts"))).alias("n"))
+    g = m.groupBy("row_key", "column").agg(*aggs)
+    if materialize:
+        g = checkpointed(g)
+
+    def side(a):
+        return g.filter(F.col(a).isNotNull()).select(
+            "row_key", "column", F.col(f"{a}.row_id").alias("row_id"), F.col(f"{a}.ts").alias("ts"),
+            F.col(f"{a}.value").alias("value"), F.col(f"{a}.is_null").alias("is_null"))
+    return side("p"), (side("n") if next_bound is not None else None)
+
+
+def _delete_effects(d: D.Diff, nxt: DataFrame | None, tomb: DataFrame | None, when: int, next_ts: int | None):
+    """apply_deletes: row tombstones at ``when``; at the next published dump, restore the cells of deleted rows that
+    still live there and tombstone late writes of cells that are absent there (unless already covered)."""
+    t_when = d.deletes.select("row_key", F.lit(None).cast("string").alias("column"),
+                              F.lit(when).cast("bigint").alias("ts"))
+    if nxt is None or next_ts is None:
+        return t_when, None
+    gone = d.deletes.select("row_key").distinct()
+    rest = nxt.join(gone, "row_key", "left_semi").filter(F.col("ts") < when).select(
+        F.lit(next_ts).cast("bigint").alias("ts"), "row_key", "row_id", "column", "value", "is_null")
+    absent = d.writes.select("row_key", "column").join(nxt.select("row_key", "column"), ["row_key", "column"],
+                                                        "left_anti")
+    if tomb is not None:
+        cover = tomb.filter((F.col("ts") >= when) & (F.col("ts") <= next_ts))
+        absent = absent.join(cover.filter(F.col("column").isNull()).select("row_key").distinct(), "row_key",
+                             "left_anti").join(cover.filter(F.col("column").isNotNull()).select("row_key", "column")
+                                               .distinct(), ["row_key", "column"], "left_anti")
+    t_next = absent.select("row_key", "column", F.lit(next_ts).cast("bigint").alias("ts"))
+    return t_when.unionByName(t_next), rest
+
+
 def publish_step(staged: Staged, history: DataFrame, published: list[int], namespace: str, tbl: str, when: int,
                  mode: str = "corrected", now: int | None = None, literal_nulls: bool | None = None,
-                 schema_only: bool = False, materialize: bool = True) -> StepResult:
+                 schema_only: bool = False, materialize: bool = True, apply_deletes: bool = False,
+                 tombstones: DataFrame | None = None) -> StepResult:
     """L3 (L2 is the case of an empty history): the cells publishing dump ``when`` adds to ``history``.
 
     ``materialize``: the incoming cells (the regex parse of every new chunk, the costliest part) are written once to
-    the shared checkpoint folder and reused by the four joins of the diff instead of being re-parsed."""
+    the shared checkpoint folder and reused by the four joins of the diff instead of being re-parsed.
+    ``apply_deletes`` (corrected mode): deletes become row tombstones, reads of prev/next honour ``tombstones``
+    issued by their bound, and the next published dump is repaired for deleted rows and absent cells (J13)."""
     literal_nulls = (mode == "literal") if literal_nulls is None else literal_nulls
     cols = table_columns(staged, namespace, tbl, when)
     names = [c for c, _ in cols]
@@ -135,10 +200,29 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
         if materialize:
             inc = checkpointed(inc)
         removed_keys = _keys_of(st.chunks.join(removed, "md5", "left_semi")) if removed is not None else None
-        hk = hist.join(inc.select("row_key").distinct(), "row_key", "left_semi")
-        prev, nxt = _dual_state(hk, when - 1, next_ts)
+        keys = inc.select("row_key")
+        if apply_deletes and removed_keys is not None:
+            keys = keys.unionByName(removed_keys.select("row_key"))
+        keys = keys.distinct()
+        hk = hist.join(keys, "row_key", "left_semi")
+        tk = None
+        if apply_deletes and tombstones is not None:
+            tk = tombstones
+            if "namespace" in tk.columns:
+                tk = tk.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
+            if "publish_id" in tk.columns:
+                tk = tk.filter(F.col("publish_id") != when)
+            tk = tk.join(keys, "row_key", "left_semi")
+            prev, nxt = _dual_state_masked(hk, tk, when - 1, next_ts, materialize)
+        else:
+            prev, nxt = _dual_state(hk, when - 1, next_ts, materialize)
         d = D.diff(inc, prev, nxt, when, next_ts, "corrected", removed_keys=removed_keys)
-        return StepResult(when, "published", d, baseline, next_ts, names)
+        res = StepResult(when, "published", d, baseline, next_ts, names)
+        if apply_deletes:
+            res.tombstones, rest = _delete_effects(d, nxt, tk, when, next_ts)
+            if rest is not None:
+                d.restores = d.restores.unionByName(rest.select(*d.restores.columns))
+        return res
 
     # literal: staged milestones and their bounds
     now = now if now is not None else 2**31 - 1
@@ -185,3 +269,23 @@ def publish_sequence(spark: SparkSession, staged: Staged, namespace: str, tbl: s
                 h = checkpointed(h)
         published.append(when)
     return h, results
+
+
+def publish_sequence_with_deletes(spark: SparkSession, staged: Staged, namespace: str, tbl: str, order: list[int],
+                                  materialize: bool = True):
+    """Like ``publish_sequence`` with ``apply_deletes``: returns (history, tombstones, results)."""
+    h = empty_history(spark)
+    t = spark.createDataFrame([], "row_key string, column string, ts bigint, publish_id bigint")
+    published, results = [], []
+    for when in order:
+        if when in published:
+            results.append(StepResult(when, "unchanged"))
+            continue
+        r = publish_step(staged, h, published, namespace, tbl, when, apply_deletes=True, tombstones=t)
+        results.append(r)
+        h = h.unionByName(r.cells)
+        t = t.unionByName(r.new_tombstones)
+        if materialize:
+            h, t = checkpointed(h), checkpointed(t)
+        published.append(when)
+    return h, t, results

@@ -5,6 +5,7 @@ Layout under ``root`` (a shared folder, e.g. the cluster's object store):
   stage_manifest  partitioned by namespace, dump_ts            dynamic overwrite (re-staging replaces a dump)
   stage_ddl / stage_views / stage_meta   same
   history         partitioned by namespace, tbl_name, publish_id   dynamic overwrite (a crashed publish is re-run)
+  tombstones      same partitioning (only with apply_deletes)
   publish_log     namespace, tbl_name, dump_ts                  appended last
 """
 
@@ -20,6 +21,18 @@ from tidemark.plans import publish as P
 from tidemark.plans.stage import StagedDump, new_chunks_to_store
 from tidemark.session import checkpointed
 
+SCHEMAS = {
+    "stage_chunks": "md5 string, payload string, namespace string, tbl_name string",
+    "stage_manifest": "tbl_name string, seq bigint, md5 string, namespace string, dump_ts bigint",
+    "stage_ddl": "name string, stmt string, namespace string, dump_ts bigint",
+    "stage_views": "name string, stmt string, namespace string, dump_ts bigint",
+    "stage_meta": "status string, rowcount bigint, md5 string, namespace string, dump_ts bigint",
+    "history": "row_key string, row_id bigint, column string, ts bigint, value string, is_null boolean, "
+               "namespace string, tbl_name string, publish_id bigint",
+    "tombstones": "row_key string, column string, ts bigint, namespace string, tbl_name string, publish_id bigint",
+    "publish_log": "namespace string, tbl_name string, dump_ts bigint",
+}
+
 PARTS = {
     "stage_chunks": ["namespace", "tbl_name"],
     "stage_manifest": ["namespace", "dump_ts"],
@@ -27,6 +40,7 @@ PARTS = {
     "stage_views": ["namespace", "dump_ts"],
     "stage_meta": ["namespace", "dump_ts"],
     "history": ["namespace", "tbl_name", "publish_id"],
+    "tombstones": ["namespace", "tbl_name", "publish_id"],
     "publish_log": None,
 }
 
@@ -47,7 +61,10 @@ class Store:
         return hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
 
     def read(self, name: str) -> DataFrame | None:
-        return self.spark.read.parquet(self.path(name)) if self.exists(name) else None
+        """The table with its declared schema (an empty or partition-less folder reads as empty), None if absent."""
+        if not self.exists(name):
+            return None
+        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
     def _write(self, df: DataFrame, name: str, mode: str = "overwrite") -> None:
         w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
@@ -84,29 +101,69 @@ class Store:
         return [int(r[0]) for r in log.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
                 .select("dump_ts").distinct().collect()]
 
+    def tombstones(self) -> DataFrame | None:
+        return self.read("tombstones")
+
     def publish(self, namespace: str, tbl: str, when: int, mode: str = "corrected", force: bool = False,
-                dry_run: bool = False) -> P.StepResult:
+                dry_run: bool = False, apply_deletes: bool = False) -> P.StepResult:
         """L3/L4: publish one table of one dump. A dump already in the log is a no-op unless ``force``."""
         log = self.published(namespace, tbl)
         if when in log and not force:
             return P.StepResult(when, "unchanged")
-        r = P.publish_step(self.staged(), self.history(), log, namespace, tbl, when, mode)
+        r = P.publish_step(self.staged(), self.history(), log, namespace, tbl, when, mode,
+                           apply_deletes=apply_deletes, tombstones=self.tombstones())
         if r.status != "published" or dry_run:
             return r
-        cells = checkpointed(r.cells.withColumn("namespace", F.lit(namespace)).withColumn("tbl_name", F.lit(tbl)))
+        tag = [F.lit(namespace).alias("namespace"), F.lit(tbl).alias("tbl_name")]
+        cells = checkpointed(r.cells.select("*", *tag))
         self._write(cells, "history")  # replaces only partition publish_id = when
+        if r.tombstones is not None:
+            self._write(checkpointed(r.new_tombstones.select("*", *tag)), "tombstones")
         self._write(self.spark.createDataFrame([(namespace, tbl, int(when))],
                                                "namespace string, tbl_name string, dump_ts bigint"),
                     "publish_log", "append")
         return r
 
+    def drop(self, namespace: str, tbl: str) -> None:
+        """K6: drop a published table — its history and tombstone partitions and its publish-log entries."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in ("history", "tombstones"):
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/namespace={namespace}/tbl_name={tbl}")
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                fs.delete(p, True)
+        log = self.read("publish_log")
+        if log is not None:
+            keep = checkpointed(log.filter(~((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))))
+            self._write(keep, "publish_log", "overwrite")
+
+    def rebuild(self, namespace: str, tbl: str) -> DataFrame:
+        """L8 into the store: drop the table, then write the one-pass rebuild of all staged dumps."""
+        from tidemark.plans.rebuild import rebuild_history
+        staged = self.staged()
+        dumps = sorted(int(r[0]) for r in staged.manifest.filter(
+            (F.col("namespace") == namespace) & (F.col("tbl_name") == tbl)).select("dump_ts").distinct().collect())
+        cols = [c for c, _ in P.table_columns(staged, namespace, tbl, dumps[-1])]
+        h = checkpointed(rebuild_history(staged, namespace, tbl, cols).select(
+            "*", F.lit(namespace).alias("namespace"), F.lit(tbl).alias("tbl_name")))
+        self.drop(namespace, tbl)
+        self._write(h, "history")
+        self._write(self.spark.createDataFrame([(namespace, tbl, d) for d in dumps],
+                                               "namespace string, tbl_name string, dump_ts bigint"),
+                    "publish_log", "append")
+        return h
+
     def read_asof(self, namespace: str, tbl: str, ts: int | None = None, dump_for_schema: int | None = None):
         """The published table as of ``ts`` (all of history when None), typed by the table's DDL."""
         from tidemark.plans.read import typed_table
         h = self.history().filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
         if ts is not None:
             h = h.filter(F.col("publish_id") <= ts)  # partition pruning: cells never precede their publish
-        state = H.asof(h, ts)
+        t = self.tombstones()
+        if t is not None:
+            t = t.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
+        state = H.masked_asof(h, t, ts, "corrected") if t is not None else H.asof(h, ts)
         schema_dump = dump_for_schema if dump_for_schema is not None else max(self.published(namespace, tbl))
         cols = P.table_columns(self.staged(), namespace, tbl, schema_dump)
         return typed_table(state, cols)

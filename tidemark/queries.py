@@ -215,7 +215,12 @@ DUMP_NS = "shopdump"
 
 def dump_lines(spark, sf):
     """DUMP lines with dense line numbers (dump_id, line_no, value), materialised once per session."""
-    return _memo("dlines", spark, sf, lambda: checkpointed(DF.dense_lines(FX.dump_lines(spark, sf))))
+    def build():
+        lines = DF.dense_lines(FX.dump_lines(spark, sf))
+        # spread the (few, large) INSERT lines over all tasks before parsing
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return checkpointed(lines.repartition(parts, "line_no"))
+    return _memo("dlines", spark, sf, build)
 
 
 def dump_classified(spark, sf):
@@ -753,3 +758,18 @@ def published_events(spark, sf):
     names = [r[0] for r in ev.select("column").distinct().orderBy("column").collect()]  # ≤ #columns, metadata
     cols = [("user_id", "bigint")] + [(n.split(":", 1)[1], "bigint") for n in names]
     return RD.typed_table(H.asof(ev, ASOF_T), cols)
+
+
+@query
+def published_asof_deletes(spark, sf):
+    """L3 + L6 with deletes applied (Q5, J13): publish 100, 500, 400, then the late 300; read the table as of every
+    published dump. Each read equals its snapshot exactly, absences included."""
+    from tidemark.plans.publish import publish_sequence_with_deletes
+    order = [100, 500, 400, 300]
+    h, t, _ = publish_sequence_with_deletes(spark, ord_staged(spark, sf), NS, TBL, order)
+    out = None
+    for d in order:
+        r = H.masked_asof(h, t, d, "corrected").select(F.lit(d).cast("bigint").alias("dump_ts"), "row_id", "column",
+                                                        "value")
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -5,23 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.cells import bounded_broadcast
 from tidemark.operators.positions import positions
 
+SPLIT_BROADCAST_ROWS = 1_000_000  # one row per file split: 1M splits = 128 TB of text at 128 MB per split
+
+
+def number_splits(raw: DataFrame, dump_col: str = "dump_id") -> DataFrame:
+    """Dense 0-based ``line_no`` for rows carrying (_f file path, _s split start, _m monotonically_increasing_id).
+
+    Rows of one split are contiguous inside one partition and their ids are consecutive, so a line's number is the
+    line count of all earlier splits of its dump plus its distance from the split's first id. Only a per-split
+    summary (one row per split) is aggregated and windowed; the text itself is never shuffled."""
+    splits = raw.groupBy(dump_col, "_f", "_s").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(dump_col).orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)
+    offs = splits.withColumn("_o", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    offs = bounded_broadcast(offs, SPLIT_BROADCAST_ROWS)
+    return raw.join(offs, [dump_col, "_f", "_s"]).withColumn(
+        "line_no", (F.col("_o") + F.col("_m") - F.col("_m0")).cast("bigint")).drop("_o", "_m0")
+
 
 def scan_dump(spark: SparkSession, path: str, dump_id: str | int) -> DataFrame:
     """(dump_id, line_no, value) of every line of a dump file or a directory of ordered part files.
 
-    Order key = (file path, split start, row order within the split): splits are read in parallel, each split's
-    rows keep file order, and line numbers are made dense with per-split offsets (no single-task window).
+    Order key = (file path, split start, row order within the split): splits are read in parallel and keep their
+    partitioning; line numbers come from per-split offsets (no shuffle of the text, no single-task window).
     Only '\\n' ends a line (a bare '\\r' stays in the text). ``.gz`` files are decompressed natively."""
     raw = spark.read.option("lineSep", "\n").text(path).select(
-        "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_s"),
-        F.monotonically_increasing_id().alias("_m"))
-    blocks = raw.select("_f", "_s").distinct()
-    blocks = blocks.withColumn("_bk", F.dense_rank().over(Window.orderBy("_f", "_s")))  # one row per split
-    d = raw.join(blocks, ["_f", "_s"]).withColumn("dump_id", F.lit(dump_id))
-    return positions(d, ["dump_id"], "_m", "line_no", bucket=F.col("_bk")).select(
-        "dump_id", "line_no", "value")
+        F.lit(dump_id).alias("dump_id"), "value", F.col("_metadata.file_path").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_s"), F.monotonically_increasing_id().alias("_m"))
+    return number_splits(raw).select("dump_id", "line_no", "value")
 
 
 def dense_lines(lines: DataFrame, order: str = "ord") -> DataFrame:

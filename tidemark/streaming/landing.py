@@ -9,12 +9,12 @@ or a restarted driver resumes without re-staging finished files; a re-run batch
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import line_md5
 from tidemark.operators import statements as S
-from tidemark.operators.positions import positions
+from tidemark.sources.dumpfile import number_splits
 from tidemark.plans.stage import stage_dump
 from tidemark.plans.store import Store
 
@@ -29,12 +29,9 @@ def landing_lines(spark: SparkSession, landing: str, max_files_per_trigger: int
 
 
 def number_lines(batch: DataFrame) -> DataFrame:
-    """(dump_id = file path, line_no, value) for one micro-batch."""
-    b = batch.withColumn("_m", F.monotonically_increasing_id())
-    blocks = b.select("_f", "_s").distinct()
-    blocks = blocks.withColumn("_bk", F.dense_rank().over(Window.partitionBy("_f").orderBy("_s")))  # per file
-    d = b.join(blocks, ["_f", "_s"]).withColumnRenamed("_f", "dump_id")
-    return positions(d, ["dump_id"], "_m", "line_no", bucket=F.col("_bk")).select("dump_id", "line_no", "value")
+    """(dump_id = file path, line_no, value) for one micro-batch (per-split offsets, text not shuffled)."""
+    b = batch.withColumn("_m", F.monotonically_increasing_id()).withColumn("dump_id", F.col("_f"))
+    return number_splits(b).select("dump_id", "line_no", "value")
 
 
 def start_ingest(spark: SparkSession, landing: str, store: Store, namespace: str, checkpoint: str,
