@@ -22,6 +22,20 @@ def typed_table(state: DataFrame, columns: list[tuple[str, str]], key_type: str
     return wide.select(F.col("row_id").cast(kt).alias(key), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
 
 
+def typed_asof(cells: DataFrame, columns: list[tuple[str, str]], ts=None, tombstones: DataFrame | None = None,
+               key_type: str | None = None) -> DataFrame:
+    """Typed table as of ``ts`` straight from the history (as-of and pivot in one aggregation)."""
+    if tombstones is not None:
+        if ts is not None:
+            cells = cells.filter(F.col("ts") <= F.lit(ts))
+        cells = H.mask_tombstones(cells, tombstones, ts, "corrected")
+    key, _ = columns[0]
+    rest = columns[1:]
+    wide = H.asof_wide(cells, [f"{FAMILY}:{c}" for c, _ in rest], ts)
+    kt = key_type or "bigint"
+    return wide.select(F.col("row_id").cast(kt).alias(key), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
+
+
 def schema_only(spark: SparkSession, columns: list[tuple[str, str]]) -> DataFrame:
     """The empty typed table (schema publish only)."""
     return spark.createDataFrame([], struct_type([(columns[0][0], "bigint")] + columns[1:]))

@@ -156,14 +156,13 @@ class Store:
 
     def read_asof(self, namespace: str, tbl: str, ts: int | None = None, dump_for_schema: int | None = None):
         """The published table as of ``ts`` (all of history when None), typed by the table's DDL."""
-        from tidemark.plans.read import typed_table
+        from tidemark.plans.read import typed_asof
         h = self.history().filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
         if ts is not None:
             h = h.filter(F.col("publish_id") <= ts)  # partition pruning: cells never precede their publish
         t = self.tombstones()
         if t is not None:
             t = t.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
-        state = H.masked_asof(h, t, ts, "corrected") if t is not None else H.asof(h, ts)
         schema_dump = dump_for_schema if dump_for_schema is not None else max(self.published(namespace, tbl))
         cols = P.table_columns(self.staged(), namespace, tbl, schema_dump)
-        return typed_table(state, cols)
+        return typed_asof(h, cols, ts, t)

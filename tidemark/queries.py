@@ -505,7 +505,7 @@ def state_pivot(spark, sf):
     """Wide state as of ASOF_T, one column per event type (names taken from the data)."""
     ev = _ev(spark, sf)
     names = [r[0] for r in ev.select("column").distinct().orderBy("column").collect()]  # ≤ #columns, metadata
-    return H.pivot_state(H.asof(ev, ASOF_T), names)
+    return H.asof_wide(ev, names, ASOF_T)
 
 
 @query
@@ -633,8 +633,8 @@ def manifest_wide_map(spark, sf):
 
 
 def _inorder_history(spark, sf):
-    return _memo("inorder", spark, sf, lambda: publish_sequence(
-        spark, ord_staged(spark, sf), NS, TBL, [100, 200, 300, 400, 500])[0])
+    """History of publishing every ORD dump in order, built by the one-pass rebuild (L8, tested equal)."""
+    return _memo("inorder", spark, sf, lambda: _rebuild(ord_staged(spark, sf), NS, TBL, FX.ORD_COLUMNS))
 
 
 def _ord_typed(spark, sf, ts):
@@ -642,7 +642,7 @@ def _ord_typed(spark, sf, ts):
     if ts is not None:
         h = h.filter(F.col("publish_id") <= ts)
     cols = table_columns(ord_staged(spark, sf), NS, TBL, 500)
-    return RD.typed_table(H.asof(h, ts), cols)
+    return RD.typed_asof(h, cols, ts)
 
 
 @query
@@ -757,7 +757,7 @@ def published_events(spark, sf):
     ev = _ev(spark, sf)
     names = [r[0] for r in ev.select("column").distinct().orderBy("column").collect()]  # ≤ #columns, metadata
     cols = [("user_id", "bigint")] + [(n.split(":", 1)[1], "bigint") for n in names]
-    return RD.typed_table(H.asof(ev, ASOF_T), cols)
+    return RD.typed_asof(ev, cols, ASOF_T)
 
 
 @query
