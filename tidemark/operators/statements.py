@@ -138,13 +138,14 @@ def row_counts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("dump_id").agg(F.count(F.lit(1)).alias("rowcount"))
 
 
-def fingerprint(lines: DataFrame, bucket: int = FINGERPRINT_BUCKET) -> DataFrame:
+def fingerprint(lines: DataFrame, bucket: int = FINGERPRINT_BUCKET, md5_col: str | None = None) -> DataFrame:
     """A3: order-sensitive digest of a dump: md5 over per-bucket md5s of the line md5s, in line order.
 
     Two levels keep every collected list bounded (≤ ``bucket`` md5s per group, one digest per bucket per dump).
-    It differs from the md5 of the raw bytes by design; for single files under 2 GB use ``file_md5``."""
-    b = lines.select("dump_id", F.floor(F.col("line_no") / bucket).cast("bigint").alias("b"), "line_no",
-                     line_md5("value").alias("h"))
+    It differs from the md5 of the raw bytes by design; for single files under 2 GB use ``file_md5``.
+    ``md5_col``: use precomputed line md5s (no text needed)."""
+    h = F.col(md5_col) if md5_col else line_md5("value")
+    b = lines.select("dump_id", F.floor(F.col("line_no") / bucket).cast("bigint").alias("b"), "line_no", h.alias("h"))
     lvl1 = b.groupBy("dump_id", "b").agg(
         F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "h"))), lambda x: x["h"]),
                            "")).alias("h"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import line_md5
 from tidemark.operators import statements as S
 from tidemark.operators.cells import bounded_broadcast
+from tidemark.session import checkpointed
 
 NEW_KEYS_BROADCAST_ROWS = 2_000_000  # new chunk keys (md5 + names, ~100 B each) broadcast below this count
 
@@ -23,25 +24,43 @@ class StagedDump:
     meta: DataFrame      # namespace, dump_ts, status, rowcount, md5
 
 
+def line_metadata(lines: DataFrame) -> DataFrame:
+    """One pass over the text: (dump_id, line_no, kind, tbl_name, md5, value) with ``value`` kept for non-INSERT
+    lines only — a few dozen bytes per INSERT line instead of its ~16 MB body."""
+    k = S.kind("value")
+    return lines.select(
+        "dump_id", "line_no", k.alias("kind"), S.statement_table("value", k).alias("tbl_name"),
+        line_md5("value").alias("md5"),
+        F.when(k == "insert", F.lit(None).cast("string")).otherwise(F.col("value")).alias("value"))
+
+
 def stage_dump(lines: DataFrame, namespace: str, skip_tables: list[str] | None = None,
-               forced: dict | None = None, mode: str = "corrected") -> StagedDump:
-    """L1 over (dump_id, line_no, value) of one or more dumps. Nothing is written (K10 dry run = use the frames)."""
-    cls = S.classify(lines).withColumn("tbl_name", S.statement_table("value", "kind"))
-    ts = S.dump_timestamp(lines, forced).select("dump_id", "dump_ts")
+               forced: dict | None = None, mode: str = "corrected", materialize: bool = True) -> StagedDump:
+    """L1 over (dump_id, line_no, value) of one or more dumps. Nothing is written (K10 dry run = use the frames).
+
+    The text is read twice in total: once for the per-line metadata (checkpointed when ``materialize``; manifest,
+    DDL, views, counts and fingerprint all come from it) and once, when stored, for the payloads of new chunks."""
+    meta_lines = line_metadata(lines)
+    if materialize:
+        meta_lines = checkpointed(meta_lines)
+    ts = S.dump_timestamp(meta_lines, forced).select("dump_id", "dump_ts")
     keep = S.skip_filter(F.col("tbl_name"), skip_tables)
     ns = F.lit(namespace).alias("namespace")
-    ins = cls.filter((F.col("kind") == "insert") & keep)
-    chunks = ins.select(ns, "tbl_name", line_md5("value").alias("md5"), S.insert_payload("value").alias("payload"))
-    manifest = ins.select("dump_id", "tbl_name", F.col("line_no").alias("seq"), line_md5("value").alias("md5")) \
+    ins_meta = meta_lines.filter((F.col("kind") == "insert") & keep)
+    manifest = ins_meta.select("dump_id", "tbl_name", F.col("line_no").alias("seq"), "md5") \
         .join(ts, "dump_id").select(ns, "dump_ts", "tbl_name", "seq", "md5")
-    creates = S.create_statements(cls, mode).filter(S.skip_filter(F.col("tbl_name"), skip_tables))
+    k = S.kind("value")
+    ins = lines.filter((k == "insert") & S.skip_filter(S.statement_table("value", k), skip_tables))
+    chunks = ins.select(ns, S.statement_table("value", k).alias("tbl_name"), line_md5("value").alias("md5"),
+                        S.insert_payload("value").alias("payload"))
+    creates = S.create_statements(meta_lines, mode).filter(S.skip_filter(F.col("tbl_name"), skip_tables))
     ddl = creates.join(ts, "dump_id").select(ns, "dump_ts", F.col("tbl_name").alias("name"),
                                              S.create_payload("stmt").alias("stmt"))
-    views = cls.filter(F.col("kind") == "view").join(ts, "dump_id").select(
+    views = meta_lines.filter(F.col("kind") == "view").join(ts, "dump_id").select(
         ns, "dump_ts", F.col("tbl_name").alias("name"), S.view_body("value").alias("stmt"))
-    meta = S.row_counts(lines).join(S.fingerprint(lines), "dump_id").join(ts, "dump_id").select(
-        ns, "dump_ts", F.lit("staged").alias("status"), F.col("rowcount").cast("bigint").alias("rowcount"),
-        F.col("line_md5").alias("md5"))
+    meta = S.row_counts(meta_lines).join(S.fingerprint(meta_lines, md5_col="md5"), "dump_id").join(ts, "dump_id") \
+        .select(ns, "dump_ts", F.lit("staged").alias("status"), F.col("rowcount").cast("bigint").alias("rowcount"),
+                F.col("line_md5").alias("md5"))
     return StagedDump(chunks, manifest, ddl, views, meta)
 
 
