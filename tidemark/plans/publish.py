@@ -23,10 +23,13 @@ from tidemark.functions.scalars import zero_pad
 from tidemark.operators import diff as D
 from tidemark.operators import history as H
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import chunk_cells, chunk_id_range, chunk_rows
+from tidemark.operators.cells import bounded_broadcast, chunk_cells, chunk_id_range, chunk_rows
 from tidemark.session import checkpointed
 
 HISTORY_COLS = ["row_key", "row_id", "column", "ts", "value", "is_null"]
+# md5 sets of new/removed chunks (32-byte keys) are broadcast to the chunk scan below this count, so payloads are
+# filtered where they are read; above it the semi join shuffles (AQE may still pick broadcast at run time).
+NEW_CHUNK_BROADCAST_ROWS = 2_000_000
 
 
 @dataclass
@@ -195,11 +198,12 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
             removed = old.join(cur, "md5", "left_anti")
         else:
             new, removed = cur, None
-        inc = chunk_cells(st.chunks.join(new, "md5", "left_semi").select("md5", "payload"), names,
-                          literal_nulls=literal_nulls, keep=["md5"])
+        inc = chunk_cells(st.chunks.join(bounded_broadcast(new, NEW_CHUNK_BROADCAST_ROWS), "md5", "left_semi")
+                          .select("md5", "payload"), names, literal_nulls=literal_nulls, keep=["md5"])
         if materialize:
             inc = checkpointed(inc)
-        removed_keys = _keys_of(st.chunks.join(removed, "md5", "left_semi")) if removed is not None else None
+        removed_keys = (_keys_of(st.chunks.join(bounded_broadcast(removed, NEW_CHUNK_BROADCAST_ROWS), "md5",
+                                                "left_semi")) if removed is not None else None)
         keys = inc.select("row_key")
         if apply_deletes and removed_keys is not None:
             keys = keys.unionByName(removed_keys.select("row_key"))
