@@ -126,3 +126,23 @@ def test_store_apply_deletes_drop_and_rebuild(spark, tmp_path):
     store.rebuild("s", "nation")
     assert sorted(store.published("s", "nation")) == [t1, t2]
     assert store.read_asof("s", "nation", t1).count() == 25
+
+
+def test_literal_publish_loses_inserts_in_overlapping_chunks(spark, staged):
+    """Q1: in literal mode a new row is only written when its chunk had no earlier rows."""
+    lit, _ = publish_sequence(spark, staged, NS, TBL, [100, 300, 500], mode="literal")
+    cor, _ = publish_sequence(spark, staged, NS, TBL, [100, 300, 500])
+    new_ids = {k[0] for k in _snapshot_cells(spark, 300)} - {k[0] for k in _snapshot_cells(spark, 100)}
+    assert new_ids
+    lit_ids = {int(r[0]) for r in lit.select("row_id").distinct().collect()}
+    cor_ids = {int(r[0]) for r in cor.select("row_id").distinct().collect()}
+    assert new_ids <= cor_ids and not (new_ids & lit_ids)
+
+
+def test_literal_nulls_are_strings(spark):
+    from tidemark.operators.cells import chunk_cells
+    df = spark.createDataFrame([("m", "(1,NULL,'NULL')")], "md5 string, payload string")
+    cor = {r["column"]: (r["value"], r["is_null"]) for r in chunk_cells(df, ["id", "a", "b"]).collect()}
+    lit = {r["column"]: (r["value"], r["is_null"]) for r in chunk_cells(df, ["id", "a", "b"], literal_nulls=True).collect()}
+    assert cor == {"mysql:a": (None, True), "mysql:b": ("NULL", False)}
+    assert lit == {"mysql:a": ("NULL", False), "mysql:b": ("NULL", False)}
