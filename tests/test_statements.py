@@ -114,3 +114,11 @@ def test_read_list(spark, tmp_path):
     with open(p, "w") as f:
         f.write("  a \n\nb\t\n")
     assert sorted(r[0] for r in read_list(spark, p).collect()) == ["a", "b"]
+
+
+def test_long_other_runs_are_not_collected(spark, tmp_path):
+    text = ("CREATE TABLE `r` (\n  `id` int\n) ENGINE=InnoDB;\n--\n"
+            + "".join(f"REPLACE INTO `r` VALUES ({i});\n" for i in range(3000)) + "-- Dump completed on 2013-01-20  1:20:00\n")
+    cls = S.classify(_golden(spark, tmp_path, text, "replace.sql"))
+    rows = S.create_statements(cls).collect()
+    assert [(r["tbl_name"], r["stmt"]) for r in rows] == [("r", "CREATE TABLE `r` (`id` int) ENGINE=InnoDB;")]

@@ -108,12 +108,14 @@ def create_statements(classified: DataFrame, mode: str = "corrected") -> DataFra
         F.when(F.col("kind") == "insert", F.lit(None).cast("string")).otherwise(F.col("value")).alias("value"))
     seg = segment_start(small.withColumn("_start", F.col("kind") != "other"), ["dump_id"], "line_no", "_start",
                         out="segment")
-    g = seg.filter(F.col("segment").isNotNull()).groupBy("dump_id", "segment").agg(
-        F.max(F.when(F.col("line_no") == F.col("segment"), F.col("kind"))).alias("start_kind"),
+    # keep only segments that start with a CREATE before collecting: a long run of 'other' lines after some other
+    # boundary (e.g. REPLACE INTO statements) must never be gathered into one group
+    starts = small.filter(F.col("kind") == "create").select("dump_id", F.col("line_no").alias("segment"))
+    g = seg.join(starts, ["dump_id", "segment"], "left_semi").groupBy("dump_id", "segment").agg(
         F.max("line_no").alias("last_line"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", _strip(F.col("value")).alias("s")))),
                                  lambda x: x["s"]), "").alias("stmt"),
-    ).filter(F.col("start_kind") == "create")
+    )
     if mode == "literal":
         nxt = small.select("dump_id", (F.col("line_no") - 1).alias("last_line"), F.col("kind").alias("next_kind"))
         g = g.join(nxt, ["dump_id", "last_line"]).filter(F.col("next_kind") == "useless")
