@@ -146,3 +146,21 @@ def test_literal_nulls_are_strings(spark):
     lit = {r["column"]: (r["value"], r["is_null"]) for r in chunk_cells(df, ["id", "a", "b"], literal_nulls=True).collect()}
     assert cor == {"mysql:a": (None, True), "mysql:b": ("NULL", False)}
     assert lit == {"mysql:a": ("NULL", False), "mysql:b": ("NULL", False)}
+
+
+def test_store_namespace_views_and_lists(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store3"))
+    p1 = write_dump(FX.dump_lines(spark, SF), str(tmp_path / "f1"))
+    store.stage(stage_dump(scan_dump(spark, p1, 1), "s"))
+    inc = tmp_path / "include.txt"
+    inc.write_text("customer\n nation \n")
+    exc = tmp_path / "exclude.txt"
+    exc.write_text("customer\n")
+    t1 = 1358644800
+    assert store.publish_namespace("s", t1, exclude_file=str(exc)) == [("documents", "published"),
+                                                                        ("nation", "published")]
+    assert store.publish_namespace("s", t1, include_file=str(inc), exclude_file=str(exc)) == [
+        ("customer", "published"), ("nation", "unchanged")]
+    status = store.apply_views("s", t1)
+    assert status == [("customer_nation", "created", None)]
+    assert spark.table("s_customer_nation").count() == FX.read(spark, SF, "customer").count()

@@ -122,3 +122,19 @@ def test_long_other_runs_are_not_collected(spark, tmp_path):
     cls = S.classify(_golden(spark, tmp_path, text, "replace.sql"))
     rows = S.create_statements(cls).collect()
     assert [(r["tbl_name"], r["stmt"]) for r in rows] == [("r", "CREATE TABLE `r` (`id` int) ENGINE=InnoDB;")]
+
+
+def test_gzip_dump_and_file_md5(spark, tmp_path):
+    import gzip
+    import hashlib
+    from tidemark.sources.dumpfile import file_md5
+    p = os.path.join(str(tmp_path), "golden.sql.gz")
+    with gzip.open(p, "wt") as f:
+        f.write(GOLDEN)
+    lines = scan_dump(spark, p, "gz")
+    assert lines.count() == 15
+    assert lines.filter(F.col("line_no") == 14).first()["value"].startswith("-- Dump completed")
+    raw = os.path.join(str(tmp_path), "golden.sql")
+    with open(raw, "w") as f:
+        f.write(GOLDEN)
+    assert file_md5(spark, raw).first()["md5"] == hashlib.md5(GOLDEN.encode()).hexdigest()

@@ -166,3 +166,41 @@ class Store:
         schema_dump = dump_for_schema if dump_for_schema is not None else max(self.published(namespace, tbl))
         cols = P.table_columns(self.staged(), namespace, tbl, schema_dump)
         return typed_asof(h, cols, ts, t)
+
+    # ---------------------------------------------------------------- namespace-level operations
+    def tables_of(self, namespace: str, when: int) -> DataFrame:
+        """Tables with a CREATE in dump ``when``."""
+        return self.read("stage_ddl").filter((F.col("namespace") == namespace) & (F.col("dump_ts") == when)).select(
+            F.col("name").alias("tbl_name")).distinct()
+
+    def publish_namespace(self, namespace: str, when: int, include_file: str | None = None,
+                          exclude_file: str | None = None, **kw) -> list[tuple[str, str]]:
+        """Publish the selected tables of a dump (include list wins over exclude list). The loop runs over
+        table names on the driver; each table is one set of Spark jobs. Returns (table, status)."""
+        from tidemark.plans.catalog import select_tables
+        from tidemark.sources.dumpfile import read_list
+        inc = read_list(self.spark, include_file) if include_file else None
+        exc = read_list(self.spark, exclude_file) if exclude_file else None
+        names = sorted(r[0] for r in select_tables(self.tables_of(namespace, when), inc, exc).collect())
+        return [(t, self.publish(namespace, t, when, **kw).status) for t in names]
+
+    def register(self, namespace: str, tbl: str, ts: int | None = None, save_as_table: bool = False) -> str:
+        """K7: expose the typed table as ``namespace_tbl`` (temp view, or a catalog table when asked)."""
+        name = f"{namespace}_{tbl}"
+        df = self.read_asof(namespace, tbl, ts)
+        if save_as_table:
+            df.write.mode("overwrite").saveAsTable(name)
+        else:
+            df.createOrReplaceTempView(name)
+        return name
+
+    def apply_views(self, namespace: str, when: int):
+        """Register the published tables of the dump, then create its staged views over them."""
+        from tidemark.plans.read import apply_views
+        tables = [t for t in (r[0] for r in self.tables_of(namespace, when).collect())
+                  if when in self.published(namespace, t)]
+        for t in tables:
+            self.register(namespace, t)
+        views = [(r["name"], r["stmt"]) for r in self.read("stage_views").filter(
+            (F.col("namespace") == namespace) & (F.col("dump_ts") == when)).select("name", "stmt").collect()]
+        return apply_views(self.spark, views, namespace, tables)
