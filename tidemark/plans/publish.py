@@ -21,7 +21,6 @@ from tidemark.functions.ddl import parse_ddl, with_types
 from tidemark.functions.tuples import token_value
 from tidemark.functions.scalars import zero_pad
 from tidemark.operators import diff as D
-from tidemark.operators import history as H
 from tidemark.operators import milestones as M
 from tidemark.operators.cells import bounded_broadcast, chunk_cells, chunk_id_range, chunk_rows
 from tidemark.session import checkpointed

@@ -16,7 +16,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import history as H
 from tidemark.plans import publish as P
 from tidemark.plans.stage import StagedDump, new_chunks_to_store
 from tidemark.session import checkpointed

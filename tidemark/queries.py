@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import history as H
 from tidemark.oracle import ASOF_T
+from tidemark.plans import read as RD
 from tidemark.sources import fixtures as FX
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -377,11 +378,10 @@ def unescape_values(spark, sf):
 @query
 def typed_read(spark, sf):
     """customer cells typed by their DDL with native types (decimal kept exact)."""
-    from tidemark.plans.read import typed_table
     sch = dump_schema(spark, sf, native=True).filter(F.col("name") == "customer").orderBy("pos").select(
         "column", "sql_type").collect()
     cells = dump_cells(spark, sf).filter(F.col("tbl_name") == "customer")
-    return typed_table(cells.withColumn("ts", F.lit(FX.DUMP_ID)), [(r[0], r[1]) for r in sch])
+    return RD.typed_asof(cells.withColumn("ts", F.lit(FX.DUMP_ID)), [(r[0], r[1]) for r in sch])
 
 
 @query
@@ -558,7 +558,6 @@ def scalar_epoch_iso(spark, sf):
 
 # ------------------------------------------------------------------ catalogue, publish views, rebuild
 from tidemark.plans import catalog as CAT  # noqa: E402
-from tidemark.plans import read as RD  # noqa: E402
 from tidemark.plans.publish import _dual_state, empty_history, table_columns  # noqa: E402
 from tidemark.plans.rebuild import rebuild_history as _rebuild  # noqa: E402
 
@@ -672,7 +671,7 @@ def apply_views(spark, sf):
     tables = ["customer", "nation"]
     for t in tables:
         h, _ = publish_sequence(spark, staged, DUMP_NS, t, [when], materialize=False)
-        RD.register(RD.typed_table(H.asof(h), table_columns(staged, DUMP_NS, t, when)), DUMP_NS, t)
+        RD.register(RD.typed_asof(h, table_columns(staged, DUMP_NS, t, when)), DUMP_NS, t)
     views = [(r["name"], r["stmt"]) for r in st_dump.views.select("name", "stmt").collect()]  # DDL-sized
     status = RD.apply_views(spark, views, DUMP_NS, tables)
     bad = [s for s in status if s[1] != "created"]
