@@ -479,3 +479,22 @@ from s group by row_key"""
 
 SQL["published_asof_deletes"] = with_(ORD) + """
 select dump_ts, row_id, "column", value from ordcells where dump_ts in (100, 300, 400, 500)"""
+
+LITERAL_STEP = """
+i{d} as (select * from cellmd5 where dump_ts = {d} and md5 in (select md5 from newc where dump_ts = {d})),
+r{d} as (select md5, min(row_id) lo, max(row_id) hi from i{d} group by md5),
+s{d} as (select row_key, max(row_id) row_id, "column", arg_max(value, ts) value from h{d} where ts <= {p}
+         group by row_key, "column"),
+p{d} as (select s.* from s{d} s where exists (select 1 from r{d} r where s.row_id between r.lo and r.hi)),
+pic{d} as (select distinct r.md5 from r{d} r join p{d} q on q.row_id between r.lo and r.hi),
+w{d} as (select i.row_key, i.row_id, i."column", cast({d} as bigint) ts, i.value, i.is_null,
+                cast({d} as bigint) publish_id
+         from i{d} i left join p{d} q on q.row_key = i.row_key and q."column" = i."column"
+         where (q.row_key is null or q.value is distinct from i.value)
+           and (i.row_key in (select row_key from p{d}) or i.md5 not in (select md5 from pic{d})))"""
+SQL["publish_literal"] = with_(ORD, """
+w100 as (select row_key, row_id, "column", cast(100 as bigint) ts, value, is_null, cast(100 as bigint) publish_id
+         from ordcells where dump_ts = 100),
+h300 as (select * from w100)""", LITERAL_STEP.format(d=300, p=100), """
+h500 as (select * from w100 union all select * from w300)""", LITERAL_STEP.format(d=500, p=300)) + """
+select * from w100 union all select * from w300 union all select * from w500"""

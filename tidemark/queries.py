@@ -772,3 +772,12 @@ def published_asof_deletes(spark, sf):
                                                         "value")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+@query
+def publish_literal(spark, sf):
+    """L3 literal mode: publish every dump in order with the original rules — staged milestones (200/400 are
+    no-ops), prev/next read over each new chunk's id range (J2), new rows kept only in chunks without earlier rows
+    (Q1), rows identical to the next state not written (Q2)."""
+    h, _ = publish_sequence(spark, ord_staged(spark, sf), NS, TBL, [100, 200, 300, 400, 500], mode="literal")
+    return h
