@@ -18,7 +18,13 @@ SCHEMA_BROADCAST_ROWS = 100_000  # tables×columns above this are joined by shuf
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only after checking the frame's row count (a cheap action on metadata-sized frames)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return bounded_broadcast_n(df, max_rows)[0]
+
+
+def bounded_broadcast_n(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """As ``bounded_broadcast``, also returning the counted rows (capped at max_rows + 1)."""
+    n = df.limit(max_rows + 1).count()
+    return (F.broadcast(df) if n <= max_rows else df), n
 
 
 def chunk_rows(chunks: DataFrame, payload: str = "payload", keep: list[str] | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ from tidemark.functions.tuples import token_value
 from tidemark.functions.scalars import zero_pad
 from tidemark.operators import diff as D
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import bounded_broadcast, chunk_cells, chunk_id_range, chunk_rows
+from tidemark.operators.cells import bounded_broadcast, bounded_broadcast_n, chunk_cells, chunk_id_range, chunk_rows
 from tidemark.session import checkpointed
 
 HISTORY_COLS = ["row_key", "row_id", "column", "ts", "value", "is_null"]
@@ -163,6 +163,28 @@ def _delete_effects(d: D.Diff, nxt: DataFrame | None, tomb: DataFrame | None, wh
     return t_when.unionByName(t_next), rest
 
 
+def _no_change_diff(removed_keys: DataFrame | None, when: int) -> D.Diff:
+    """Diff of a dump without new chunks: nothing to write; rows of removed chunks are the delete report."""
+    spark = SparkSession.getActiveSession()
+    cells = spark.createDataFrame([], "md5 string, row_key string, row_id bigint, column string, value string, "
+                                      "is_null boolean")
+    ts = F.lit(None).cast("bigint").alias("ts")
+    null_col = F.lit(None).cast("string").alias("column")
+    if removed_keys is not None:
+        deletes = removed_keys.select(F.lit(when).cast("bigint").alias("ts"), "md5", "row_key", "row_id", null_col)
+    else:
+        deletes = cells.select(ts, "md5", "row_key", "row_id", null_col)
+    return D.Diff(
+        writes=cells.select(ts, "row_key", "row_id", "column", "value", "is_null"),
+        deletes=deletes,
+        redundant=cells.select(ts, "md5", "row_key", "row_id", "column"),
+        restores=cells.select(ts, "row_key", "row_id", "column", "value", "is_null"),
+        changed=cells,
+        identical_next=cells.select("row_key", "row_id", "column", "value", "is_null",
+                                    F.lit(None).cast("bigint").alias("n_ts")),
+        full_rows=cells.select("row_key", "row_id"))
+
+
 def publish_step(staged: Staged, history: DataFrame, published: list[int], namespace: str, tbl: str, when: int,
                  mode: str = "corrected", now: int | None = None, literal_nulls: bool | None = None,
                  schema_only: bool = False, materialize: bool = True, apply_deletes: bool = False,
@@ -197,12 +219,15 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
             removed = old.join(cur, "md5", "left_anti")
         else:
             new, removed = cur, None
-        inc = chunk_cells(st.chunks.join(bounded_broadcast(new, NEW_CHUNK_BROADCAST_ROWS), "md5", "left_semi")
-                          .select("md5", "payload"), names, literal_nulls=literal_nulls, keep=["md5"])
-        if materialize:
-            inc = checkpointed(inc)
+        new_b, n_new = bounded_broadcast_n(new, NEW_CHUNK_BROADCAST_ROWS)
         removed_keys = (_keys_of(st.chunks.join(bounded_broadcast(removed, NEW_CHUNK_BROADCAST_ROWS), "md5",
                                                 "left_semi")) if removed is not None else None)
+        if n_new == 0 and not apply_deletes:
+            return StepResult(when, "published", _no_change_diff(removed_keys, when), baseline, next_ts, names)
+        inc = chunk_cells(st.chunks.join(new_b, "md5", "left_semi").select("md5", "payload"), names,
+                          literal_nulls=literal_nulls, keep=["md5"])
+        if materialize:
+            inc = checkpointed(inc)
         keys = inc.select("row_key")
         if apply_deletes and removed_keys is not None:
             keys = keys.unionByName(removed_keys.select("row_key"))
@@ -267,9 +292,8 @@ def publish_sequence(spark: SparkSession, staged: Staged, namespace: str, tbl: s
         r = publish_step(staged, h, published, namespace, tbl, when, mode)
         results.append(r)
         if r.status == "published":
-            h = h.unionByName(r.cells)
-            if materialize:
-                h = checkpointed(h)
+            # only the step's own cells are materialised; history = union of checkpointed pieces
+            h = h.unionByName(checkpointed(r.cells) if materialize else r.cells)
         published.append(when)
     return h, results
 
@@ -286,9 +310,7 @@ def publish_sequence_with_deletes(spark: SparkSession, staged: Staged, namespace
             continue
         r = publish_step(staged, h, published, namespace, tbl, when, apply_deletes=True, tombstones=t)
         results.append(r)
-        h = h.unionByName(r.cells)
-        t = t.unionByName(r.new_tombstones)
-        if materialize:
-            h, t = checkpointed(h), checkpointed(t)
+        h = h.unionByName(checkpointed(r.cells) if materialize else r.cells)
+        t = t.unionByName(checkpointed(r.new_tombstones) if materialize else r.new_tombstones)
         published.append(when)
     return h, t, results
