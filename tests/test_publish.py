@@ -164,3 +164,27 @@ def test_store_namespace_views_and_lists(spark, tmp_path):
     status = store.apply_views("s", t1)
     assert status == [("customer_nation", "created", None)]
     assert spark.table("s_customer_nation").count() == FX.read(spark, SF, "customer").count()
+
+
+def test_store_parsetime_and_compact(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store4"))
+    lines = FX.dump_lines(spark, SF)
+    t1 = 1358644800
+    for i in range(3):  # three dumps, nation 3 renamed each day
+        li = lines.withColumn("value", F.regexp_replace("value", "NATION_3'", f"NATION_{i}x'")).withColumn(
+            "value", F.regexp_replace("value", "2013-01-20", f"2013-01-2{i}"))
+        store.stage(stage_dump(scan_dump(spark, write_dump(li, str(tmp_path / f"c{i}")), i), "s"))
+        store.publish("s", "nation", t1 + i * 86400)
+    assert store.read("stage_meta").filter(F.col("parsetime") >= 0).count() == 3
+    cell = (F.col("row_id") == 3) & (F.col("column") == "mysql:n_name")
+    assert store.history().filter(cell).count() == 3
+    store.compact("s", "nation", 2)
+    assert sorted(r["value"] for r in store.history().filter(cell).collect()) == ["NATION_1x", "NATION_2x"]
+    assert store.read_asof("s", "nation").count() == 25
+
+
+def test_arity_mismatch_raises(spark):
+    from tidemark.operators.cells import chunk_cells
+    df = spark.createDataFrame([("m", "(1,'a'),(2,'b','c')")], "md5 string, payload string")
+    with pytest.raises(Exception, match="Mismatching"):
+        chunk_cells(df, ["id", "a"]).collect()

@@ -12,10 +12,13 @@ Layout under ``root`` (a shared folder, e.g. the cluster's object store):
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import round1
+from tidemark.operators import history as H
 from tidemark.plans import publish as P
 from tidemark.plans.stage import StagedDump, new_chunks_to_store
 from tidemark.session import checkpointed
@@ -25,7 +28,7 @@ SCHEMAS = {
     "stage_manifest": "tbl_name string, seq bigint, md5 string, namespace string, dump_ts bigint",
     "stage_ddl": "name string, stmt string, namespace string, dump_ts bigint",
     "stage_views": "name string, stmt string, namespace string, dump_ts bigint",
-    "stage_meta": "status string, rowcount bigint, md5 string, namespace string, dump_ts bigint",
+    "stage_meta": "status string, rowcount bigint, md5 string, parsetime double, namespace string, dump_ts bigint",
     "history": "row_key string, row_id bigint, column string, ts bigint, value string, is_null boolean, "
                "namespace string, tbl_name string, publish_id bigint",
     "tombstones": "row_key string, column string, ts bigint, namespace string, tbl_name string, publish_id bigint",
@@ -76,11 +79,15 @@ class Store:
         """K1 + K2. Chunks first (idempotent), manifest and metadata after: a crash leaves only orphan chunks."""
         if dry_run:
             return staged
+        t0 = time.time()
         new = new_chunks_to_store(staged.chunks, self.read("stage_chunks"))
         self._write(checkpointed(new), "stage_chunks", "append")
         for name, df in [("stage_manifest", staged.manifest), ("stage_ddl", staged.ddl),
-                         ("stage_views", staged.views), ("stage_meta", staged.meta)]:
+                         ("stage_views", staged.views)]:
             self._write(df, name)
+        # Seconds spent staging, one decimal (the meta row is written last: it marks the dump as complete)
+        meta = staged.meta.withColumn("parsetime", round1(F.lit(time.time() - t0)))
+        self._write(meta, "stage_meta")
         return staged
 
     def staged(self) -> P.Staged:
@@ -203,3 +210,19 @@ class Store:
         views = [(r["name"], r["stmt"]) for r in self.read("stage_views").filter(
             (F.col("namespace") == namespace) & (F.col("dump_ts") == when)).select("name", "stmt").collect()]
         return apply_views(self.spark, views, namespace, tables)
+
+    def compact(self, namespace: str, tbl: str, max_versions: int = H.MAX_VERSIONS) -> DataFrame:
+        """K5: keep at most ``max_versions`` versions per cell (what the version-capped store retains); the table's
+        history partitions are rewritten (materialised first: a path cannot be overwritten while it is read)."""
+        h = self.history().filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
+        capped = checkpointed(H.cap_versions(h, max_versions))
+        stale = h.select("publish_id").distinct().join(capped.select("publish_id").distinct(), "publish_id",
+                                                       "left_anti").collect()  # partitions left without versions
+        self._write(capped, "history")  # dynamic overwrite: every publish_id partition present is replaced
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for r in stale:
+            p = jvm.org.apache.hadoop.fs.Path(
+                f"{self.path('history')}/namespace={namespace}/tbl_name={tbl}/publish_id={r[0]}")
+            p.getFileSystem(conf).delete(p, True)
+        return capped
