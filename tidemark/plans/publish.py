@@ -29,6 +29,7 @@ HISTORY_COLS = ["row_key", "row_id", "column", "ts", "value", "is_null"]
 # md5 sets of new/removed chunks (32-byte keys) are broadcast to the chunk scan below this count, so payloads are
 # filtered where they are read; above it the semi join shuffles (AQE may still pick broadcast at run time).
 NEW_CHUNK_BROADCAST_ROWS = 2_000_000
+KEY_BROADCAST_ROWS = 1_000_000  # incoming row keys (≤ ~40 B each) broadcast to the history scan below this count
 
 
 @dataclass
@@ -232,7 +233,11 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
         if apply_deletes and removed_keys is not None:
             keys = keys.unionByName(removed_keys.select("row_key"))
         keys = keys.distinct()
-        hk = hist.join(keys, "row_key", "left_semi")
+        if materialize:
+            keys = checkpointed(keys)
+        # the changed keys of an incremental dump are usually few: broadcast them (size-checked) so the history is
+        # filtered where it is scanned; a large key set falls back to a shuffle semi join
+        hk = hist.join(bounded_broadcast(keys, KEY_BROADCAST_ROWS), "row_key", "left_semi")
         tk = None
         if apply_deletes and tombstones is not None:
             tk = tombstones
@@ -240,7 +245,7 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
                 tk = tk.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
             if "publish_id" in tk.columns:
                 tk = tk.filter(F.col("publish_id") != when)
-            tk = tk.join(keys, "row_key", "left_semi")
+            tk = tk.join(bounded_broadcast(keys, KEY_BROADCAST_ROWS), "row_key", "left_semi")
             prev, nxt = _dual_state_masked(hk, tk, when - 1, next_ts, materialize)
         else:
             prev, nxt = _dual_state(hk, when - 1, next_ts, materialize)

@@ -40,7 +40,7 @@ _MEMO: dict = {}
 
 
 def _memo(key, spark, sf, build):
-    k = (key, id(spark), sf)
+    k = (key, id(spark), spark.sparkContext.applicationId, sf)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
