@@ -64,13 +64,14 @@ def stage_dump(lines: DataFrame, namespace: str, skip_tables: list[str] | None =
     return StagedDump(chunks, manifest, ddl, views, meta)
 
 
-def new_chunks_to_store(chunks: DataFrame, existing: DataFrame | None) -> DataFrame:
+def new_chunks_to_store(chunks: DataFrame, existing: DataFrame | None, keys: DataFrame | None = None) -> DataFrame:
     """K1: chunks whose (namespace, tbl_name, md5) is not stored yet, one payload per md5.
 
-    Keys are compared first (32-byte md5s); payloads are only moved for new keys (size-checked broadcast of the new
-    key set, else a shuffle join), then duplicates inside the batch are dropped."""
+    Keys are compared first (32-byte md5s, taken from ``keys`` — e.g. the manifest, already computed — when given);
+    payloads are only moved for new keys (size-checked broadcast of the new key set, else a shuffle join), then
+    duplicates inside the batch are dropped."""
     key = ["namespace", "tbl_name", "md5"]
-    cur = chunks.select(*key).distinct()
+    cur = (keys if keys is not None else chunks).select(*key).distinct()
     new_keys = cur if existing is None else cur.join(existing.select(*key), key, "left_anti")
     payloads = chunks.join(bounded_broadcast(new_keys, NEW_KEYS_BROADCAST_ROWS), key, "left_semi")
     return payloads.dropDuplicates(key)

@@ -80,7 +80,7 @@ class Store:
         if dry_run:
             return staged
         t0 = time.time()
-        new = new_chunks_to_store(staged.chunks, self.read("stage_chunks"))
+        new = new_chunks_to_store(staged.chunks, self.read("stage_chunks"), keys=staged.manifest)
         self._write(checkpointed(new), "stage_chunks", "append")
         for name, df in [("stage_manifest", staged.manifest), ("stage_ddl", staged.ddl),
                          ("stage_views", staged.views)]:
