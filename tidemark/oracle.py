@@ -339,7 +339,8 @@ select tbl_name, "column", mysql_type, {TYPEMAP} sql_type, mysql_type in ({KNOWN
 from dschema"""
 SQL["qualified_columns"] = with_(DSCHEMA) + """select tbl_name, pos, 'mysql:' || "column" qualified from dschema"""
 SQL["parse_tuples"] = with_(DUMP) + """
-select tbl_name, row_number() over (partition by tbl_name, chunk order by k) - 1 tuple_pos, arity, k from (
+select tbl_name, cast(row_number() over (partition by tbl_name, chunk order by k) - 1 as integer) tuple_pos, arity, k
+from (
   select 'customer' tbl_name, k, chunk, 5 arity from tup_customer union all
   select 'nation', k, chunk, 3 from tup_nation union all
   select 'documents', k, chunk, 5 from tup_documents)"""
@@ -384,7 +385,8 @@ SQL["row_asof"] = with_(EV) + f""", b as (select row_key, cast((min(ts) + max(ts
 {LATEST} from ev join b using (row_key) where ts <= bound group by row_key, "column" """
 SQL["cell_versions"] = with_(EV) + """
 select * from (select row_key, "column", ts, value,
-  row_number() over (partition by row_key, "column" order by ts desc) version from ev) where version <= 3"""
+  cast(row_number() over (partition by row_key, "column" order by ts desc) as integer) version from ev)
+where version <= 3"""
 SQL["cap_versions"] = with_(EV) + """
 select row_key, "column", ts, value from (select *, row_number() over (partition by row_key, "column" order by ts desc) v
   from ev) where v <= 999"""
