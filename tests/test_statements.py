@@ -138,3 +138,16 @@ def test_gzip_dump_and_file_md5(spark, tmp_path):
     with open(raw, "w") as f:
         f.write(GOLDEN)
     assert file_md5(spark, raw).first()["md5"] == hashlib.md5(GOLDEN.encode()).hexdigest()
+
+
+def test_crlf_dump(spark, tmp_path):
+    p = os.path.join(str(tmp_path), "crlf.sql")
+    with open(p, "wb") as f:
+        f.write(GOLDEN.replace("\n", "\r\n").encode())
+    st = stage_dump(scan_dump(spark, p, "c"), "ns")
+    meta = st.meta.first()
+    assert meta["dump_ts"] == 1358644800 and meta["rowcount"] == 15
+    assert [r["name"] for r in st.ddl.collect()] == ["t"]
+    assert st.views.first()["stmt"] == "select `t`.`id` AS `id` from `t`"
+    cells = chunk_cells(st.chunks.select("md5", "payload"), ["id", "c1", "c2", "amt"]).collect()
+    assert {(r["row_id"], r["column"]): r["value"] for r in cells}[(3, "mysql:amt")] == "-0.50"
