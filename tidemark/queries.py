@@ -218,9 +218,8 @@ def dump_lines(spark, sf):
     """DUMP lines with dense line numbers (dump_id, line_no, value), materialised once per session."""
     def build():
         lines = DF.dense_lines(FX.dump_lines(spark, sf))
-        # spread the (few, large) INSERT lines over all tasks before parsing
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return checkpointed(lines.repartition(parts, "line_no"))
+        # spread the (few, large) INSERT lines over all cores before parsing
+        return checkpointed(lines.repartition(spark.sparkContext.defaultParallelism, "line_no"))
     return _memo("dlines", spark, sf, build)
 
 
