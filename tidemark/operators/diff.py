@@ -98,7 +98,9 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
         per_row = ident.groupBy("row_key").agg(
             F.count(F.lit(1)).alias("_n_same"), F.max("row_id").alias("row_id"),
             F.min_by("n_ts", "column").alias("_pick_ts"), F.max("md5").alias("md5"))
-        full = per_row.join(n_cells, "row_key").filter(F.col("_n_same") == F.col("_n_cells"))
+        # compare as a difference: an equality of the two counts would become a second join key and re-shuffle
+        # both row-keyed aggregates; this way the join on row_key reuses their partitioning
+        full = per_row.join(n_cells, "row_key").filter((F.col("_n_same") - F.col("_n_cells")) == 0)
         full_keys = full.select("row_key").withColumn("_full", F.lit(True))
         full_rows = full.select("row_key", "row_id")
         tagged = ident.join(full_keys, "row_key", "left")
