@@ -68,7 +68,7 @@ def range_join(ranges: DataFrame, keys: DataFrame, width: int = RANGE_BUCKET) ->
 
 def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int, next_ts: int | None = None,
          mode: str = "corrected", removed_keys: DataFrame | None = None,
-         prev_in_chunk: DataFrame | None = None) -> Diff:
+         prev_in_chunk: DataFrame | None = None, materialize: bool = False) -> Diff:
     """Compare incoming cells with prev/next state.
 
     corrected: every changed or new cell is written; deletes = keys of removed chunks absent from incoming
@@ -81,6 +81,9 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
     j = inc.join(_side(prev, "p"), KEY, "left")
     changed = j.filter(~F.coalesce(same("value", "is_null", "p_value", "p_is_null") & F.col("p_present"),
                                    F.lit(False)))
+    if materialize:  # read by the writes, the restores and the reports: join once
+        from tidemark.session import checkpointed
+        changed = checkpointed(changed)
     writes = changed
     if mode == "literal":
         if prev_in_chunk is None:

@@ -249,7 +249,7 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
             prev, nxt = _dual_state_masked(hk, tk, when - 1, next_ts, materialize)
         else:
             prev, nxt = _dual_state(hk, when - 1, next_ts, materialize)
-        d = D.diff(inc, prev, nxt, when, next_ts, "corrected", removed_keys=removed_keys)
+        d = D.diff(inc, prev, nxt, when, next_ts, "corrected", removed_keys=removed_keys, materialize=materialize)
         res = StepResult(when, "published", d, baseline, next_ts, names)
         if apply_deletes:
             res.tombstones, rest = _delete_effects(d, nxt, tk, when, next_ts)
