@@ -151,3 +151,15 @@ def test_crlf_dump(spark, tmp_path):
     assert st.views.first()["stmt"] == "select `t`.`id` AS `id` from `t`"
     cells = chunk_cells(st.chunks.select("md5", "payload"), ["id", "c1", "c2", "amt"]).collect()
     assert {(r["row_id"], r["column"]): r["value"] for r in cells}[(3, "mysql:amt")] == "-0.50"
+
+
+def test_stage_many_dumps_in_one_job(spark, tmp_path):
+    from tidemark.sources.dumpfile import scan_dumps
+    d = tmp_path / "many"
+    d.mkdir()
+    for day in (0, 1, 2):
+        (d / f"d{day}.sql").write_text(GOLDEN.replace("2013-01-20", f"2013-01-2{day}"))
+    st = stage_dump(scan_dumps(spark, str(d)), "ns")
+    assert sorted(r["dump_ts"] for r in st.meta.collect()) == [1358644800 + k * 86400 for k in range(3)]
+    assert st.manifest.count() == 3 and st.chunks.select("md5").distinct().count() == 1
+    assert {r["rowcount"] for r in st.meta.collect()} == {15}

@@ -37,6 +37,14 @@ def scan_dump(spark: SparkSession, path: str, dump_id: str | int) -> DataFrame:
     return number_splits(raw).select("dump_id", "line_no", "value")
 
 
+def scan_dumps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """S1 for many dumps in one job: every file is one dump, ``dump_id`` = its path. Line numbers restart per file."""
+    raw = spark.read.option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_s"),
+        F.monotonically_increasing_id().alias("_m")).withColumn("dump_id", F.col("_f"))
+    return number_splits(raw).select("dump_id", "line_no", "value")
+
+
 def dense_lines(lines: DataFrame, order: str = "ord") -> DataFrame:
     """Dense 0-based line numbers for a (dump_id, ord, value) frame whose ord has gaps."""
     return positions(lines, ["dump_id"], order, "line_no").select("dump_id", "line_no", "value")
