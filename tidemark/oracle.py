@@ -500,3 +500,6 @@ w100 as (select row_key, row_id, "column", cast(100 as bigint) ts, value, is_nul
 h300 as (select * from w100)""", LITERAL_STEP.format(d=300, p=100), """
 h500 as (select * from w100 union all select * from w300)""", LITERAL_STEP.format(d=500, p=300)) + """
 select * from w100 union all select * from w300 union all select * from w500"""
+
+SQL["rebuild_history_deletes"] = with_(ORD) + """
+select dump_ts, row_id, "column", value from ordcells"""

@@ -780,3 +780,17 @@ def publish_literal(spark, sf):
     (Q1), rows identical to the next state not written (Q2)."""
     h, _ = publish_sequence(spark, ord_staged(spark, sf), NS, TBL, [100, 200, 300, 400, 500], mode="literal")
     return h
+
+
+@query
+def rebuild_history_deletes(spark, sf):
+    """L8 with deletes applied: one-pass rebuild (history + tombstones), read as of every dump; each read equals
+    its snapshot exactly."""
+    from tidemark.plans.rebuild import rebuild_with_deletes
+    h, t = rebuild_with_deletes(ord_staged(spark, sf), NS, TBL, FX.ORD_COLUMNS)
+    out = None
+    for d in FX.ORD_DUMPS:
+        r = H.masked_asof(h, t, d, "corrected").select(F.lit(d).cast("bigint").alias("dump_ts"), "row_id", "column",
+                                                        "value")
+        out = r if out is None else out.unionByName(r)
+    return out
