@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 def get_session(app: str = "tidemark", cores: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
     """Session used by tests and bench. On a cluster, pass your own session instead."""
     parts = shuffle_partitions or int(os.environ.get("TIDEMARK_SHUFFLE_PARTITIONS", "8"))
+    b = SparkSession.builder
+    log_dir = os.environ.get("TIDEMARK_EVENT_LOG_DIR")  # stage/task timings without the UI (opt-in)
+    if log_dir:
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        b.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
