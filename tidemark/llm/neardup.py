@@ -36,6 +36,7 @@ from .common import by_key, map_arrow, materialize, texts
 from .groups import components, union
 
 BLOCK = 512
+IDS_BROADCAST = 1_000_000  # longs: at most about 50 MB in an executor
 WORDS_KEPT = 400_000  # distinct words whose hash a worker remembers
 GOLD = 0x9E3779B97F4A7C15
 ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB],
@@ -248,7 +249,9 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, id_col: str
     small = F.array(F.struct(F.xxhash64("cluster").alias("task"), F.lit(0).alias("side")))
     tasks = m.select("id", "s1", "s2", F.explode(F.when(F.col("all") <= BLOCK, small).otherwise(F.concat(own, hi, lo))).alias("t"))
     tasks = tasks.select("id", "t.task", "t.side")
-    body = base.join(c.select("id").distinct(), "id", "left_semi")
+    # texts of clustered documents only: their ids are broadcast while few, so the other texts are not shuffled
+    ids = c.select("id").distinct()
+    body = base.join(F.broadcast(ids) if c.count() <= IDS_BROADCAST else ids, "id", "left_semi")
     links = materialize(verified(body.join(tasks, "id").select("task", "side", "id", "text"), num, den))
     groups = components(links.unionAll(hung))
     out = made.select("id", "n").join(groups, made["id"] == groups["node"], "left")
