@@ -15,8 +15,10 @@ one row here; words meet only through T_u and T, so a sweep is one Spark job ove
 sweep's totals (``CLASSES`` numbers) and returns new ones. Draws depend on word, context and sweep alone, so a recomputed task
 repeats them. p is averaged over ``SAMPLES`` sweeps after one of burn-in; discounts come from the counts of counts.
 
-Work: texts are cut into chunks of about ``CHUNK`` bytes; each chunk sends its distinct words once (with counts by
-context), gets counts and probabilities back and scores its documents. Nothing that grows is broadcast or collected.
+Work: texts are cut into chunks of about ``CHUNK`` bytes. Each chunk sends its distinct words once, as 64-bit hashes with
+counts by context and the word's number in the chunk; one shuffle brings a word's rows together; the answers (count and
+probabilities) go back to the chunk by number, and the chunk, stored bucketed so that its texts are not shuffled, scores its
+documents. Nothing that grows is broadcast or collected; a word's row lists the chunks that ask for it.
 
 Defined results: a null or empty text is the end token alone; a null id counts as the text '' for the split; every
 row is scored, repeated rows too; extra columns are ignored; an empty table gives no rows; without training rows every
@@ -25,6 +27,7 @@ word is unknown. Long texts are scored whole.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,19 +38,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from .common import by_key, map_arrow, materialize, partitions, texts
+from tidemark.session import work_dir
 
-CHUNK, SAMPLES, SEATS, THETA = 16 << 20, 2, 12, 1.0
+from .common import map_arrow, materialize, partitions, texts
+
+CHUNK, SAMPLES, SEATS, THETA = 24 << 20, 2, 12, 1.0
 CLASSES, SHORT = 32, 3
 GOLD = 0x9E3779B97F4A7C15
+DISH = np.dtype([("ctx", "u1"), ("n", "<i8")])  # a context and its count
 
 
 class Words(dict):
     """Numbers for words in order of arrival; ``cls`` holds the class that a word gives to later tokens (0: none)."""
 
-    def __init__(self, words: list[bytes] = ()):
-        super().__init__(zip(words, range(len(words))))
-        self.cls = [self.of(w) for w in words]
+    def __init__(self):
+        super().__init__()
+        self.cls: list[int] = []
 
     @staticmethod
     def of(word: bytes) -> int:
@@ -72,15 +78,15 @@ def contexts(cls: np.ndarray) -> np.ndarray:
     return np.where(last >= 0, cls[last], 0)
 
 
-def pairs_of(words: Words, docs: list[bytes]) -> np.ndarray:
-    """word number * CLASSES + context of every token of the texts."""
+def coded(words: Words, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, starts): word number * CLASSES + context of every token of the texts, and each text's first token."""
     out = []
     for t in docs:
         w = tokens(t)
         ix = np.fromiter(map(words.__getitem__, w), np.int64, len(w))
-        out.append((ix, len(w)))
-    cls = np.asarray(words.cls, np.int64)
-    return np.concatenate([ix * CLASSES + contexts(cls[ix]) for ix, _ in out]) if out else np.empty(0, np.int64)
+        out.append(ix * CLASSES + contexts(np.fromiter(map(words.cls.__getitem__, ix.tolist()), np.int64, len(w))))
+    sizes = [len(k) for k in out]
+    return (np.concatenate(out) if out else np.empty(0, np.int64)), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
 
 
 def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -101,93 +107,114 @@ def unpacked(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
     return body.view(dtype) if not width == 1 else body, (off - off[0]) // width
 
 
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of the ranges [start, start + size), one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+STAGED = "chunk long, seq long, doc_id long, held_out boolean, text binary, h long, dishes binary"
+
+
 def staged(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents (word null) with their chunk, and per chunk its distinct words with contexts and training counts."""
+    """Documents (h null) numbered by ``seq`` in their chunk, and per chunk its distinct words: number ``seq``, hash
+    ``h`` and training counts by context (0 where only held-out texts have it)."""
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
-    names = ["chunk", "doc_id", "held_out", "text", "word", "ctx", "n"]
-
-    def lists(chunk: int, words: Words, train: list[np.ndarray], other: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key = np.concatenate(train + other)
-        got, at = np.unique(key, return_inverse=True)
-        n = np.bincount(at[:sum(map(len, train))], minlength=len(got)).astype("<u4")
-        names_, owner = list(words), got // CLASSES
-        step = 100_000
+    names = ["chunk", "seq", "doc_id", "held_out", "text", "h", "dishes"]
+
+    def lists(chunk: int, words: Words, keys: list[np.ndarray], train: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        got, at = np.unique(np.concatenate(keys), return_inverse=True)
+        dish = np.empty(len(got), DISH)
+        dish["ctx"], dish["n"] = got % CLASSES, np.bincount(at, np.concatenate(train), len(got))
+        owner, names_, step = got // CLASSES, list(words), 100_000
         for lo in range(0, len(names_), step):
             hi = min(lo + step, len(names_))
             a, b = np.searchsorted(owner, [lo, hi])
-            bounds = np.searchsorted(owner[a:b], np.arange(lo, hi + 1))
             k = hi - lo
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, names_[lo:hi]), np.uint64, k).view(np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(k, chunk, np.int64)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()),
-                pa.nulls(k, pa.binary()), pa.array(names_[lo:hi], pa.binary()),
-                packed((got[a:b] % CLASSES).astype(np.uint8), bounds), packed(n[a:b], bounds)], names=names)
+                pa.array(np.full(k, chunk, np.int64)), pa.array(np.arange(lo, hi)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()),
+                pa.nulls(k, pa.binary()), pa.array(h), packed(dish[a:b], np.searchsorted(owner[a:b], np.arange(lo, hi + 1)))],
+                names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, size = TaskContext.get().partitionId() << 24, 0
-        words, train, other = Words(), [], []
+        chunk, size, seq = TaskContext.get().partitionId() << 24, 0, 0
+        words, keys, train = Words(), [], []
         for b in batches:
-            raw, out = texts(b.column(2)), b.column(1).to_pylist()
+            raw, out = texts(b.column(2)), b.column(1).to_numpy(zero_copy_only=False).astype(bool)
             start = 0
             for i, t in enumerate(raw):
                 size += len(t) + 100
                 if size < CHUNK and i + 1 < len(raw):
                     continue
                 k = i + 1 - start
-                mine, held_ = raw[start:i + 1], out[start:i + 1]
-                train.append(pairs_of(words, [x for x, h in zip(mine, held_) if not h]))
-                other.append(pairs_of(words, [x for x, h in zip(mine, held_) if h]))
+                key, at = coded(words, raw[start:i + 1])
+                keys.append(key)
+                train.append(np.repeat(~out[start:i + 1], np.diff(np.append(at, len(key)))))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(k, chunk, np.int64)), b.column(0).slice(start, k), b.column(1).slice(start, k),
-                    pa.array(mine, pa.binary()), *[pa.nulls(k, pa.binary())] * 3], names=names)
-                start = i + 1
+                    pa.array(np.full(k, chunk, np.int64)), pa.array(np.arange(seq, seq + k)), b.column(0).slice(start, k),
+                    b.column(1).slice(start, k), pa.array(raw[start:i + 1], pa.binary()), pa.nulls(k, pa.int64()),
+                    pa.nulls(k, pa.binary())], names=names)
+                start, seq = i + 1, seq + k
                 if size >= CHUNK:
-                    yield from lists(chunk, words, train, other)
-                    chunk, size, words, train, other = chunk + 1, 0, Words(), [], []
+                    yield from lists(chunk, words, keys, train)
+                    chunk, size, seq, words, keys, train = chunk + 1, 0, 0, Words(), [], []
         if size:
-            yield from lists(chunk, words, train, other)
+            yield from lists(chunk, words, keys, train)
+
+    return map_arrow(rows, run, STAGED)
+
 
-    return map_arrow(rows, run, "chunk long, doc_id long, held_out boolean, text binary, word binary, ctx binary, n binary")
+def bucketed(df: DataFrame) -> DataFrame:
+    """``df`` written once into the shared folder, bucketed by chunk; the catalog entry is dropped, the files stay."""
+    spark = df.sparkSession
+    name = f"llm_{uuid.uuid4().hex}"
+    df.write.bucketBy(partitions(df), "chunk").option("path", f"{work_dir(spark)}/{name}").option(
+        "compression", "zstd").saveAsTable(name)
+    out = spark.read.table(name)
+    out.schema  # resolves the files and buckets before the entry goes
+    spark.sql(f"drop table {name}")
+    return out
 
 
 def vocabulary(lists: DataFrame) -> DataFrame:
-    """(word, ctx, n): one row a word, the sums of its chunks' counts by context (0 in none: only held out)."""
-
-    def total(rows: pa.Table) -> tuple[pa.RecordBatch, pa.Table]:
-        """Sums of all words but the last, whose rows may go on in the next batch."""
-        rows = rows.combine_chunks()
-        word = rows.column("word").chunk(0) if rows.num_rows else pa.array([], pa.binary())
-        w = word.to_pylist()
-        new = np.array([i == 0 or w[i] != w[i - 1] for i in range(len(w))], bool)
-        first = np.flatnonzero(new)
-        cut = int(first[-1]) if len(first) else 0
-        return rows.slice(0, cut), rows.slice(cut), new[:cut]
-
-    def summed(rows: pa.Table, new: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not rows.num_rows:
-            return
-        rows = rows.combine_chunks()
-        ctx, bounds = unpacked(rows.column("ctx").chunk(0), "u1")
-        n, _ = unpacked(rows.column("n").chunk(0), "<u4")
-        own = np.repeat(np.cumsum(new) - 1, np.diff(bounds))
-        key, at = np.unique(own * CLASSES + ctx, return_inverse=True)
-        c = np.bincount(at, n, len(key)).astype("<i8")
-        k = int(new.sum())
-        b = np.searchsorted(key // CLASSES, np.arange(k + 1))
-        yield pa.RecordBatch.from_arrays([rows.column("word").chunk(0).filter(pa.array(new)),
-                                          packed((key % CLASSES).astype(np.uint8), b), packed(c, b)], names=["word", "ctx", "n"])
+    """One row a word: hash, its summed dishes, and the asking chunks with the word's number and contexts there."""
+
+    def summed(h: np.ndarray, rows: pa.Table) -> pa.RecordBatch:
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        row_bounds = np.append(np.flatnonzero(new), len(h))
+        dish, bounds = unpacked(rows.column("dishes").chunk(0), DISH)
+        sizes = np.diff(bounds)
+        key, at = np.unique(np.repeat(np.cumsum(new) - 1, sizes) * CLASSES + dish["ctx"], return_inverse=True)
+        out = np.empty(len(key), DISH)
+        out["ctx"], out["n"] = key % CLASSES, np.bincount(at, dish["n"], len(key))
+        return pa.RecordBatch.from_arrays([
+            pa.array(h[new]), packed(out, np.searchsorted(key // CLASSES, np.arange(len(row_bounds)))),
+            packed(rows.column("chunk").to_numpy(), row_bounds), packed(rows.column("seq").to_numpy().astype("<u4"), row_bounds),
+            packed(sizes.astype("u1"), row_bounds), packed(np.ascontiguousarray(dish["ctx"]), bounds[row_bounds])],
+            names=["h", "dishes", "chunk", "seq", "size", "ask"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest: list[pa.RecordBatch] = []  # the last word's rows may go on in the next batch
         for b in batches:
-            t = pa.Table.from_batches([b])
-            done, rest, new = total(t if rest is None else pa.concat_tables([rest, t]))
-            yield from summed(done, new)
-        if rest is not None and rest.num_rows:
-            yield from summed(rest, np.arange(rest.num_rows) == 0)
+            if not b.num_rows:
+                continue
+            h = b.column(1).to_numpy()
+            cut = int(np.searchsorted(h, h[-1]))
+            if cut == 0 and rest and rest[-1].column(1)[0].as_py() == h[0]:
+                rest.append(b)
+                continue
+            t = pa.Table.from_batches([*rest, b.slice(0, cut)]).combine_chunks()
+            if t.num_rows:
+                yield summed(t.column("h").to_numpy(), t)
+            rest = [b.slice(cut)]
+        if rest:
+            t = pa.Table.from_batches(rest).combine_chunks()
+            yield summed(t.column("h").to_numpy(), t)
 
-    sorted_ = lists.repartition(partitions(lists), "word").sortWithinPartitions("word")
-    return map_arrow(sorted_, run, "word binary, ctx binary, n binary")
+    sorted_ = lists.select("chunk", "h", "seq", "dishes").repartition(partitions(lists), "h").sortWithinPartitions("h")
+    return map_arrow(sorted_, run, "h long, dishes binary, chunk binary, seq binary, size binary, ask binary")
 
 
 def uniforms(seed: np.ndarray, step: int) -> np.ndarray:
@@ -256,17 +283,16 @@ class Rows:
     """The (word, context) dishes of a batch of vocabulary rows, and their tables after a number of sweeps."""
 
     def __init__(self, batch: pa.RecordBatch):
-        self.words = batch.column(0).to_pylist()
-        self.ctx, self.bounds = unpacked(batch.column(1), "u1")
-        self.c, _ = unpacked(batch.column(2), "<i8")
-        self.own = np.repeat(np.arange(len(self.words)), np.diff(self.bounds))
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
-        self.seed = h[self.own] ^ (self.ctx.astype(np.uint64) << np.uint64(56))
+        self.words = batch.num_rows
+        dish, self.bounds = unpacked(batch.column(1), DISH)
+        self.ctx, self.c = np.ascontiguousarray(dish["ctx"]), np.ascontiguousarray(dish["n"])
+        self.own = np.repeat(np.arange(self.words), np.diff(self.bounds))
+        self.seed = batch.column(0).to_numpy().view(np.uint64)[self.own] ^ (self.ctx.astype(np.uint64) << np.uint64(56))
         self.t = np.minimum(self.c, 1)
 
     def root(self) -> np.ndarray:
         """Tables of each word in all contexts: its customers in the root."""
-        return np.bincount(self.own, self.t, len(self.words))
+        return np.bincount(self.own, self.t, self.words)
 
     def sweep(self, i: int, at: np.ndarray, d0: float, d1: float) -> None:
         p = np.maximum(self.root() - d0, 0.0) / (THETA + at.sum())
@@ -275,9 +301,8 @@ class Rows:
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
-    both = materialize(staged(docs, id_col, text), compression="zstd")
-    lists = both.where("word is not null").select("chunk", "word", "ctx", "n")
-    vocab = materialize(vocabulary(lists), compression="zstd")
+    both = bucketed(staged(docs, id_col, text))
+    vocab = materialize(vocabulary(both.where("h is not null")), compression="zstd")
 
     def job(states: list[np.ndarray], d0: float, d1: float) -> tuple[np.ndarray, dict[str, float]]:
         """(T_u after the sweeps of ``states``, corpus statistics): one row a partition goes to the driver."""
@@ -297,7 +322,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([pa.array([x.tolist()], pa.list_(pa.float64())) for x in (tabs, cust, stat)],
                                              names=["tabs", "cust", "stat"])
 
-        rows = map_arrow(vocab, run, "tabs array<double>, cust array<double>, stat array<double>")
+        rows = map_arrow(vocab.select("h", "dishes"), run, "tabs array<double>, cust array<double>, stat array<double>")
         cells = rows.select(*[F.col(c)[i].alias(f"{c}{i}") for c, k in (("tabs", CLASSES), ("cust", CLASSES), ("stat", 5))
                               for i in range(k)])
         s = cells.agg(*[F.sum(c).alias(c) for c in cells.columns]).first()
@@ -318,7 +343,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     scale = THETA + cust
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(word, c, ctx, own, root): count, averaged own part per dish, and the root's probability in each sample."""
+        """Answers by chunk: word numbers, their counts, numbers of contexts, and log10 of the averaged probabilities."""
         for b in batches:
             if not b.num_rows:
                 continue
@@ -331,65 +356,46 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
                     t0 = r.root()
                     root.append(np.where(t0 > 0, t0 - d, THETA + d * types) / (THETA + now.sum()))
                     own += np.maximum(r.c - d1 * r.t, 0.0) / scale[r.ctx] / SAMPLES
-            n = len(r.words)
+            count = np.bincount(r.own, r.c, r.words).astype("<i8")
+            chunk, row_bounds = unpacked(b.column(2), "<i8")
+            seq, size, ask = (unpacked(b.column(i), k)[0] for i, k in ((3, "<u4"), (4, "u1"), (5, "u1")))
+            size = size.astype(np.int64)
+            word = np.repeat(np.arange(r.words), np.diff(row_bounds))  # of each asking row
+            of = np.repeat(word, size)  # of each asked context
+            p = sum(back[ask] * root[k][of] for k, (_, back, _) in enumerate(keep))
+            p = np.log10(p + own[np.searchsorted(r.own * CLASSES + r.ctx, of * CLASSES + ask)]).astype("<f4")
+            order = np.argsort(chunk, kind="stable")
+            first = np.cumsum(size) - size
+            got, lo = np.unique(chunk[order], return_index=True)
+            bounds = np.append(lo, len(order))
+            ends = np.concatenate([[0], np.cumsum(size[order])])
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(np.bincount(r.own, r.c, n).astype(np.int64)), b.column(1),
-                packed(own.astype("<f4"), r.bounds),
-                packed(np.stack(root, 1).reshape(-1).astype("<f4"), np.arange(n + 1) * SAMPLES)],
-                names=["word", "c", "all", "own", "root"])
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(chunk, word, c, ctx, p): log10 probabilities in the contexts that the chunk asks for."""
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ask, bounds = unpacked(b.column(2), "u1")
-            of = np.repeat(np.arange(b.num_rows), np.diff(bounds))
-            root = unpacked(b.column(6), "<f4")[0].reshape(-1, SAMPLES)[of]
-            p = sum(back[ask] * root[:, k] for k, (_, back, _) in enumerate(keep))
-            dish, have = unpacked(b.column(4), "u1")
-            own, _ = unpacked(b.column(5), "<f4")
-            slot = np.searchsorted(np.repeat(np.arange(b.num_rows), np.diff(have)) * CLASSES + dish, of * CLASSES + ask)
-            p = p + own[slot]  # every asked context is a dish of the word
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), b.column(2),
-                                              packed(np.log10(p).astype("<f4"), bounds)], names=["chunk", "word", "c", "ctx", "p"])
-
-    priced = map_arrow(vocab, price, "word binary, c long, all binary, own binary, root binary")
-    asked = lists.select("chunk", "word", "ctx").join(priced, "word").select("chunk", "word", "ctx", "c", "all", "own", "root")
-    answers = map_arrow(asked, pick, "chunk long, word binary, c long, ctx binary, p binary")
-    null = lambda kind: F.lit(None).cast(kind)
-    answers = answers.select("chunk", null("long").alias("doc_id"), null("boolean").alias("held_out"),
-                             null("binary").alias("text"), "word", "c", "ctx", "p")
-    asks = both.where("word is null").select("chunk", "doc_id", "held_out", "text", "word", null("long").alias("c"),
-                                             null("binary").alias("ctx"), null("binary").alias("p"))
-
-    def score(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        is_word = group.column("word").is_valid().combine_chunks()
-        mine = group.filter(is_word).combine_chunks()
-        words = Words(mine.column("word").to_pylist())
-        c = mine.column("c").to_numpy()
-        base = np.log10((c + 0.5) / (total + 0.5 * (types + 1)))
-        ctx, bounds = unpacked(mine.column("ctx").chunk(0), "u1")
-        price_of = np.zeros(len(words) * CLASSES, np.float32)
-        p, _ = unpacked(mine.column("p").chunk(0), "<f4")
-        price_of[np.repeat(np.arange(len(words)) * CLASSES, np.diff(bounds)) + ctx] = p
-        rows = group.filter(pc.invert(is_word)).combine_chunks()
-        out = []
-        cls = np.asarray(words.cls, np.int64)
-        for t in rows.column("text").to_pylist():
-            w = tokens(t)
-            ix = np.fromiter(map(words.__getitem__, w), np.int64, len(w))
-            at = ix * CLASSES + contexts(cls[ix])
-            out.append((len(w), int(np.count_nonzero(c[ix])), float(base[ix].sum()), float(price_of[at].sum(dtype=np.float64))))
-        n, k, bs, sc = zip(*out)
-        yield pa.RecordBatch.from_arrays([
-            rows.column("doc_id").combine_chunks(), rows.column("held_out").combine_chunks(), pa.array(n, pa.int64()),
-            pa.array(k, pa.int64()), pa.array(np.full(len(n), total, np.int64)), pa.array(bs, pa.float64()),
-            pa.array(sc, pa.float64())],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return by_key(asks.unionAll(answers), "chunk", score, "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                  "train_tokens long, base_score double, score double")
+                pa.array(got), packed(seq[order], bounds), packed(count[word[order]], bounds), packed(size[order].astype("u1"), bounds),
+                packed(p[ragged(first[order], size[order])], ends[bounds])], names=["chunk", "seq", "c", "size", "p"])
+
+    answers = map_arrow(vocab, price, "chunk long, seq binary, c binary, size binary, p binary")
+
+    def score(asks: pa.Table, told: pa.Table) -> pa.Table:
+        asks = asks.sort_by("seq")
+        join = lambda c, kind: np.frombuffer(b"".join(told.column(c).to_pylist()), kind)
+        seq, c, size, p = join("seq", "<u4"), join("c", "<i8"), join("size", "u1").astype(np.int64), join("p", "<f4")
+        order = np.argsort(seq)
+        c, p = c[order], p[ragged((np.cumsum(size) - size)[order], size[order])]
+        # numbering the texts' words again in the same order gives the same numbers, and the sorted distinct
+        # (word, context) pairs are the answers' probabilities in order
+        keys, starts = coded(Words(), asks.column("text").to_pylist())
+        at = np.unique(keys, return_inverse=True)[1]
+        own = c[keys // CLASSES]
+        base = np.log10((own + 0.5) / (total + 0.5 * (types + 1)))
+        n = np.diff(np.append(starts, len(keys)))
+        return pa.table({
+            "doc_id": asks.column("doc_id"), "held_out": asks.column("held_out"), "n_tokens": n,
+            "n_known": np.add.reduceat((own > 0).astype(np.int64), starts), "train_tokens": np.full(len(n), total, np.int64),
+            "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(p[at].astype(np.float64), starts)})
+
+    asked = both.where("h is null").select("chunk", "seq", "doc_id", "held_out", "text")
+    return asked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op10(docs: DataFrame) -> DataFrame:
