@@ -1,64 +1,59 @@
-"""Version and tombstone semantics of the published store (S11-S16, K5, K8, J8), as in the store tests."""
+"""Version and tombstone semantics of the published store."""
 
 from tidemark.operators import history as H
 
-BASE = 1000000000
+KEY, COL, T0 = "000004711", "mysql:price", 1_700_000_000
+PRICES = {10: "12.50", 25: "11.90", 40: "11.90", 70: "9.95", 95: None}  # seconds after T0 -> value (None: SQL NULL)
 
 
-def _cells(spark, rows):
+def _cells(spark, prices):
+    rows = [(KEY, 4711, COL, T0 + t, v, v is None) for t, v in prices.items()]
     return spark.createDataFrame(rows, "row_key string, row_id long, column string, ts long, value string, "
                                        "is_null boolean")
 
 
-def _versions(spark):
-    return _cells(spark, [("000000001", 1, "mysql:col1", BASE + i, v, False) for i, v in enumerate("abcdef", 1)])
-
-
-def _tomb(spark, ts, column="mysql:col1"):
-    return spark.createDataFrame([("000000001", column, ts)], "row_key string, column string, ts long")
+def _tomb(spark, t, column=COL):
+    return spark.createDataFrame([(KEY, column, T0 + t)], "row_key string, column string, ts long")
 
 
 def _read(df):
-    return [(r["value"], r["ts"] - BASE) for r in df.collect()]
+    return [(r["value"], r["ts"] - T0) for r in df.collect()]
 
 
-def test_put_get(spark):
-    c = _cells(spark, [("000000001", 1, "mysql:col1", BASE, "a", False)])
-    assert [r["value"] for r in H.row_get(c, "000000001").collect()] == ["a"]
+def test_one_put_is_read_back(spark):
+    assert [r["value"] for r in H.row_get(_cells(spark, {10: "12.50"}), KEY).collect()] == ["12.50"]
 
 
 def test_versions_and_asof_bounds(spark):
-    c = _versions(spark)
-    assert H.versions(c, 6).count() == 6
-    assert H.versions(c, 2).orderBy("version").select("value").collect()[0][0] == "f"
-    assert _read(H.asof(c, BASE + 3)) == [("c", 3)]  # a read bounded 'before 4'
-    assert _read(H.asof(c, BASE + 7)) == [("f", 6)]  # future bound: last value with its own ts
+    c = _cells(spark, PRICES)
+    assert H.versions(c, 9).count() == 5
+    assert [r["ts"] - T0 for r in H.versions(c, 2).orderBy("version").collect()] == [95, 70]
+    assert H.asof(c, T0 + 9).count() == 0  # before the first version
+    assert _read(H.asof(c, T0 + 25)) == [("11.90", 25)]  # bounds are inclusive
+    assert _read(H.asof(c, T0 + 69)) == [("11.90", 40)]
+    assert _read(H.asof(c, T0 + 1000)) == [(None, 95)]  # the last value with its own time, a NULL here
 
 
-def test_tombstone_literal(spark):
-    c, t = _versions(spark), _tomb(spark, BASE + 3)
-    assert H.mask_tombstones(c, t, mode="literal").count() == 3  # versions 1-3 hidden
-    for bound in (3, 2, 1):
-        assert H.masked_asof(c, t, BASE + bound, "literal").count() == 0
-    assert _read(H.masked_asof(c, t, BASE + 4, "literal")) == [("d", 4)]
-    assert _read(H.masked_asof(c, t, BASE + 5, "literal")) == [("e", 5)]
-    assert _read(H.masked_asof(c, t, BASE + 7, "literal")) == [("f", 6)]
+def test_tombstone_literal_hides_for_every_read(spark):
+    c, t = _cells(spark, PRICES), _tomb(spark, 40)
+    assert sorted(r["ts"] - T0 for r in H.mask_tombstones(c, t, mode="literal").collect()) == [70, 95]
+    for at in (10, 39, 40, 69):
+        assert H.masked_asof(c, t, T0 + at, "literal").count() == 0
+    assert _read(H.masked_asof(c, t, T0 + 80, "literal")) == [("9.95", 70)]
 
 
 def test_tombstone_corrected_keeps_the_past(spark):
-    c, t = _versions(spark), _tomb(spark, BASE + 3)
-    assert H.masked_asof(c, t, BASE + 3, "corrected").count() == 0
-    assert _read(H.masked_asof(c, t, BASE + 2, "corrected")) == [("b", 2)]
-    assert _read(H.masked_asof(c, t, BASE + 1, "corrected")) == [("a", 1)]
-    assert _read(H.masked_asof(c, t, BASE + 5, "corrected")) == [("e", 5)]
+    c, t = _cells(spark, PRICES), _tomb(spark, 40)
+    assert _read(H.masked_asof(c, t, T0 + 39, "corrected")) == [("11.90", 25)]
+    assert H.masked_asof(c, t, T0 + 40, "corrected").count() == 0
+    assert H.masked_asof(c, t, T0 + 69, "corrected").count() == 0
+    assert _read(H.masked_asof(c, t, T0 + 70, "corrected")) == [("9.95", 70)]
 
 
-def test_row_tombstone(spark):
-    c = _versions(spark)
-    t = _tomb(spark, BASE + 5, None)
-    assert _read(H.masked_asof(c, t, None, "literal")) == [("f", 6)]
+def test_row_tombstone_hides_all_columns(spark):
+    c, t = _cells(spark, PRICES), _tomb(spark, 70, None)
+    assert _read(H.masked_asof(c, t, None, "literal")) == [(None, 95)]
 
 
 def test_cap_versions(spark):
-    c = _versions(spark)
-    assert sorted(r["value"] for r in H.cap_versions(c, 2).collect()) == ["e", "f"]
+    assert sorted(r["ts"] - T0 for r in H.cap_versions(_cells(spark, PRICES), 3).collect()) == [40, 70, 95]

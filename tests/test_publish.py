@@ -201,3 +201,18 @@ def test_rebuild_with_deletes_equals_in_order_publish(spark, staged):
     assert sorted(tuple(r) for r in t1.select(*tc).collect()) == sorted(tuple(r) for r in t2.select(*tc).collect())
     for d in (100, 300, 400, 500):
         assert _read_masked(h2, t2, d) == _snapshot_cells(spark, d)
+
+
+def test_rebuild_after_alter_names_columns_by_each_dump(spark, tmp_path):
+    """A column added, then two reordered: every dump's rows are named by its own CREATE."""
+    from tidemark.plans.publish import Staged
+    from tidemark.plans.rebuild import rebuild_history
+    chunks = [("m1", "(1,'a'),(2,'b')"), ("m2", "(1,'a','x'),(2,'c','y')"), ("m3", "(1,'x','a'),(2,'z','c')")]
+    c = spark.createDataFrame([("n", "t", m, p) for m, p in chunks], "namespace string, tbl_name string, md5 string, payload string")
+    m = spark.createDataFrame([("n", d, "t", 0, k) for d, k in ((10, "m1"), (20, "m2"), (30, "m3"))],
+                              "namespace string, dump_ts long, tbl_name string, seq int, md5 string")
+    ddl = spark.createDataFrame([], "namespace string, dump_ts long, name string, stmt string")
+    names = {10: ["id", "p"], 20: ["id", "p", "q"], 30: ["id", "q", "p"]}
+    got = sorted((r["ts"], r["row_id"], r["column"], r["value"]) for r in rebuild_history(Staged(m, c, ddl), "n", "t", names).collect())
+    assert got == [(10, 1, "mysql:p", "a"), (10, 2, "mysql:p", "b"), (20, 1, "mysql:q", "x"), (20, 2, "mysql:p", "c"),
+                   (20, 2, "mysql:q", "y"), (30, 2, "mysql:q", "z")]

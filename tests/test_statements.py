@@ -163,3 +163,18 @@ def test_stage_many_dumps_in_one_job(spark, tmp_path):
     assert sorted(r["dump_ts"] for r in st.meta.collect()) == [1358644800 + k * 86400 for k in range(3)]
     assert st.manifest.count() == 3 and st.chunks.select("md5").distinct().count() == 1
     assert {r["rowcount"] for r in st.meta.collect()} == {15}
+
+
+def test_names_beyond_the_prefix_and_with_blanks(spark):
+    from tidemark.operators.statements import insert_payload, statement_table
+    rows = [("INSERT INTO" + " " * 600 + "`far` VALUES (1);", "insert"), ("INSERT INTO `a b` VALUES (1);", "insert"),
+            ("CREATE TABLE plain(", "create"), ("INSERT", "insert")]
+    df = spark.createDataFrame(rows, "value string, kind string")
+    got = [r[0] for r in df.select(statement_table("value", "kind")).collect()]
+    assert got == ["far", "a b", "plain", ""]
+
+
+def test_payload_with_a_long_run_of_blanks(spark):
+    from tidemark.operators.statements import insert_payload
+    df = spark.createDataFrame([("INSERT INTO `t` VALUES (1,'" + " " * 1_000_000 + "x');  \t",)], "value string")
+    assert df.select(insert_payload("value")).first()[0] == "(1,'" + " " * 1_000_000 + "x')"

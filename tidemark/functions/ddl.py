@@ -38,7 +38,6 @@ UNSIGNED_WIDEN = {"tinyint": "smallint", "smallint": "int", "int": "bigint", "me
                   "bigint": "decimal(20,0)"}
 
 QUOTED_RX = r"(?s)'(?:[^'\\]++|\\.|'')*+'"
-INNER_PARENS_RX = r"\([^()]*\)"
 
 
 def _c(x) -> Column:
@@ -48,13 +47,20 @@ def _c(x) -> Column:
 def column_pieces(create_payload) -> Column:
     """Array of column-definition texts of a CREATE payload ``(`a` int(10), …, KEY …) ENGINE=…``.
 
-    Quoted strings (enum values, comments) are blanked and inner parentheses removed before splitting on commas, so
-    ``enum('a,b')``, ``double(18,2)`` and composite keys do not produce fake columns."""
+    Quoted strings (enum values, comments) are blanked, then one walk over the characters with a running depth keeps
+    what stands outside inner parentheses, up to the parenthesis that closes the list, so ``enum('a,b')``,
+    ``double(18,2)``, composite keys and generated expressions of any depth do not produce or hide columns."""
     s = F.regexp_replace(_c(create_payload), QUOTED_RX, "''")
     s = F.regexp_replace(s, r"^\s*\(", "")
-    for _ in range(3):  # nested parentheses (CHECK/generated expressions) up to depth 3
-        s = F.regexp_replace(s, INNER_PARENS_RX, "")
-    s = F.substring_index(s, ")", 1)
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("out"))
+
+    def step(a, ch):
+        depth = F.when(a["depth"] < 0, a["depth"]).when(ch == "(", a["depth"] + 1).when(ch == ")", a["depth"] - 1) \
+            .otherwise(a["depth"])
+        keep = (a["depth"] == 0) & ~ch.isin("(", ")")
+        return F.struct(depth.alias("depth"), F.concat(a["out"], F.when(keep, ch).otherwise("")).alias("out"))
+
+    s = F.aggregate(F.split(s, ""), start, step, lambda a: a["out"])
     return F.filter(F.transform(F.split(s, ","), F.trim), lambda x: x.startswith("`"))
 
 

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import dump_time_epoch, forced_date_epoch, line_md5
 from tidemark.operators.positions import segment_start
 
-PREFIX = 512  # characters of a line inspected for its kind and table name
+PREFIX = 512  # characters in which a table name is looked for first; beyond them the whole line is searched
+NAME_RX = r"^\s*+\S++\s++\S++\s++(`[^`]*+`|[^\s(`]++)"
+VIEW_RX = r"^/\*!50001 VIEW\s++(`[^`]*+`|[^`\s]++)\s++AS\s"
 FINGERPRINT_BUCKET = 1 << 16  # lines per first-level digest
 VIEW_MARK = "/*!50001 VIEW"
 
@@ -24,7 +26,7 @@ def _c(x) -> Column:
 
 def _strip(x: Column) -> Column:
     """Python-style strip of surrounding whitespace (Spark's trim only removes spaces)."""
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    return F.regexp_replace(x, r"^\s++|(?<!\s)\s++$", "")  # a run of blanks is tried once, at its start
 
 
 def action(value) -> Column:
@@ -48,17 +50,23 @@ def classify(lines: DataFrame) -> DataFrame:
 
 
 def statement_table(value, k) -> Column:
-    """Table name = third whitespace token before the first '(' (views: the name before AS), no backticks."""
-    v = F.substring(_c(value), 1, PREFIX)
-    before_paren = F.substring_index(v, "(", 1)
-    tok = F.element_at(F.split(_strip(before_paren), r"\s+"), 3)
-    name = F.regexp_replace(tok, r"^`+|`+$", "")
-    view = F.regexp_extract(v, r"^/\*!50001 VIEW\s+`?([^`\s]+)`?\s+AS\s", 1)
+    """Table name = third token before the first '(' (views: the name before AS), without its backticks.
+
+    The anchored possessive patterns stop at the name; a line whose first characters do not hold it is searched whole."""
+    v = _c(value)
+    head = F.substring(v, 1, PREFIX)
+
+    def first(rx: str, end: str) -> Column:
+        near = F.regexp_extract(head, rx + end, 1)
+        found = F.when(near != "", near).otherwise(F.regexp_extract(v, rx, 1))
+        return F.regexp_replace(found, "^`|`$", "")
+
+    name, view = first(NAME_RX, r"(?=[\s(])"), first(VIEW_RX, "")
     return F.when(_c(k) == "view", view).when(_c(k).isin("insert", "create"), name).otherwise(F.lit(""))
 
 
 def _rstripped(value) -> Column:
-    return F.regexp_replace(_c(value), r"\s+$", "")
+    return F.regexp_replace(_c(value), r"(?<!\s)\s++$", "")
 
 
 def insert_payload(value) -> Column:

@@ -250,7 +250,7 @@ def _dump_cte() -> str:
     ctes.append(r"""dstmt as (select *, case
       when kind = 'view' then regexp_extract(value, '^/\*!50001 VIEW\s+`?([^`\s]+)`?\s+AS\s', 1)
       when kind in ('insert', 'create') then
-        trim(split_part(regexp_replace(trim(split_part(substr(value, 1, 512), '(', 1)), '\s+', ' ', 'g'), ' ', 3), '`')
+        trim(regexp_extract(value, '^\s*\S+\s+\S+\s+(`[^`]*`|[^\s(`]+)', 1), '`')
       else '' end as tbl_name from dkind)""")
     ctes.append(r"""dseg as (select *, max(case when kind <> 'other' then line_no end)
                     over (partition by dump_id order by line_no rows between unbounded preceding and current row) seg
@@ -503,3 +503,7 @@ select * from w100 union all select * from w300 union all select * from w500"""
 
 SQL["rebuild_history_deletes"] = with_(ORD) + """
 select dump_ts, row_id, "column", value from ordcells"""
+
+SQL["schema_only_table"] = """
+select o_orderkey::bigint as id, o_custkey::bigint as custkey, o_orderstatus::varchar as st,
+       round(o_totalprice * 100)::bigint as cents, o_orderpriority::varchar as pr from orders where false"""

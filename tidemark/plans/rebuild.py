@@ -12,16 +12,26 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import diff as D
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import chunk_cells
+from tidemark.operators.cells import chunk_cells, chunk_rows, rows_to_cells
 from tidemark.plans.publish import Staged
 
 
-def rebuild_history(staged: Staged, namespace: str, tbl: str, columns: list[str],
+def _cells(chunks: DataFrame, columns: list[str] | dict[int, list[str]], literal_nulls: bool) -> DataFrame:
+    """Cells of (dump_ts, md5, payload) chunks, named by one column list or by each dump's own (its DDL)."""
+    keep = ["dump_ts", "md5"]
+    if isinstance(columns, list):
+        return chunk_cells(chunks, columns, literal_nulls=literal_nulls, keep=keep)
+    names = chunks.sparkSession.createDataFrame(sorted(columns.items()), "dump_ts long, names array<string>")
+    rows = chunk_rows(chunks, keep=keep).join(F.broadcast(names), "dump_ts")  # one row a dump
+    return rows_to_cells(rows, names="names", literal_nulls=literal_nulls, keep=keep)
+
+
+def rebuild_history(staged: Staged, namespace: str, tbl: str, columns: list[str] | dict[int, list[str]],
                     literal_nulls: bool = False) -> DataFrame:
     st = staged.table(namespace, tbl)
     appear = M.new_chunks(st.manifest).select("dump_ts", "md5")
     ch = st.chunks.select("md5", "payload").join(appear, "md5")
-    cells = chunk_cells(ch, columns, literal_nulls=literal_nulls, keep=["dump_ts", "md5"])
+    cells = _cells(ch, columns, literal_nulls)
     w = Window.partitionBy("row_key", "column").orderBy("dump_ts")
     prev = cells.withColumn("_pv", F.lag("value").over(w)).withColumn("_pn", F.lag("is_null").over(w)) \
         .withColumn("_pd", F.lag("dump_ts").over(w))
@@ -30,7 +40,7 @@ def rebuild_history(staged: Staged, namespace: str, tbl: str, columns: list[str]
                           F.col("dump_ts").alias("publish_id"))
 
 
-def rebuild_with_deletes(staged: Staged, namespace: str, tbl: str, columns: list[str],
+def rebuild_with_deletes(staged: Staged, namespace: str, tbl: str, columns: list[str] | dict[int, list[str]],
                          literal_nulls: bool = False) -> tuple[DataFrame, DataFrame]:
     """L8 with deletes applied (absence treated as a value): (history, tombstones) equal to publishing every dump
     in order with ``apply_deletes``.
@@ -42,8 +52,7 @@ def rebuild_with_deletes(staged: Staged, namespace: str, tbl: str, columns: list
     st = staged.table(namespace, tbl)
     appear = M.new_chunks(st.manifest).select("dump_ts", "md5")
     gone = M.removed_chunks(st.manifest).select("dump_ts", "md5")
-    cells = chunk_cells(st.chunks.select("md5", "payload").join(appear, "md5"), columns,
-                        literal_nulls=literal_nulls, keep=["dump_ts", "md5"])
+    cells = _cells(st.chunks.select("md5", "payload").join(appear, "md5"), columns, literal_nulls)
     app_rows = cells.select("dump_ts", "row_key").distinct()
     from tidemark.plans.publish import _keys_of
     rem_rows = _keys_of(st.chunks.join(gone, "md5")).join(gone, "md5").select("dump_ts", "row_key", "row_id") \

@@ -11,7 +11,6 @@ Layout under ``root`` (a shared folder, e.g. the cluster's object store):
 
 from __future__ import annotations
 
-import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +54,7 @@ class Store:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        p = self.path(name)
-        if p.startswith("file:") or "://" not in p:
-            return os.path.exists(p.replace("file:", ""))
+        p = self.path(name)  # a path without a scheme belongs to the default file system, as for Spark's writers
         jvm = self.spark.sparkContext._jvm
         hp = jvm.org.apache.hadoop.fs.Path(p)
         return hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
@@ -146,15 +143,23 @@ class Store:
 
     def rebuild(self, namespace: str, tbl: str) -> DataFrame:
         """L8 into the store: drop the table, then write the one-pass rebuild of all staged dumps."""
-        from tidemark.plans.rebuild import rebuild_history
+        from tidemark.plans.rebuild import rebuild_history, rebuild_with_deletes
         staged = self.staged()
         dumps = sorted(int(r[0]) for r in staged.manifest.filter(
             (F.col("namespace") == namespace) & (F.col("tbl_name") == tbl)).select("dump_ts").distinct().collect())
-        cols = [c for c, _ in P.table_columns(staged, namespace, tbl, dumps[-1])]
-        h = checkpointed(rebuild_history(staged, namespace, tbl, cols).select(
-            "*", F.lit(namespace).alias("namespace"), F.lit(tbl).alias("tbl_name")))
+        cols = {d: [c for c, _ in P.table_columns(staged, namespace, tbl, d)] for d in dumps}
+        mine = lambda df: checkpointed(df.select("*", F.lit(namespace).alias("namespace"), F.lit(tbl).alias("tbl_name")))
+        tombs = self.read("tombstones")
+        deletes = tombs is not None and not tombs.filter(
+            (F.col("namespace") == namespace) & (F.col("tbl_name") == tbl)).isEmpty()
+        if deletes:  # the table was published with its deletes applied: keep them
+            h, t = (mine(x) for x in rebuild_with_deletes(staged, namespace, tbl, cols))
+        else:
+            h, t = mine(rebuild_history(staged, namespace, tbl, cols)), None
         self.drop(namespace, tbl)
         self._write(h, "history")
+        if t is not None:
+            self._write(t, "tombstones")
         self._write(self.spark.createDataFrame([(namespace, tbl, d) for d in dumps],
                                                "namespace string, tbl_name string, dump_ts bigint"),
                     "publish_log", "append")

@@ -36,14 +36,17 @@ def get_session(app: str = "tidemark", cores: int | str = "*", shuffle_partition
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (read from the session). Only when it is unset — local
-    tests — a private folder is created and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir`` (read from the session). Only when it is unset in a local session —
+    tests — a private folder is created and registered; on a cluster an unset folder is an error, because executors
+    would not see a folder of the driver.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if not cur:
         cur = spark.conf.get("spark.checkpoint.dir", None)
         if not cur:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             cur = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(cur)
         cur = sc.getCheckpointDir() or cur
