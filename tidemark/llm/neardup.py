@@ -267,7 +267,7 @@ def distinct_documents(docs: DataFrame, num: int = 80, den: int = 100, id_col: s
     words stay."""
     cols = docs.columns
     rows = materialize(docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)],
-                                   F.monotonically_increasing_id().alias("_uid")))
+                                   F.monotonically_increasing_id().alias("_uid")), compression="zstd")
     named = {c: f"_k{i}" for i, c in enumerate(cols)}
     groups = near_duplicates(rows.select("_uid", F.col(named[text]).alias("text")), num, den, "_uid", "text")
     first = F.struct(F.col(named[id_col]).isNull().alias("n"), F.col(named[id_col]).alias("i"), F.col("_uid").alias("u"))

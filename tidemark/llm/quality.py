@@ -113,7 +113,7 @@ def quality(docs: DataFrame, keep: list[str] | None = None, text: str = "text",
     n, rep = F.col("n_words"), F.col("n_repeat_words")
     rows = materialize(measured(named, [*ids, "_host"], "_raw")
                        .withColumn("base_failed", (n < 10) | (100 * rep > 20 * n))
-                       .withColumn("rule_failed", _rules(1.0)))
+                       .withColumn("rule_failed", _rules(1.0)), compression="zstd")
     hosts = rows.groupBy("_host").agg(F.count("*").alias("docs"),
                                       F.sum((F.col("base_failed") | F.col("rule_failed")).cast("long")).alias("failed"))
     a, b = beta_prior(hosts)
