@@ -166,6 +166,28 @@ def test_store_namespace_views_and_lists(spark, tmp_path):
     assert spark.table("s_customer_nation").count() == FX.read(spark, SF, "customer").count()
 
 
+def test_views_unaliased_tables_and_views_over_views(spark):
+    from tidemark.plans.read import apply_views
+    spark.sql("select 1 as id, 'a' as customer").createOrReplaceTempView("vx_customer")
+    spark.sql("select 1 as id, 'n' as name").createOrReplaceTempView("vx_nation")
+    views = [("top", "select `mid`.`id` AS `id`,`mid`.`customer` AS `customer` from `mid` where (`mid`.`name` <> ' from `nation`')"),
+             ("mid", "select `customer`.`id` AS `id`,`customer`.`customer` AS `customer`,`n`.`name` AS `name` "
+                     "from (`customer` join `nation` `n` on((`customer`.`id` = `n`.`id`)))"),
+             ("bad", "select `nope`.`x` AS `x` from `nope`"),
+             ("x", "select `y`.`id` AS `id` from `y`"), ("y", "select `x`.`id` AS `id` from `x`")]
+    status = apply_views(spark, views, "vx", ["customer", "nation"])
+    assert [s[:2] for s in status] == [("top", "created"), ("mid", "created"), ("bad", "failed"), ("x", "failed"), ("y", "failed")]
+    assert spark.table("vx_top").collect() == [(1, "a")]
+
+
+def test_string_keys_keep_their_values(spark):
+    from tidemark.operators.cells import chunk_cells
+    from tidemark.plans.read import typed_asof
+    df = spark.createDataFrame([("m", "('abc','x'),('7','y')")], "md5 string, payload string")
+    h = chunk_cells(df, ["k", "v"]).withColumn("ts", F.lit(1).cast("long"))
+    assert sorted(typed_asof(h, [("k", "string"), ("v", "string")]).collect()) == [("7", "y"), ("abc", "x")]
+
+
 def test_store_parsetime_and_compact(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store4"))
     lines = FX.dump_lines(spark, SF)
@@ -178,6 +200,8 @@ def test_store_parsetime_and_compact(spark, tmp_path):
     assert store.read("stage_meta").filter(F.col("parsetime") >= 0).count() == 3
     cell = (F.col("row_id") == 3) & (F.col("column") == "mysql:n_name")
     assert store.history().filter(cell).count() == 3
+    assert store.publish("s", "nation", t1, force=True).status == "rebuilt"  # a forced dump rebuilds the table
+    assert store.history().filter(cell).count() == 3 and store.read("publish_log").count() == 3
     store.compact("s", "nation", 2)
     assert sorted(r["value"] for r in store.history().filter(cell).collect()) == ["NATION_1x", "NATION_2x"]
     assert store.read_asof("s", "nation").count() == 25

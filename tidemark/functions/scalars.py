@@ -22,9 +22,10 @@ def line_md5(value) -> Column:
 
 
 def zero_pad(key) -> Column:
-    """left-pad to KEY_DIGITS with zeros, never truncating longer keys (plain lpad truncates)."""
+    """left-pad to KEY_DIGITS with zeros, never truncating longer keys (plain lpad truncates). A key with other
+    characters than digits is kept as it is."""
     s = _c(key).cast("string")
-    return F.lpad(s, F.greatest(F.lit(KEY_DIGITS), F.length(s)), "0")
+    return F.when(s.rlike("[^0-9]"), s).otherwise(F.lpad(s, F.greatest(F.lit(KEY_DIGITS), F.length(s)), "0"))
 
 
 def unpad(key) -> Column:

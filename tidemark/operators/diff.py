@@ -163,12 +163,12 @@ def delete_counts(deletes: DataFrame) -> DataFrame:
 
 
 def doomed_lists(doomed: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """(by…, n, doomed) with doomed = 'row_id[:column]' entries sorted and comma-joined.
+    """(by…, n, doomed) with doomed = 'key[:column]' entries sorted and comma-joined.
 
     Grouped per (ts, chunk md5) by default: a list then holds at most one INSERT chunk's rows, so the collect is
     bounded; the unbounded per-timestamp list is the long frame itself (ordered by ts, row_id)."""
     by = by or ["ts", "md5"]
-    e = F.concat(F.col("row_id").cast("string"),
+    e = F.concat(F.coalesce(F.col("row_id").cast("string"), F.col("row_key")),  # a string key has no row_id
                  F.when(F.col("column").isNotNull(), F.concat(F.lit(":"), F.col("column"))).otherwise(F.lit("")))
     return doomed.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
                                    F.array_join(F.array_sort(F.collect_list(e)), ",").alias("doomed"))

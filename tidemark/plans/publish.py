@@ -39,6 +39,7 @@ class Staged:
     chunks: DataFrame    # namespace, tbl_name, md5, payload
     ddl: DataFrame       # namespace, dump_ts, name, stmt
     views: DataFrame | None = None  # namespace, dump_ts, name, stmt
+    columns: dict = field(default_factory=dict, repr=False)  # column lists read so far
 
     def table(self, namespace: str, tbl: str) -> "Staged":
         f = (F.col("namespace") == namespace) & (F.col("tbl_name") == tbl)
@@ -74,18 +75,15 @@ def table_schema(staged: Staged, namespace: str, tbl: str, when: int, native: bo
     return with_types(parse_ddl(d.select(F.col("stmt").alias("payload")), "payload", keep=[]), native)
 
 
-_COLUMNS_CACHE: dict = {}
-
-
 def table_columns(staged: Staged, namespace: str, tbl: str, when: int) -> list[tuple[str, str]]:
-    """Driver-side (column, sql_type) list — DDL metadata, at most a few thousand entries (cached per frame)."""
-    key = (id(staged.ddl), namespace, tbl, int(when))
-    if key not in _COLUMNS_CACHE:
+    """Driver-side (column, sql_type) list — DDL metadata, at most a few thousand entries (kept in ``staged``)."""
+    key = (namespace, tbl, int(when))
+    if key not in staged.columns:
         rows = table_schema(staged, namespace, tbl, when).select("pos", "column", "sql_type").collect()
         if not rows:
             raise ValueError(f"no CREATE statement for {namespace}.{tbl} in dump {when}")
-        _COLUMNS_CACHE[key] = (staged.ddl, [(r["column"], r["sql_type"]) for r in sorted(rows, key=lambda r: r["pos"])])
-    return _COLUMNS_CACHE[key][1]
+        staged.columns[key] = [(r["column"], r["sql_type"]) for r in sorted(rows, key=lambda r: r["pos"])]
+    return staged.columns[key]
 
 
 def _keys_of(chunks: DataFrame) -> DataFrame:
@@ -258,7 +256,7 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
         return res
 
     # literal: staged milestones and their bounds
-    now = now if now is not None else 2**31 - 1
+    now = now if now is not None else 2**63 - 1  # no bound
     bounds = M.milestone_bounds(m, now).filter(F.col("dump_ts") == when).collect()
     if not bounds:
         return StepResult(when, "unchanged", columns=names)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ddl import struct_type, typed_read
@@ -12,14 +12,24 @@ from tidemark.functions.scalars import FAMILY
 from tidemark.operators import history as H
 
 
+# A string literal (left alone), or FROM / JOIN, a quoted name that is no qualifier, and its alias.
+REFERENCE = re.compile(r"'(?:[^'\\]|\\.|'')*'|(\b(?:from|join)\b[\s(]*)`([^`]+)`(?!\s*\.)(\s+(?:as\s+)?`[^`]+`)?", re.I | re.S)
+
+
+def _key(column: tuple[str, str], key_type: str | None) -> Column:
+    """The key column under its DDL name: a string key from row_key, other keys from row_id."""
+    name, sql_type = column
+    kind = key_type or ("string" if re.match(r"string|varchar|char", sql_type, re.I) else "bigint")
+    key = F.col("row_id").cast(kind)
+    return (F.coalesce(key, F.col("row_key")) if kind == "string" else key).alias(name)
+
+
 def typed_table(state: DataFrame, columns: list[tuple[str, str]], key_type: str | None = None) -> DataFrame:
     """K7: latest-state pivot with one typed column per DDL column; the key column keeps its DDL name
-    (published as ``id`` int by the original tool) and is typed from row_id."""
-    key, _ = columns[0]
+    (published as ``id`` int by the original tool)."""
     rest = columns[1:]
     wide = H.pivot_state(state, [f"{FAMILY}:{c}" for c, _ in rest])
-    kt = key_type or "bigint"
-    return wide.select(F.col("row_id").cast(kt).alias(key), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
+    return wide.select(_key(columns[0], key_type), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
 
 
 def typed_asof(cells: DataFrame, columns: list[tuple[str, str]], ts=None, tombstones: DataFrame | None = None,
@@ -29,11 +39,9 @@ def typed_asof(cells: DataFrame, columns: list[tuple[str, str]], ts=None, tombst
         if ts is not None:
             cells = cells.filter(F.col("ts") <= F.lit(ts))
         cells = H.mask_tombstones(cells, tombstones, ts, "corrected")
-    key, _ = columns[0]
     rest = columns[1:]
     wide = H.asof_wide(cells, [f"{FAMILY}:{c}" for c, _ in rest], ts)
-    kt = key_type or "bigint"
-    return wide.select(F.col("row_id").cast(kt).alias(key), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
+    return wide.select(_key(columns[0], key_type), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
 
 
 def schema_only(spark: SparkSession, columns: list[tuple[str, str]]) -> DataFrame:
@@ -52,16 +60,32 @@ def apply_views(spark: SparkSession, views: list[tuple[str, str]], namespace: st
                 tables: list[str]) -> list[tuple[str, str, str | None]]:
     """Create each staged view as ``namespace_view`` over the published ``namespace_table`` views.
 
-    Table references in the body are rewritten to the published names; failures are collected, not raised.
-    Returns (view, status, error)."""
-    out = []
-    for name, body in views:
-        sql = body
-        for t in tables:
-            sql = re.sub(rf"`{re.escape(t)}`(?!\.)", f"`{namespace}_{t}`", sql)
-        try:
-            spark.sql(sql).createOrReplaceTempView(f"{namespace}_{name}")
-            out.append((name, "created", None))
-        except Exception as e:  # keep going: one broken view must not stop the others
-            out.append((name, "failed", str(e).splitlines()[0][:200]))
-    return out
+    References after FROM and JOIN are rewritten to the published names and keep the old name as alias, so columns
+    qualified by the table resolve. A view over other views is created after them. Failures are collected, not raised.
+    Returns (view, status, error) in the given order."""
+    known = {*tables, *(n for n, _ in views)}
+
+    def published(m: re.Match) -> str:
+        if m[2] not in known:
+            return m[0]
+        return f"{m[1]}`{namespace}_{m[2]}`{m[3] or f' AS `{m[2]}`'}"
+
+    over = {n: {m[2] for m in REFERENCE.finditer(body)} - {n} for n, body in views}
+    for n, _ in views:  # a view left by an earlier call must not stand in for one that is not created yet
+        spark.catalog.dropTempView(f"{namespace}_{n}")
+    done: dict[str, tuple[str, str | None]] = {}
+    todo = list(views)
+    while todo:
+        waiting = {n for n, _ in todo}
+        ready = [v for v in todo if not over[v[0]] & waiting]
+        if not ready:
+            done.update({n: ("failed", "views refer to each other") for n in waiting})
+            break
+        for name, body in ready:
+            try:
+                spark.sql(REFERENCE.sub(published, body)).createOrReplaceTempView(f"{namespace}_{name}")
+                done[name] = ("created", None)
+            except Exception as e:  # keep going: one broken view must not stop the others
+                done[name] = ("failed", str(e))
+        todo = [v for v in todo if v not in ready]
+    return [(n, *done[n]) for n, _ in views]

@@ -109,10 +109,14 @@ class Store:
 
     def publish(self, namespace: str, tbl: str, when: int, mode: str = "corrected", force: bool = False,
                 dry_run: bool = False, apply_deletes: bool = False) -> P.StepResult:
-        """L3/L4: publish one table of one dump. A dump already in the log is a no-op unless ``force``."""
+        """L3/L4: publish one table of one dump. A dump already in the log is a no-op; with ``force`` the table is
+        rebuilt from its published dumps, since one step can't be redone under the steps that followed it."""
         log = self.published(namespace, tbl)
         if when in log and not force:
             return P.StepResult(when, "unchanged")
+        if when in log and not dry_run:
+            self.rebuild(namespace, tbl, log)
+            return P.StepResult(when, "rebuilt")
         r = P.publish_step(self.staged(), self.history(), log, namespace, tbl, when, mode,
                            apply_deletes=apply_deletes, tombstones=self.tombstones())
         if r.status != "published" or dry_run:
@@ -141,10 +145,12 @@ class Store:
             keep = checkpointed(log.filter(~((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))))
             self._write(keep, "publish_log", "overwrite")
 
-    def rebuild(self, namespace: str, tbl: str) -> DataFrame:
-        """L8 into the store: drop the table, then write the one-pass rebuild of all staged dumps."""
+    def rebuild(self, namespace: str, tbl: str, only: list[int] | None = None) -> DataFrame:
+        """L8 into the store: drop the table, then write the one-pass rebuild of all staged dumps (or of ``only``)."""
         from tidemark.plans.rebuild import rebuild_history, rebuild_with_deletes
         staged = self.staged()
+        if only is not None:
+            staged.manifest = staged.manifest.filter(F.col("dump_ts").isin(only))
         dumps = sorted(int(r[0]) for r in staged.manifest.filter(
             (F.col("namespace") == namespace) & (F.col("tbl_name") == tbl)).select("dump_ts").distinct().collect())
         cols = {d: [c for c, _ in P.table_columns(staged, namespace, tbl, d)] for d in dumps}
@@ -166,7 +172,8 @@ class Store:
         return h
 
     def read_asof(self, namespace: str, tbl: str, ts: int | None = None, dump_for_schema: int | None = None):
-        """The published table as of ``ts`` (all of history when None), typed by the table's DDL."""
+        """The published table as of ``ts`` (all of history when None), typed by the DDL of ``dump_for_schema``
+        (default: the last dump published by then)."""
         from tidemark.plans.read import typed_asof
         h = self.history().filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
         if ts is not None:
@@ -174,7 +181,8 @@ class Store:
         t = self.tombstones()
         if t is not None:
             t = t.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
-        schema_dump = dump_for_schema if dump_for_schema is not None else max(self.published(namespace, tbl))
+        log = self.published(namespace, tbl) if dump_for_schema is None else [dump_for_schema]
+        schema_dump = max((d for d in log if ts is None or d <= ts), default=min(log))
         cols = P.table_columns(self.staged(), namespace, tbl, schema_dump)
         return typed_asof(h, cols, ts, t)
 
@@ -211,7 +219,7 @@ class Store:
         tables = [t for t in (r[0] for r in self.tables_of(namespace, when).collect())
                   if when in self.published(namespace, t)]
         for t in tables:
-            self.register(namespace, t)
+            self.register(namespace, t, when)
         views = [(r["name"], r["stmt"]) for r in self.read("stage_views").filter(
             (F.col("namespace") == namespace) & (F.col("dump_ts") == when)).select("name", "stmt").collect()]
         return apply_views(self.spark, views, namespace, tables)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cells import bounded_broadcast
 from tidemark.operators.positions import positions
+from tidemark.session import checkpointed
 
 SPLIT_BROADCAST_ROWS = 1_000_000  # one row per file split: 1M splits = 128 TB of text at 128 MB per split
 
@@ -20,7 +21,7 @@ def number_splits(raw: DataFrame, dump_col: str = "dump_id") -> DataFrame:
     splits = raw.groupBy(dump_col, "_f", "_s").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(dump_col).orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.withColumn("_o", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    offs = bounded_broadcast(offs, SPLIT_BROADCAST_ROWS)
+    offs = bounded_broadcast(checkpointed(offs), SPLIT_BROADCAST_ROWS)  # written once: later passes don't redo it
     return raw.join(offs, [dump_col, "_f", "_s"]).withColumn(
         "line_no", (F.col("_o") + F.col("_m") - F.col("_m0")).cast("bigint")).drop("_o", "_m0")
 
