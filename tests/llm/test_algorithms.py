@@ -144,6 +144,25 @@ def test_pseudonyms_keep_format_and_link():
         assert pseudonyms.replace(clean, f) == (clean, [])
 
 
+def test_phones_and_addresses_outside_the_assigned_ranges_are_replaced():
+    f = pseudonyms.Feistel(b"k")
+    values = ["+1 (017) 555-7713", "+1 (132) 555-1352", "(555) 055-1234", "012-345-6789", "0.1.2.3", "127.0.0.1", "233.254.104.120", "248.40.198.62"]
+    new = [pseudonyms.replace(f"at {v}, or", f) for v in values]
+    assert [k for _, k in new] == [["phone"]] * 4 + [["ip"]] * 4
+    for v, (t, _) in zip(values, new):
+        got = t[3:-4]
+        assert got != v and pseudonyms.FOUND.fullmatch(got)
+        assert pseudonyms.replace(f"at {v}, or", f)[0] == t
+        if v[0] == "+":
+            assert re.sub(r"\d", "0", got[1:]) == re.sub(r"\d", "0", v[1:])
+    small = [pseudonyms.alike(x, 1000, "x", lambda y: y >= 200, f) for x in range(1000)]
+    assert sorted(small) == list(range(1000)) and max(small[:200]) < 200
+    assert pseudonyms.replace("1.2.3.256", f) == ("1.2.3.256", [])
+    for phone in ("+1 (826) 555-4081", "+44 20 7946 0958"):  # the address after a number isn't part of it
+        new, kinds = pseudonyms.replace(f"{phone} 190.137.223.204", f)
+        assert kinds == ["phone", "ip"] and new.startswith(pseudonyms.replace(phone, f)[0] + " ")
+
+
 def test_nnls_combinations_fill_windows_and_stay_within_the_histogram():
     hist = {3: 50, 5: 50, 2: 31}
     used = {}

@@ -1,9 +1,10 @@
 """Format-preserving pseudonyms for personal data by a keyed Feistel network.
 
-Found values are validated (Luhn for cards, mod 97 for IBANs, ranges for SSNs, phones, addresses and dates) and mapped
-by a keyed permutation of all values of the same format: a card becomes another valid card of the same length and
-first digit, a date another date of 1900-2099 in the same notation. Equal values get equal pseudonyms in every document
-(the written separators are kept, the value alone is permuted), different values get different ones. Emails and
+Found values are validated (Luhn for cards, mod 97 for IBANs, ranges for SSNs and dates, the format alone for phones and
+addresses) and mapped by a keyed permutation of all values of the same format: a card becomes another valid card of the
+same length and first digit, a date another date of 1900-2099 in the same notation. North American numbers and addresses
+outside the assigned ranges (area code 017, first octet 127 or 248) are permuted among themselves. Equal values get equal
+pseudonyms in every document (the written separators are kept, the value alone is permuted), different values get different ones. Emails and
 secrets (access keys, quoted or assigned tokens and passwords) are permuted character class by character class.
 
 The network has ``ROUNDS`` rounds with a keyed BLAKE2b as round function on a pair of numbers whose product of ranges
@@ -38,7 +39,8 @@ FOUND = re.compile(
     r"""|(?P<secret>(?i:(?<![^\W_])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s{0,2}[=:]\s{0,2}["']?)"""
     r"""(?=[A-Za-z0-9+/_\-]{0,63}\d)[A-Za-z0-9+/_\-]{8,})"""
     r"""|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"""
-    r"""|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\w)"""
+    r"""|(?P<phone>(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"""
+    r"""|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:(?! \d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\w)"""
     r"""|(?<![\w.-])\d{3}(?P<sep>[-. ])\d{3}(?P=sep)\d{4}(?![\w-]))"""
     r"""|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))"""
     r"""|(?P<date>(?<![\w.-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\w-]))"""
@@ -74,6 +76,12 @@ class Feistel:
                 return x
 
 
+def alike(x: int, size: int, tweak: str, usual: Callable[[int], bool], f: Feistel) -> int:
+    """The image of x in [0, size): ``usual`` values are permuted among themselves, and so are the others."""
+    ok = usual(x)
+    return f.permute(x, size, tweak, lambda y: usual(y) == ok)
+
+
 def luhn(digits: str) -> bool:
     return check_digit(digits[:-1]) == digits[-1]
 
@@ -155,9 +163,7 @@ def _phone(v: str, f: Feistel) -> str | None:
         cc = ""
     own = d[len(cc):]
     if cc in ("", "1") and len(own) == 10:
-        if not _nanp_ok(int(own)):
-            return None
-        return refill(v, cc + str(f.permute(int(own), 10**10, "phone1", _nanp_ok)).zfill(10))
+        return refill(v, cc + str(alike(int(own), 10**10, "phone1", _nanp_ok, f)).zfill(10))
     return refill(v, cc + str(f.permute(int(own), 10 ** len(own), f"phone{cc}")).zfill(len(own)))
 
 
@@ -168,9 +174,9 @@ def _ip_ok(x: int) -> bool:
 def _ip(v: str, f: Feistel) -> str | None:
     o = [int(x) for x in v.split(".")]
     x = sum(b << 8 * (3 - i) for i, b in enumerate(o))
-    if max(o) > 255 or not _ip_ok(x):
+    if max(o) > 255:
         return None
-    x = f.permute(x, 2**32, "ip", _ip_ok)
+    x = alike(x, 2**32, "ip", _ip_ok, f)
     return ".".join(str(x >> 8 * (3 - i) & 255) for i in range(4))
 
 
@@ -226,18 +232,24 @@ def replace(text: str, f: Feistel) -> tuple[str, list[str]]:
     if not HINT.search(text):
         return text, []
     kinds: list[str] = []
-
-    def one(m: re.Match) -> str:
-        kind = m.lastgroup
-        new = KINDS[kind](m[0], f)
-        if new is None and kind in ("phone", "iban"):  # a failed longer form may still be a card number
-            kind, new = "card", _card(m[0], f) if re.fullmatch(r"\d(?:[ -]?\d){12,18}", m[0]) else None
+    out: list[str] = []
+    at = pos = 0
+    while m := FOUND.search(text, pos):
+        kind, v = m.lastgroup, m[0]
+        new = KINDS[kind](v, f)
+        while new is None and kind == "phone" and v[0] == "+" and (short := re.match(r"(.+)[ .-]\d+\Z", v)):
+            v = short[1]  # digits of a next value, such as an address, after the number
+            new = _phone(v, f)
         if new is None:
-            return m[0]
-        kinds.append(kind)
-        return new
-
-    return FOUND.sub(one, text), kinds
+            v = m[0]
+        if new is None and kind in ("phone", "iban"):  # a failed longer form may still be a card number
+            kind, new = "card", _card(v, f) if re.fullmatch(r"\d(?:[ -]?\d){12,18}", v) else None
+        pos = m.start() + len(v)
+        if new is not None:
+            kinds.append(kind)
+            out += [text[at:m.start()], new]
+            at = pos
+    return "".join([*out, text[at:]]), kinds
 
 
 def pseudonymize(docs: DataFrame, key: str, keep: list[str] | None = None, text: str = "text",
