@@ -78,6 +78,35 @@ def test_main_text():
     assert [mincut.main_text(x) for x in (None, "", "  ", "<", "<p", "<!-- x")] == [""] * 6
 
 
+STORY = "<article><h1>Big news</h1><p>" + "The council met on Monday, and it voted for the bridge. " * 8 + "</p></article>"
+ASIDE = "A long and well written text, with commas, that reads like prose. " * 4
+
+
+@pytest.mark.parametrize("part", [
+    '<section class="comments"><article class="comment"><p>%s</p></article></section>',
+    '<section class="comments"><article><p>%s</p></article></section>',
+    '<article class="comment"><p>%s</p></article>', '<aside class="related"><article><p>%s</p></article></aside>',
+    '<div hidden><article><p>%s</p></article></div>', '<div style="display:none"><main><p>%s</p></main></div>',
+    '<div class="cookie-consent"><div class="content"><p>%s</p></div></div>', '<header class="promo"><p>%s</p></header>',
+    '<main class="sidebar"><p>%s</p></main>'])
+def test_boilerplate_holds_for_all_it_contains(part):
+    want = mincut.main_text(STORY)
+    assert want.startswith("Big news\nThe council")
+    assert mincut.main_text(f"<body>{STORY}{part % ASIDE}</body>") == want
+
+
+def test_comments_inside_a_longer_than_its_article():
+    page = STORY.replace("</article>", f'<div class="comments"><article class="comment"><p>{ASIDE * 9}</p></article></div></article>')
+    assert mincut.main_text(page) == mincut.main_text(STORY)
+
+
+@pytest.mark.parametrize("wrap", ['<div class="page-with-sidebar">%s</div>', '<form id="aspnetForm">%s</form>', '<main class="has-sidebar">%s</main>'])
+def test_wrappers_of_the_page_and_own_headers_do_not_count(wrap):
+    assert mincut.main_text(wrap % STORY) == mincut.main_text(STORY)
+    own = STORY.replace("<article>", '<article class="post has-sidebar"><header class="entry-header">').replace("</h1>", "</h1></header>")
+    assert mincut.main_text(own) == mincut.main_text(STORY)
+
+
 def test_maxscore_equals_brute_force():
     r = np.random.default_rng(3)
     for n, d in ((5, 3), (300, 8), (900, 16)):

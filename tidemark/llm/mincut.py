@@ -1,7 +1,7 @@
 """Main text of HTML pages by minimum-cut labelling of blocks.
 
 A page is cut into blocks (runs of text between block-level tags). A linear classifier scores each block by its
-nearest marked ancestor (semantic tags, class and id words), its tag, link density, length and punctuation; the score
+marked ancestors (semantic tags, class and id words: the lowest boilerplate mark, else the nearest mark), its tag, link density, length and punctuation; the score
 becomes the capacity to the content or the boilerplate terminal. Blocks next to each other in the page and blocks under
 one parent are joined by smoothness edges that weaken with DOM distance. The maximum flow's minimum cut is the labelling
 of least total cost; blocks on the content side, in page order, are the main text.
@@ -63,60 +63,65 @@ class Block:
         self.text, self.links, self.path, self.tag, self.mark = text, links, path, tag, mark
 
 
-def mark_of(tag: str, attrs: str) -> tuple[float, bool]:
-    """(weight, by class only) that an element's tag, role, class and id give to what it holds; 0 for none."""
-    weight, soft = MARK.get(tag, 0.0), False
+def mark_of(tag: str, attrs: str, inside: bool = False) -> tuple[float, float | None]:
+    """(weight, weight without class words) that an element's tag, role, class and id give to what it holds; 0 for none.
+
+    The second is None unless the weight is a boilerplate one by class or id words alone, or by a form. ``inside``: in an
+    article or main element, where a header is its own."""
+    weight, words = MARK.get(tag, 0.0), set()
+    if inside and tag == "header":
+        weight = 0.0
     if attrs and tag not in ("html", "body"):
         for name, value in ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(
                     r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return -9.0, False
+                return -9.0, None
             if name == "role" and value.lower() in ROLES:
                 weight = ROLES[value.lower()]
-            elif name in ("class", "id") and not weight:
-                words = {w.lower() for w in WORD.findall(value)}
-                if words & BAD:
-                    weight, soft = -7.0, True
-                elif words & GOOD:
-                    weight = 2.0
-    return weight, soft
+            elif name in ("class", "id"):
+                words |= {w.lower() for w in WORD.findall(value)}
+    if inside or tag == "header":
+        words.discard("header")
+    if weight > -7.0 and words & BAD:
+        return -7.0, weight
+    if not weight and words & GOOD:
+        weight = 2.0
+    return weight, 0.0 if tag == "form" and weight < 0 else None
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
     serial = 0
-    stack: list[tuple[str, int, float, bool]] = [("#", 0, 0.0, False)]  # tag, node number, mark, by class only
+    # tag, node number, mark, mark without its class words (None: not by class words alone)
+    stack: list[tuple[str, int, float, float | None]] = [("#", 0, 0.0, None)]
     parts: list[str] = []
     links = 0  # characters inside links of the running block
     in_link = 0
     soft_text: dict[int, int] = {}
     soft_keep: set[int] = set()
-    soft_mark: dict[int, list[Block]] = {}
+    marks: list[list[tuple[int, float, float | None]]] = []  # of each block, outermost first
+    met: set[str] = set()
+
+    def wrappers() -> list[int]:
+        """Open elements marked by class words that no article holds."""
+        tags = [s[0] for s in stack]
+        end = tags.index("article") + 1 if "article" in tags else len(tags)
+        return [s[1] for s in stack[:end] if s[3] is not None]
 
     def flush() -> None:
         nonlocal links
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                mark, by = 0.0, None
-                inside = False
-                for tag, node, m, soft in stack:
-                    if tag == "header" and inside:
-                        m = 0.0  # an article's own header
-                    inside |= tag in ("article", "main")
-                    if m:
-                        mark, by = m, node if soft else None
-                b = Block(text, links, tuple(s[1] for s in stack), stack[-1][0], mark)
-                out.append(b)
-                for tag, node, m, soft in stack:
-                    if soft:
+                out.append(Block(text, links, tuple(s[1] for s in stack), stack[-1][0], 0.0))
+                marks.append([(node, m, plain) for _, node, m, plain in stack if m])
+                for _, node, _, plain in stack:
+                    if plain is not None:
                         soft_text[node] = soft_text.get(node, 0) + len(text)
-                        if stack[-1][0] == "h1" or inside:
-                            soft_keep.add(node)
-                if by is not None:
-                    soft_mark.setdefault(by, []).append(b)
+                if stack[-1][0] == "h1":
+                    soft_keep.update(wrappers())
             parts.clear()
         links = 0
 
@@ -171,14 +176,20 @@ def blocks_of(page: str) -> list[Block]:
                 stack.pop()
             if tag not in VOID:
                 serial += 1
-                mark, soft = mark_of(tag, m[3])
-                stack.append((tag, serial, mark, soft))
+                mark, plain = mark_of(tag, m[3], any(s[0] in ("article", "main") for s in stack))
+                around = wrappers()
+                stack.append((tag, serial, mark, plain))
+                if tag in ("article", "main") and tag not in met and (mark > 0 or plain is not None and not around):
+                    met.add(tag)  # the page's first: what holds it may be a wrapper of the page
+                    soft_keep.update(wrappers())
     flush()
     total = sum(len(b.text) for b in out)
-    for node, blocks in soft_mark.items():  # a class on a wrapper of most of the page says nothing about its text
-        if node in soft_keep and soft_text[node] > 0.6 * total:
-            for b in blocks:
-                b.mark = 0.0
+    # class words on a wrapper of most of the page say nothing about its text
+    wrap = {node for node in soft_keep if soft_text.get(node, 0) > 0.6 * total}
+    for b, held in zip(out, marks):
+        weights = [plain if node in wrap else m for node, m, plain in held]
+        # a boilerplate mark holds for all that its element contains; otherwise the innermost mark counts
+        b.mark = min((w for w in weights if w < 0), default=next((w for w in reversed(weights) if w), 0.0))
     return out
 
 
