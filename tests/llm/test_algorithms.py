@@ -210,3 +210,56 @@ def test_seating_bounds():
     t = pitmanyor.seat(c, np.full(7, 0.5), 0.7, np.arange(7).astype(np.uint64), 1)
     assert ((t >= np.minimum(c, 1)) & (t <= c)).all() and zlib.crc32(t.tobytes()) == zlib.crc32(
         pitmanyor.seat(c, np.full(7, 0.5), 0.7, np.arange(7).astype(np.uint64), 1).tobytes())
+
+
+def test_seats_follow_the_conditional_of_a_dish():
+    """Tables of a dish of 4 customers against all its seatings, for dishes taken together and for the largest ones alone;
+    the seating is kept: with next to no weight on new tables, tables only close slowly and none is opened."""
+    d, f, n = 0.4, 0.7, 4000
+
+    def weight(sizes):
+        return f ** len(sizes) * np.prod([np.prod([k - d for k in range(1, s)]) for s in sizes])
+
+    def seatings(i, sizes):
+        if i == 4:
+            yield sizes
+            return
+        for k in range(len(sizes)):
+            yield from seatings(i + 1, [*sizes[:k], sizes[k] + 1, *sizes[k + 1:]])
+        yield from seatings(i + 1, [*sizes, 1])
+
+    want = np.zeros(5)
+    for x in seatings(0, []):
+        want[len(x)] += weight(x)
+    want /= want.sum()
+    c = np.full(n, 4)
+    s = pitmanyor.Seats(c, d, np.arange(n).astype(np.uint64))
+    for i in range(8):
+        s.sweep(i, np.full(n, f), np.zeros(n))
+    assert abs(np.bincount(s.t, minlength=5) / n - want).max() < 0.04
+    alone = np.zeros(5)
+    for b in range(40):
+        s = pitmanyor.Seats(np.full(40, 4), d, np.arange(40).astype(np.uint64) + np.uint64(1000 * b))
+        for i in range(8):
+            s.sweep(i, np.full(40, f), np.zeros(40))
+        alone += np.bincount(s.t, minlength=5)
+    assert abs(alone / alone.sum() - want).max() < 0.06
+    big = pitmanyor.Seats(np.full(60, 300), d, np.arange(60).astype(np.uint64))
+    big.sweep(1, np.full(60, 5.0), np.zeros(60))
+    before = big.t.copy()
+    big.sweep(2, np.full(60, 1e-9), np.zeros(60))
+    assert (big.t <= before).all() and (big.t > 1).any()
+    for k in range(60):
+        a, m = big.off[k], int(big.c[k])
+        z = big.table[a:a + m]
+        assert (np.bincount(z, minlength=m) == big.size[a:a + m]).all() and len(set(z.tolist())) == big.tab[k]
+
+
+def test_a_context_is_the_whole_previous_word():
+    words = pitmanyor.Words()
+    keys, starts = pitmanyor.coded(words, ["Überraschung folgt the überraschung".encode(), b"", b"folgt"])
+    name = {i: w.decode() for w, i in words.items()}
+    assert [(name[k & 0xFFFFFFFF], name[k >> 32]) for k in keys.tolist()] == [
+        ("", "Überraschung"), ("Überraschung", "folgt"), ("folgt", "the"), ("the", "überraschung"), ("überraschung", ""), ("", ""),
+        ("", "folgt"), ("folgt", "")]
+    assert starts.tolist() == [0, 5, 6]

@@ -1,5 +1,9 @@
 """The operators on awkward rows: nulls, empty and repeated rows, empty tables, extra columns with clashing names."""
 
+import math
+import zlib
+from collections import Counter
+
 import public_tokenizers
 import pytest
 
@@ -66,3 +70,25 @@ def test_pipeline_stages(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, d, "/root/testdata/sf0.001")
         assert out.columns == d.columns and out.dtypes == d.dtypes
+
+
+def test_language_model_counts_and_probabilities(spark):
+    """Counts and base score by brute force; a word seen after a long word scores higher after it than one that was not."""
+    train = [(i, t) for i, t in enumerate(["certainly alpha", "certainly alpha", "certainly beta gamma", "delta certainly alpha", "otherwise beta"] * 9)
+             if zlib.crc32(str(i).encode()) % 5 != 1]
+    count = Counter(w for _, t in train for w in [*t.split(), ""])
+    total, types = sum(count.values()), len(count)
+    held = [i for i in range(1000, 3000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    asked = dict(zip(held, [f"certainly {w}" for w in [*sorted(w for w in count if w), "unseen"]] + ["certainly", "alpha", "beta", "gamma", "delta", "otherwise"]))
+    rows = train + list(asked.items())
+    got = {r.doc_id: r for r in pitmanyor.op10(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        w = [*t.split(), ""]
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i in asked, len(w), sum(x in count for x in w), total)
+        assert math.isclose(r.base_score, sum(math.log10((count[x] + 0.5) / (total + 0.5 * (types + 1))) for x in w), rel_tol=1e-9)
+
+    like = {t: got[i].score for i, t in asked.items()}
+    assert like["certainly alpha"] > like["certainly beta"] > like["certainly unseen"]
+    assert like["certainly alpha"] - like["alpha"] > like["certainly gamma"] - like["gamma"]

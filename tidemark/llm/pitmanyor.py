@@ -1,24 +1,24 @@
-"""Language-model scores by a hierarchical Pitman-Yor model: context restaurants that share a root.
+"""Language-model scores by a hierarchical Pitman-Yor model: a restaurant for each previous word, with a shared root.
 
 Tokens of a text are its words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, then one end token (the empty word).
-A token's context is the class of the nearest word before it that has at most ``SHORT`` bytes (function words), hashed
-to ``CLASSES`` - 1 classes, or class 0 if there is none. Each context u has a restaurant that seats its tokens by word;
-every table is a customer of the root, whose base measure is diffuse, so the root has one table a type and its new
-table is the one unknown type:
+A token's context is the whole word before it (the end token at a text's start). Each context u has a restaurant that
+seats its tokens by word; every table is a customer of the root, whose base measure is diffuse, so the root has one table
+a type and its new table is the one unknown type:
 
     p(w | u) = (c_uw - d1 t_uw) / (theta + c_u) + (theta + d1 T_u) / (theta + c_u) * p(w)
     p(w) = (t_w - d0) / (theta + T),   p(unknown) = (theta + d0 V) / (theta + T),   t_w = sum of t_uw over u
 
-Seatings are sampled by Gibbs sweeps: each customer of a dish gets up and sits down again given all other tables;
-dishes with more than ``SEATS`` customers are reseated in one pass of growing blocks. A word's rows of all contexts are
-one row here; words meet only through T_u and T, so a sweep is one Spark job over the distinct words that takes last
-sweep's totals (``CLASSES`` numbers) and returns new ones. Draws depend on word, context and sweep alone, so a recomputed task
-repeats them. p is averaged over ``SAMPLES`` sweeps after one of burn-in; discounts come from the counts of counts.
+Seatings are sampled by a Gibbs chain: in a sweep each customer of every dish gets up and sits down again, given the
+dish's other customers as they sit and the other dishes' tables of the last sweep. p is averaged over ``SAMPLES`` sweeps
+after one of burn-in; discounts come from the counts of counts. Draws depend on word, context and sweep alone: a job
+replays the chain from its start with the totals of each sweep, so no seating is stored and a recomputed task repeats it.
 
-Work: texts are cut into chunks of about ``CHUNK`` bytes. Each chunk sends its distinct words once, as 64-bit hashes with
-counts by context and the word's number in the chunk; one shuffle brings a word's rows together; the answers (count and
-probabilities) go back to the chunk by number, and the chunk, stored bucketed so that its texts are not shuffled, scores its
-documents. Nothing that grows is broadcast or collected; a word's row lists the chunks that ask for it.
+Work: texts are cut into chunks of about ``CHUNK`` bytes. Each chunk sends its distinct (context, word) pairs with training
+counts, as 64-bit hashes in one blob for each group; a group is a hash of the word and ``SALT`` bits of the context, so that
+neither a common word nor a common context meets in one task. Totals of contexts (T_u, c_u) and words (t_w, c_w) are
+exchanged in blobs between groups and hashed ranges of words, in each sweep only for dishes with two customers or more.
+The probabilities go back to the chunk in the order of its pairs; the chunk, stored bucketed so that its texts are not
+shuffled, scores its documents. Only a few totals go to the driver; nothing that grows is broadcast or collected.
 
 Defined results: a null or empty text is the end token alone; a null id counts as the text '' for the split; every
 row is scored, repeated rows too; extra columns are ignored; an empty table gives no rows; without training rows every
@@ -27,6 +27,7 @@ word is unknown. Long texts are scored whole.
 
 from __future__ import annotations
 
+import random
 import uuid
 from collections.abc import Iterator
 
@@ -40,30 +41,28 @@ from pyspark.taskcontext import TaskContext
 
 from tidemark.session import work_dir
 
-from .common import map_arrow, materialize, partitions, texts
+from .common import by_key, map_arrow, materialize, partitions, texts
 
-CHUNK, SAMPLES, SEATS, THETA = 24 << 20, 2, 12, 1.0
-CLASSES, SHORT = 32, 3
+CHUNK, SAMPLES, THETA = 24 << 20, 2, 1.0
+SWEEPS = 1 + SAMPLES
+SALT, FEW = 15, 48  # mask of the context's bits in a pair's group; so many dishes or more take a step together
 GOLD = 0x9E3779B97F4A7C15
-DISH = np.dtype([("ctx", "u1"), ("n", "<i8")])  # a context and its count
 
 
 class Words(dict):
-    """Numbers for words in order of arrival; ``cls`` holds the class that a word gives to later tokens (0: none)."""
+    """Numbers for words in order of arrival, from 0 for the end token."""
 
     def __init__(self):
         super().__init__()
-        self.cls: list[int] = []
-
-    @staticmethod
-    def of(word: bytes) -> int:
-        return 1 + xxhash.xxh3_64_intdigest(word) % (CLASSES - 1) if 0 < len(word) <= SHORT else 0
+        self[b""]
 
     def __missing__(self, word: bytes) -> int:
         i = self[word] = len(self)
-        self.cls.append(self.of(word))
         return i
 
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self), np.uint64, len(self))
+
 
 def tokens(text: bytes) -> list[bytes]:
     out = text.lower().split()
@@ -71,22 +70,34 @@ def tokens(text: bytes) -> list[bytes]:
     return out
 
 
-def contexts(cls: np.ndarray) -> np.ndarray:
-    """Context of each token of one text, from the classes of its tokens."""
-    at = np.where(cls > 0, np.arange(len(cls)), -1)
-    last = np.concatenate([[-1], np.maximum.accumulate(at)[:-1]])
-    return np.where(last >= 0, cls[last], 0)
-
-
 def coded(words: Words, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, starts): word number * CLASSES + context of every token of the texts, and each text's first token."""
-    out = []
+    """(keys, starts): word number << 32 | number of the word before, of every token, and each text's first token."""
+    out, sizes = [], []
     for t in docs:
         w = tokens(t)
-        ix = np.fromiter(map(words.__getitem__, w), np.int64, len(w))
-        out.append(ix * CLASSES + contexts(np.fromiter(map(words.cls.__getitem__, ix.tolist()), np.int64, len(w))))
-    sizes = [len(k) for k in out]
-    return (np.concatenate(out) if out else np.empty(0, np.int64)), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        out.append(np.fromiter(map(words.__getitem__, w), np.int64, len(w)))
+        sizes.append(len(w))
+    ix = np.concatenate(out) if out else np.empty(0, np.int64)
+    # the token before a text's first is the end token of the text before
+    return ix << 32 | np.concatenate([[0], ix[:-1]])[:len(ix)], np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def pairs_of(words: Words, keys: np.ndarray, groups: int) -> tuple[np.ndarray, ...]:
+    """(at, word hash, context hash, group) of the distinct pairs, by group; ``at`` gives each token's pair."""
+    got, at = np.unique(keys, return_inverse=True)
+    h = words.hashes()
+    w, u = h[got >> 32], h[got & 0xFFFFFFFF]
+    q = (mixed(w + np.uint64(GOLD) * (u & np.uint64(SALT))) % np.uint64(groups)).astype(np.int64)
+    order = np.lexsort((u, w, q))  # by hashes, so that the texts' order doesn't matter
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank[at], w[order], u[order], q[order]
 
 
 def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -107,39 +118,27 @@ def unpacked(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
     return body.view(dtype) if not width == 1 else body, (off - off[0]) // width
 
 
-def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Positions of the ranges [start, start + size), one after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
+STAGED = "chunk long, doc_id long, held_out boolean, text binary, q long, w binary, u binary, n binary"
 
-STAGED = "chunk long, seq long, doc_id long, held_out boolean, text binary, h long, dishes binary"
 
-
-def staged(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents (h null) numbered by ``seq`` in their chunk, and per chunk its distinct words: number ``seq``, hash
-    ``h`` and training counts by context (0 where only held-out texts have it)."""
+def staged(docs: DataFrame, groups: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents (q null) with their chunk, and per chunk and group the distinct pairs: hashes of the word and of the
+    one before, and training counts (0 where only held-out texts have the pair)."""
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
-    names = ["chunk", "seq", "doc_id", "held_out", "text", "h", "dishes"]
+    names = ["chunk", "doc_id", "held_out", "text", "q", "w", "u", "n"]
 
     def lists(chunk: int, words: Words, keys: list[np.ndarray], train: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        got, at = np.unique(np.concatenate(keys), return_inverse=True)
-        dish = np.empty(len(got), DISH)
-        dish["ctx"], dish["n"] = got % CLASSES, np.bincount(at, np.concatenate(train), len(got))
-        owner, names_, step = got // CLASSES, list(words), 100_000
-        for lo in range(0, len(names_), step):
-            hi = min(lo + step, len(names_))
-            a, b = np.searchsorted(owner, [lo, hi])
-            k = hi - lo
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, names_[lo:hi]), np.uint64, k).view(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(k, chunk, np.int64)), pa.array(np.arange(lo, hi)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()),
-                pa.nulls(k, pa.binary()), pa.array(h), packed(dish[a:b], np.searchsorted(owner[a:b], np.arange(lo, hi + 1)))],
-                names=names)
+        at, w, u, q = pairs_of(words, np.concatenate(keys), groups)
+        n = np.bincount(at, np.concatenate(train), len(w)).astype("<i4")
+        got, lo = np.unique(q, return_index=True)
+        bounds, k = np.append(lo, len(q)), len(got)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(k, chunk, np.int64)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.binary()),
+            pa.array(got), packed(w, bounds), packed(u, bounds), packed(n, bounds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, size, seq = TaskContext.get().partitionId() << 24, 0, 0
+        chunk, size = TaskContext.get().partitionId() << 24, 0
         words, keys, train = Words(), [], []
         for b in batches:
             raw, out = texts(b.column(2)), b.column(1).to_numpy(zero_copy_only=False).astype(bool)
@@ -153,24 +152,23 @@ def staged(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
                 keys.append(key)
                 train.append(np.repeat(~out[start:i + 1], np.diff(np.append(at, len(key)))))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(k, chunk, np.int64)), pa.array(np.arange(seq, seq + k)), b.column(0).slice(start, k),
-                    b.column(1).slice(start, k), pa.array(raw[start:i + 1], pa.binary()), pa.nulls(k, pa.int64()),
-                    pa.nulls(k, pa.binary())], names=names)
-                start, seq = i + 1, seq + k
+                    pa.array(np.full(k, chunk, np.int64)), b.column(0).slice(start, k), b.column(1).slice(start, k),
+                    pa.array(raw[start:i + 1], pa.binary()), pa.nulls(k, pa.int64()), *[pa.nulls(k, pa.binary())] * 3], names=names)
+                start = i + 1
                 if size >= CHUNK:
                     yield from lists(chunk, words, keys, train)
-                    chunk, size, seq, words, keys, train = chunk + 1, 0, 0, Words(), [], []
+                    chunk, size, words, keys, train = chunk + 1, 0, Words(), [], []
         if size:
             yield from lists(chunk, words, keys, train)
 
     return map_arrow(rows, run, STAGED)
 
 
-def bucketed(df: DataFrame) -> DataFrame:
-    """``df`` written once into the shared folder, bucketed by chunk; the catalog entry is dropped, the files stay."""
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written once into the shared folder, bucketed by ``key``; the catalog entry is dropped, the files stay."""
     spark = df.sparkSession
     name = f"llm_{uuid.uuid4().hex}"
-    df.write.bucketBy(partitions(df), "chunk").option("path", f"{work_dir(spark)}/{name}").option(
+    df.write.bucketBy(partitions(df), key).option("path", f"{work_dir(spark)}/{name}").option(
         "compression", "zstd").saveAsTable(name)
     out = spark.read.table(name)
     out.schema  # resolves the files and buckets before the entry goes
@@ -178,43 +176,26 @@ def bucketed(df: DataFrame) -> DataFrame:
     return out
 
 
-def vocabulary(lists: DataFrame) -> DataFrame:
-    """One row a word: hash, its summed dishes, and the asking chunks with the word's number and contexts there."""
+def dishes(lists: DataFrame) -> DataFrame:
+    """One row a group: its dishes (word, context, count) by word, and the asking chunks with the dishes they ask for."""
 
-    def summed(h: np.ndarray, rows: pa.Table) -> pa.RecordBatch:
-        new = np.concatenate([[True], h[1:] != h[:-1]])
-        row_bounds = np.append(np.flatnonzero(new), len(h))
-        dish, bounds = unpacked(rows.column("dishes").chunk(0), DISH)
-        sizes = np.diff(bounds)
-        key, at = np.unique(np.repeat(np.cumsum(new) - 1, sizes) * CLASSES + dish["ctx"], return_inverse=True)
-        out = np.empty(len(key), DISH)
-        out["ctx"], out["n"] = key % CLASSES, np.bincount(at, dish["n"], len(key))
-        return pa.RecordBatch.from_arrays([
-            pa.array(h[new]), packed(out, np.searchsorted(key // CLASSES, np.arange(len(row_bounds)))),
-            packed(rows.column("chunk").to_numpy(), row_bounds), packed(rows.column("seq").to_numpy().astype("<u4"), row_bounds),
-            packed(sizes.astype("u1"), row_bounds), packed(np.ascontiguousarray(dish["ctx"]), bounds[row_bounds])],
-            names=["h", "dishes", "chunk", "seq", "size", "ask"])
+    def summed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        get = lambda c, kind: unpacked(rows.column(c).chunk(0), kind)
+        (w, bounds), u, n = get("w", "<u8"), get("u", "<u8")[0], get("n", "<i4")[0]
+        order = np.lexsort((u, w))
+        ws, us = w[order], u[order]
+        new = np.concatenate([[True], (ws[1:] != ws[:-1]) | (us[1:] != us[:-1])])
+        at = np.empty(len(w), "<u4")
+        at[order] = np.cumsum(new) - 1
+        c = np.bincount(at, n, int(new.sum())).astype("<i8")
+        one = lambda x: packed(x, np.array([0, len(x)]))
+        yield pa.RecordBatch.from_arrays([
+            rows.column("q").chunk(0).slice(0, 1), one(ws[new]), one(us[new]), one(c), one(rows.column("chunk").to_numpy()),
+            one(bounds), one(at)], names=["q", "w", "u", "c", "chunk", "bounds", "at"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []  # the last word's rows may go on in the next batch
-        for b in batches:
-            if not b.num_rows:
-                continue
-            h = b.column(1).to_numpy()
-            cut = int(np.searchsorted(h, h[-1]))
-            if cut == 0 and rest and rest[-1].column(1)[0].as_py() == h[0]:
-                rest.append(b)
-                continue
-            t = pa.Table.from_batches([*rest, b.slice(0, cut)]).combine_chunks()
-            if t.num_rows:
-                yield summed(t.column("h").to_numpy(), t)
-            rest = [b.slice(cut)]
-        if rest:
-            t = pa.Table.from_batches(rest).combine_chunks()
-            yield summed(t.column("h").to_numpy(), t)
-
-    sorted_ = lists.select("chunk", "h", "seq", "dishes").repartition(partitions(lists), "h").sortWithinPartitions("h")
-    return map_arrow(sorted_, run, "h long, dishes binary, chunk binary, seq binary, size binary, ask binary")
+    return by_key(lists.select("q", "chunk", "w", "u", "n"), "q", summed,
+                  "q long, w binary, u binary, c binary, chunk binary, bounds binary, at binary")
 
 
 def uniforms(seed: np.ndarray, step: int) -> np.ndarray:
@@ -225,167 +206,249 @@ def uniforms(seed: np.ndarray, step: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0**53
 
 
+class Seats:
+    """The customers of dishes at their tables, from one sitting down after the other to any number of sweeps.
+
+    Each customer's table is kept, so a customer joins a table by joining another customer's (accepted in proportion to
+    size - d over size). Dishes take their steps together; the ``FEW`` largest go one by one."""
+
+    def __init__(self, c: np.ndarray, d: float, seed: np.ndarray):
+        self.d, self.t, self.first = d, np.minimum(c, 1).astype(np.int64), True
+        some = np.flatnonzero(c > 1)
+        self.some = some[np.argsort(-c[some], kind="stable")]  # largest first: a step's dishes are a prefix
+        self.c = c[self.some].astype(np.int64)
+        self.seed = seed[self.some]
+        self.off = np.cumsum(self.c) - self.c
+        n = int(self.c.sum())
+        self.table, self.size = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        self.free = (np.repeat(self.off + self.c - 1, self.c) - np.arange(n)).astype(np.int32)  # ids to open, the last first
+        self.tab = np.zeros(len(self.c), np.int64)
+
+    def sweep(self, i: int, fresh: np.ndarray, more: np.ndarray) -> None:
+        """Every customer gets up and sits down again; a new table weighs ``fresh`` + ``more`` per table opened since."""
+        if len(self.c):
+            f, g, start = fresh[self.some], more[self.some], np.maximum(self.tab, 1)
+            for seated in ((False, True) if self.first else (True,)):
+                base = (2 * i + seated) << 33
+                lo = min(FEW, len(self.c))
+                steps = int(self.c[lo]) if lo < len(self.c) else 0
+                for k in range(steps):
+                    self._step(k, lo, int(np.searchsorted(-self.c, -k, "left")), f, g, start, seated, base)
+                for j in range(lo):
+                    self._alone(j, float(f[j]), float(g[j]), int(start[j]), seated, base)
+            self.first = False
+        self.t[self.some] = self.tab
+
+    def _step(self, i: int, lo: int, hi: int, f: np.ndarray, g: np.ndarray, start: np.ndarray, seated: bool, base: int) -> None:
+        """Customer i of the dishes lo to hi."""
+        off, tab, c = self.off[lo:hi], self.tab[lo:hi], self.c[lo:hi]
+        if seated:
+            k = self.table[off + i]
+            self.size[off + k] -= 1
+            gone = np.flatnonzero(self.size[off + k] == 0)
+            tab[gone] -= 1
+            self.free[off[gone] + c[gone] - tab[gone] - 1] = k[gone]
+        n = c - 1 if seated else np.full(hi - lo, i)
+        new = np.maximum(f[lo:hi] + g[lo:hi] * (tab - start[lo:hi]), 1e-300)
+        old = n - self.d * tab
+        seed, step = self.seed[lo:hi], base + 64 * i
+        fresh = uniforms(seed, step) * (old + new) >= old
+        k = np.empty(hi - lo, np.int64)
+        todo = np.flatnonzero(~fresh)
+        while len(todo):
+            step += 2
+            r = (uniforms(seed[todo], step) * n[todo]).astype(np.int64)
+            if seated:
+                r += r >= i
+            pick = self.table[off[todo] + r]
+            size = self.size[off[todo] + pick]
+            k[todo] = pick
+            todo = todo[uniforms(seed[todo], step + 1) * size >= size - self.d]
+        at = np.flatnonzero(fresh)
+        k[at] = self.free[off[at] + c[at] - tab[at] - 1]
+        tab[at] += 1
+        self.size[off + k] += 1
+        self.table[off + i] = k
+
+    def _alone(self, j: int, f: float, g: float, start: int, seated: bool, base: int) -> None:
+        """All customers of dish j, one after the other."""
+        a, c, d = int(self.off[j]), int(self.c[j]), self.d
+        table, size, free = (x[a:a + c].tolist() for x in (self.table, self.size, self.free))
+        tab, draw = int(self.tab[j]), random.Random(int(self.seed[j]) + base).random
+        for i in range(c):
+            n = i
+            if seated:
+                n, k = c - 1, table[i]
+                size[k] -= 1
+                if not size[k]:
+                    tab -= 1
+                    free[c - tab - 1] = k
+            old = n - d * tab
+            if draw() * (old + max(f + g * (tab - start), 1e-300)) >= old:
+                k = free[c - tab - 1]
+                tab += 1
+            else:
+                while True:
+                    r = int(draw() * n)
+                    k = table[r + (seated and r >= i)]
+                    if draw() * size[k] < size[k] - d:
+                        break
+            size[k] += 1
+            table[i] = k
+        self.table[a:a + c], self.size[a:a + c], self.free[a:a + c], self.tab[j] = table, size, free, tab
+
+
 def seat(c: np.ndarray, fresh: np.ndarray, d: float, seed: np.ndarray, sweep: int) -> np.ndarray:
-    """Tables of c customers of one dish each; ``fresh`` is the weight (theta + d T) * parent probability of a new one.
-
-    Up to SEATS customers: sit down one after the other, then one Gibbs sweep in which each customer (drawn in
-    proportion to table sizes) gets up and sits down again. More: blocks that double, each opening its expected number
-    of tables, rounded at random."""
-    t = np.minimum(c, 1).astype(np.int64)
-    base = sweep << 20
-    few = np.flatnonzero((c > 1) & (c <= SEATS))
-    if len(few):
-        cc, f, s = c[few], fresh[few], seed[few]
-        size = np.zeros((len(few), SEATS), np.int64)
-        size[:, 0] = 1
-        tab = np.ones(len(few), np.int64)
-
-        def sit(on: np.ndarray, u: np.ndarray) -> None:
-            z = size[on]
-            w = np.where(z > 0, z - d, 0.0)
-            cum = np.cumsum(w, axis=1)
-            x = u * (cum[:, -1] + f[on])
-            new = x >= cum[:, -1]
-            k = np.where(new, np.argmin(z > 0, axis=1), (cum <= x[:, None]).sum(axis=1).clip(max=SEATS - 1))
-            size[on, k] += 1
-            tab[on] += new
-
-        for i in range(1, int(cc.max())):
-            on = np.flatnonzero(cc > i)
-            sit(on, uniforms(s[on], base + i))
-        for i in range(int(cc.max())):
-            on = np.flatnonzero(cc > i)
-            x = uniforms(s[on], base + 1000 + i) * cc[on]
-            k = (np.cumsum(size[on], axis=1) <= x[:, None]).sum(axis=1).clip(max=SEATS - 1)
-            size[on, k] -= 1
-            tab[on] -= size[on, k] == 0
-            sit(on, uniforms(s[on], base + 2000 + i))
-        t[few] = tab
-    many = np.flatnonzero(c > SEATS)
-    if len(many):
-        cc, f, s = c[many], fresh[many], seed[many]
-        tab, n, step = np.ones(len(many)), 1, 0
-        while (on := np.flatnonzero(cc > n)).size:
-            block = np.minimum(cc[on], 2 * n) - n
-            mid = n + block / 2
-            x = block * f[on] / np.maximum(mid - d * tab[on] + f[on], 1e-300)
-            tab[on] += np.floor(x + uniforms(s[on], base + 3000 + step))
-            n, step = 2 * n, step + 1
-        t[many] = np.minimum(tab, cc).astype(np.int64)
-    return t
+    """Tables of c customers of one dish each after one sweep; ``fresh`` is the weight of a new table."""
+    s = Seats(c, d, seed)
+    s.sweep(sweep, fresh, np.zeros(len(c)))
+    return s.t
 
 
 def discount(n1: int, n2: int) -> float:
     return min(max(n1 / (n1 + 2 * n2) if n1 + n2 else 0.5, 0.05), 0.95)
 
 
-class Rows:
-    """The (word, context) dishes of a batch of vocabulary rows, and their tables after a number of sweeps."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        self.words = batch.num_rows
-        dish, self.bounds = unpacked(batch.column(1), DISH)
-        self.ctx, self.c = np.ascontiguousarray(dish["ctx"]), np.ascontiguousarray(dish["n"])
-        self.own = np.repeat(np.arange(self.words), np.diff(self.bounds))
-        self.seed = batch.column(0).to_numpy().view(np.uint64)[self.own] ^ (self.ctx.astype(np.uint64) << np.uint64(56))
-        self.t = np.minimum(self.c, 1)
-
-    def root(self) -> np.ndarray:
-        """Tables of each word in all contexts: its customers in the root."""
-        return np.bincount(self.own, self.t, self.words)
-
-    def sweep(self, i: int, at: np.ndarray, d0: float, d1: float) -> None:
-        p = np.maximum(self.root() - d0, 0.0) / (THETA + at.sum())
-        self.t = seat(self.c, (THETA + d1 * at[self.ctx]) * np.maximum(p[self.own], 1e-12), d1, self.seed, i)
+class Group:
+    """The dishes of one group and the keys of their words (odd) and contexts (even), all and of dishes of two or more."""
+
+    def __init__(self, row: pa.Table, nodes: int):
+        row = row.combine_chunks()
+        get = lambda c, kind: unpacked(row.column(c).chunk(0), kind)[0]
+        self.q = row.column("q")[0].as_py()
+        w, u, self.c = get("w", "<u8"), get("u", "<u8"), get("c", "<i8")
+        self.chunk, self.bounds, self.at = get("chunk", "<i8"), get("bounds", "<i8"), get("at", "<u4")
+        self.seed = mixed(w + np.uint64(GOLD) * u)
+        self.nodes = nodes
+        both = np.concatenate([w | np.uint64(1), u & ~np.uint64(1)])
+        self.all = self._asked(both)
+        self.some = self._asked(both[np.tile(self.c > 1, 2)])
+
+    def _asked(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys by range, positions of each dish's word and context among them, ranges)."""
+        got, at = np.unique(keys, return_inverse=True)
+        r = (mixed(got >> np.uint64(1)) % np.uint64(self.nodes)).astype(np.int64)
+        order = np.argsort(r, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return got[order], rank[at], r[order]
+
+    def send(self, asked: tuple, values: list[np.ndarray]) -> pa.Table:
+        """Blobs of the keys and of the sums of ``values`` over their dishes, a row a range."""
+        keys, at, r = asked
+        vals = np.stack([np.bincount(at, np.tile(v, 2), len(keys)) for v in values], axis=1).reshape(-1)
+        got, lo = np.unique(r, return_index=True)
+        bounds = np.append(lo, len(r))
+        return pa.table({"r": got, "q": np.full(len(got), self.q), "keys": packed(keys, bounds),
+                         "vals": packed(vals.astype("<f8"), bounds * len(values))})
+
+    def told(self, asked: tuple, replies: pa.Table, step: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Totals of each dish's word and context (rows of k) in the replies of ``step``."""
+        mine = replies.filter(pc.equal(replies.column("step"), step)).sort_by("r")
+        vals = np.frombuffer(b"".join(mine.column("vals").to_pylist()), "<f8").reshape(-1, k)[asked[1]]
+        return vals[:len(vals) // 2], vals[len(vals) // 2:]
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
-    both = bucketed(staged(docs, id_col, text))
-    vocab = materialize(vocabulary(both.where("h is not null")), compression="zstd")
-
-    def job(states: list[np.ndarray], d0: float, d1: float) -> tuple[np.ndarray, dict[str, float]]:
-        """(T_u after the sweeps of ``states``, corpus statistics): one row a partition goes to the driver."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tabs, cust, stat = np.zeros(CLASSES), np.zeros(CLASSES), np.zeros(5)
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                r = Rows(b)
-                for i, at in enumerate(states):
-                    r.sweep(i + 1, at, d0, d1)
-                tabs += np.bincount(r.ctx, r.t, CLASSES)
-                cust += np.bincount(r.ctx, r.c, CLASSES)
-                t0 = r.root()
-                stat += [(t0 > 0).sum(), (r.c == 1).sum(), (r.c == 2).sum(), (t0 == 1).sum(), (t0 == 2).sum()]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tolist()], pa.list_(pa.float64())) for x in (tabs, cust, stat)],
-                                             names=["tabs", "cust", "stat"])
-
-        rows = map_arrow(vocab.select("h", "dishes"), run, "tabs array<double>, cust array<double>, stat array<double>")
-        cells = rows.select(*[F.col(c)[i].alias(f"{c}{i}") for c, k in (("tabs", CLASSES), ("cust", CLASSES), ("stat", 5))
-                              for i in range(k)])
-        s = cells.agg(*[F.sum(c).alias(c) for c in cells.columns]).first()
-        get = lambda c, k: np.array([s[f"{c}{i}"] or 0.0 for i in range(k)])
-        v, a1, a2, b1, b2 = get("stat", 5)
-        return get("tabs", CLASSES), {"cust": get("cust", CLASSES), "types": v, "d1": discount(a1, a2), "d0": discount(b1, b2)}
-
-    tabs, stat = job([], 0.5, 0.5)  # one table a dish
-    cust, types, d1 = stat["cust"], stat["types"], stat["d1"]
-    d0, total = stat["d0"], int(cust.sum())
-    states, after = [], []
-    for _ in range(1 + SAMPLES):
-        states.append(tabs)
-        tabs, stat = job(states, d0, d1)
-        after.append((tabs, stat["d0"]))
-
-    keep = [(now[0], (THETA + d1 * now[0]) / (THETA + cust) / SAMPLES, now[1]) for now in after[1:]]  # after burn-in
-    scale = THETA + cust
-
-    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Answers by chunk: word numbers, their counts, numbers of contexts, and log10 of the averaged probabilities."""
+    groups = nodes = 2 * partitions(docs)
+    both = bucketed(staged(docs, groups, id_col, text), "chunk")
+    static = bucketed(dishes(both.where("q is not null")), "q")
+
+    def exchange(sent: DataFrame, step: int, k: int) -> tuple[DataFrame, np.ndarray]:
+        """(totals of every key that a group sent, for the groups; sums over words: totals, and how many have 1, 2, more)."""
+
+        def totals(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            rows = rows.combine_chunks()
+            keys = unpacked(rows.column("keys").chunk(0), "<u8")
+            vals, bounds = unpacked(rows.column("vals").chunk(0), "<f8")
+            vals = vals.reshape(-1, k)
+            got, at = np.unique(keys[0], return_inverse=True)
+            total = np.stack([np.bincount(at, vals[:, j], len(got)) for j in range(k)], axis=1)
+            word = total[(got & np.uint64(1)) == 1]
+            stat = np.stack([word.sum(axis=0), (word == 1).sum(axis=0), (word == 2).sum(axis=0), (word > 0).sum(axis=0)])
+            none = pa.nulls(rows.num_rows, pa.list_(pa.float64()))
+            names, q, r = ["step", "q", "r", "vals", "stat"], rows.column("q").chunk(0), rows.column("r").chunk(0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), step)), q, r, packed(total[at].reshape(-1), bounds), none], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([step]), pa.array([-1]), r.slice(0, 1), pa.array([b""]),
+                                              pa.array([stat.reshape(-1).tolist()], pa.list_(pa.float64()))], names=names)
+
+        out = materialize(by_key(sent, "r", totals, "step long, q long, r long, vals binary, stat array<double>"), compression="zstd")
+        s = out.where("q = -1").agg(*[F.sum(F.col("stat")[i]) for i in range(4 * k)]).first()
+        return out.where("q >= 0").drop("stat"), np.array([x or 0.0 for x in s]).reshape(4, k)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            r = Rows(b)
-            own, root = np.zeros(len(r.c)), []
-            for i, at in enumerate(states):
-                r.sweep(i + 1, at, d0, d1)
-                if i:
-                    now, _, d = keep[i - 1]
-                    t0 = r.root()
-                    root.append(np.where(t0 > 0, t0 - d, THETA + d * types) / (THETA + now.sum()))
-                    own += np.maximum(r.c - d1 * r.t, 0.0) / scale[r.ctx] / SAMPLES
-            count = np.bincount(r.own, r.c, r.words).astype("<i8")
-            chunk, row_bounds = unpacked(b.column(2), "<i8")
-            seq, size, ask = (unpacked(b.column(i), k)[0] for i, k in ((3, "<u4"), (4, "u1"), (5, "u1")))
-            size = size.astype(np.int64)
-            word = np.repeat(np.arange(r.words), np.diff(row_bounds))  # of each asking row
-            of = np.repeat(word, size)  # of each asked context
-            p = sum(back[ask] * root[k][of] for k, (_, back, _) in enumerate(keep))
-            p = np.log10(p + own[np.searchsorted(r.own * CLASSES + r.ctx, of * CLASSES + ask)]).astype("<f4")
-            order = np.argsort(chunk, kind="stable")
-            first = np.cumsum(size) - size
-            got, lo = np.unique(chunk[order], return_index=True)
-            bounds = np.append(lo, len(order))
-            ends = np.concatenate([[0], np.cumsum(size[order])])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(got), packed(seq[order], bounds), packed(count[word[order]], bounds), packed(size[order].astype("u1"), bounds),
-                packed(p[ragged(first[order], size[order])], ends[bounds])], names=["chunk", "seq", "c", "size", "p"])
-
-    answers = map_arrow(vocab, price, "chunk long, seq binary, c binary, size binary, p binary")
+            for i in range(b.num_rows):
+                g = Group(pa.Table.from_batches([b.slice(i, 1)]), nodes)
+                yield from g.send(g.all, [g.c, np.minimum(g.c, 1), g.c == 1, g.c == 2]).combine_chunks().to_batches()
+
+    sent = "r long, q long, keys binary, vals binary"
+    replies, stat = exchange(map_arrow(static, first, sent), 0, 4)
+    total, types = int(stat[0, 0]), stat[3, 0]
+    d1, d0 = discount(stat[0, 2], stat[0, 3]), discount(stat[1, 1], stat[2, 1])
+    tables0 = stat[0, 1]
+    opened = [0.0]  # tables beyond one a dish after each sweep
+
+    def chain(g: Group, told: pa.Table, sweeps: int) -> Iterator[np.ndarray]:
+        """Tables of the group's dishes after each of the sweeps."""
+        s, some = Seats(g.c, d1, g.seed), g.c > 1
+        word, ctx = (x[:, 1][some] for x in g.told(g.all, told, 0, 4))
+        fresh, more = np.zeros(len(g.c)), np.zeros(len(g.c))
+        for i in range(1, sweeps + 1):
+            w, u = (x[:, 0] for x in g.told(g.some, told, i - 1, 1)) if i > 1 else (0.0, 0.0)
+            p = np.maximum((word + w - d0) / (THETA + tables0 + opened[i - 1]), 1e-12)
+            fresh[some], more[some] = (THETA + d1 * (ctx + u)) * p, d1 * p
+            s.sweep(i, fresh, more)
+            yield s.t.copy()
+
+    def job(fn, schema: str) -> DataFrame:
+        return static.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(fn, schema)
+
+    def swept(i: int):
+        def run(row: pa.Table, told: pa.Table) -> pa.Table:
+            g = Group(row, nodes)
+            *_, t = chain(g, told, i)
+            return g.send(g.some, [(t - np.minimum(g.c, 1))[g.c > 1]])
+
+        return run
+
+    for i in range(1, SWEEPS):
+        new, stat = exchange(job(swept(i), sent), i, 1)
+        opened.append(stat[0, 0])
+        replies = replies.unionAll(new)
+
+    def last(row: pa.Table, told: pa.Table) -> pa.Table:
+        g = Group(row, nodes)
+        return g.send(g.all, list(chain(g, told, SWEEPS))[1:])
+
+    new, stat = exchange(job(last, sent), SWEEPS, SAMPLES)
+    replies = replies.unionAll(new)
+    roots = [(stat[0, k], discount(stat[1, k], stat[2, k])) for k in range(SAMPLES)]
+
+    def price(row: pa.Table, told: pa.Table) -> pa.Table:
+        """Answers by chunk: the counts of its pairs' words and log10 of the pairs' averaged probabilities."""
+        g = Group(row, nodes)
+        word, ctx = g.told(g.all, told, 0, 4)
+        t_word, t_ctx = g.told(g.all, told, SWEEPS, SAMPLES)
+        scale, p = THETA + ctx[:, 0], np.zeros(len(g.c))
+        for k, t in enumerate(list(chain(g, told, SWEEPS))[1:]):
+            tabs, d = roots[k]
+            root = np.where(t_word[:, k] > 0, t_word[:, k] - d, THETA + d * types) / (THETA + tabs)
+            p += (np.maximum(g.c - d1 * t, 0.0) + (THETA + d1 * t_ctx[:, k]) * root) / scale / SAMPLES
+        return pa.table({"chunk": g.chunk, "q": np.full(len(g.chunk), g.q), "c": packed(word[:, 0].astype("<i8")[g.at], g.bounds),
+                         "p": packed(np.log10(p).astype("<f4")[g.at], g.bounds)})
+
+    answers = job(price, "chunk long, q long, c binary, p binary")
 
     def score(asks: pa.Table, told: pa.Table) -> pa.Table:
-        asks = asks.sort_by("seq")
-        join = lambda c, kind: np.frombuffer(b"".join(told.column(c).to_pylist()), kind)
-        seq, c, size, p = join("seq", "<u4"), join("c", "<i8"), join("size", "u1").astype(np.int64), join("p", "<f4")
-        order = np.argsort(seq)
-        c, p = c[order], p[ragged((np.cumsum(size) - size)[order], size[order])]
-        # numbering the texts' words again in the same order gives the same numbers, and the sorted distinct
-        # (word, context) pairs are the answers' probabilities in order
-        keys, starts = coded(Words(), asks.column("text").to_pylist())
-        at = np.unique(keys, return_inverse=True)[1]
-        own = c[keys // CLASSES]
+        told = told.sort_by("q")
+        c, p = (np.frombuffer(b"".join(told.column(x).to_pylist()), kind) for x, kind in (("c", "<i8"), ("p", "<f4")))
+        # the texts' distinct pairs by group and hashes are the answers in order
+        words = Words()
+        keys, starts = coded(words, asks.column("text").to_pylist())
+        at = pairs_of(words, keys, groups)[0]
+        own = c[at]
         base = np.log10((own + 0.5) / (total + 0.5 * (types + 1)))
         n = np.diff(np.append(starts, len(keys)))
         return pa.table({
@@ -393,7 +456,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
             "n_known": np.add.reduceat((own > 0).astype(np.int64), starts), "train_tokens": np.full(len(n), total, np.int64),
             "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(p[at].astype(np.float64), starts)})
 
-    asked = both.where("h is null").select("chunk", "seq", "doc_id", "held_out", "text")
+    asked = both.where("q is null").select("chunk", "doc_id", "held_out", "text")
     return asked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
