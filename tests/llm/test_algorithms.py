@@ -244,12 +244,16 @@ def test_seats_follow_the_conditional_of_a_dish():
             s.sweep(i, np.full(40, f), np.zeros(40))
         alone += np.bincount(s.t, minlength=5)
     assert abs(alone / alone.sum() - want).max() < 0.06
-    big = pitmanyor.Seats(np.full(60, 300), d, np.arange(60).astype(np.uint64))
-    big.sweep(1, np.full(60, 5.0), np.zeros(60))
+    big = pitmanyor.Seats(np.full(200, 300), d, np.arange(200).astype(np.uint64))
+    big.sweep(1, np.full(200, 5.0), np.zeros(200))
     before = big.t.copy()
-    big.sweep(2, np.full(60, 1e-9), np.zeros(60))
+    again = pitmanyor.Seats(np.full(200, 300), d, np.arange(200).astype(np.uint64))
+    again.load(big.table)
+    assert (again.size == big.size).all() and (again.t == big.t).all()
+    big = again  # written and read between sweeps
+    big.sweep(2, np.full(200, 1e-9), np.zeros(200))
     assert (big.t <= before).all() and (big.t > 1).any()
-    for k in range(60):
+    for k in range(200):
         a, m = big.off[k], int(big.c[k])
         z = big.table[a:a + m]
         assert (np.bincount(z, minlength=m) == big.size[a:a + m]).all() and len(set(z.tolist())) == big.tab[k]

@@ -10,8 +10,8 @@ a type and its new table is the one unknown type:
 
 Seatings are sampled by a Gibbs chain: in a sweep each customer of every dish gets up and sits down again, given the
 dish's other customers as they sit and the other dishes' tables of the last sweep. p is averaged over ``SAMPLES`` sweeps
-after one of burn-in; discounts come from the counts of counts. Draws depend on word, context and sweep alone: a job
-replays the chain from its start with the totals of each sweep, so no seating is stored and a recomputed task repeats it.
+after one of burn-in; discounts come from the counts of counts. Draws depend on word, context and sweep alone, so
+a recomputed task repeats them. The customers' tables are written once a sweep, and the next sweep goes on from them.
 
 Work: texts are cut into chunks of about ``CHUNK`` bytes. Each chunk sends its distinct (context, word) pairs with training
 counts, as 64-bit hashes in one blob for each group; a group is a hash of the word and ``SALT`` bits of the context, so that
@@ -45,7 +45,7 @@ from .common import by_key, map_arrow, materialize, partitions, texts
 
 CHUNK, SAMPLES, THETA = 24 << 20, 2, 1.0
 SWEEPS = 1 + SAMPLES
-SALT, FEW = 15, 48  # mask of the context's bits in a pair's group; so many dishes or more take a step together
+SALT, FEW = 15, 128  # mask of the context's bits in a pair's group; so many dishes or more take a step together
 GOLD = 0x9E3779B97F4A7C15
 
 
@@ -224,6 +224,18 @@ class Seats:
         self.free = (np.repeat(self.off + self.c - 1, self.c) - np.arange(n)).astype(np.int32)  # ids to open, the last first
         self.tab = np.zeros(len(self.c), np.int64)
 
+    def load(self, table: np.ndarray) -> None:
+        """Go on from the customers' tables of an earlier sweep."""
+        n, own = len(table), np.repeat(np.arange(len(self.c)), self.c)
+        self.table, self.first = table.astype(np.int32), False
+        self.size = np.bincount(self.off[own] + table, minlength=n).astype(np.int32)
+        none = np.flatnonzero(self.size == 0)  # ids to open, by dish
+        self.tab = np.bincount(own[self.size > 0], minlength=len(self.c)).astype(np.int64)
+        left = self.c - self.tab
+        at = np.arange(len(none)) - np.repeat(np.cumsum(left) - left, left)
+        self.free[self.off[own[none]] + at] = none - self.off[own[none]]
+        self.t[self.some] = self.tab
+
     def sweep(self, i: int, fresh: np.ndarray, more: np.ndarray) -> None:
         """Every customer gets up and sits down again; a new table weighs ``fresh`` + ``more`` per table opened since."""
         if len(self.c):
@@ -344,14 +356,14 @@ class Group:
 
     def told(self, asked: tuple, replies: pa.Table, step: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Totals of each dish's word and context (rows of k) in the replies of ``step``."""
-        mine = replies.filter(pc.equal(replies.column("step"), step)).sort_by("r")
+        mine = replies.filter(pc.and_(pc.equal(replies.column("step"), step), pc.greater_equal(replies.column("r"), 0))).sort_by("r")
         vals = np.frombuffer(b"".join(mine.column("vals").to_pylist()), "<f8").reshape(-1, k)[asked[1]]
         return vals[:len(vals) // 2], vals[len(vals) // 2:]
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
-    groups = nodes = 2 * partitions(docs)
+    groups, nodes = 2 * partitions(docs), partitions(docs)
     both = bucketed(staged(docs, groups, id_col, text), "chunk")
     static = bucketed(dishes(both.where("q is not null")), "q")
 
@@ -390,40 +402,41 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     tables0 = stat[0, 1]
     opened = [0.0]  # tables beyond one a dish after each sweep
 
-    def chain(g: Group, told: pa.Table, sweeps: int) -> Iterator[np.ndarray]:
-        """Tables of the group's dishes after each of the sweeps."""
-        s, some = Seats(g.c, d1, g.seed), g.c > 1
-        word, ctx = (x[:, 1][some] for x in g.told(g.all, told, 0, 4))
-        fresh, more = np.zeros(len(g.c)), np.zeros(len(g.c))
-        for i in range(1, sweeps + 1):
+    def kept(g: Group, told: pa.Table, step: int) -> Seats:
+        """The seatings of the group after a sweep; its blobs have range -1."""
+        s = Seats(g.c, d1, g.seed)
+        row = told.filter(pc.and_(pc.equal(told.column("step"), step), pc.equal(told.column("r"), -1)))
+        s.load(np.frombuffer(row.column("vals")[0].as_py(), "<i4"))
+        return s
+
+    def swept(i: int):
+        def run(row: pa.Table, told: pa.Table) -> pa.Table:
+            """Sends the group's new tables, and its seatings for the next sweep."""
+            g = Group(row, nodes)
+            s, some = kept(g, told, i - 1) if i > 1 else Seats(g.c, d1, g.seed), g.c > 1
+            word, ctx = (x[:, 1][some] for x in g.told(g.all, told, 0, 4))
             w, u = (x[:, 0] for x in g.told(g.some, told, i - 1, 1)) if i > 1 else (0.0, 0.0)
+            fresh, more = np.zeros(len(g.c)), np.zeros(len(g.c))
             p = np.maximum((word + w - d0) / (THETA + tables0 + opened[i - 1]), 1e-12)
             fresh[some], more[some] = (THETA + d1 * (ctx + u)) * p, d1 * p
             s.sweep(i, fresh, more)
-            yield s.t.copy()
+            if i < SWEEPS:
+                out = g.send(g.some, [(s.t - np.minimum(g.c, 1))[some]])
+            else:
+                out = g.send(g.all, [*(kept(g, told, k).t for k in range(2, SWEEPS)), s.t])
+            return pa.concat_tables([out, pa.table({"r": [-1], "q": [g.q], "keys": [b""], "vals": [s.table.astype("<i4").tobytes()]})])
+
+        return run
 
     def job(fn, schema: str) -> DataFrame:
         return static.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(fn, schema)
 
-    def swept(i: int):
-        def run(row: pa.Table, told: pa.Table) -> pa.Table:
-            g = Group(row, nodes)
-            *_, t = chain(g, told, i)
-            return g.send(g.some, [(t - np.minimum(g.c, 1))[g.c > 1]])
-
-        return run
-
-    for i in range(1, SWEEPS):
-        new, stat = exchange(job(swept(i), sent), i, 1)
+    for i in range(1, SWEEPS + 1):
+        out = materialize(job(swept(i), sent), compression="zstd")
+        new, stat = exchange(out.where("r >= 0"), i, 1 if i < SWEEPS else SAMPLES)
         opened.append(stat[0, 0])
-        replies = replies.unionAll(new)
-
-    def last(row: pa.Table, told: pa.Table) -> pa.Table:
-        g = Group(row, nodes)
-        return g.send(g.all, list(chain(g, told, SWEEPS))[1:])
-
-    new, stat = exchange(job(last, sent), SWEEPS, SAMPLES)
-    replies = replies.unionAll(new)
+        state = out.where("r = -1").select(F.lit(i).cast("long").alias("step"), "q", "r", "vals")
+        replies = replies.unionAll(new).unionAll(state)
     roots = [(stat[0, k], discount(stat[1, k], stat[2, k])) for k in range(SAMPLES)]
 
     def price(row: pa.Table, told: pa.Table) -> pa.Table:
@@ -432,8 +445,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
         word, ctx = g.told(g.all, told, 0, 4)
         t_word, t_ctx = g.told(g.all, told, SWEEPS, SAMPLES)
         scale, p = THETA + ctx[:, 0], np.zeros(len(g.c))
-        for k, t in enumerate(list(chain(g, told, SWEEPS))[1:]):
-            tabs, d = roots[k]
+        for k in range(SAMPLES):
+            t, (tabs, d) = kept(g, told, 2 + k).t, roots[k]
             root = np.where(t_word[:, k] > 0, t_word[:, k] - d, THETA + d * types) / (THETA + tabs)
             p += (np.maximum(g.c - d1 * t, 0.0) + (THETA + d1 * t_ctx[:, k]) * root) / scale / SAMPLES
         return pa.table({"chunk": g.chunk, "q": np.full(len(g.chunk), g.q), "c": packed(word[:, 0].astype("<i8")[g.at], g.bounds),
