@@ -1,4 +1,4 @@
-"""The queries of the ten operators and the SQL that states their results, where SQL can."""
+"""The queries of the numbered operators and the SQL that states their results, where SQL can."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import maxscore, mincut, neardup, orcids, packing, pitmanyor, pseudonyms, quality, viterbi, wordpiece
+from . import maxscore, metricjoin, mincut, neardup, orcids, packing, pitmanyor, pseudonyms, quality, viterbi, wordpiece
 from .common import table
 
 PII_KEY = "tidemark-demo-key"  # a deployment passes its own secret
@@ -23,6 +23,7 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nnls_packing": lambda s, d: packing.op8(table(s, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")),
     "op9_quality_rules": lambda s, d: quality.op9(table(s, d, "documents")),
     "op10_pitman_yor": lambda s, d: pitmanyor.op10(table(s, d, "documents")),
+    "op13_metric_join": lambda s, d: metricjoin.op13(table(s, d, "embeddings")),
 }
 
 SQL: dict[str, str] = {"op2_maxscore_topk": maxscore.SQL, "op9_quality_rules": quality.SQL}
