@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crossalign, maxscore, metricjoin, mincut, neardup, orcids, packing, pitmanyor, pseudonyms, quality, viterbi, wordpiece
+from . import crossalign, maxscore, metricjoin, mincut, neardup, orcids, packing, pitmanyor, pseudonyms, quality, turnrepair, viterbi, wordpiece
 from .common import table
 
 PII_KEY = "tidemark-demo-key"  # a deployment passes its own secret
@@ -26,6 +26,7 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nnls_packing": lambda s, d: packing.op8(table(s, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")),
     "op9_quality_rules": lambda s, d: quality.op9(table(s, d, "documents")),
     "op10_pitman_yor": lambda s, d: pitmanyor.op10(table(s, d, "documents")),
+    "op11_turn_repair": lambda s, d: turnrepair.op11(table(s, d, "conversations")),
     "op12_cross_alignment": lambda s, d: crossalign.op12(table(s, d, "documents"), TOKENIZERS),
     "op13_metric_join": lambda s, d: metricjoin.op13(table(s, d, "embeddings")),
 }
