@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm import crossalign as C
 
-FILES = C.Pair(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+FILES = C.Pair(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, True)
 SLOW = C.Pair(FILES.a, FILES.b)
 ODD = ["hello world, the tokenizer's end.", "hello world", "hello world", "", None, " ", "  two  spaces ", "tab\there\r\nnew\n\n\nlines \n", "a\x00b \x1c c\x85d\xa0e",
        "<|endoftext|> <s> </s> <unk> <0x41>", "lower ▁ bar", "naïve façade — “quoted” €5 1234567890", "日本語のテキスト。中文文本 한국어", "emoji 👩‍👩‍👧‍👦 🏳️‍🌈 𝔘𝔫𝔦", "x" * 3000,
@@ -91,6 +91,23 @@ def test_equals_brute_force(spark, rows):
     assert run(spark, rows, SLOW) == want
 
 
+def test_quick_encoders_equal_the_libraries(spark):
+    quick, slow = C.aligner(FILES), C.aligner(SLOW)
+    assert quick.quick is not None
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()] + ODD
+    words = "the it's of\n\nThe É été ßtraße Łódź ɏɏ 12,345.67 «x» ¿qué? a_b() == != \\frac{1}{2} http://x.y/z?q=1&r=2 ~~~~ ÆØÅ".split(" ")
+    texts += [" ".join(words[(i * k) % len(words)] for i in range(40)) for k in range(1, 30)] + ["a ", "\n", "\n a", "a \nb", "a\n\n\n", "x" * 399, "x" * 400]
+    plain = 0
+    for t in texts:
+        if t:
+            plain += bool(C.PLAIN.match(t))
+            x, y = quick.one(t.encode()), slow.one(t.encode())
+            assert (x is None) == (y is None)
+            assert x is None or (x.a.tolist() == y.a.tolist() and x.b.tolist() == y.b.tolist()), t
+    assert plain > 900
+    assert not any(C.PLAIN.match(t) for t in (" a", "a  b", "x" * 400, "\n" * 400, "a\tb", "▁"))
+
+
 def test_tree_shards_and_dealt_lookups(spark, rows, monkeypatch):
     """Many shards, a tree of several levels, and look-ups by shuffle in place of a broadcast."""
     monkeypatch.setattr(C, "SHARD", 200)

@@ -20,8 +20,10 @@ no tokens: zeros and an empty string. Strings of special tokens are ordinary tex
 null id, are documents of their own. Extra columns are ignored. An empty table gives no rows. Texts are read whole; a group
 of very many tokens is counted by its distinct ids.
 
-A's ids come from the ``tokenizers`` library. With ``ranks`` (the same vocabulary as ranks) plain texts go through
-``tiktoken``, which is faster; texts with characters outside ``PLAIN`` or with long runs always go through the library.
+Ids come from the ``tokenizers`` and ``sentencepiece`` libraries. With ``ranks`` (A's vocabulary as ranks) and ``merges`` (B merges
+by its pieces' scores, and every piece can be reached) plain texts (``PLAIN``: Latin letters, single spaces, no long runs) go
+through ``tiktoken`` for both, which gives the same ids faster: B's merges never cross into a space, and its letters of two bytes
+are merged first.
 """
 
 from __future__ import annotations
@@ -49,19 +51,22 @@ HELD = 2_000_000
 BROADCAST = 96 << 20
 SLICE = 4 << 20  # bytes of text aligned at once
 WIDE = 4096  # links of a group from which it is counted by distinct ids
-#: Characters and run lengths for which both encoders of A split alike and quickly.
-PLAIN = re.compile("(?!.*(?:\\S{400}|\\s{400}))[\n -~\xa1-ɏ‐-‧€一-龥]*\\Z", re.S)
+_INK = "[!-~\xa1-ɏ]"
+#: Texts on which the quick encoders agree with the libraries, with runs short enough for them.
+PLAIN = re.compile(f"\n{{0,399}}+(?:{_INK}{{1,399}}+(?: (?=\n|{_INK}|\\Z)|\n)(?:\n{{0,398}}+))*+{_INK}{{0,399}}+\\Z")
 ODD = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
 @dataclass(frozen=True)
 class Pair:
-    """Files of the two tokenizers; ``ranks`` and ``pattern`` are A's vocabulary as ranks and its split pattern, or None."""
+    """Files of the two tokenizers; for the quick way ``ranks`` and ``pattern``, A's vocabulary as ranks and its split pattern, and
+    ``merges``: B is a model that merges by scores."""
 
     a: str
     b: str
     ranks: str | None = None
     pattern: str | None = None
+    merges: bool = False
 
 
 class Aligner:
@@ -73,13 +78,6 @@ class Aligner:
 
         self.lib = Tokenizer.from_file(files.a)
         self.lib.encode_special_tokens = True
-        self.quick = None
-        if files.ranks:
-            import tiktoken
-
-            with open(files.ranks, "rb") as f:
-                ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, f)}
-            self.quick = tiktoken.Encoding("a", pat_str=files.pattern, mergeable_ranks=ranks, special_tokens={})
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in shown]
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
@@ -91,29 +89,50 @@ class Aligner:
         n = self.pieces.vocab_size()
         name = [self.pieces.id_to_piece(i) for i in range(n)]
         self.b_bytes = [bytes([int(s[3:5], 16)]) if self.pieces.is_byte(i) else s.replace("▁", " ").encode() for i, s in enumerate(name)]
+        self.quick = self.quick_encoders(files, name) if files.ranks and files.merges else None
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         width = max(len(self.a_bytes), n)
         #: decimal ids followed by a separator: "," inside a side, "|" after A, ";" after B
         self.shown = np.array([f"{i}{c}".encode() for c in ",|;" for i in range(width)]).reshape(3, width)
 
-    def a_ids(self, text: str) -> list[int]:
-        if self.quick is not None and PLAIN.match(text):
-            return self.quick.encode_ordinary(text)
-        return self.lib.encode(text, add_special_tokens=False).ids
+    def quick_encoders(self, files: Pair, name: list[str]):
+        """(encoder of A, encoder of B, B's ids by rank), or None if a piece of B can't be reached by merges."""
+        import tiktoken
+
+        with open(files.ranks, "rb") as f:
+            ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, f)}
+        a = tiktoken.Encoding("a", pat_str=files.pattern, mergeable_ranks=ranks, special_tokens={})
+        p = self.pieces
+        own = [i for i in range(len(name)) if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i)) and name[i] != "▁"]
+        # a line break is never merged, so what follows it is encoded as inside a word
+        alone = p.encode([name[i][1:].replace("▁", " ") if name[i][0] == "▁" else f"\n{name[i]}" for i in own], num_threads=1)
+        if any(got[0 if name[i][0] == "▁" else 2:] != [i] for i, got in zip(own, alone)):
+            return None
+        letters = [i for i in own if len(name[i]) == 1 and len(self.b_bytes[i]) == 2]
+        longer = sorted((i for i in own if len(name[i]) > 1), key=lambda i: -p.get_score(i))
+        of_byte = {bytes([int(name[i][3:5], 16)]): i for i in range(len(name)) if p.is_byte(i)}
+        of_byte |= {self.b_bytes[i]: i for i in range(len(name)) if len(name[i]) == 1 and len(self.b_bytes[i]) == 1}
+        ids = [*letters, *longer, *of_byte.values()]
+        keys = [*(self.b_bytes[i] for i in (*letters, *longer)), *of_byte]
+        b = tiktoken.Encoding("b", pat_str=" ?[^ ]+| ", mergeable_ranks={k: r for r, k in enumerate(keys)}, special_tokens={})
+        return a, b, np.array(ids, np.int64)
 
     def align(self, raws: list[bytes]) -> list[Aligned | None]:
         """One entry per text; None: no tokens."""
-        decoded = [r.decode("utf-8", "replace") for r in raws]
-        b = self.pieces.encode(decoded, num_threads=1)
-        return [self.one(r, t, bi) if r else None for r, t, bi in zip(raws, decoded, b)]
+        return [self.one(r) if r else None for r in raws]
 
-    def one(self, raw: bytes, text: str, b: list[int]) -> Aligned | None:
+    def one(self, raw: bytes) -> Aligned | None:
+        text = raw.decode("utf-8", "replace")
+        if self.quick is not None and PLAIN.match(text):  # nothing is lost in these
+            a, b, ids = self.quick
+            return Aligned(self, np.array(a.encode_ordinary(f" {text}"), np.int64), ids[np.array(b.encode_ordinary(f" {text}"), np.int64)])
         want = b" " + raw
-        a = self.a_ids(" " + text)
-        if b"".join(map(self.b_bytes.__getitem__, b)) != want or b"".join(map(self.a_bytes.__getitem__, a)) != want:
+        ids_a = self.lib.encode(f" {text}", add_special_tokens=False).ids
+        ids_b = self.pieces.encode(text)
+        if any(b"".join(map(names.__getitem__, ids)) != want for names, ids in ((self.a_bytes, ids_a), (self.b_bytes, ids_b))):
             return None
-        return Aligned(self, np.array(a, np.int64), np.array(b, np.int64))
+        return Aligned(self, np.array(ids_a, np.int64), np.array(ids_b, np.int64))
 
 
 class Aligned:
@@ -122,7 +141,7 @@ class Aligned:
     def __init__(self, by: Aligner, a: np.ndarray, b: np.ndarray):
         self.by, self.a, self.b = by, a, b
         ends_a, ends_b = np.cumsum(by.a_size[a]), np.cumsum(by.b_size[b])
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        cuts = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a]
         self.ga, self.gb = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
         self.groups = len(cuts)
         self.na, self.nb = np.bincount(self.ga, minlength=self.groups), np.bincount(self.gb, minlength=self.groups)

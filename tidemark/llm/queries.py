@@ -13,7 +13,7 @@ from .common import table
 PII_KEY = "tidemark-demo-key"  # a deployment passes its own secret
 
 TOKENIZERS = crossalign.Pair(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
-                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, merges=True)
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mincut_extract": lambda s, d: mincut.op1(table(s, d, "pages")),
