@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.keys import primary_key
 from tidemark.functions.scalars import FAMILY
 
 # MySQL base type -> type name of the published SQL table (19 entries, as published).
@@ -52,22 +53,27 @@ def column_pieces(create_payload) -> Column:
     ``double(18,2)``, composite keys and generated expressions of any depth do not produce or hide columns."""
     s = F.regexp_replace(_c(create_payload), QUOTED_RX, "''")
     s = F.regexp_replace(s, r"^\s*\(", "")
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("out"))
+    # texts between parentheses, each with the parenthesis before it: few pieces even in a long CREATE
+    parts = F.regexp_extract_all(s, F.lit(r"(?s)[()]?[^()]*+"), 0)
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
 
-    def step(a, ch):
-        depth = F.when(a["depth"] < 0, a["depth"]).when(ch == "(", a["depth"] + 1).when(ch == ")", a["depth"] - 1) \
+    def step(a, part):
+        first = F.substring(part, 1, 1)
+        depth = F.when(a["depth"] < 0, a["depth"]).when(first == "(", a["depth"] + 1).when(first == ")", a["depth"] - 1) \
             .otherwise(a["depth"])
-        keep = (a["depth"] == 0) & ~ch.isin("(", ")")
-        return F.struct(depth.alias("depth"), F.concat(a["out"], F.when(keep, ch).otherwise("")).alias("out"))
+        text = F.when(first.isin("(", ")"), F.substring(part, F.lit(2), F.length(part))).otherwise(part)
+        return F.struct(depth.alias("depth"), F.when(depth == 0, F.concat(a["out"], F.array(text))).otherwise(a["out"]).alias("out"))
 
-    s = F.aggregate(F.split(s, ""), start, step, lambda a: a["out"])
+    s = F.aggregate(parts, start, step, lambda a: F.array_join(a["out"], ""))
     return F.filter(F.transform(F.split(s, ","), F.trim), lambda x: x.startswith("`"))
 
 
 def parse_ddl(df: DataFrame, payload: str = "payload", keep: list[str] | None = None) -> DataFrame:
-    """one row per column: keep…, pos (0 = key), column, mysql_type, unsigned, precision, scale."""
+    """one row per column: keep…, pos, column, mysql_type, unsigned, precision, scale, key_pos (place in the
+    PRIMARY KEY from 1; 0 outside it)."""
     keep = keep if keep is not None else [c for c in df.columns if c != payload]
-    ex = df.select(*keep, payload, F.posexplode(column_pieces(payload)).alias("pos", "piece"))
+    ex = df.select(*keep, payload, primary_key(_c(payload), QUOTED_RX).alias("_key"),
+                   F.posexplode(column_pieces(payload)).alias("pos", "piece"))
     name = F.regexp_extract("piece", r"^`([^`]+)`", 1)
     mtype = F.lower(F.regexp_extract("piece", r"^`[^`]+`\s+([A-Za-z]+)", 1))
     # precision/scale come from the original text (they were removed with the parentheses)
@@ -80,6 +86,7 @@ def parse_ddl(df: DataFrame, payload: str = "payload", keep: list[str] | None =
         F.lower(F.col("piece")).rlike(r"\bunsigned\b").alias("unsigned"),
         F.call_function("regexp_extract", F.col(payload), args_rx, F.lit(1)).try_cast("int").alias("precision"),
         F.call_function("regexp_extract", F.col(payload), args_rx, F.lit(2)).try_cast("int").alias("scale"),
+        F.array_position("_key", name).cast("int").alias("key_pos"),
     )
 
 
@@ -116,7 +123,7 @@ def typed_read(value, sql_type: str) -> Column:
     if sql_type == "string":
         return v
     if sql_type == "binary":
-        return F.encode(v, "UTF-8")
+        return v.cast("binary")  # the bytes as they are
     return v.try_cast(sql_type)
 
 

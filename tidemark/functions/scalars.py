@@ -81,11 +81,6 @@ def bare(column) -> Column:
     return F.regexp_replace(_c(column), "^" + FAMILY + ":", "")
 
 
-def table_name(namespace, tbl) -> Column:
-    """F16: published table name 'namespace_table'."""
-    return F.concat_ws("_", _c(namespace), _c(tbl))
-
-
 def round1(x) -> Column:
     """elapsed seconds rounded to one decimal."""
     return F.round(_c(x), 1)

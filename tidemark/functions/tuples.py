@@ -1,8 +1,13 @@
-"""Tuple-list parsing (F11) and MySQL string unescaping (F12), natively in the JVM.
+"""Tuple-list parsing (F11) and MySQL literal values (F12), natively in the JVM and exact to the byte.
 
-An INSERT payload is ``(v,v,...),(v,...)``; values are numbers, NULL or single-quoted strings with backslash escapes.
-Outside quotes there is no nesting, so regular expressions suffice. Only possessive quantifiers are used: Java's
-backtracking recursion on an ordinary ``(a|b)*`` group overflows the stack on long escaped strings.
+An INSERT payload is ``(v,v,...),(v,...)``; values are numbers, NULL, single-quoted strings with backslash escapes, strings
+with a charset introducer (``_binary '..'``), and hexadecimal and bit literals (``0x..``, ``x'..'``, ``b'..'``). Outside quotes
+there is no nesting, so regular expressions suffice. Only possessive quantifiers are used: Java's backtracking recursion on an
+ordinary ``(a|b)*`` group overflows the stack on long escaped strings.
+
+A dump line may hold any bytes (a blob is written as it is), and a regular expression over text that is not valid UTF-8
+would lose them. So a payload is parsed in its *byte view*, a string with one character per byte (ISO-8859-1), and values
+go back to bytes at the end. Text of any charset comes out with the bytes it has in the dump.
 """
 
 from __future__ import annotations
@@ -12,8 +17,9 @@ from pyspark.sql import functions as F
 
 # Fixed patterns (Java regex syntax).
 TUPLE_RX = r"(?s)\((?:[^'()]++|'(?:[^'\\]++|\\.|'')*+')*+\)"
-FIELD_RX = r"(?s)'(?:[^'\\]++|\\.|'')*+'|[^,()']++"
+FIELD_RX = r"(?s)\s*+(?:_[A-Za-z0-9]++\s*+|[xXbBnN])?+'(?:[^'\\]++|\\.|'')*+'\s*+|[^,()']++"
 NULL_TOKEN = "NULL"
+VIEW = "ISO-8859-1"
 # MySQL escape sequences that stand for a control character; any other backslash just keeps the next character.
 ESCAPES = [("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\0", "\u0000"), ("\\Z", "\u001a"), ("\\b", "\u0008")]
 
@@ -22,19 +28,26 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def byte_view(text) -> Column:
+    """A string with one character per byte of ``text``."""
+    return F.decode(_c(text).cast("binary"), VIEW)
+
+
+def from_view(view) -> Column:
+    """The string (of any bytes) whose byte view this is."""
+    return F.encode(_c(view), VIEW).cast("string")
+
+
 def split_tuples(payload) -> Column:
-    """Array of tuple texts ``(…)`` in order."""
-    return F.regexp_extract_all(_c(payload), F.lit(TUPLE_RX), 0)
+    """Array of tuple texts ``(…)`` in order, in the byte view."""
+    return F.regexp_extract_all(byte_view(payload), F.lit(TUPLE_RX), 0)
 
 
 def split_fields(tuple_text) -> Column:
     """Array of raw field tokens of one tuple text (outer parentheses included or not)."""
     t = _c(tuple_text)
     inner = F.regexp_replace(F.regexp_replace(t, r"^\s*\(", ""), r"\)\s*$", "")
-    return F.transform(
-        F.regexp_extract_all(inner, F.lit(FIELD_RX), 0),
-        lambda x: F.when(x.startswith("'"), x).otherwise(F.trim(x)),
-    )
+    return F.transform(F.regexp_extract_all(inner, F.lit(FIELD_RX), 0), lambda x: F.trim(x))
 
 
 def unescape_part(p: Column) -> Column:
@@ -54,14 +67,38 @@ def unescape(token) -> Column:
     return F.when(t.startswith("'"), F.array_join(F.transform(parts, unescape_part), "\\")).otherwise(t)
 
 
+def _bits_hex(bits: Column) -> Column:
+    """Hexadecimal digits of a string of bits, padded to whole bytes on the left."""
+    n = F.ceil(F.length(bits) / 8).cast("int")
+    padded = F.lpad(bits, n * 8, "0")
+    byte = lambda i: F.lpad(F.conv(F.substring(padded, i * 8 + 1, F.lit(8)), 2, 16), 2, "0")
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), byte), "")).otherwise("")
+
+
+def literal_view(token) -> Column:
+    """Byte view of the value of one field token (not NULL)."""
+    t = _c(token)
+    quoted = F.substring(t, F.instr(t, "'"), F.length(t))  # without an introducer
+    body = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    of_hex = lambda h: F.decode(F.unhex(h), VIEW)
+    first = F.substring(t, 1, 1)
+    return (F.when(first == "'", unescape(t))
+            .when((first == "0") & t.rlike("^0[xX][0-9A-Fa-f]+$"), of_hex(F.substring(t, F.lit(3), F.length(t))))
+            .when(~t.endswith("'"), t)
+            .when(first.isin("x", "X"), of_hex(body))
+            .when(first.isin("b", "B"), of_hex(_bits_hex(body)))
+            .otherwise(unescape(quoted)))
+
+
 def token_value(token, literal_nulls: bool = False) -> tuple[Column, Column]:
     """(value, is_null) of one field token. Corrected mode keeps SQL NULL as a real null flagged ``is_null``;
     ``literal_nulls`` reproduces the 4-character string 'NULL'."""
     t = _c(token)
-    is_null = (t == F.lit(NULL_TOKEN)) & ~t.startswith("'")
+    is_null = t == F.lit(NULL_TOKEN)
+    value = from_view(literal_view(t))
     if literal_nulls:
-        return unescape(t), F.lit(False)
-    return F.when(is_null, F.lit(None).cast("string")).otherwise(unescape(t)), is_null
+        return value, F.lit(False)
+    return F.when(is_null, F.lit(None).cast("string")).otherwise(value), is_null
 
 
 def explode_payload(df: DataFrame, payload: str = "payload", literal_nulls: bool = False,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import Key, row_key
 from tidemark.functions.scalars import FAMILY, zero_pad
 from tidemark.functions.tuples import split_fields, split_tuples, token_value
 
@@ -41,11 +42,12 @@ def _arity_checked(rows: DataFrame, n: Column) -> DataFrame:
 
 
 def rows_to_cells(rows: DataFrame, columns: list[str] | None = None, names: str | None = None,
-                  literal_nulls: bool = False, keep: list[str] | None = None) -> DataFrame:
-    """(keep…, row_key, row_id, column, value, is_null). Position 0 is the key (padded row_key, bigint row_id).
+                  literal_nulls: bool = False, keep: list[str] | None = None, key: Key | None = None) -> DataFrame:
+    """(keep…, row_key, row_id, column, value, is_null).
 
-    Either ``columns`` (the table's column list) or ``names`` (an array column of column names) is given.
-    A field/column count mismatch raises."""
+    Either ``columns`` (the table's column list, with its ``key``) or ``names`` (an array column of column names) is given.
+    Without a key position 0 is the key (padded row_key, bigint row_id) and no cell; a key of one integer column is no cell
+    either; the columns of any other key are cells like the rest. A field/column count mismatch raises."""
     keep = keep if keep is not None else [c for c in rows.columns if c not in ("fields", names)]
     if columns is not None:
         name_arr = F.array(*[F.lit(c) for c in columns])
@@ -54,23 +56,42 @@ def rows_to_cells(rows: DataFrame, columns: list[str] | None = None, names: str
         name_arr = F.col(names)
         n = F.size(names)
     r = _arity_checked(rows, n)
-    key_v, _ = token_value(F.element_at("fields", 1))
-    r = r.select(*keep, zero_pad(key_v).alias("row_key"), key_v.try_cast("bigint").alias("row_id"),
-                 name_arr.alias("_names"), "fields")
-    n = F.lit(len(columns)) if columns is not None else F.size("_names")
-    c = r.select(*keep, "row_key", "row_id",
-                 F.posexplode(F.arrays_zip(F.slice("fields", 2, n - 1).alias("tok"),
-                                           F.slice("_names", 2, n - 1).alias("name"))).alias("_p", "_z"))
+    k, i = key_columns(columns, key)
+    r = r.select(*keep, k.alias("row_key"), i.alias("row_id"),
+                 F.arrays_zip(F.col("fields").alias("tok"), name_arr.alias("name")).alias("_zip"))
+    if key is None:
+        body = F.slice("_zip", 2, F.size("_zip"))
+    else:
+        body = F.filter("_zip", lambda z: z["name"] != F.lit(key.columns[0])) if key.plain else F.col("_zip")
+    c = r.select(*keep, "row_key", "row_id", F.explode(body).alias("_z"))
     value, is_null = token_value(F.col("_z.tok"), literal_nulls)
     return c.select(*keep, "row_key", "row_id", F.concat(F.lit(FAMILY + ":"), F.col("_z.name")).alias("column"),
                     value.alias("value"), is_null.alias("is_null"))
 
 
+def key_columns(columns: list[str] | None, key: Key | None) -> tuple[Column, Column]:
+    """(row_key, row_id) of a row's ``fields``."""
+    if key is None:
+        first, _ = token_value(F.element_at("fields", 1))
+        return zero_pad(first), first.try_cast("bigint")
+    return row_key([token_value(F.element_at("fields", columns.index(c) + 1))[0] for c in key.columns], key)
+
+
 def chunk_cells(chunks: DataFrame, columns: list[str], literal_nulls: bool = False,
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None, key: Key | None = None) -> DataFrame:
     """F11 + P9 for one table: chunk frame with ``payload`` -> cells."""
     rows = chunk_rows(chunks, keep=keep)
-    return rows_to_cells(rows, columns, literal_nulls=literal_nulls)
+    return rows_to_cells(rows, columns, literal_nulls=literal_nulls, key=key)
+
+
+def last_puts(cells: DataFrame, order: list[str], group: list[str] | None = None) -> DataFrame:
+    """One cell per (group…, row_key, column): the last put by ``order`` wins, and ``n_puts`` tells how many there were
+    (more than one: rows of a dump share a key)."""
+    keys = [*(group or []), "row_key", "column"]
+    rest = [c for c in cells.columns if c not in (*keys, *order)]
+    last = F.max_by(F.struct(*rest), F.struct(*order))
+    return cells.groupBy(*keys).agg(last.alias("_l"), F.count(F.lit(1)).alias("n_puts")).select(
+        *keys, *[F.col(f"_l.{c}").alias(c) for c in rest], "n_puts")
 
 
 def chunk_id_range(rows_or_cells: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import bare
-
 CELL_KEY = ["row_key", "column"]
 MAX_VERSIONS = 999  # versions kept per published cell
 
@@ -20,18 +18,13 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _carry(df: DataFrame, extra: list[str] | None) -> list[str]:
-    base = {"row_key", "row_id", "column", "ts", "value", "is_null"}
-    return [c for c in (extra or []) if c in df.columns and c not in base]
-
-
 def latest(cells: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """A5: newest version per cell (row_key, column [, group…]) with its own ts."""
+    """A5: newest version per cell (row_key, column [, group…]) with its own ts; of versions with the same ts the one
+    with the greatest value, so a read never picks by chance."""
     group = group or []
     keys = group + CELL_KEY
-    v = F.max_by(F.struct("value", "is_null", "row_id"), "ts")
-    return cells.groupBy(*keys).agg(v.alias("v"), F.max("ts").alias("ts")).select(
-        *keys, F.col("v.row_id").alias("row_id"), "ts", F.col("v.value").alias("value"),
+    return cells.groupBy(*keys).agg(F.max(F.struct("ts", "value", "is_null", "row_id")).alias("v")).select(
+        *keys, F.col("v.row_id").alias("row_id"), F.col("v.ts").alias("ts"), F.col("v.value").alias("value"),
         F.col("v.is_null").alias("is_null"),
     )
 
@@ -66,33 +59,63 @@ def cap_versions(cells: DataFrame, n: int = MAX_VERSIONS, group: list[str] | Non
     return versions(cells, n, group).drop("version")
 
 
+def _events(cells: DataFrame, tombstones: DataFrame, read_ts, mode: str, group: list[str]) -> DataFrame:
+    """Cells and tombstones as one stream (``_dead`` marks a tombstone), all events of a row in one partition: the only
+    exchange of a masked read. Reads as of a time see what happened by then; ``literal`` tombstones have always happened."""
+    t = tombstones.select(*group, *CELL_KEY, "ts")
+    if read_ts is not None:
+        cells = cells.filter(F.col("ts") <= F.lit(read_ts))
+        t = t.filter(F.col("ts") <= F.lit(read_ts)) if mode == "corrected" else t
+    return cells.withColumn("_dead", F.lit(False)).unionByName(t.withColumn("_dead", F.lit(True)), allowMissingColumns=True) \
+        .repartition(*group, "row_key")
+
+
 def mask_tombstones(cells: DataFrame, tombstones: DataFrame, read_ts=None, mode: str = "corrected",
                     group: list[str] | None = None) -> DataFrame:
-    """Drop every cell version covered by a tombstone of its cell or of its whole row (column null).
+    """K8: every cell version not covered by a tombstone of its cell or of its whole row (column null).
 
     A tombstone at t covers all versions with ts <= t; later versions survive. ``literal`` applies tombstones
-    regardless of the read time (the store behaviour); ``corrected`` only those with ts <= read_ts. Tombstones are
-    reduced to one max(ts) per cell and per row first, so the masking is two equi joins (no non-equi anti join)."""
+    regardless of the read time (the store behaviour); ``corrected`` only those with ts <= read_ts. Tombstones are events of
+    their row, resolved by windows in the rows' own partitioning."""
+    group = group or []
+    row = Window.partitionBy(*group, "row_key")
+    cell = Window.partitionBy(*group, *CELL_KEY)
+    dead = F.when(F.col("_dead"), F.col("ts"))
+    e = _events(cells, tombstones, read_ts, mode, group)
+    e = e.withColumn("_tr", F.max(F.when(F.col("column").isNull(), dead)).over(row)).withColumn("_tc", F.max(dead).over(cell))
+    last = F.greatest("_tr", "_tc")  # ignores nulls
+    return e.filter(~F.col("_dead") & (last.isNull() | (F.col("ts") > last))).drop("_dead", "_tr", "_tc")
+
+
+def masked_states(cells: DataFrame, tombstones: DataFrame, bounds: dict[str, int | None], mode: str = "corrected",
+                  group: list[str] | None = None) -> DataFrame:
+    """(group…, row_key, column, <name>…): for each bound (None: no bound) the newest version that no tombstone covers, as a
+    struct (ts, value, is_null, row_id), null where nothing is visible. A version is visible if it is newer than the newest
+    tombstone of its cell and of its row, so one aggregation keyed by the row answers all bounds."""
     group = group or []
-    t = tombstones
-    if mode == "corrected" and read_ts is not None:
-        t = t.filter(F.col("ts") <= F.lit(read_ts))
-    per_cell = t.filter(F.col("column").isNotNull()).groupBy(*group, *CELL_KEY).agg(F.max("ts").alias("_tc"))
-    per_row = t.filter(F.col("column").isNull()).groupBy(*group, "row_key").agg(F.max("ts").alias("_tr"))
-    out = cells.join(per_cell, group + CELL_KEY, "left").join(per_row, group + ["row_key"], "left")
-    keep = (F.col("_tc").isNull() | (F.col("ts") > F.col("_tc"))) & (
-        F.col("_tr").isNull() | (F.col("ts") > F.col("_tr")))
-    return out.filter(keep).drop("_tc", "_tr")
+    seen = lambda b: F.lit(True) if b is None else F.col("ts") <= F.lit(b)
+    past = lambda b: seen(b) if mode == "corrected" else F.lit(True)
+    top = max(bounds.values()) if all(b is not None for b in bounds.values()) else None
+    v = F.struct("ts", "value", "is_null", "row_id")
+    aggs = [x for n, b in bounds.items() for x in (
+        F.max(F.when(~F.col("_dead") & seen(b), v)).alias(n), F.max(F.when(F.col("_dead") & past(b), F.col("ts"))).alias(f"_t_{n}"))]
+    g = _events(cells, tombstones, top, mode, group).groupBy(*group, *CELL_KEY).agg(*aggs)
+    row = Window.partitionBy(*group, "row_key")
+    for n in bounds:  # no exchange: the rows' partitioning holds for their cells
+        whole = F.max(F.when(F.col("column").isNull(), F.col(f"_t_{n}"))).over(row)
+        last = F.greatest(whole, F.col(f"_t_{n}"))
+        g = g.withColumn(n, F.when(last.isNull() | (F.col(f"{n}.ts") > last), F.col(n)))
+    return g.filter(F.col("column").isNotNull()).select(*group, *CELL_KEY, *bounds)
 
 
 def masked_asof(cells: DataFrame, tombstones: DataFrame | None, ts=None, mode: str = "corrected",
                 group: list[str] | None = None) -> DataFrame:
     """S16 + J8: as-of state after tombstones."""
-    if tombstones is not None:
-        if ts is not None:
-            cells = cells.filter(F.col("ts") <= F.lit(ts))
-        cells = mask_tombstones(cells, tombstones, ts, mode, group)
-    return asof(cells, ts, group)
+    if tombstones is None:
+        return asof(cells, ts, group)
+    g = masked_states(cells, tombstones, {"v": ts}, mode, group).filter(F.col("v").isNotNull())
+    return g.select(*(group or []), *CELL_KEY, F.col("v.row_id").alias("row_id"), F.col("v.ts").alias("ts"),
+                    F.col("v.value").alias("value"), F.col("v.is_null").alias("is_null"))
 
 
 def pivot_state(state: DataFrame, columns: list[str], group: list[str] | None = None,
@@ -107,19 +130,35 @@ def pivot_state(state: DataFrame, columns: list[str], group: list[str] | None =
 
 
 def asof_wide(cells: DataFrame, columns: list[str], ts=None, group: list[str] | None = None,
-              strip_family: bool = True) -> DataFrame:
-    """A5 + A11 fused: one row per row_key with the latest value of each cell as of ``ts`` — a single aggregation
-    keyed by row_key (one shuffle instead of two); partial aggregation collapses versions map-side."""
+              strip_family: bool = True, tombstones: DataFrame | None = None) -> DataFrame:
+    """A5 + A11 (+ J8) fused: one row per row_key with the latest value of each cell as of ``ts`` — a single aggregation
+    keyed by row_key (one shuffle instead of two); partial aggregation collapses versions map-side. Tombstones (corrected) are
+    further events of that aggregation; a row without a visible cell is absent."""
     group = group or []
     if ts is not None:
         cells = cells.filter(F.col("ts") <= (ts if isinstance(ts, Column) else F.lit(ts)))
-    aggs = []
-    for c in columns:
-        name = c.split(":", 1)[1] if (strip_family and ":" in c) else c
-        aggs.append(F.max_by(F.col("value"), F.when(F.col("column") == c, F.col("ts"))).alias(name))
-    return cells.groupBy(*group, "row_key").agg(F.max("row_id").alias("row_id"), *aggs)
-
-
-def cell_names(state: DataFrame) -> DataFrame:
-    """Distinct bare column names present in a state frame."""
-    return state.select(bare("column").alias("column")).distinct()
+    names = {c: c.split(":", 1)[1] if (strip_family and ":" in c) else c for c in columns}
+    newest = {c: F.max(F.when(F.col("column") == c, F.struct("ts", "value"))) for c in columns}
+    if tombstones is None:
+        return cells.groupBy(*group, "row_key").agg(
+            F.max("row_id").alias("row_id"), *[newest[c]["value"].alias(n) for c, n in names.items()])
+    t = tombstones.select(*group, *CELL_KEY, "ts")
+    t = t if ts is None else t.filter(F.col("ts") <= (ts if isinstance(ts, Column) else F.lit(ts)))
+    e = cells.withColumn("_dead", F.lit(False)).unionByName(t.withColumn("_dead", F.lit(True)), allowMissingColumns=True)
+    own = lambda c: F.col("column").isNull() if c is None else F.col("column") == c
+    dead = lambda c: F.max(F.when(F.col("_dead") & own(c), F.col("ts")))
+    live = lambda c: F.max(F.when(~F.col("_dead") & own(c), F.struct("ts", "value")))
+    others = F.max(F.when(~F.col("_dead") & ~F.col("column").isin(columns), F.col("ts"))) if columns else F.max(F.when(~F.col("_dead"), F.col("ts")))
+    g = e.groupBy(*group, "row_key").agg(
+        F.max("row_id").alias("row_id"), dead(None).alias("_row"), others.alias("_other"),
+        *[x for i, c in enumerate(columns) for x in (live(c).alias(f"_v{i}"), dead(c).alias(f"_t{i}"))])
+    shown = []
+    for i in range(len(columns)):
+        last = F.greatest("_row", f"_t{i}")
+        shown.append(F.col(f"_v{i}").isNotNull() & (last.isNull() | (F.col(f"_v{i}.ts") > last)))
+    # cells of columns that are not asked for keep a row alive too
+    alive = F.col("_other").isNotNull() & (F.col("_row").isNull() | (F.col("_other") > F.col("_row")))
+    for s in shown:
+        alive = alive | s
+    return g.filter(alive).select(*group, "row_key", "row_id", *[
+        F.when(s, F.col(f"_v{i}.value")).alias(n) for i, (s, n) in enumerate(zip(shown, names.values()))])

@@ -50,11 +50,6 @@ def has_data(manifest: DataFrame, tables: DataFrame) -> DataFrame:
         "tbl_name", F.coalesce("has_data", F.lit(False)).alias("has_data"))
 
 
-def any_rows(df: DataFrame) -> bool:
-    """P12 / O5 for one frame: existence probe (limit 1, no column read)."""
-    return not df.select(F.lit(1)).limit(1).isEmpty()
-
-
 def manifest_wide(ddl: DataFrame, views: DataFrame, manifest: DataFrame, meta: DataFrame) -> DataFrame:
     """U4: the per-dump manifest as one long (namespace, dump_ts, family, key, value) frame — the union of the
     tables/views/hashes/meta families. ``map_from_entries`` over it gives the wide map per dump."""

@@ -18,25 +18,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ddl import parse_ddl, with_types
-from tidemark.functions.tuples import token_value
-from tidemark.functions.scalars import zero_pad
+from tidemark.functions.keys import Key, key_of
 from tidemark.operators import diff as D
+from tidemark.operators import history as H
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import bounded_broadcast, bounded_broadcast_n, chunk_cells, chunk_id_range, chunk_rows
+from tidemark.operators.cells import bounded_broadcast, chunk_cells, chunk_id_range, chunk_rows, key_columns, last_puts
 from tidemark.session import checkpointed
 
 HISTORY_COLS = ["row_key", "row_id", "column", "ts", "value", "is_null"]
 # md5 sets of new/removed chunks (32-byte keys) are broadcast to the chunk scan below this count, so payloads are
 # filtered where they are read; above it the semi join shuffles (AQE may still pick broadcast at run time).
 NEW_CHUNK_BROADCAST_ROWS = 2_000_000
+POINT_LOOKUP_KEYS = 200  # so few chunk keys become a filter of the scan, which row group statistics answer
 KEY_BROADCAST_ROWS = 1_000_000  # incoming row keys (≤ ~40 B each) broadcast to the history scan below this count
 
 
 @dataclass
 class Staged:
     """Staging tables (Parquet or derived frames)."""
-    manifest: DataFrame  # namespace, tbl_name, dump_ts, seq, md5
-    chunks: DataFrame    # namespace, tbl_name, md5, payload
+    manifest: DataFrame  # namespace, tbl_name, dump_ts, seq, md5[, first_stage]
+    chunks: DataFrame    # namespace, tbl_name, md5, payload[, first_stage: partition that holds the chunk]
     ddl: DataFrame       # namespace, dump_ts, name, stmt
     views: DataFrame | None = None  # namespace, dump_ts, name, stmt
     columns: dict = field(default_factory=dict, repr=False)  # column lists read so far
@@ -55,6 +56,7 @@ class StepResult:
     next_ts: int | None = None
     columns: list[str] = field(default_factory=list)
     tombstones: DataFrame | None = None  # apply_deletes: (row_key, column|null, ts) to add, publish_id = when
+    duplicates: DataFrame | None = None  # (row_key, n_puts) of keys that several rows of the new chunks share
 
     @property
     def cells(self) -> DataFrame:
@@ -77,60 +79,63 @@ def table_schema(staged: Staged, namespace: str, tbl: str, when: int, native: bo
 
 def table_columns(staged: Staged, namespace: str, tbl: str, when: int) -> list[tuple[str, str]]:
     """Driver-side (column, sql_type) list — DDL metadata, at most a few thousand entries (kept in ``staged``)."""
-    key = (namespace, tbl, int(when))
-    if key not in staged.columns:
-        rows = table_schema(staged, namespace, tbl, when).select("pos", "column", "sql_type").collect()
-        if not rows:
-            raise ValueError(f"no CREATE statement for {namespace}.{tbl} in dump {when}")
-        staged.columns[key] = [(r["column"], r["sql_type"]) for r in sorted(rows, key=lambda r: r["pos"])]
-    return staged.columns[key]
+    return table_def(staged, namespace, tbl, when)[0]
 
 
-def _keys_of(chunks: DataFrame) -> DataFrame:
-    rows = chunk_rows(chunks.select("md5", "payload"), keep=["md5"])
-    k, _ = token_value(F.element_at("fields", 1))
-    return rows.select("md5", zero_pad(k).alias("row_key"), k.try_cast("bigint").alias("row_id"))
+def table_key(staged: Staged, namespace: str, tbl: str, when: int) -> Key | None:
+    """PRIMARY KEY of the table in dump ``when``; None without one (then the first column is the key)."""
+    return table_def(staged, namespace, tbl, when)[1]
 
 
-def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None, materialize: bool = False):
-    """prev and next state from ONE aggregation over the history slice (one shuffle for both reads).
-    ``materialize`` checkpoints that aggregation once: every branch of the diff then reads it."""
-    v = F.struct("value", "is_null", "row_id", "ts")
-    aggs = [F.max_by(v, F.when(F.col("ts") <= prev_bound, F.col("ts"))).alias("p")]
-    if next_bound is not None:
-        aggs.append(F.max_by(v, F.when(F.col("ts") <= next_bound, F.col("ts"))).alias("n"))
-    g = h.groupBy("row_key", "column").agg(*aggs)
-    if materialize:
-        g = checkpointed(g)
-
-    def side(a):
-        return g.filter(F.col(a).isNotNull()).select(
-            "row_key", "column", F.col(f"{a}.row_id").alias("row_id"), F.col(f"{a}.ts").alias("ts"),
-            F.col(f"{a}.value").alias("value"), F.col(f"{a}.is_null").alias("is_null"))
-    return side("p"), (side("n") if next_bound is not None else None)
+def table_def(staged: Staged, namespace: str, tbl: str, when: int) -> tuple[list[tuple[str, str]], Key | None]:
+    at = (namespace, tbl, int(when))
+    if at not in staged.columns:
+        rows = table_schema(staged, namespace, tbl, when).select("pos", "column", "sql_type", "mysql_type", "scale", "key_pos").collect()
+        if not rows:
+            raise ValueError(f"no CREATE statement for {namespace}.{tbl} in dump {when}")
+        staged.columns[at] = ([(r["column"], r["sql_type"]) for r in sorted(rows, key=lambda r: r["pos"])], key_of(rows))
+    return staged.columns[at]
+
+
+def _keys_of(chunks: DataFrame, columns: list[str] | None = None, key: Key | None = None,
+             keep: list[str] | None = None) -> DataFrame:
+    keep = keep or ["md5"]
+    rows = chunk_rows(chunks.select(*keep, "payload"), keep=keep)
+    k, i = key_columns(columns, key)
+    return rows.select(*keep, k.alias("row_key"), i.alias("row_id"))
+
+
+def _wanted(chunks: DataFrame, keys: DataFrame) -> tuple[DataFrame, int]:
+    """Chunks of ``keys`` (md5[, first_stage], seq) with their seq, and how many keys there are.
+
+    Staged chunks lie in one partition per stage that brought them, sorted by md5; the manifest says which, so only those
+    partitions are read (a filter on partition values known before the scan), and within their files the row groups
+    whose md5 range holds a wanted key. Keys are broadcast up to a checked count."""
+    on = ["md5"]
+    if "first_stage" in chunks.columns and "first_stage" in keys.columns:
+        # one value per stage that first brought a wanted chunk
+        n, stages = keys.agg(F.count(F.lit(1)), F.collect_set("first_stage")).first()
+        on = ["md5", "first_stage"]
+        chunks = chunks.filter(F.col("first_stage").isin(stages) if stages else F.lit(False))
+    else:
+        n = keys.limit(NEW_CHUNK_BROADCAST_ROWS + 1).count()
+    if 0 < n <= POINT_LOOKUP_KEYS:
+        chunks = chunks.filter(F.col("md5").isin([r[0] for r in keys.select("md5").collect()]))
+    right = keys.select(*on, "seq")
+    return chunks.join(F.broadcast(right) if n <= NEW_CHUNK_BROADCAST_ROWS else right, on), n
 
 
-def _dual_state_masked(h: DataFrame, tomb: DataFrame, prev_bound: int, next_bound: int | None,
-                       materialize: bool = False):
-    """As ``_dual_state`` but each read only sees versions not covered by a tombstone issued by its own bound
-    (corrected masking). Tombstones are reduced to max(ts) per cell / row below each bound first (equi joins)."""
-    def per(keys, col_is_null, name):
-        t = tomb.filter(F.col("column").isNull() if col_is_null else F.col("column").isNotNull())
-        aggs = [F.max(F.when(F.col("ts") <= prev_bound, F.col("ts"))).alias(f"{name}_p")]
-        if next_bound is not None:
-            aggs.append(F.max(F.when(F.col("ts") <= next_bound, F.col("ts"))).alias(f"{name}_n"))
-        return t.groupBy(*keys).agg(*aggs)
-    m = h.join(per(["row_key", "column"], False, "_tc"), ["row_key", "column"], "left") \
-         .join(per(["row_key"], True, "_tr"), ["row_key"], "left")
-
-    def visible(side):
-        tc, tr = F.col(f"_tc_{side}"), F.col(f"_tr_{side}")
-        return (tc.isNull() | (F.col("ts") > tc)) & (tr.isNull() | (F.col("ts") > tr))
-    v = F.struct("value", "is_null", "row_id", "ts")
-    aggs = [F.max_by(v, F.when((F.col("ts") <= prev_bound) & visible("p"), F.col("ts"))).alias("p")]
-    if next_bound is not None:
-        aggs.append(F.max_by(v, F.when((F.col("ts") <= next_bound) & visible("n"), F.col("ts"))).alias("n"))
-    g = m.groupBy("row_key", "column").agg(*aggs)
+def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None, materialize: bool = False,
+                tomb: DataFrame | None = None):
+    """prev and next state from ONE aggregation over the history slice (one shuffle for both reads); with tombstones each
+    read only sees versions not covered by a tombstone issued by its own bound.
+    ``materialize`` checkpoints that aggregation once: every branch of the diff then reads it."""
+    bounds = {"p": prev_bound} | ({} if next_bound is None else {"n": next_bound})
+    if tomb is not None:
+        g = H.masked_states(h, tomb, bounds)
+    else:
+        v = F.struct("ts", "value", "is_null", "row_id")
+        g = h.groupBy("row_key", "column").agg(*[F.max(F.when(F.col("ts") <= b, v)).alias(n) for n, b in bounds.items()])
     if materialize:
         g = checkpointed(g)
 
@@ -195,7 +200,7 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
     ``apply_deletes`` (corrected mode): deletes become row tombstones, reads of prev/next honour ``tombstones``
     issued by their bound, and the next published dump is repaired for deleted rows and absent cells (J13)."""
     literal_nulls = (mode == "literal") if literal_nulls is None else literal_nulls
-    cols = table_columns(staged, namespace, tbl, when)
+    cols, key = table_def(staged, namespace, tbl, when)
     names = [c for c, _ in cols]
     if schema_only:
         return StepResult(when, "schema_only", columns=names)
@@ -211,22 +216,30 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
     if mode == "corrected":
         baseline = max([p for p in pub if p < when], default=None)
         next_ts = min([p for p in pub if p > when], default=None)
-        cur = m.filter(F.col("dump_ts") == when).select("md5").distinct()
+        where = ["md5"] + [c for c in ["first_stage"] if c in m.columns]
+        of = lambda ts: m.filter(F.col("dump_ts") == ts).groupBy(*where).agg(F.max("seq").alias("seq"))
+        cur = of(when)
         if baseline is not None:
-            old = m.filter(F.col("dump_ts") == baseline).select("md5").distinct()
-            new = cur.join(old, "md5", "left_anti")
-            removed = old.join(cur, "md5", "left_anti")
+            old = of(baseline)
+            new = cur.join(old.select("md5"), "md5", "left_anti")
+            removed = old.join(cur.select("md5"), "md5", "left_anti")
         else:
             new, removed = cur, None
-        new_b, n_new = bounded_broadcast_n(new, NEW_CHUNK_BROADCAST_ROWS)
-        removed_keys = (_keys_of(st.chunks.join(bounded_broadcast(removed, NEW_CHUNK_BROADCAST_ROWS), "md5",
-                                                "left_semi")) if removed is not None else None)
+        new_chunks, n_new = _wanted(st.chunks, new)
+        removed_keys = None
+        if removed is not None:
+            removed_keys = _keys_of(_wanted(st.chunks, removed)[0], names, key)
+            if materialize:  # the delete report, the restores and the tombstones read it: parse once
+                removed_keys = checkpointed(removed_keys)
         if n_new == 0 and not apply_deletes:
             return StepResult(when, "published", _no_change_diff(removed_keys, when), baseline, next_ts, names)
-        inc = chunk_cells(st.chunks.join(new_b, "md5", "left_semi").select("md5", "payload"), names,
-                          literal_nulls=literal_nulls, keep=["md5"])
+        # rows of a dump that share a key: the last put wins, and the keys are reported
+        inc = last_puts(chunk_cells(new_chunks.select("md5", "seq", "payload"), names, literal_nulls=literal_nulls,
+                                    keep=["md5", "seq"], key=key), ["seq", "tuple_pos"])
         if materialize:
             inc = checkpointed(inc)
+        duplicates = inc.filter("n_puts > 1").groupBy("row_key").agg(F.max("n_puts").alias("n_puts"))
+        inc = inc.drop("n_puts")
         keys = inc.select("row_key")
         if apply_deletes and removed_keys is not None:
             keys = keys.unionByName(removed_keys.select("row_key"))
@@ -244,11 +257,11 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
             if "publish_id" in tk.columns:
                 tk = tk.filter(F.col("publish_id") != when)
             tk = tk.join(bounded_broadcast(keys, KEY_BROADCAST_ROWS), "row_key", "left_semi")
-            prev, nxt = _dual_state_masked(hk, tk, when - 1, next_ts, materialize)
+            prev, nxt = _dual_state(hk, when - 1, next_ts, materialize, tk)
         else:
             prev, nxt = _dual_state(hk, when - 1, next_ts, materialize)
         d = D.diff(inc, prev, nxt, when, next_ts, "corrected", removed_keys=removed_keys, materialize=materialize)
-        res = StepResult(when, "published", d, baseline, next_ts, names)
+        res = StepResult(when, "published", d, baseline, next_ts, names, duplicates=duplicates)
         if apply_deletes:
             res.tombstones, rest = _delete_effects(d, nxt, tk, when, next_ts)
             if rest is not None:
@@ -262,8 +275,10 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
         return StepResult(when, "unchanged", columns=names)
     prev_ts, next_ts = int(bounds[0]["prev_ts"]), int(bounds[0]["next_ts"])
     new = M.new_chunks(m).filter(F.col("dump_ts") == when).select("md5")
-    inc = chunk_cells(st.chunks.join(new, "md5", "left_semi").select("md5", "payload"), names,
-                      literal_nulls=literal_nulls, keep=["md5"])
+    where = ["md5"] + [c for c in ["first_stage"] if c in m.columns]
+    new = m.filter(F.col("dump_ts") == when).groupBy(*where).agg(F.max("seq").alias("seq")).join(new, "md5", "left_semi")
+    inc = last_puts(chunk_cells(_wanted(st.chunks, new)[0].select("md5", "seq", "payload"), names,
+                                literal_nulls=literal_nulls, keep=["md5", "seq"], key=key), ["seq", "tuple_pos"]).drop("n_puts")
     if materialize:
         inc = checkpointed(inc)
     ranges = chunk_id_range(inc)

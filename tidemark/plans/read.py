@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ddl import struct_type, typed_read
+from tidemark.functions.keys import Key, is_text_type
 from tidemark.functions.scalars import FAMILY
 from tidemark.operators import history as H
 
@@ -17,31 +18,23 @@ REFERENCE = re.compile(r"'(?:[^'\\]|\\.|'')*'|(\b(?:from|join)\b[\s(]*)`([^`]+)`
 
 
 def _key(column: tuple[str, str], key_type: str | None) -> Column:
-    """The key column under its DDL name: a string key from row_key, other keys from row_id."""
+    """The key column of a table without a PRIMARY KEY under its DDL name: a string key from row_key, others from row_id."""
     name, sql_type = column
-    kind = key_type or ("string" if re.match(r"string|varchar|char", sql_type, re.I) else "bigint")
+    kind = key_type or ("string" if is_text_type(sql_type) else "bigint")
     key = F.col("row_id").cast(kind)
     return (F.coalesce(key, F.col("row_key")) if kind == "string" else key).alias(name)
 
 
-def typed_table(state: DataFrame, columns: list[tuple[str, str]], key_type: str | None = None) -> DataFrame:
-    """K7: latest-state pivot with one typed column per DDL column; the key column keeps its DDL name
-    (published as ``id`` int by the original tool)."""
-    rest = columns[1:]
-    wide = H.pivot_state(state, [f"{FAMILY}:{c}" for c, _ in rest])
-    return wide.select(_key(columns[0], key_type), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
-
-
 def typed_asof(cells: DataFrame, columns: list[tuple[str, str]], ts=None, tombstones: DataFrame | None = None,
-               key_type: str | None = None) -> DataFrame:
-    """Typed table as of ``ts`` straight from the history (as-of and pivot in one aggregation)."""
-    if tombstones is not None:
-        if ts is not None:
-            cells = cells.filter(F.col("ts") <= F.lit(ts))
-        cells = H.mask_tombstones(cells, tombstones, ts, "corrected")
-    rest = columns[1:]
-    wide = H.asof_wide(cells, [f"{FAMILY}:{c}" for c, _ in rest], ts)
-    return wide.select(_key(columns[0], key_type), *[typed_read(F.col(c), t).alias(c) for c, t in rest])
+               key_type: str | None = None, key: Key | None = None) -> DataFrame:
+    """Typed table as of ``ts`` straight from the history (as-of, tombstones and pivot in one aggregation).
+
+    A key of one integer column is read back from ``row_id`` (published as a bigint); the columns of any other PRIMARY KEY
+    are cells and have their DDL types. Without a key the first column is the key."""
+    own = columns[0][0] if key is None else key.columns[0] if key.plain else None
+    wide = H.asof_wide(cells, [f"{FAMILY}:{c}" for c, _ in columns if c != own], ts, tombstones=tombstones)
+    return wide.select(*[_key((c, t if key is None else "bigint"), key_type) if c == own else typed_read(F.col(f"`{c}`"), t).alias(c)
+                         for c, t in columns])
 
 
 def schema_only(spark: SparkSession, columns: list[tuple[str, str]]) -> DataFrame:

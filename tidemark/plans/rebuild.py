@@ -10,28 +10,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import Key
 from tidemark.operators import diff as D
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import chunk_cells, chunk_rows, rows_to_cells
-from tidemark.plans.publish import Staged
+from tidemark.operators.cells import chunk_cells
+from tidemark.plans.publish import Staged, _keys_of
 
+Columns = list[str] | dict[int, list[str]]
 
-def _cells(chunks: DataFrame, columns: list[str] | dict[int, list[str]], literal_nulls: bool) -> DataFrame:
-    """Cells of (dump_ts, md5, payload) chunks, named by one column list or by each dump's own (its DDL)."""
-    keep = ["dump_ts", "md5"]
+
+def _by_columns(chunks: DataFrame, columns: Columns) -> list[tuple[DataFrame, list[str]]]:
+    """Chunks with the column list of their dump's DDL: one frame per distinct list (an ALTER makes a new one)."""
     if isinstance(columns, list):
-        return chunk_cells(chunks, columns, literal_nulls=literal_nulls, keep=keep)
-    names = chunks.sparkSession.createDataFrame(sorted(columns.items()), "dump_ts long, names array<string>")
-    rows = chunk_rows(chunks, keep=keep).join(F.broadcast(names), "dump_ts")  # one row a dump
-    return rows_to_cells(rows, names="names", literal_nulls=literal_nulls, keep=keep)
+        return [(chunks, columns)]
+    lists: dict[tuple[str, ...], list[int]] = {}
+    for dump, names in columns.items():
+        lists.setdefault(tuple(names), []).append(dump)
+    return [(chunks.filter(F.col("dump_ts").isin(dumps)), list(names)) for names, dumps in lists.items()]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
-def rebuild_history(staged: Staged, namespace: str, tbl: str, columns: list[str] | dict[int, list[str]],
-                    literal_nulls: bool = False) -> DataFrame:
+def _cells(staged: Staged, appear: DataFrame, columns: Columns, literal_nulls: bool, key: Key | None) -> DataFrame:
+    """Cells of the chunks that appear in a dump, in the partitioning of the cells; of rows of a dump that share a key the
+    last put counts."""
+    seq = staged.manifest.groupBy("dump_ts", "md5").agg(F.max("seq").alias("seq")).join(appear, ["dump_ts", "md5"])
+    ch = staged.chunks.select("md5", "payload").join(seq, "md5")
+    keep = ["dump_ts", "md5", "seq"]
+    cells = _union([chunk_cells(c, names, literal_nulls=literal_nulls, keep=keep, key=key) for c, names in _by_columns(ch, columns)])
+    cells = cells.repartition("row_key", "column")
+    w = Window.partitionBy("row_key", "column", "dump_ts").orderBy(F.desc("seq"), F.desc("tuple_pos"))
+    return cells.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "seq", "tuple_pos")
+
+
+def rebuild_history(staged: Staged, namespace: str, tbl: str, columns: Columns, literal_nulls: bool = False,
+                    key: Key | None = None) -> DataFrame:
     st = staged.table(namespace, tbl)
-    appear = M.new_chunks(st.manifest).select("dump_ts", "md5")
-    ch = st.chunks.select("md5", "payload").join(appear, "md5")
-    cells = _cells(ch, columns, literal_nulls)
+    cells = _cells(st, M.new_chunks(st.manifest).select("dump_ts", "md5"), columns, literal_nulls, key)
     w = Window.partitionBy("row_key", "column").orderBy("dump_ts")
     prev = cells.withColumn("_pv", F.lag("value").over(w)).withColumn("_pn", F.lag("is_null").over(w)) \
         .withColumn("_pd", F.lag("dump_ts").over(w))
@@ -40,8 +60,8 @@ def rebuild_history(staged: Staged, namespace: str, tbl: str, columns: list[str]
                           F.col("dump_ts").alias("publish_id"))
 
 
-def rebuild_with_deletes(staged: Staged, namespace: str, tbl: str, columns: list[str] | dict[int, list[str]],
-                         literal_nulls: bool = False) -> tuple[DataFrame, DataFrame]:
+def rebuild_with_deletes(staged: Staged, namespace: str, tbl: str, columns: Columns, literal_nulls: bool = False,
+                         key: Key | None = None) -> tuple[DataFrame, DataFrame]:
     """L8 with deletes applied (absence treated as a value): (history, tombstones) equal to publishing every dump
     in order with ``apply_deletes``.
 
@@ -52,11 +72,14 @@ def rebuild_with_deletes(staged: Staged, namespace: str, tbl: str, columns: list
     st = staged.table(namespace, tbl)
     appear = M.new_chunks(st.manifest).select("dump_ts", "md5")
     gone = M.removed_chunks(st.manifest).select("dump_ts", "md5")
-    cells = _cells(st.chunks.select("md5", "payload").join(appear, "md5"), columns, literal_nulls)
+    cells = _cells(st, appear, columns, literal_nulls, key)
     app_rows = cells.select("dump_ts", "row_key").distinct()
-    from tidemark.plans.publish import _keys_of
-    rem_rows = _keys_of(st.chunks.join(gone, "md5")).join(gone, "md5").select("dump_ts", "row_key", "row_id") \
-        .distinct().join(app_rows, ["dump_ts", "row_key"], "left_anti")
+    if isinstance(columns, dict):  # a chunk that is gone was written under the DDL of the dump before
+        dumps = sorted(columns)
+        columns = {d: columns[dumps[max(0, i - 1)]] for i, d in enumerate(dumps)}
+    lost = st.chunks.select("md5", "payload").join(gone, "md5")
+    rem_rows = _union([_keys_of(c, names, key, ["dump_ts", "md5"]) for c, names in _by_columns(lost, columns)]) \
+        .select("dump_ts", "row_key", "row_id").distinct().join(app_rows, ["dump_ts", "row_key"], "left_anti")
     events = app_rows.withColumn("_removal", F.lit(False)).unionByName(
         rem_rows.select("dump_ts", "row_key").withColumn("_removal", F.lit(True)))
     wr = Window.partitionBy("row_key").orderBy("dump_ts")

@@ -174,12 +174,6 @@ def orders_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """stage_ddl rows of ORD: the same CREATE payload for every dump (derived from the dumps present)."""
-    dumps = orders_chunks(spark, sf_dir).select("namespace", "dump_ts").distinct()
-    return dumps.select("namespace", "dump_ts", F.lit(ORD_TABLE).alias("name"), F.lit(ORD_DDL).alias("stmt"))
-
-
 # ---------------------------------------------------------------- DUMP
 def mysql_escape(x: Column) -> Column:
     """String literal body as mysqldump writes it."""
