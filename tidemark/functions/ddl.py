@@ -65,7 +65,7 @@ def column_pieces(create_payload) -> Column:
         return F.struct(depth.alias("depth"), F.when(depth == 0, F.concat(a["out"], F.array(text))).otherwise(a["out"]).alias("out"))
 
     s = F.aggregate(parts, start, step, lambda a: F.array_join(a["out"], ""))
-    return F.filter(F.transform(F.split(s, ","), F.trim), lambda x: x.startswith("`"))
+    return F.filter(F.transform(F.split(s, ","), lambda x: F.trim(x, F.lit(" \t\r\n"))), lambda x: x.startswith("`"))
 
 
 def parse_ddl(df: DataFrame, payload: str = "payload", keep: list[str] | None = None) -> DataFrame:

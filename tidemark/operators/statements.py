@@ -66,7 +66,8 @@ def statement_table(value, k) -> Column:
 
 
 def _rstripped(value) -> Column:
-    return F.regexp_replace(_c(value), r"(?<!\s)\s++$", "")
+    """Without blanks at the end; no regular expression, which would lose the bytes of text that is not valid UTF-8."""
+    return F.rtrim(_c(value), F.lit(" \t\n\x0b\x0c\r"))
 
 
 def insert_payload(value) -> Column:

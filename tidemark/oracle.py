@@ -160,6 +160,26 @@ select * from h15
 union all select row_key, row_id, "column", ts, value, is_null, 300 from writes
 union all select row_key, row_id, "column", ts, value, is_null, 300 from restores"""
 
+LINE = """
+lsrc as (select cast(round(l_quantity) as bigint) l_quantity, l_orderkey, l_partkey, l_returnflag, l_linenumber from lineitem),
+ldump as (select cast(100 as bigint) dump_ts, * from lsrc where l_orderkey % 7 <> 3
+  union all select 200, * replace (l_quantity + case when l_orderkey % 11 = 0 and l_linenumber = 2 then 1 else 0 end as l_quantity)
+            from lsrc where not (l_orderkey % 13 = 0 and l_linenumber = 1)),
+lrank as (select *, row_number() over (partition by dump_ts, l_orderkey, l_linenumber
+                                       order by l_partkey desc, l_quantity desc, l_returnflag desc) r,
+                 count(*) over (partition by dump_ts, l_orderkey, l_linenumber) n from ldump)"""
+SQL["published_composite_key"] = with_(LINE) + """
+select dump_ts, l_quantity, l_orderkey, l_partkey, l_returnflag, l_linenumber from lrank where r = 1"""
+SQL["duplicate_keys"] = with_(LINE) + """
+select '1' || lpad(cast(l_orderkey as varchar), 20, '0') || '1' || lpad(cast(l_linenumber as varchar), 20, '0') row_key, n n_puts
+from lrank where dump_ts = 100 and r = 1 and n > 1"""
+SQL["published_string_key"] = """
+select p_name as name, z || p_partkey as code from part, (values (''), ('0'), ('00'), ('x')) t(z)"""
+SQL["typed_binary"] = """
+select cast(c_custkey as bigint) id, upper(md5(c_name)) raw, upper(md5(c_name)) hex,
+  case when c_custkey % 1024 < 256 then lpad(upper(to_hex(c_custkey % 1024)), 2, '0') else lpad(upper(to_hex(c_custkey % 1024)), 4, '0') end bits,
+  c_name || ' é' || chr(39) || chr(92) note from customer"""
+
 SQL["diff_changed_cells"] = with_(ORD, ORD_LATE) + """
 select row_key, row_id, "column", value, is_null from changed"""
 

@@ -30,7 +30,8 @@ def asof_scan(spark, sf):
 from tidemark.operators import diff as D  # noqa: E402
 from tidemark.operators import milestones as M  # noqa: E402
 from tidemark.operators.cells import chunk_cells, chunk_id_range as _chunk_id_range  # noqa: E402
-from tidemark.plans.publish import Staged, publish_sequence, publish_step  # noqa: E402
+from tidemark.plans.publish import (Staged, publish_sequence, publish_sequence_with_deletes, publish_step,  # noqa: E402
+                                    table_def)
 from tidemark.plans.stage import new_chunks_to_store  # noqa: E402
 from tidemark.session import checkpointed  # noqa: E402
 
@@ -145,6 +146,47 @@ def publish_table(spark, sf):
     return h.unionByName(r.cells)
 
 
+def _chunk_staged(ch, ddl: str, tbl: str) -> Staged:
+    ch = checkpointed(ch)
+    dumps = ch.select("namespace", "dump_ts").distinct().select("namespace", "dump_ts", F.lit(tbl).alias("name"), F.lit(ddl).alias("stmt"))
+    return Staged(ch.select("namespace", "tbl_name", "dump_ts", "seq", "md5"),
+                  checkpointed(new_chunks_to_store(ch.select("namespace", "tbl_name", "md5", "payload"), None)), dumps)
+
+
+def _line_published(spark, sf):
+    def build():
+        st = _chunk_staged(FX.line_chunks(spark, sf), FX.LINE_DDL, FX.LINE_TABLE)
+        return st, *publish_sequence_with_deletes(spark, st, NS, FX.LINE_TABLE, FX.LINE_DUMPS)
+    return _memo("line", spark, sf, build)
+
+
+@query
+def published_composite_key(spark, sf):
+    """K7 / L6 with a PRIMARY KEY of two columns (neither is the first): the table as of each of its two dumps."""
+    st, h, t, _ = _line_published(spark, sf)
+    out = None
+    for d in FX.LINE_DUMPS:
+        cols, key = table_def(st, NS, FX.LINE_TABLE, d)
+        r = RD.typed_asof(h, cols, d, t, key=key).withColumn("dump_ts", F.lit(d).cast("bigint"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query
+def duplicate_keys(spark, sf):
+    """Keys of dump 100 that several rows share, with the number of puts (the last one wins), in the key encoding."""
+    return _line_published(spark, sf)[3][0].duplicates
+
+
+@query
+def published_string_key(spark, sf):
+    """K7 with a text PRIMARY KEY: keys that differ only in leading zeros are rows of their own."""
+    st = _chunk_staged(FX.code_chunks(spark, sf), FX.CODE_DDL, FX.CODE_TABLE)
+    h, _ = publish_sequence(spark, st, NS, FX.CODE_TABLE, [100])
+    cols, key = table_def(st, NS, FX.CODE_TABLE, 100)
+    return RD.typed_asof(h, cols, 100, key=key)
+
+
 def _late_diff(spark, sf):
     return ord_late(spark, sf)[1].diff
 
@@ -383,6 +425,19 @@ def typed_read(spark, sf):
     return RD.typed_asof(cells.withColumn("ts", F.lit(FX.DUMP_ID)), [(r[0], r[1]) for r in sch])
 
 
+@query
+def typed_binary(spark, sf):
+    """Blobs written as raw bytes behind an introducer, in hexadecimal and in bits, staged from dump text that
+    is not valid UTF-8, published and read back as binary columns (shown in hexadecimal)."""
+    st = _stage_dump(DF.dense_lines(FX.blob_lines(spark, sf)), DUMP_NS)
+    staged = Staged(st.manifest, st.chunks, st.ddl)
+    when = int(st.meta.select("dump_ts").first()[0])  # the dump's own timestamp (one metadata row)
+    h, _ = publish_sequence(spark, staged, DUMP_NS, FX.BLOB_TABLE, [when])
+    cols, key = table_def(staged, DUMP_NS, FX.BLOB_TABLE, when)
+    r = RD.typed_asof(h, cols, when, key=key)
+    return r.select("id", F.hex("raw").alias("raw"), F.hex("hex").alias("hex"), F.hex("bits").alias("bits"), "note")
+
+
 @query
 def stage_manifest(spark, sf):
     """K2: manifest rows of the staged DUMP."""
@@ -762,7 +817,6 @@ def published_events(spark, sf):
 def published_asof_deletes(spark, sf):
     """L3 + L6 with deletes applied (Q5, J13): publish 100, 500, 400, then the late 300; read the table as of every
     published dump. Each read equals its snapshot exactly, absences included."""
-    from tidemark.plans.publish import publish_sequence_with_deletes
     order = [100, 500, 400, 300]
     h, t, _ = publish_sequence_with_deletes(spark, ord_staged(spark, sf), NS, TBL, order)
     out = None

@@ -174,6 +174,83 @@ def orders_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- LINE and CODE: composite and text keys
+LINE_TABLE, CODE_TABLE, BLOB_TABLE = "lines", "codes", "blobs"
+LINE_DDL = ("(`l_quantity` bigint(20) DEFAULT NULL,`l_orderkey` bigint(20) NOT NULL,`l_partkey` bigint(20) DEFAULT NULL,"
+            "`l_returnflag` varchar(1) DEFAULT NULL,`l_linenumber` int(11) NOT NULL,"
+            "PRIMARY KEY (`l_orderkey`,`l_linenumber`),KEY `p` (`l_partkey`)) ENGINE=InnoDB")
+LINE_COLUMNS = ["l_quantity", "l_orderkey", "l_partkey", "l_returnflag", "l_linenumber"]
+LINE_DUMPS = [100, 200]
+CODE_DDL = "(`name` varchar(55) DEFAULT NULL,`code` varchar(30) NOT NULL,PRIMARY KEY (`code`)) ENGINE=InnoDB"
+
+
+def rendered(columns: list[tuple[str, str]]) -> Column:
+    """Tuple text of (column, render kind) pairs."""
+    parts = [x for c, kind in columns for x in (render_value(F.col(c), kind), F.lit(","))]
+    return F.concat(F.lit("("), *parts[:-1], F.lit(")"))
+
+
+def _chunked(rows: DataFrame, tbl: str) -> DataFrame:
+    """(namespace, tbl_name, dump_ts, seq, md5, payload) of (dump_ts, chunk, order, r) rows; a chunk is bounded."""
+    g = rows.groupBy("dump_ts", "chunk").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", "r"))), lambda x: x["r"]), ",").alias("payload"))
+    return g.select(F.lit(NAMESPACE).alias("namespace"), F.lit(tbl).alias("tbl_name"), F.col("dump_ts").cast("bigint").alias("dump_ts"),
+                    F.col("chunk").alias("seq"), F.md5("payload").alias("md5"), "payload")
+
+
+def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LINE: two dumps of ``lineitem`` keyed by order and line number. The given rows repeat keys, so keys have several puts;
+    dump 200 adds orders, changes quantities and drops first lines."""
+    li = read(spark, sf_dir, "lineitem").select(
+        F.round("l_quantity").cast("bigint").alias("l_quantity"), "l_orderkey", "l_partkey", "l_returnflag", "l_linenumber")
+    o, n = F.col("l_orderkey"), F.col("l_linenumber")
+    a = li.filter(o % 7 != 3).withColumn("dump_ts", F.lit(100))
+    b = li.filter(~((o % 13 == 0) & (n == 1))).withColumn(
+        "l_quantity", F.col("l_quantity") + F.when((o % 11 == 0) & (n == 2), 1).otherwise(0)).withColumn("dump_ts", F.lit(200))
+    rows = a.unionByName(b).select(
+        "dump_ts", F.floor(o / 50).cast("bigint").alias("chunk"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag").alias("order"),
+        rendered([("l_quantity", "int"), ("l_orderkey", "int"), ("l_partkey", "int"), ("l_returnflag", "str"), ("l_linenumber", "int")]).alias("r"))
+    return _chunked(rows, LINE_TABLE)
+
+
+def code_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CODE: ``part`` under text keys that differ only in leading zeros."""
+    p = read(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"), F.explode(F.array(F.lit(""), F.lit("0"), F.lit("00"), F.lit("x"))).alias("zeros"))
+    rows = p.withColumn("code", F.concat("zeros", F.col("p_partkey").cast("string"))).select(
+        F.lit(100).alias("dump_ts"), F.floor(F.col("p_partkey") / 100).cast("bigint").alias("chunk"), F.struct("p_partkey", "zeros").alias("order"),
+        rendered([("name", "str"), ("code", "str")]).alias("r"))
+    return _chunked(rows, CODE_TABLE)
+
+
+# ---------------------------------------------------------------- BLOB: bytes in every notation
+BLOB_CREATE = ("CREATE TABLE `blobs` (`id` bigint(20) NOT NULL, `raw` longblob, `hex` longblob, `bits` longblob, `note` varchar(40), "
+               "PRIMARY KEY (`id`)) ENGINE=InnoDB;")
+
+
+def blob_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BLOB: (dump_id, ord, value) lines of a dump of ``customer`` whose blobs stand as raw bytes behind an introducer, as
+    hexadecimal and as bit literals. The raw bytes are md5 digests, so the lines are not valid UTF-8."""
+    c = read(spark, sf_dir, "customer")
+    digest = F.unhex(F.md5("c_name"))
+    quoted = lambda b: F.encode(F.concat(F.lit("'"), mysql_escape(F.decode(b, "ISO-8859-1")), F.lit("'")), "ISO-8859-1")
+    put = lambda x: F.encode(x, "UTF-8")
+    hexed = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("0x"), F.md5("c_name"))).otherwise(
+        F.concat(F.lit("x'"), F.upper(F.md5("c_name")), F.lit("'")))
+    bits = F.concat(F.lit("b'"), F.conv((F.col("c_custkey") % 1024).cast("string"), 10, 2), F.lit("'"))
+    row = F.concat(put(F.concat(F.lit("("), F.col("c_custkey").cast("string"), F.lit(",_binary "))), quoted(digest),
+                   put(F.concat(F.lit(","), hexed, F.lit(","), bits, F.lit(",_utf8 '"), mysql_escape(F.concat("c_name", F.lit(" é'\\"))), F.lit("')"))))
+    chunk = F.floor(F.col("c_custkey") / DUMP_CHUNK).cast("bigint")
+    rows = c.select(chunk.alias("chunk"), "c_custkey", F.hex(row).alias("h")).groupBy("chunk").agg(
+        F.unhex(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "h"))), lambda x: x["h"]), "2C")).alias("body"))
+    inserts = rows.select(F.lit(3).cast("bigint").alias("dump_id"), (F.col("chunk") + 10).alias("ord"),
+                          F.concat(put(F.lit(f"INSERT INTO `{BLOB_TABLE}` VALUES ")), "body", put(F.lit(";"))).cast("string").alias("value"))
+    last = F.lit(1 << 40).cast("bigint")
+    text = spark.createDataFrame([(3, 0, BLOB_CREATE), (3, 1, "")], "dump_id bigint, ord bigint, value string").unionByName(
+        rows.agg(F.lit(3).cast("bigint").alias("dump_id"), last.alias("ord"), F.lit(DUMP_DONE_LINE).alias("value")))
+    return text.unionByName(inserts)
+
+
 # ---------------------------------------------------------------- DUMP
 def mysql_escape(x: Column) -> Column:
     """String literal body as mysqldump writes it."""
