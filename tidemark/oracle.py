@@ -428,8 +428,26 @@ select row_key, max(row_id) row_id,
 from s group by row_key"""
 PAD = "lpad(cast({x} as varchar), cast(greatest(9, length(cast({x} as varchar))) as integer), '0')"
 SQL["padded_key_order"] = f"""
-select {PAD.format(x='a')} row_key, a row_id from (select o_orderkey a from orders union all
-  select o_orderkey * 100000 from orders)"""
+select {PAD.format(x='a')} row_key, a row_id, row_number() over (order by a) - 1 place
+from (select distinct o_orderkey a from orders union all select distinct o_orderkey * 100000 + 1 from orders)"""
+SQL["restage_dump"] = with_(ORD) + """
+select 'hash' kind, cast(100 as bigint) dump_ts, seq, md5 "value" from ordchunks where dump_ts = 300
+union all select 'hash', 500, seq, md5 from ordchunks where dump_ts = 500
+union all select 'view', 500, null, 'v'
+union all select distinct 'chunk', null::bigint, null::bigint, md5 from ordchunks where dump_ts in (100, 300, 500)"""
+SQL["asof_base_read"] = with_(ORD) + """
+select dump_ts, id, custkey, st, cents, pr from snap where dump_ts in (100, 300, 400, 500)"""
+SQL["stored_range_scan"] = with_(ORD) + """, r as (select min(o_orderkey) lo, max(o_orderkey) hi from orders)
+select row_key, row_id, "column", value, is_null from ordcells, r where dump_ts = 400
+  and row_id between cast(floor(lo + (hi - lo) / 4) as bigint) and cast(floor(hi - (hi - lo) / 4) as bigint)"""
+SQL["drop_table"] = with_(ORD) + """
+select 'history' kind, 'orders_copy' tbl_name, count(*) n from ordcells where dump_ts = 100
+union all select 'log', 'orders_copy', 111"""
+SQL["single_put"] = with_(ORD) + """
+select cast(149 as bigint) "at", id, st from snap where dump_ts = 100
+union all select 150, id, case when id % 10 = 0 then 'P' else st end from snap where dump_ts = 100"""
+SQL["chunk_point_lookup"] = with_(ORD) + """
+select md5, seq, payload from ordchunks where dump_ts = 500 and md5 not in (select md5 from ordchunks where dump_ts = 400)"""
 SQL["scalar_zero_pad"] = f"""
 select o_orderkey, {PAD.format(x='o_orderkey')} k9, {PAD.format(x='o_orderkey * 1000000')} k_wide from orders"""
 SQL["scalar_unpad"] = f"""

@@ -31,7 +31,7 @@ from tidemark.operators import diff as D  # noqa: E402
 from tidemark.operators import milestones as M  # noqa: E402
 from tidemark.operators.cells import chunk_cells, chunk_id_range as _chunk_id_range  # noqa: E402
 from tidemark.plans.publish import (Staged, publish_sequence, publish_sequence_with_deletes, publish_step,  # noqa: E402
-                                    table_def)
+                                    table_def, _wanted)
 from tidemark.plans.stage import new_chunks_to_store  # noqa: E402
 from tidemark.session import checkpointed  # noqa: E402
 
@@ -564,11 +564,131 @@ def state_pivot(spark, sf):
 
 @query
 def padded_key_order(spark, sf):
-    """Padded keys sort like their numeric ids (keys wider than 9 digits included)."""
-    o = FX.read(spark, sf, "orders")
-    ids = o.select(F.col("o_orderkey").alias("a")).unionByName(
-        o.select((F.col("o_orderkey") * 100000).alias("a")))
-    return ids.select(SC.zero_pad("a").alias("row_key"), F.col("a").alias("row_id"))
+    """Cells written clustered by row and read back in file order: each row's place in the files is the rank of its
+    numeric id (keys wider than 9 digits included)."""
+    o = FX.read(spark, sf, "orders").select("o_orderkey").distinct()
+    ids = o.select(F.col("o_orderkey").alias("a")).unionByName(o.select((F.col("o_orderkey") * 100000 + 1).alias("a")))
+    path = f"{work_dir(spark)}/clustered-{uuid.uuid4().hex}"
+    cells = checkpointed(ids.select(SC.zero_pad("a").alias("row_key"), F.col("a").alias("row_id"), F.lit("c").alias("column"),
+                                    F.lit(1).alias("ts")))
+    ST.clustered(cells, [], max(1, cells.count() // 4)).write.parquet(path)
+    # ranges are dealt to files in order, and names follow the order of the ranges
+    stored = spark.read.parquet(path).select("row_key", "row_id", F.col("_metadata.file_name").alias("_f"),
+                                             F.col("_metadata.row_index").alias("_m"))
+    sizes = stored.groupBy("_f").agg(F.count(F.lit(1)).alias("_n"))  # one row per file
+    before = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return stored.join(F.broadcast(before), "_f").select("row_key", "row_id", (F.col("_o") + F.col("_m")).alias("place"))
+
+
+# ------------------------------------------------------------------ the store: commits, clustered history, bases
+from pyspark.sql import Window  # noqa: E402
+
+from tidemark.plans import store as ST  # noqa: E402
+from tidemark.plans.stage import StagedDump  # noqa: E402
+
+
+def _new_store(spark) -> ST.Store:
+    return ST.Store(spark, f"{work_dir(spark)}/store-{uuid.uuid4().hex}")
+
+
+def _ord_run(spark, sf, dump: int, at: int | None = None, tbl: str = TBL, view: bool = False) -> StagedDump:
+    """A staging run of the ORD rows of one dump, as the dump of time ``at``, with or without a view."""
+    st = ord_staged(spark, sf)
+    at = at or dump
+    ts = F.lit(at).cast("bigint").alias("dump_ts")
+    m = st.manifest.filter(F.col("dump_ts") == dump).select("namespace", ts, F.lit(tbl).alias("tbl_name"), "seq", "md5")
+    chunks = st.chunks.join(m.select("md5").distinct(), "md5", "left_semi").select("namespace", F.lit(tbl).alias("tbl_name"), "md5", "payload")
+    ddl = m.select("namespace", "dump_ts").distinct().select("namespace", "dump_ts", F.lit(tbl).alias("name"), F.lit(FX.ORD_DDL).alias("stmt"))
+    views = ddl.select("namespace", "dump_ts", F.lit("v").alias("name"), F.lit(f"select `id` from `{tbl}`").alias("stmt"))
+    meta = m.groupBy("namespace", "dump_ts").agg(F.count(F.lit(1)).alias("rowcount")).select(
+        "namespace", "dump_ts", F.lit("staged").alias("status"), "rowcount", F.lit("").alias("md5"))
+    return StagedDump(chunks, m, ddl, views if view else views.limit(0), meta)
+
+
+@query
+def restage_dump(spark, sf):
+    """K2 / K3 / Q22: dump 100 staged with a view, then staged again with other rows and without it; dump 500 in between. The
+    second run replaces the first as a whole; chunks that both need are stored once."""
+    store = _new_store(spark)
+    store.stage(_ord_run(spark, sf, 100, view=True))
+    store.stage(_ord_run(spark, sf, 500, view=True))
+    store.stage(_ord_run(spark, sf, 300, at=100))
+    m = store.read("stage_manifest").select(F.lit("hash").alias("kind"), "dump_ts", "seq", F.col("md5").alias("value"))
+    v = store.read("stage_views").select(F.lit("view").alias("kind"), "dump_ts", F.lit(None).cast("bigint").alias("seq"), F.col("name").alias("value"))
+    c = store.read("stage_chunks").select(F.lit("chunk").alias("kind"), F.lit(None).cast("bigint").alias("dump_ts"),
+                                          F.lit(None).cast("bigint").alias("seq"), F.md5("payload").alias("value"))
+    return m.unionByName(v).unionByName(c)
+
+
+def _ord_store(spark, sf):
+    """Late dumps published with deletes into a store that gets bases in between."""
+    def build():
+        store = _new_store(spark)
+        for d in (100, 300, 400, 500):
+            store.stage(_ord_run(spark, sf, d))
+        store.publish(NS, TBL, 100, apply_deletes=True)
+        store.build_base(NS, TBL, 100)
+        store.publish(NS, TBL, 500, apply_deletes=True)
+        store.publish(NS, TBL, 400, apply_deletes=True)
+        store.build_base(NS, TBL, 400)
+        store.publish(NS, TBL, 300, apply_deletes=True)  # older than the newest base
+        return store
+    return _memo("store", spark, sf, build)
+
+
+@query
+def asof_base_read(spark, sf):
+    """The table as of every published dump, each read from one base and the publishes it lacks."""
+    store = _ord_store(spark, sf)
+    out = None
+    for d in (100, 300, 400, 500):
+        r = store.read_asof(NS, TBL, d).select(F.lit(d).cast("bigint").alias("dump_ts"), *FX.ORD_COLUMNS)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query
+def stored_range_scan(spark, sf):
+    """S11 over stored files: cells of the middle half of the rows as of dump 400."""
+    store = _ord_store(spark, sf)
+    first, last = (int(x) for x in FX.read(spark, sf, "orders").select(
+        F.floor(F.min("o_orderkey") + (F.max("o_orderkey") - F.min("o_orderkey")) / 4),
+        F.floor(F.max("o_orderkey") - (F.max("o_orderkey") - F.min("o_orderkey")) / 4)).first())
+    return store.row_range(NS, TBL, first, last, 400).select("row_key", "row_id", "column", "value", "is_null")
+
+
+@query
+def drop_table(spark, sf):
+    """Two tables published, a third only as a dry run, one dropped: rows of the history and the log per table."""
+    store = _new_store(spark)
+    for t in ("orders", "orders_copy", "orders_dry"):
+        store.stage(_ord_run(spark, sf, 100, at=100 + len(t), tbl=t))
+        store.publish(NS, t, 100 + len(t), dry_run=t == "orders_dry")
+    store.drop(NS, "orders")
+    h = store.history().groupBy("tbl_name").agg(F.count(F.lit(1)).alias("n")).select(F.lit("history").alias("kind"), "tbl_name", "n")
+    return h.unionByName(store.read("publish_log").select(F.lit("log").alias("kind"), "tbl_name", F.col("dump_ts").alias("n")))
+
+
+@query
+def single_put(spark, sf):
+    """K9: a cell of every tenth row put at time 150, between dumps; the table as of 149 and as of 150."""
+    store = _new_store(spark)
+    store.stage(_ord_run(spark, sf, 100))
+    store.publish(NS, TBL, 100)
+    row = store.history(NS, TBL).filter((F.col("column") == "mysql:st") & (F.col("row_id") % 10 == 0))
+    store.put(NS, TBL, row.select("row_key", "row_id", "column", F.lit("P").alias("value"), F.lit(False).alias("is_null")), 150)
+    old = store.read_asof(NS, TBL, 149).select(F.lit(149).cast("bigint").alias("at"), "id", "st")
+    return old.unionByName(store.read_asof(NS, TBL, 150).select(F.lit(150).cast("bigint").alias("at"), "id", "st"))
+
+
+@query
+def chunk_point_lookup(spark, sf):
+    """The chunks new at dump 500, read through the partitions that the manifest names."""
+    store = _ord_store(spark, sf)
+    m = store.read("stage_manifest").filter((F.col("namespace") == NS) & (F.col("tbl_name") == TBL))
+    new = m.filter(F.col("dump_ts") == 500).join(m.filter(F.col("dump_ts") == 400).select("md5"), "md5", "left_anti")
+    return _wanted(store.staged().chunks, new.select("md5", "first_stage", "seq"))[0].select("md5", "seq", "payload")
 
 
 # ------------------------------------------------------------------ scalars
