@@ -202,6 +202,7 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
     literal_nulls = (mode == "literal") if literal_nulls is None else literal_nulls
     cols, key = table_def(staged, namespace, tbl, when)
     names = [c for c, _ in cols]
+    key = None if mode == "literal" else key  # the original rules know only the first column as key
     if schema_only:
         return StepResult(when, "schema_only", columns=names)
     st = staged.table(namespace, tbl)

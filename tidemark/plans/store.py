@@ -374,13 +374,15 @@ class Store:
         """The published table as of ``ts`` (all of history when None), typed by the DDL of ``dump_for_schema``
         (default: the last dump published by then). Reads one base and the publishes it lacks."""
         from tidemark.plans.read import typed_asof
-        log = [r["dump_ts"] for r in self.log(namespace, tbl) if r["mode"] != "put"]
+        log = [r for r in self.log(namespace, tbl) if r["mode"] != "put"]
         if not log:
             raise ValueError(f"{namespace}.{tbl} is not published")
         at = self.asof(namespace, tbl, ts)
-        schema_dump = dump_for_schema if dump_for_schema is not None else max((d for d in log if ts is None or d <= ts), default=min(log))
+        dumps = [r["dump_ts"] for r in log]
+        schema_dump = dump_for_schema if dump_for_schema is not None else max((d for d in dumps if ts is None or d <= ts), default=min(dumps))
         cols, key = P.table_def(self.staged(), namespace, tbl, schema_dump)
-        return typed_asof(at.cells, cols, ts, at.tombstones, key=key)
+        literal = any(r["mode"] == "literal" for r in log)
+        return typed_asof(at.cells, cols, ts, at.tombstones, key=None if literal else key)
 
     def row_range(self, namespace: str, tbl: str, first: int, last: int, ts: int | None = None) -> DataFrame:
         """The cells of rows ``first`` to ``last`` as of ``ts``. Files are clustered by row, so the filter on row_id skips
