@@ -7,18 +7,18 @@ Frames:
   nxt       state as of the next published dump, or None
 All comparisons are null-safe on (value, is_null); absence is tested on a marker column, never on the value.
 Every join is an equi join on (row_key, column) or row_key, so incoming is shuffled once and the partitioning is
-reused; the only non-equi join (literal chunk ranges) is bucketed.
+reused; the only non-equi join (literal chunk ranges) meets by rank blocks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["row_key", "column"]
-RANGE_BUCKET = 1 << 16  # id width of a range-join bucket
+RANK_BLOCK = 1024  # key ids of one block of a range join
 
 
 def same(a_val: str, a_null: str, b_val: str, b_null: str) -> Column:
@@ -39,6 +39,7 @@ class Diff:
     changed: DataFrame      # J3 before suppression (md5 of the incoming chunk kept)
     identical_next: DataFrame  # J5
     full_rows: DataFrame    # J6: rows whose next-state cells are all identical to incoming
+    chunk_rows: DataFrame | None = None  # A7: (md5, n_incoming, n_prev, n_next) rows of a chunk, and those in either state
 
     def tagged(self) -> DataFrame:
         """One frame with change_kind in (write, delete, redundant, restore)."""
@@ -56,14 +57,38 @@ class Diff:
                 .unionByName(norm(self.redundant, "redundant")).unionByName(norm(self.restores, "restore")))
 
 
-def range_join(ranges: DataFrame, keys: DataFrame, width: int = RANGE_BUCKET) -> DataFrame:
-    """Rows of ``keys`` (row_id…) inside each [first_id, last_id] of ``ranges``; bucketed equi join + residual.
-
-    A range covers ceil(span/width)+1 buckets; chunk ranges are ~one INSERT wide, so the expansion is small."""
-    r = ranges.withColumn("_bk", F.explode(F.sequence(F.floor(F.col("first_id") / width).cast("bigint"),
-                                                       F.floor(F.col("last_id") / width).cast("bigint"))))
-    k = keys.withColumn("_bk", F.floor(F.col("row_id") / width).cast("bigint"))
-    return r.join(k, "_bk").filter(F.col("row_id").between(F.col("first_id"), F.col("last_id"))).drop("_bk")
+def ranked(keys: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(v, is_key, before): every key id and range end with the number of distinct key ids before it.
+
+    A sweep over the sorted ends and keys in range partitions: counts run inside a partition, and what is open at its border is
+    carried in from the partitions before it (one row each)."""
+    from tidemark.session import checkpointed
+    ends = ranges.select(F.explode(F.array("first_id", "last_id")).alias("v"), F.lit(0).alias("is_key"))
+    points = keys.select(F.col("row_id").alias("v"), F.lit(1).alias("is_key")).unionByName(ends).filter(F.col("v").isNotNull()) \
+        .groupBy("v").agg(F.max("is_key").alias("is_key"))
+    # written once, so that the partition numbers hold
+    p = checkpointed(points.repartitionByRange("v").select("v", "is_key", F.spark_partition_id().alias("_p")))
+    own = Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    border = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    carried = p.groupBy("_p").agg(F.sum("is_key").alias("_n")).select("_p", F.coalesce(F.sum("_n").over(border), F.lit(0)).alias("_o"))
+    return p.withColumn("_b", F.coalesce(F.sum("is_key").over(own), F.lit(0))).join(F.broadcast(carried), "_p").select(
+        "v", "is_key", (F.col("_o") + F.col("_b")).alias("before"))
+
+
+def range_join(ranges: DataFrame, keys: DataFrame, block: int = RANK_BLOCK) -> DataFrame:
+    """Rows of ``keys`` (row_id…) inside each [first_id, last_id] of ``ranges``.
+
+    Ids become ranks among the key ids, so a range is as wide as the keys it holds, whatever the gaps between ids (a chunk with
+    the ids 1 and 10^15 is no wider than two keys). Ranges meet keys in blocks of ``block`` ranks: a range is listed once per
+    block it covers, which is at most its result divided by ``block``, and twice for the ends."""
+    rank = ranked(keys, ranges)
+    first = rank.select(F.col("v").alias("first_id"), F.col("before").alias("_lo"))
+    last = rank.select(F.col("v").alias("last_id"), (F.col("before") + F.col("is_key") - 1).alias("_hi"))
+    r = ranges.join(first, "first_id").join(last, "last_id").filter(F.col("_lo") <= F.col("_hi"))
+    at = lambda c: F.floor(F.col(c) / block).cast("bigint")
+    r = r.withColumn("_bk", F.explode(F.sequence(at("_lo"), at("_hi"))))
+    k = keys.join(rank.select(F.col("v").alias("row_id"), F.col("before").alias("_rank")), "row_id").withColumn("_bk", at("_rank"))
+    return r.join(k, "_bk").filter(F.col("_rank").between(F.col("_lo"), F.col("_hi"))).drop("_bk", "_lo", "_hi", "_rank")
 
 
 def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int, next_ts: int | None = None,
@@ -154,7 +179,12 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
     writes = writes.select(F.lit(when).cast("bigint").alias("ts"), "row_key", "row_id", "column", "value", "is_null")
     keep = [c for c in ["md5", "row_key", "row_id", "column", "value", "is_null"] if c in changed.columns]
     changed = changed.select(*keep)
-    return Diff(writes, deletes, redundant, restores, changed, identical_next, full_rows)
+    rows = inc.select("md5", "row_key").distinct()
+    known = lambda state, name: state.select("row_key").distinct().withColumn(name, F.lit(1))
+    rows = rows.join(known(prev, "_p"), "row_key", "left")
+    rows = rows.join(known(nxt, "_n"), "row_key", "left") if nxt is not None else rows.withColumn("_n", F.lit(None).cast("int"))
+    per_chunk = rows.groupBy("md5").agg(F.count(F.lit(1)).alias("n_incoming"), F.count("_p").alias("n_prev"), F.count("_n").alias("n_next"))
+    return Diff(writes, deletes, redundant, restores, changed, identical_next, full_rows, per_chunk)
 
 
 def delete_counts(deletes: DataFrame) -> DataFrame:

@@ -88,10 +88,12 @@ def chunks_since(manifest: DataFrame, published: DataFrame, group: list[str] | N
     """(group…, dump_ts, baseline_ts, md5) chunks of each dump absent from the latest *published* dump before
     it. ``published`` is the publish log (group…, dump_ts); baseline_ts is null when nothing earlier is published."""
     g = _g(manifest, group)
-    dumps = manifest.select(*g, "dump_ts").distinct()
-    pub = published.select(*g, F.col("dump_ts").alias("baseline_ts"))
-    base = dumps.join(pub, g, "left").groupBy(*g, "dump_ts").agg(
-        F.max(F.when(F.col("baseline_ts") < F.col("dump_ts"), F.col("baseline_ts"))).alias("baseline_ts"))
+    # as-of join: dumps and publishes of a table in one order, each dump sees the last publish before it
+    staged = manifest.select(*g, "dump_ts").distinct().withColumn("_p", F.lit(None).cast("bigint"))
+    log = published.select(*g, F.col("dump_ts").cast("bigint").alias("dump_ts")).distinct().withColumn("_p", F.col("dump_ts"))
+    before = Window.partitionBy(*g).orderBy("dump_ts").rangeBetween(Window.unboundedPreceding, -1)
+    base = staged.unionByName(log).withColumn("baseline_ts", F.last("_p", ignorenulls=True).over(before)) \
+        .filter(F.col("_p").isNull()).drop("_p")
     cur = manifest.select(*g, "dump_ts", "md5").distinct().join(base, g + ["dump_ts"])
     old = manifest.select(*g, F.col("dump_ts").alias("baseline_ts"), "md5").distinct()
     return cur.join(old, g + ["baseline_ts", "md5"], "left_anti").select(*g, "dump_ts", "baseline_ts", "md5")

@@ -473,7 +473,11 @@ SQL["select_tables"] = with_(DUMP) + """
 select tbl_name, 'include' rule from dstmt where kind = 'create' and tbl_name <> 'nation'
 union all select tbl_name, 'exclude' from dstmt where kind = 'create' and tbl_name <> 'nation'"""
 SQL["has_data"] = with_(ORD, DUMP, ALLDDL) + "select distinct name tbl_name, true has_data from alld"
-SQL["manifest_wide_map"] = with_(DUMP) + f""", fp as (
+SQL["manifest_wide_map"] = with_(DUMP, ORD) + f""", hl as (
+  select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, tbl_name, line_no seq, md5(value || chr(10)) md5 from dstmt where kind = 'insert'
+  union all select namespace, dump_ts, tbl_name, seq, md5 from ordchunks),
+hp as (select *, row_number() over (partition by namespace, dump_ts, tbl_name order by seq) - 1 p from hl),
+fp as (
   select md5(string_agg(h, '' order by b)) md5 from (
     select line_no // 65536 b, md5(string_agg(md5(value || chr(10)), '' order by line_no)) h
     from dlines group by line_no // 65536))
@@ -481,7 +485,8 @@ select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, 'tables' family,
 union all select 'shopdump', {DUMP_TS}, 'views', tbl_name,
   regexp_replace(regexp_extract(value, '^/\\*!50001 VIEW\\s+`?[^`\\s]+`?\\s+AS\\s+(.*)$', 1), '[ */;]+$', '')
   from dstmt where kind = 'view'
-union all select 'shopdump', {DUMP_TS}, 'hashes', tbl_name, cast(count(*) as varchar) from dstmt where kind = 'insert' group by tbl_name
+union all select namespace, dump_ts, 'hashes', tbl_name || ':' || (p // 1000), string_agg(md5, ',' order by p) from hp
+  group by namespace, dump_ts, tbl_name, p // 1000
 union all select 'shopdump', {DUMP_TS}, 'meta', 'status', 'staged'
 union all select 'shopdump', {DUMP_TS}, 'meta', 'rowcount', cast((select count(*) from dlines) as varchar)
 union all select 'shopdump', {DUMP_TS}, 'meta', 'md5', (select md5 from fp)"""
@@ -502,9 +507,13 @@ select coalesce(p.row_key, n.row_key) row_key, coalesce(p."column", n."column")
 from p full join n on p.row_key = n.row_key and p."column" = n."column" """
 SQL["diff_suppress"] = with_(ORD, ORD_LATE) + """
 select f.row_key, max(i.row_id) row_id from fullrows f join inc i using (row_key) group by f.row_key"""
-SQL["diff_stats"] = with_(ORD, ORD_LATE) + """
-select md5, count(distinct row_key) n_changed_rows,
-  array_to_string(list_slice(list_sort(list(distinct row_id)), 1, 3), ',') preview from changed group by md5"""
+SQL["diff_stats"] = with_(ORD, ORD_LATE) + """, ch as (
+  select md5, count(distinct row_key) n_changed_rows,
+    array_to_string(list_slice(list_sort(list(distinct row_id)), 1, 3), ',') preview from changed group by md5),
+rows_ as (select md5, count(distinct row_key) n_incoming,
+    count(distinct case when row_key in (select row_key from prevs) then row_key end) n_prev,
+    count(distinct case when row_key in (select row_key from nexts) then row_key end) n_next from inc group by md5)
+select md5, n_incoming, n_prev, n_next, coalesce(n_changed_rows, 0) n_changed_rows, preview from rows_ left join ch using (md5)"""
 SQL["chunk_range_join"] = with_(ORD) + """, nc as (select md5 from newc where dump_ts = 300),
 r as (select md5, min(row_id) lo, max(row_id) hi from cellmd5 where dump_ts = 300 and md5 in (select md5 from nc)
       group by md5),

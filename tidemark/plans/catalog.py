@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_iso
+from tidemark.operators.positions import positions
+
+PAGE = 1000  # hashes of one page of a table's list
 
 
 def list_tables(ddl: DataFrame, dump_ts: int | None = None) -> DataFrame:
@@ -50,16 +53,25 @@ def has_data(manifest: DataFrame, tables: DataFrame) -> DataFrame:
         "tbl_name", F.coalesce("has_data", F.lit(False)).alias("has_data"))
 
 
+def hash_pages(manifest: DataFrame, size: int = PAGE) -> DataFrame:
+    """A4: (namespace, dump_ts, tbl_name, page, hashes): the ordered hash list of each table of a dump, in pages of ``size``
+    hashes, so that no list grows with the table."""
+    p = positions(manifest, ["namespace", "dump_ts", "tbl_name"], "seq", "_at").withColumn("page", F.floor(F.col("_at") / size).cast("bigint"))
+    return p.groupBy("namespace", "dump_ts", "tbl_name", "page").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_at", "md5"))), lambda x: x["md5"]).alias("hashes"))
+
+
 def manifest_wide(ddl: DataFrame, views: DataFrame, manifest: DataFrame, meta: DataFrame) -> DataFrame:
     """U4: the per-dump manifest as one long (namespace, dump_ts, family, key, value) frame — the union of the
-    tables/views/hashes/meta families. ``map_from_entries`` over it gives the wide map per dump."""
+    tables/views/hashes/meta families. ``map_from_entries`` over it gives the wide map per dump. Hash lists are paged (see
+    ``hash_pages``): the key of a page is ``table:page`` and its value the hashes, comma-joined."""
     t = ddl.select("namespace", "dump_ts", F.lit("tables").alias("family"), F.col("name").alias("key"),
                    F.col("stmt").alias("value"))
     v = views.select("namespace", "dump_ts", F.lit("views").alias("family"), F.col("name").alias("key"),
                      F.col("stmt").alias("value"))
-    h = manifest.groupBy("namespace", "dump_ts", "tbl_name").agg(F.count(F.lit(1)).alias("n")).select(
-        "namespace", "dump_ts", F.lit("hashes").alias("family"), F.col("tbl_name").alias("key"),
-        F.col("n").cast("string").alias("value"))
+    h = hash_pages(manifest).select(
+        "namespace", "dump_ts", F.lit("hashes").alias("family"), F.concat_ws(":", "tbl_name", F.col("page").cast("string")).alias("key"),
+        F.array_join("hashes", ",").alias("value"))
     m = meta.select("namespace", "dump_ts", F.lit("meta").alias("family"),
                     F.explode(F.create_map(F.lit("status"), F.col("status"), F.lit("rowcount"),
                                            F.col("rowcount").cast("string"), F.lit("md5"), F.col("md5")))

@@ -800,9 +800,10 @@ def has_data(spark, sf):
 
 @query
 def manifest_wide_map(spark, sf):
-    """U4: tables/views/hashes/meta families of the dump manifest as one long frame."""
+    """U4 / A4: tables/views/hashes/meta families of the dump manifest, and the paged hash lists of every ORD dump."""
     st = dump_staged(spark, sf)
-    return CAT.manifest_wide(st.ddl, st.views, st.manifest, st.meta)
+    o = ord_staged(spark, sf).manifest.select(st.manifest.columns)
+    return CAT.manifest_wide(st.ddl, st.views, st.manifest.unionByName(o), st.meta)
 
 
 def _inorder_history(spark, sf):
@@ -902,13 +903,14 @@ def diff_suppress(spark, sf):
 
 @query
 def diff_stats(spark, sf):
-    """Per incoming chunk: rows, changed rows and the first three changed ids (bounded per chunk)."""
+    """Per incoming chunk: its rows, those in the previous and next state, changed rows and the first three changed
+    ids (bounded per chunk)."""
     d = _late_diff(spark, sf)
     ch = d.changed.groupBy("md5").agg(
         F.countDistinct("row_key").alias("n_changed_rows"),
         F.array_join(F.slice(F.array_sort(F.collect_set(F.col("row_id"))), 1, 3).cast("array<string>"), ",")
         .alias("preview"))
-    return ch
+    return d.chunk_rows.join(ch, "md5", "left").na.fill(0, ["n_changed_rows"])
 
 
 @query
