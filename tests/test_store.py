@@ -178,3 +178,32 @@ def test_plans_prune_and_exchange_once(spark, tmp_path, capsys):
     for df in (H.masked_asof(c, t, 50), H.mask_tombstones(c, t, 50), H.asof_wide(c, ["c"], 50, tombstones=t)):
         df.explain()
         assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+
+
+def test_many_tables_in_one_plan(spark, tmp_path):
+    """Eight tables of two shapes: the same reads as table by table, deletes included, in as many jobs as one table takes."""
+    rnd = random.Random(7)
+    many, single = Store(spark, str(tmp_path / "m")), Store(spark, str(tmp_path / "s"))
+    names = [f"t{i}" for i in range(8)]
+    dumps = {t: {w: [(a, rnd.choice("kl"), rnd.choice("pqr"), w + rnd.randrange(2)) for a in rnd.sample(range(9), 6)] for w in (10, 20)} for t in names}
+
+    def runs(when, tables):
+        parts = [run_of(spark, when, dumps[t][when], tbl=t) for t in tables]
+        both = lambda f: __import__("functools").reduce(lambda a, b: a.unionByName(b), [getattr(p, f) for p in parts])
+        return StagedDump(both("chunks"), both("manifest"), both("ddl"), both("views"), both("meta").limit(1))
+
+    jobs = {}
+    for store, tables in ((many, names), (single, names[:1])):
+        for when in (10, 20):
+            store.stage(runs(when, tables))
+            spark.sparkContext.setJobGroup(f"{len(tables)}-{when}", "publish")
+            got = store.publish_namespace("n", when, apply_deletes=True)
+            assert got == [(t, "published") for t in tables]
+            jobs[len(tables), when] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{len(tables)}-{when}"))
+            spark.sparkContext.setJobGroup("other", "")
+    assert store.publish_namespace("n", 20) == [("t0", "unchanged")]
+    for t in names:
+        for when in (10, 20):
+            assert read(many, when, t) == sorted(dumps[t][when])
+    for when in (10, 20):
+        assert jobs[8, when] <= jobs[1, when] + 4, jobs

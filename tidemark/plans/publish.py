@@ -111,11 +111,11 @@ def _wanted(chunks: DataFrame, keys: DataFrame) -> tuple[DataFrame, int]:
     Staged chunks lie in one partition per stage that brought them, sorted by md5; the manifest says which, so only those
     partitions are read (a filter on partition values known before the scan), and within their files the row groups
     whose md5 range holds a wanted key. Keys are broadcast up to a checked count."""
-    on = ["md5"]
-    if "first_stage" in chunks.columns and "first_stage" in keys.columns:
+    on = [c for c in ("tbl_name", "md5", "first_stage") if c in chunks.columns and c in keys.columns]
+    chunks = chunks.select(*dict.fromkeys(["tbl_name", "md5", *on, "payload"]))
+    if "first_stage" in on:
         # one value per stage that first brought a wanted chunk
         n, stages = keys.agg(F.count(F.lit(1)), F.collect_set("first_stage")).first()
-        on = ["md5", "first_stage"]
         chunks = chunks.filter(F.col("first_stage").isin(stages) if stages else F.lit(False))
     else:
         n = keys.limit(NEW_CHUNK_BROADCAST_ROWS + 1).count()
@@ -189,6 +189,119 @@ def _no_change_diff(removed_keys: DataFrame | None, when: int) -> D.Diff:
         full_rows=cells.select("row_key", "row_id"))
 
 
+def _compared(inc: DataFrame, removed_keys: DataFrame | None, hist: DataFrame, tomb: DataFrame | None, when: int,
+              next_ts: int | None, apply_deletes: bool, materialize: bool) -> StepResult:
+    """Corrected publish of incoming cells (with n_puts) and removed keys against the history of the same rows."""
+    duplicates = inc.filter("n_puts > 1").groupBy("row_key").agg(F.max("n_puts").alias("n_puts"))
+    inc = inc.drop("n_puts")
+    keys = inc.select("row_key")
+    if apply_deletes and removed_keys is not None:
+        keys = keys.unionByName(removed_keys.select("row_key"))
+    keys = keys.distinct()
+    if materialize:
+        keys = checkpointed(keys)
+    # the changed keys of an incremental dump are usually few: broadcast them (size-checked) so the history is
+    # filtered where it is scanned; a large key set falls back to a shuffle semi join
+    keys = bounded_broadcast(keys, KEY_BROADCAST_ROWS)
+    hk = hist.join(keys, "row_key", "left_semi")
+    tk = tomb.join(keys, "row_key", "left_semi") if apply_deletes and tomb is not None else None
+    prev, nxt = _dual_state(hk, when - 1, next_ts, materialize, tk)
+    d = D.diff(inc, prev, nxt, when, next_ts, "corrected", removed_keys=removed_keys, materialize=materialize)
+    res = StepResult(when, "published", d, None, next_ts, duplicates=duplicates)
+    if apply_deletes:
+        res.tombstones, rest = _delete_effects(d, nxt, tk, when, next_ts)
+        if rest is not None:
+            d.restores = d.restores.unionByName(rest.select(*d.restores.columns))
+    return res
+
+
+def table_defs(staged: Staged, namespace: str, tables: list[str], when: int) -> None:
+    """Read the DDL of many tables of a dump in one job (kept in ``staged`` for ``table_def``)."""
+    d = staged.ddl.filter((F.col("namespace") == namespace) & (F.col("dump_ts") == when) & F.col("name").isin(tables))
+    rows = with_types(parse_ddl(d.select("name", F.col("stmt").alias("payload")), "payload", keep=["name"])).select(
+        "name", "pos", "column", "sql_type", "mysql_type", "scale", "key_pos").collect()
+    for t in tables:
+        own = [r for r in rows if r["name"] == t]
+        if own:
+            staged.columns[namespace, t, int(when)] = ([(r["column"], r["sql_type"]) for r in sorted(own, key=lambda r: r["pos"])], key_of(own))
+
+
+TABLE_END = "\x00"  # ends the table's name before a row key in a plan over many tables
+
+
+@dataclass
+class ManyResult:
+    """One plan over tables that share their baseline and next published dump."""
+    tables: list[str]
+    next_ts: int | None
+    step: StepResult
+
+    @staticmethod
+    def _split(df: DataFrame) -> DataFrame:
+        name = F.substring_index("row_key", TABLE_END, 1)
+        return df.withColumn("tbl_name", name).withColumn("row_key", F.substring("row_key", F.length(name) + 2, F.length("row_key")))
+
+    @property
+    def cells(self) -> DataFrame:
+        return self._split(self.step.cells)
+
+    @property
+    def new_tombstones(self) -> DataFrame | None:
+        t = self.step.new_tombstones
+        return None if t is None else self._split(t)
+
+
+def publish_tables(staged: Staged, history: DataFrame, published: dict[str, list[int]], namespace: str, when: int,
+                   apply_deletes: bool = False, tombstones: DataFrame | None = None, materialize: bool = True) -> list[ManyResult]:
+    """L5 (corrected): publish the tables named by ``published`` (with the dumps each has published) in one plan for each pair
+    of baseline and next dump among them, which for tables that are published together is one plan, whatever their number.
+
+    Row keys carry their table's name, so the diff is keyed by (table, row, column). ``history`` and ``tombstones`` have
+    tbl_name. Column lists and keys come from the DDL; tables with the same ones are parsed together."""
+    tables = sorted(published)
+    table_defs(staged, namespace, tables, when)
+    groups: dict[tuple[int | None, int | None], list[str]] = {}
+    for t in tables:
+        others = [p for p in published[t] if p != when]
+        groups.setdefault((max((p for p in others if p < when), default=None), min((p for p in others if p > when), default=None)), []).append(t)
+    m = staged.manifest.filter(F.col("namespace") == namespace)
+    where = ["tbl_name", "md5"] + [c for c in ["first_stage"] if c in m.columns]
+    tagged = lambda df: df.withColumn("row_key", F.concat("tbl_name", F.lit(TABLE_END), "row_key")).drop("tbl_name")
+    out = []
+    for (baseline, next_ts), names in groups.items():
+        mine = F.col("tbl_name").isin(names)
+        of = lambda ts: m.filter((F.col("dump_ts") == ts) & mine).groupBy(*where).agg(F.max("seq").alias("seq"))  # noqa: E731, B023
+        cur, old = of(when), None if baseline is None else of(baseline)
+        new = cur if old is None else cur.join(old.select("tbl_name", "md5"), ["tbl_name", "md5"], "left_anti")
+        chunks = staged.chunks.filter((F.col("namespace") == namespace) & mine)
+        shapes: dict[tuple, list[str]] = {}
+        for t in names:
+            cols, key = table_def(staged, namespace, t, when)
+            shapes.setdefault((tuple(c for c, _ in cols), key), []).append(t)
+
+        def parsed(wanted: DataFrame, parse, keep: list[str]) -> DataFrame:
+            each = _wanted(chunks, wanted)[0].select(*keep, "payload")  # noqa: B023
+            parts = [parse(each.filter(F.col("tbl_name").isin(ts)), list(cols), key) for (cols, key), ts in shapes.items()]  # noqa: B023
+            whole = parts[0]
+            for p in parts[1:]:
+                whole = whole.unionByName(p)
+            return checkpointed(whole) if materialize else whole
+
+        keep = ["tbl_name", "md5", "seq"]
+        inc = last_puts(tagged(parsed(new, lambda c, cols, key: chunk_cells(c, cols, keep=keep, key=key), keep)), ["seq", "tuple_pos"])
+        removed = None
+        if old is not None:
+            gone = old.join(cur.select("tbl_name", "md5"), ["tbl_name", "md5"], "left_anti")
+            removed = tagged(parsed(gone, lambda c, cols, key: _keys_of(c, cols, key, ["tbl_name", "md5"]), ["tbl_name", "md5"]))
+        rows = lambda df: tagged(df.filter((F.col("namespace") == namespace) & mine & (F.col("publish_id") != when)))  # noqa: E731, B023
+        hist = rows(history).select(*HISTORY_COLS)
+        tomb = None if tombstones is None else rows(tombstones).select("row_key", "column", "ts")
+        step = _compared(inc, removed, hist, tomb, when, next_ts, apply_deletes, materialize)
+        step.baseline = baseline
+        out.append(ManyResult(names, next_ts, step))
+    return out
+
+
 def publish_step(staged: Staged, history: DataFrame, published: list[int], namespace: str, tbl: str, when: int,
                  mode: str = "corrected", now: int | None = None, literal_nulls: bool | None = None,
                  schema_only: bool = False, materialize: bool = True, apply_deletes: bool = False,
@@ -239,17 +352,6 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
                                     keep=["md5", "seq"], key=key), ["seq", "tuple_pos"])
         if materialize:
             inc = checkpointed(inc)
-        duplicates = inc.filter("n_puts > 1").groupBy("row_key").agg(F.max("n_puts").alias("n_puts"))
-        inc = inc.drop("n_puts")
-        keys = inc.select("row_key")
-        if apply_deletes and removed_keys is not None:
-            keys = keys.unionByName(removed_keys.select("row_key"))
-        keys = keys.distinct()
-        if materialize:
-            keys = checkpointed(keys)
-        # the changed keys of an incremental dump are usually few: broadcast them (size-checked) so the history is
-        # filtered where it is scanned; a large key set falls back to a shuffle semi join
-        hk = hist.join(bounded_broadcast(keys, KEY_BROADCAST_ROWS), "row_key", "left_semi")
         tk = None
         if apply_deletes and tombstones is not None:
             tk = tombstones
@@ -257,16 +359,8 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
                 tk = tk.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
             if "publish_id" in tk.columns:
                 tk = tk.filter(F.col("publish_id") != when)
-            tk = tk.join(bounded_broadcast(keys, KEY_BROADCAST_ROWS), "row_key", "left_semi")
-            prev, nxt = _dual_state(hk, when - 1, next_ts, materialize, tk)
-        else:
-            prev, nxt = _dual_state(hk, when - 1, next_ts, materialize)
-        d = D.diff(inc, prev, nxt, when, next_ts, "corrected", removed_keys=removed_keys, materialize=materialize)
-        res = StepResult(when, "published", d, baseline, next_ts, names, duplicates=duplicates)
-        if apply_deletes:
-            res.tombstones, rest = _delete_effects(d, nxt, tk, when, next_ts)
-            if rest is not None:
-                d.restores = d.restores.unionByName(rest.select(*d.restores.columns))
+        res = _compared(inc, removed_keys, hist, tk, when, next_ts, apply_deletes, materialize)
+        res.baseline, res.columns = baseline, names
         return res
 
     # literal: staged milestones and their bounds

@@ -74,12 +74,12 @@ class AsOf:
     increments: list[int]
 
 
-def clustered(df: DataFrame, parts: list[str], file_rows: int = FILE_ROWS) -> DataFrame:
+def clustered(df: DataFrame, parts: list[str], file_rows: int = FILE_ROWS, lead: list[str] | None = None) -> DataFrame:
     """Rows ranged over files by row and sorted inside, so that a file and its row groups hold a narrow row range.
 
     ``df`` is materialised; counting it is cheap. Partition columns lead the sort: the writer then keeps the order."""
     files = max(1, -(-df.count() // file_rows))
-    return df.repartitionByRange(files, "row_id", "row_key").sortWithinPartitions(*parts, "row_id", "row_key", "column", "ts")
+    return df.repartitionByRange(files, *(lead or []), "row_id", "row_key").sortWithinPartitions(*parts, "row_id", "row_key", "column", "ts")
 
 
 class Store:
@@ -400,16 +400,46 @@ class Store:
         return self.read("stage_ddl").filter((F.col("namespace") == namespace) & (F.col("dump_ts") == when)).select(
             F.col("name").alias("tbl_name")).distinct()
 
-    def publish_namespace(self, namespace: str, when: int, include_file: str | None = None,
-                          exclude_file: str | None = None, **kw) -> list[tuple[str, str]]:
-        """Publish the selected tables of a dump (include list wins over exclude list). The loop runs over
-        table names on the driver; each table is one set of Spark jobs. Returns (table, status)."""
+    def publish_namespace(self, namespace: str, when: int, include_file: str | None = None, exclude_file: str | None = None,
+                          apply_deletes: bool = False, **kw) -> list[tuple[str, str]]:
+        """Publish the selected tables of a dump (include list wins over exclude list). Tables that share their baseline and
+        next published dump go through one plan and one write, so the number of jobs doesn't grow with the tables (other
+        modes and forced publishes go table by table). Returns (table, status)."""
         from tidemark.plans.catalog import select_tables
         from tidemark.sources.dumpfile import read_list
         inc = read_list(self.spark, include_file) if include_file else None
         exc = read_list(self.spark, exclude_file) if exclude_file else None
         names = sorted(r[0] for r in select_tables(self.tables_of(namespace, when), inc, exc).collect())
-        return [(t, self.publish(namespace, t, when, **kw).status) for t in names]
+        if kw:
+            return [(t, self.publish(namespace, t, when, apply_deletes=apply_deletes, **kw).status) for t in names]
+        log = self.raw("publish_log")
+        done: dict[str, list[Row]] = {t: [] for t in names}
+        if log is not None:
+            for r in log.filter((F.col("namespace") == namespace) & F.col("tbl_name").isin(names)).collect():
+                done[r["tbl_name"]].append(r)
+        todo = {t: [r["dump_ts"] for r in rows] for t, rows in done.items() if when not in {r["dump_ts"] for r in rows}}
+        status = {t: "published" if t in todo else "unchanged" for t in names}
+        if not todo:
+            return [(t, status[t]) for t in names]
+        committed = [(t, d) for t, ds in todo.items() for d in set(ds)]
+        pairs = self.spark.createDataFrame(committed, "tbl_name string, publish_id bigint")
+
+        def visible(name: str) -> DataFrame:
+            raw = self.raw(name)
+            raw = self.spark.createDataFrame([], SCHEMAS[name]) if raw is None else raw
+            return raw.filter((F.col("namespace") == namespace) & F.col("tbl_name").isin(list(todo))).join(
+                bounded_broadcast(pairs, 1_000_000), ["tbl_name", "publish_id"], "left_semi")
+
+        deleted = any(r["deletes"] for t in todo for r in done[t])
+        ns = F.lit(namespace).alias("namespace")
+        for r in P.publish_tables(self.staged(), visible("history"), todo, namespace, when, apply_deletes, visible("tombstones") if deleted else None):
+            cells = checkpointed(r.cells.select("*", ns))
+            self._write(clustered(cells, PARTS["history"], lead=["tbl_name"]), "history", "overwrite")  # partitions publish_id = when
+            if r.new_tombstones is not None:
+                self._write(checkpointed(r.new_tombstones.select("*", ns)), "tombstones", "overwrite")
+            now = time.time_ns() // 1000
+            self._commit("publish_log", [(int(when), r.next_ts, "corrected", apply_deletes, now, namespace, t) for t in r.tables])
+        return [(t, status[t]) for t in names]
 
     def register(self, namespace: str, tbl: str, ts: int | None = None, save_as_table: bool = False) -> str:
         """K7: expose the typed table as ``namespace_tbl`` (temp view, or a catalog table when asked)."""

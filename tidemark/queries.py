@@ -732,7 +732,7 @@ def scalar_epoch_iso(spark, sf):
 
 # ------------------------------------------------------------------ catalogue, publish views, rebuild
 from tidemark.plans import catalog as CAT  # noqa: E402
-from tidemark.plans.publish import _dual_state, empty_history, table_columns  # noqa: E402
+from tidemark.plans.publish import _dual_state, publish_tables, table_columns  # noqa: E402
 from tidemark.plans.rebuild import rebuild_history as _rebuild  # noqa: E402
 
 
@@ -864,13 +864,10 @@ def publish_namespace(spark, sf):
     tables = [r[0] for r in CAT.select_tables(st_dump.ddl.select(F.col("name").alias("tbl_name")),
                                               exclude=spark.createDataFrame([("nation",)], "tbl_name string"))
               .collect()]  # table names: catalogue metadata
-    out = None
-    for t in sorted(tables):
-        r = publish_step(staged, empty_history(spark), [], DUMP_NS, t, when)
-        c = r.cells.groupBy().agg(F.count(F.lit(1)).alias("n_cells")).select(
-            F.lit(t).alias("tbl_name"), F.lit(r.status).alias("status"), "n_cells")
-        out = c if out is None else out.unionByName(c)
-    return out
+    empty = spark.createDataFrame([], ST.SCHEMAS["history"])
+    (r,) = publish_tables(staged, empty, {t: [] for t in tables}, DUMP_NS, when)  # one plan: nothing is published yet
+    return r.cells.groupBy("tbl_name").agg(F.count(F.lit(1)).alias("n_cells")).select(
+        "tbl_name", F.lit(r.step.status).alias("status"), "n_cells")
 
 
 @query
