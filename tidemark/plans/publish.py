@@ -114,13 +114,15 @@ def _wanted(chunks: DataFrame, keys: DataFrame) -> tuple[DataFrame, int]:
     on = [c for c in ("tbl_name", "md5", "first_stage") if c in chunks.columns and c in keys.columns]
     chunks = chunks.select(*dict.fromkeys(["tbl_name", "md5", *on, "payload"]))
     if "first_stage" in on:
-        # one value per stage that first brought a wanted chunk
-        n, stages = keys.agg(F.count(F.lit(1)), F.collect_set("first_stage")).first()
+        few = keys.select("md5", "first_stage").limit(POINT_LOOKUP_KEYS + 1).collect()
+        n, stages = len(few), sorted({r[1] for r in few})
+        if n > POINT_LOOKUP_KEYS:  # one value per stage that first brought a wanted chunk
+            n, stages = keys.agg(F.count(F.lit(1)), F.collect_set("first_stage")).first()
+        elif n:
+            chunks = chunks.filter(F.col("md5").isin([r[0] for r in few]))
         chunks = chunks.filter(F.col("first_stage").isin(stages) if stages else F.lit(False))
     else:
         n = keys.limit(NEW_CHUNK_BROADCAST_ROWS + 1).count()
-    if 0 < n <= POINT_LOOKUP_KEYS:
-        chunks = chunks.filter(F.col("md5").isin([r[0] for r in keys.select("md5").collect()]))
     right = keys.select(*on, "seq")
     return chunks.join(F.broadcast(right) if n <= NEW_CHUNK_BROADCAST_ROWS else right, on), n
 
@@ -189,11 +191,26 @@ def _no_change_diff(removed_keys: DataFrame | None, when: int) -> D.Diff:
         full_rows=cells.select("row_key", "row_id"))
 
 
+def _single_puts(inc: DataFrame, materialize: bool) -> tuple[DataFrame, DataFrame]:
+    """(cells, duplicates): rows of a dump that share a key count by their last put, and the keys are reported (row_key,
+    n_puts). A PRIMARY KEY allows none, so they are looked for on keys alone first."""
+    ends = [f(c).alias(f"{n}_{c}") for c in ("seq", "tuple_pos") for f, n in ((F.min, "lo"), (F.max, "hi"))]
+    twice = inc.groupBy("row_key").agg(*ends).filter("lo_seq < hi_seq or lo_tuple_pos < hi_tuple_pos").select("row_key")
+    if materialize:
+        twice = checkpointed(twice)
+    single = inc.drop("seq", "tuple_pos")
+    if materialize and twice.isEmpty():
+        return single, twice.select("row_key", F.lit(0).cast("bigint").alias("n_puts"))
+    many = inc.join(twice, "row_key", "left_semi")
+    puts = many.groupBy("row_key").agg(F.count_distinct("seq", "tuple_pos").alias("n_puts"))
+    last = last_puts(many, ["seq", "tuple_pos"]).select(*single.columns)
+    return single.join(twice, "row_key", "left_anti").unionByName(last), puts
+
+
 def _compared(inc: DataFrame, removed_keys: DataFrame | None, hist: DataFrame, tomb: DataFrame | None, when: int,
               next_ts: int | None, apply_deletes: bool, materialize: bool) -> StepResult:
-    """Corrected publish of incoming cells (with n_puts) and removed keys against the history of the same rows."""
-    duplicates = inc.filter("n_puts > 1").groupBy("row_key").agg(F.max("n_puts").alias("n_puts"))
-    inc = inc.drop("n_puts")
+    """Corrected publish of incoming cells (with seq and tuple_pos) and removed keys against the history of the same rows."""
+    inc, duplicates = _single_puts(inc, materialize)
     keys = inc.select("row_key")
     if apply_deletes and removed_keys is not None:
         keys = keys.unionByName(removed_keys.select("row_key"))
@@ -288,7 +305,7 @@ def publish_tables(staged: Staged, history: DataFrame, published: dict[str, list
             return checkpointed(whole) if materialize else whole
 
         keep = ["tbl_name", "md5", "seq"]
-        inc = last_puts(tagged(parsed(new, lambda c, cols, key: chunk_cells(c, cols, keep=keep, key=key), keep)), ["seq", "tuple_pos"])
+        inc = tagged(parsed(new, lambda c, cols, key: chunk_cells(c, cols, keep=keep, key=key), keep))
         removed = None
         if old is not None:
             gone = old.join(cur.select("tbl_name", "md5"), ["tbl_name", "md5"], "left_anti")
@@ -343,13 +360,11 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
         removed_keys = None
         if removed is not None:
             removed_keys = _keys_of(_wanted(st.chunks, removed)[0], names, key)
-            if materialize:  # the delete report, the restores and the tombstones read it: parse once
+            if materialize and apply_deletes:  # the deletes, the restores and the tombstones read it: parse once
                 removed_keys = checkpointed(removed_keys)
         if n_new == 0 and not apply_deletes:
             return StepResult(when, "published", _no_change_diff(removed_keys, when), baseline, next_ts, names)
-        # rows of a dump that share a key: the last put wins, and the keys are reported
-        inc = last_puts(chunk_cells(new_chunks.select("md5", "seq", "payload"), names, literal_nulls=literal_nulls,
-                                    keep=["md5", "seq"], key=key), ["seq", "tuple_pos"])
+        inc = chunk_cells(new_chunks.select("md5", "seq", "payload"), names, literal_nulls=literal_nulls, keep=["md5", "seq"], key=key)
         if materialize:
             inc = checkpointed(inc)
         tk = None
