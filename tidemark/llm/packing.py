@@ -16,7 +16,6 @@ their own; extra columns are ignored; an empty table gives no rows; long texts a
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialize
-from .wordcache import encoder
+from .ranks import Vocabulary, encoder
 
 SALTS = 64
 KEYS_BROADCAST = 500_000  # rows of five longs: at most 20 MB
 
 
-def cut(docs: DataFrame, tokenizer: str, end: int, window: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def cut(docs: DataFrame, tokenizer: str | Vocabulary, end: int, window: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, length, doc_tokens, ids): full windows and the remainder of each document; ids are binary,
     little-endian unsigned 32-bit."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -199,7 +198,7 @@ def plan(pieces: DataFrame, window: int) -> DataFrame:
     return combo.unionAll(full).unionAll(loose)
 
 
-def placed(docs: DataFrame, tokenizer: str, end: int = 1, window: int = 2048, id_col: str = "doc_id",
+def placed(docs: DataFrame, tokenizer: str | Vocabulary, end: int = 1, window: int = 2048, id_col: str = "doc_id",
            text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(pieces with ids, plan), both written once and keyed by ``uid``."""
     pieces = materialize(cut(docs, tokenizer, end, window, id_col, text)
@@ -215,7 +214,7 @@ def _joined(pieces: DataFrame, at: DataFrame) -> DataFrame:
         "doc_tokens", "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, tokenizer: str, end: int = 1, window: int = 2048, id_col: str = "doc_id",
+def pack(docs: DataFrame, tokenizer: str | Vocabulary, end: int = 1, window: int = 2048, id_col: str = "doc_id",
          text: str = "text") -> DataFrame:
     """Placed pieces with their ids: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
     pieces, at = placed(docs, tokenizer, end, window, id_col, text)
@@ -238,5 +237,5 @@ def digest(pieces: DataFrame, at: DataFrame) -> DataFrame:
     return kept.unionAll(recut.withColumn("ids_crc32", F.crc32("ids")).select(kept.columns))
 
 
-def op8(docs: DataFrame, tokenizer: str) -> DataFrame:
+def op8(docs: DataFrame, tokenizer: str | Vocabulary) -> DataFrame:
     return digest(*placed(docs, tokenizer))

@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crossalign, maxscore, metricjoin, mincut, neardup, orcids, packing, pitmanyor, pseudonyms, quality, turnrepair, viterbi, wordpiece
+from . import crossalign, maxscore, metricjoin, mincut, neardup, orcids, packing, pitmanyor, pseudonyms, quality, ranks, turnrepair, viterbi, wordpiece
 from .common import table
 
 PII_KEY = "tidemark-demo-key"  # a deployment passes its own secret
 
+BYTE_BPE = ranks.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 TOKENIZERS = crossalign.Pair(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, merges=True)
 
@@ -23,7 +24,7 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pseudonyms": lambda s, d: pseudonyms.op5(table(s, d, "documents"), PII_KEY),
     "op6_superminhash": lambda s, d: neardup.op6(table(s, d, "documents")),
     "op7_viterbi_pieces": lambda s, d: viterbi.op7(table(s, d, "documents"), public_tokenizers.path("piece_bpe_32k.model")),
-    "op8_nnls_packing": lambda s, d: packing.op8(table(s, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")),
+    "op8_nnls_packing": lambda s, d: packing.op8(table(s, d, "documents"), BYTE_BPE),
     "op9_quality_rules": lambda s, d: quality.op9(table(s, d, "documents")),
     "op10_pitman_yor": lambda s, d: pitmanyor.op10(table(s, d, "documents")),
     "op11_turn_repair": lambda s, d: turnrepair.op11(table(s, d, "conversations")),
