@@ -7,13 +7,12 @@ shared work folder and reread.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup, packing, pseudonyms, quality
 from tidemark.llm.common import materialize, table
-from tidemark.llm.queries import PII_KEY
+from tidemark.llm.queries import BYTE_BPE, PII_KEY
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +36,11 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed pieces: doc_id, start, length, ids (binary, unsigned 32-bit), doc_tokens, sequence_id, offset."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, BYTE_BPE)
 
 
 STAGES = [("quality", quality_rules), ("near_dedup", near_dedup), ("pii", pii), ("pack", pack)]
-ORACLE_SQL = None  # signatures, permutations and token ids are not SQL; tests compare with a brute-force pipeline
+ORACLE_SQL = None  # signatures, permutations and token ids are not SQL; tests/llm/test_pipeline.py checks run() by brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
