@@ -193,7 +193,9 @@ SQL["diff_deletes"] = with_(ORD, ORD_LATE) + """
 select * from deletes"""
 
 SQL["diff_restore"] = with_(ORD, ORD_LATE) + """
-select * from restores"""
+select * from restores
+union all select cast(600 as bigint), i.row_key, i.row_id, i."column", p.value, p.is_null
+from inc i join (select * from ordcells where dump_ts = 100) p using (row_key, "column") where p.value is distinct from i.value"""
 
 SQL["snapshot_diff"] = with_(ORD, ORD_LATE) + """
 select 'write' change_kind, ts, row_key, row_id, "column", value, is_null from writes
@@ -409,7 +411,7 @@ select * from (select row_key, "column", ts, value,
 where version <= 3"""
 SQL["cap_versions"] = with_(EV) + """
 select row_key, "column", ts, value from (select *, row_number() over (partition by row_key, "column" order by ts desc) v
-  from ev) where v <= 999"""
+  from ev) where v <= 5"""
 MASKED = """masked as (select e.* from ev e
   where not exists (select 1 from tomb t where t.row_key = e.row_key and t."column" = e."column" and t.ts >= e.ts)
     and not exists (select 1 from tomb t where t.row_key = e.row_key and t."column" is null and t.ts >= e.ts))"""
@@ -472,7 +474,16 @@ SQL["table_list_file"] = with_(DUMP) + "select tbl_name from dstmt where kind =
 SQL["select_tables"] = with_(DUMP) + """
 select tbl_name, 'include' rule from dstmt where kind = 'create' and tbl_name <> 'nation'
 union all select tbl_name, 'exclude' from dstmt where kind = 'create' and tbl_name <> 'nation'"""
-SQL["has_data"] = with_(ORD, DUMP, ALLDDL) + "select distinct name tbl_name, true has_data from alld"
+SQL["has_data"] = with_(ORD, DUMP, ALLDDL) + """
+select distinct name tbl_name, true has_data from alld
+union all select 'debt_' || c_nationkey || '_' || c_mktsegment, max(c_acctbal < -990) from customer group by 1"""
+SQL["statement_text"] = with_(DUMP) + r"""
+select line_no, md5(t) statement_md5, cast(length(t) as bigint) statement_len from (
+  select line_no, case when strpos(s, ';') > 0 then substr(s, 1, length(s) - length(split_part(s, ';', -1))) else s end t from (
+    select line_no, regexp_replace(value, '^\s+|\s+$', '', 'g') s from dstmt
+    where kind in ('insert', 'create', 'view') or suffix(value, ';')))"""
+SQL["staging_time"] = with_(ORD) + """
+select dump_ts, count(*) rowcount, true timed, true rounded from ordchunks where dump_ts in (100, 500) group by dump_ts"""
 SQL["manifest_wide_map"] = with_(DUMP, ORD) + f""", hl as (
   select 'shopdump' namespace, cast({DUMP_TS} as bigint) dump_ts, tbl_name, line_no seq, md5(value || chr(10)) md5 from dstmt where kind = 'insert'
   union all select namespace, dump_ts, tbl_name, seq, md5 from ordchunks),

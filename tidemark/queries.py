@@ -217,8 +217,14 @@ def diff_deletes(spark, sf):
 
 @query
 def diff_restore(spark, sf):
-    """Values of the next published dump that the late write would shadow, re-written at next."""
-    return _late_diff(spark, sf).restores
+    """Dump 600 repeats dump 100, both are published, then the late dump 300: its writes would shadow what 600 kept from
+    100, so those values are written again at 600. The restores of the ORD sequence (none there) come with them."""
+    st = ord_staged(spark, sf)
+    again = st.manifest.filter(F.col("dump_ts") == 100).withColumn("dump_ts", F.lit(600).cast("bigint"))
+    ddl = st.ddl.unionByName(st.ddl.filter(F.col("dump_ts") == 100).withColumn("dump_ts", F.lit(600).cast("bigint")))
+    st6 = Staged(st.manifest.unionByName(again), st.chunks, ddl)
+    h, _ = publish_sequence(spark, st6, NS, TBL, [100, 600])
+    return _late_diff(spark, sf).restores.unionByName(publish_step(st6, h, [100, 600], NS, TBL, 300).diff.restores)
 
 
 @query
@@ -320,6 +326,26 @@ def insert_payload(spark, sf):
                     F.length("p").cast("bigint").alias("payload_len"))
 
 
+@query
+def statement_text(spark, sf):
+    """Statement of every line that holds one, up to its last ';' (as md5 and length)."""
+    c = dump_classified(spark, sf).filter(F.col("kind").isin("insert", "create", "view") | F.col("value").endswith(";"))
+    t = S.statement_text("value")
+    return c.select("line_no", F.md5(t).alias("statement_md5"), F.length(t).cast("bigint").alias("statement_len"))
+
+
+@query
+def staging_time(spark, sf):
+    """Dumps of a store with their line counts; staging took a time of at least zero, rounded to one decimal; a
+    dry run leaves nothing."""
+    store = _new_store(spark)
+    store.stage(_ord_run(spark, sf, 300), dry_run=True)
+    for d in (100, 500):
+        store.stage(_ord_run(spark, sf, d))
+    m = store.read("stage_meta")
+    return m.select("dump_ts", "rowcount", (F.col("parsetime") >= 0).alias("timed"), (F.round("parsetime", 1) == F.col("parsetime")).alias("rounded"))
+
+
 @query
 def scalar_md5(spark, sf):
     """md5 of every line as read (newline included)."""
@@ -526,8 +552,8 @@ def cell_versions(spark, sf):
 
 @query
 def cap_versions(spark, sf):
-    """K5: history capped at the store's version limit per cell."""
-    return H.cap_versions(_ev(spark, sf)).select("row_key", "column", "ts", "value")
+    """K5: history capped at five versions per cell (the store's own limit, 999, is a parameter too)."""
+    return H.cap_versions(_ev(spark, sf), 5).select("row_key", "column", "ts", "value")
 
 
 @query
@@ -792,10 +818,13 @@ def select_tables(spark, sf):
 
 @query
 def has_data(spark, sf):
-    """Which tables of the dump have data (DUMP tables plus ORD)."""
+    """Which tables have data: DUMP tables, ORD, and one table per nation and market segment, whose rows are the customers
+    with a debt of more than 990 (many have none)."""
     st = dump_staged(spark, sf)
-    tables = _all_ddl(spark, sf).select(F.col("name").alias("tbl_name"))
-    return CAT.has_data(st.manifest.unionByName(ord_staged(spark, sf).manifest.select(st.manifest.columns)), tables)
+    c = FX.read(spark, sf, "customer").select(F.concat_ws("_", F.lit("debt"), F.col("c_nationkey").cast("string"), "c_mktsegment").alias("tbl_name"), "c_acctbal")
+    tables = _all_ddl(spark, sf).select(F.col("name").alias("tbl_name")).unionByName(c.select("tbl_name"))
+    m = st.manifest.unionByName(ord_staged(spark, sf).manifest.select(st.manifest.columns))
+    return CAT.has_data(m.select("tbl_name").unionByName(c.filter("c_acctbal < -990").select("tbl_name")), tables)
 
 
 @query
