@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -78,6 +79,21 @@ def test_main_text():
     assert [mincut.main_text(x) for x in (None, "", "  ", "<", "<p", "<!-- x")] == [""] * 6
 
 
+@pytest.mark.parametrize("tag", ["svg", "title", "select", "object", "iframe", "noscript", "video", "template", "textarea"])
+def test_text_after_an_unclosed_element_stays(tag):
+    said = "The vote was close, and the mayor said so at length after the meeting, which went on until midnight."
+    page = f"<body><article><h1>Big news</h1><p>{said}</p><{tag} class=x><p>Second: {said}</p></article></body>"
+    assert mincut.main_text(page).endswith(f"Second: {said}")
+    assert mincut.main_text(f"<p>{said}</p><script>if (a < b) {{ '<p>' + '{said}'") == said
+
+
+def test_very_deep_pages_take_linear_time_and_keep_their_text():
+    said = "A sentence of the story, long enough to count as prose, with commas and a full stop."
+    start = time.time()
+    text = mincut.main_text("<body><article>" + f"<div><p>{said}</p>" * 8000 + "</article>")
+    assert text.count(said) == 8000 and time.time() - start < 30
+
+
 STORY = "<article><h1>Big news</h1><p>" + "The council met on Monday, and it voted for the bridge. " * 8 + "</p></article>"
 ASIDE = "A long and well written text, with commas, that reads like prose. " * 4
 
@@ -173,6 +189,14 @@ def test_pseudonyms_keep_format_and_link():
         assert pseudonyms.replace(clean, f) == (clean, [])
 
 
+def test_a_secret_whose_digit_comes_late_is_found():
+    f = pseudonyms.Feistel(b"k")
+    for value in ("a" * 70 + "7", "Ab-_/+" * 400 + "3x", "abcdefg1"):
+        new, kinds = pseudonyms.replace(f"api_key={value}, and more", f)
+        assert kinds == ["secret"] and value not in new and len(new) == len(value) + 18
+    assert pseudonyms.replace("password: " + "a" * 5000, f)[1] == []
+
+
 def test_phones_and_addresses_outside_the_assigned_ranges_are_replaced():
     f = pseudonyms.Feistel(b"k")
     values = ["+1 (017) 555-7713", "+1 (132) 555-1352", "(555) 055-1234", "012-345-6789", "0.1.2.3", "127.0.0.1", "233.254.104.120", "248.40.198.62"]

@@ -10,7 +10,7 @@ White space inside a block (line breaks too) becomes one space; blocks are joine
 references are decoded. Scripts, styles, templates, head elements and markup never become text.
 
 Defined results: null or blank html gives an empty text; a page without any content block gives an empty text;
-unclosed or stray tags are tolerated; ids and urls are passed through, null or repeated; extra columns are ignored; an
+unclosed or stray tags are tolerated (text after an unclosed element such as svg, title or iframe is text of the page); ids and urls are passed through, null or repeated; extra columns are ignored; an
 empty table gives no rows. Long pages are read whole.
 """
 
@@ -52,6 +52,7 @@ popular pagination pager copyright legal disclaimer skip search form""".split())
 GOOD = set("article content main post entry story body prose maintext articlebody text".split())
 ROLES = {"navigation": -9.0, "banner": -6.0, "contentinfo": -9.0, "complementary": -9.0, "search": -9.0, "form": -9.0,
          "dialog": -9.0, "alert": -9.0, "main": 4.0, "article": 6.0}
+DEEPEST = 512  # elements open at once, as browsers have it; what is nested deeper belongs to the innermost of them
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 NEAR, FAR = 1.0, 0.5  # smoothness of neighbours under one parent, and how it fades with DOM distance
 
@@ -155,8 +156,8 @@ def blocks_of(page: str) -> list[Block]:
                 if tag not in ("svg", "math", "object", "canvas", "video", "audio"):
                     flush()
                 end = RAW_END[tag].search(page, pos)
-                if tag == "head" and not end:
-                    continue  # an unclosed head: go on with its elements
+                if not end and tag not in ("script", "style"):
+                    continue  # unclosed: go on with its elements; only code runs to the end of the page
                 pos = end.end() if end else n
             continue
         if tag == "br":
@@ -174,7 +175,7 @@ def blocks_of(page: str) -> list[Block]:
                         break
             if stack[-1][0] == "p":  # a block never sits inside a paragraph
                 stack.pop()
-            if tag not in VOID:
+            if tag not in VOID and len(stack) < DEEPEST:
                 serial += 1
                 mark, plain = mark_of(tag, m[3], any(s[0] in ("article", "main") for s in stack))
                 around = wrappers()

@@ -37,7 +37,7 @@ FOUND = re.compile(
     r"""(?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))"""
     r"""|(?P<access>(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w))"""
     r"""|(?P<secret>(?i:(?<![^\W_])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s{0,2}[=:]\s{0,2}["']?)"""
-    r"""(?=[A-Za-z0-9+/_\-]{0,63}\d)[A-Za-z0-9+/_\-]{8,})"""
+    r"""(?=[A-Za-z+/_\-]*+\d)[A-Za-z0-9+/_\-]{8,})"""
     r"""|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"""
     r"""|(?P<phone>(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"""
     r"""|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:(?! \d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\w)"""
