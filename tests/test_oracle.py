@@ -21,7 +21,7 @@ def con():
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert not {k for k in rows_only if k not in E.LLM_Q}  # the training-data queries have brute-force tests
+    assert not {k for k in rows_only if k not in E.LLM_Q}  # tests/llm has theirs
 
 
 def test_entry_smoke(spark):
