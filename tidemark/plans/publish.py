@@ -196,11 +196,11 @@ def _single_puts(inc: DataFrame, materialize: bool) -> tuple[DataFrame, DataFram
     n_puts). A PRIMARY KEY allows none, so they are looked for on keys alone first."""
     ends = [f(c).alias(f"{n}_{c}") for c in ("seq", "tuple_pos") for f, n in ((F.min, "lo"), (F.max, "hi"))]
     twice = inc.groupBy("row_key").agg(*ends).filter("lo_seq < hi_seq or lo_tuple_pos < hi_tuple_pos").select("row_key")
+    single = inc.drop("seq", "tuple_pos")
     if materialize:
+        if twice.isEmpty():
+            return single, twice.limit(0).select("row_key", F.lit(0).cast("bigint").alias("n_puts"))
         twice = checkpointed(twice)
-    single = inc.drop("seq", "tuple_pos")
-    if materialize and twice.isEmpty():
-        return single, twice.select("row_key", F.lit(0).cast("bigint").alias("n_puts"))
     many = inc.join(twice, "row_key", "left_semi")
     puts = many.groupBy("row_key").agg(F.count_distinct("seq", "tuple_pos").alias("n_puts"))
     last = last_puts(many, ["seq", "tuple_pos"]).select(*single.columns)
