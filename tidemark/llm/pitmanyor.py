@@ -11,14 +11,18 @@ a type and its new table is the one unknown type:
 Seatings are sampled by a Gibbs chain: in a sweep each customer of every dish gets up and sits down again, given the
 dish's other customers as they sit and the other dishes' tables of the last sweep. p is averaged over ``SAMPLES`` sweeps
 after one of burn-in; discounts come from the counts of counts. Draws depend on word, context and sweep alone, so
-a recomputed task repeats them. The customers' tables are written once a sweep, and the next sweep goes on from them.
-
-Work: texts are cut into chunks of about ``CHUNK`` bytes. Each chunk sends its distinct (context, word) pairs with training
-counts, as 64-bit hashes in one blob for each group; a group is a hash of the word and ``SALT`` bits of the context, so that
-neither a common word nor a common context meets in one task. Totals of contexts (T_u, c_u) and words (t_w, c_w) are
-exchanged in blobs between groups and hashed ranges of words, in each sweep only for dishes with two customers or more.
-The probabilities go back to the chunk in the order of its pairs; the chunk, stored bucketed so that its texts are not
-shuffled, scores its documents. Only a few totals go to the driver; nothing that grows is broadcast or collected.
+a recomputed task repeats them. The sizes of the tables are written once a sweep, and the next sweep goes on from them:
+customers of a dish are exchangeable, so who sits where need not be kept.
+
+Work: texts are cut into chunks of about ``CHUNK`` bytes. The chunks' words are numbered once: a hashed range of words
+ranks their 64-bit hashes. Each chunk then sends its distinct (context, word) pairs with training counts to groups, by a
+hash of the word and ``SALT`` bits of the context, so that neither a common word nor a common context meets in one task.
+Lists of numbers are sorted and sent as differences in compressed byte planes (:func:`squeeze`): two to four bytes a pair
+instead of two hashes. Totals of contexts (T_u, c_u) and words (t_w, c_w) are exchanged between groups and ranges; all keys
+go to the ranges only first and last, in between those of dishes with two customers or more. The probabilities go back to
+the chunk in the order of its pairs; the chunk, stored bucketed so that its texts are not shuffled, scores its documents.
+There is a group and a range for every ``SHARE`` bytes of text. Only a few totals go to the driver; nothing that grows is
+broadcast or collected.
 
 Defined results: a null or empty text is the end token alone; a null id counts as the text '' for the split; every
 row is scored, repeated rows too; extra columns are ignored; an empty table gives no rows; without training rows every
@@ -28,6 +32,7 @@ word is unknown. Long texts are scored whole.
 from __future__ import annotations
 
 import random
+import struct
 import uuid
 from collections.abc import Iterator
 
@@ -41,9 +46,9 @@ from pyspark.taskcontext import TaskContext
 
 from tidemark.session import work_dir
 
-from .common import by_key, map_arrow, materialize, partitions, texts
+from .common import by_key, map_arrow, materialize, partitions
 
-CHUNK, SAMPLES, THETA = 24 << 20, 2, 1.0
+CHUNK, SHARE, SAMPLES, THETA = 24 << 20, 12 << 20, 2, 1.0
 SWEEPS = 1 + SAMPLES
 SALT, FEW = 15, 128  # mask of the context's bits in a pair's group; so many dishes or more take a step together
 GOLD = 0x9E3779B97F4A7C15
@@ -88,80 +93,136 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pairs_of(words: Words, keys: np.ndarray, groups: int) -> tuple[np.ndarray, ...]:
-    """(at, word hash, context hash, group) of the distinct pairs, by group; ``at`` gives each token's pair."""
-    got, at = np.unique(keys, return_inverse=True)
-    h = words.hashes()
-    w, u = h[got >> 32], h[got & 0xFFFFFFFF]
-    q = (mixed(w + np.uint64(GOLD) * (u & np.uint64(SALT))) % np.uint64(groups)).astype(np.int64)
-    order = np.lexsort((u, w, q))  # by hashes, so that the texts' order doesn't matter
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return rank[at], w[order], u[order], q[order]
+def squeeze(x: np.ndarray, ordered: bool = False) -> bytes:
+    """Integers as compressed byte planes, ``ordered`` ones as differences; :func:`spread` gives them back."""
+    x = np.ascontiguousarray(x, np.int64)
+    if ordered:
+        x = np.diff(x, prepend=0)
+    z = (x << 1) ^ (x >> 63)  # the sign goes last
+    width = max(1, (int(z.view(np.uint64).max()).bit_length() + 7) // 8) if len(z) else 1
+    planes = np.ascontiguousarray(z.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<BQ", width, len(x)) + pa.Codec("zstd", compression_level=1).compress(planes.tobytes(), asbytes=True)
+
 
+def spread(b: bytes, ordered: bool = False) -> np.ndarray:
+    width, n = struct.unpack_from("<BQ", b)
+    if not n:
+        return np.empty(0, np.int64)
+    z = np.zeros((n, 8), np.uint8)
+    z[:, :width] = np.frombuffer(pa.Codec("zstd").decompress(b[9:], width * n, asbytes=True), np.uint8).reshape(width, n).T
+    z = z.reshape(-1).view(np.uint64)
+    x = (z >> np.uint64(1)).view(np.int64) ^ -(z & np.uint64(1)).view(np.int64)
+    return np.cumsum(x) if ordered else x
 
-def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """Binary array whose i-th value is the bytes of values[bounds[i]:bounds[i + 1]]."""
-    width = values.dtype.itemsize
-    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [
-        None, pa.py_buffer((bounds * width).astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
 
+def joined(blobs: pa.ChunkedArray, ordered: bool = False) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *(spread(b, ordered) for b in blobs.to_pylist())])
 
-def unpacked(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
-    """(values, bounds) of a binary array made by :func:`packed`."""
-    if not len(column):
-        return np.empty(0, dtype), np.zeros(1, np.int64)
-    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
-    width = np.dtype(dtype).itemsize
-    raw = column.buffers()[2]
-    body = np.frombuffer(raw, np.uint8)[off[0]:off[-1]] if raw is not None else np.empty(0, np.uint8)
-    return body.view(dtype) if not width == 1 else body, (off - off[0]) // width
 
+def ranged(hashes: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the hashes by range and hash, and the ranges."""
+    r = (hashes % np.uint64(nodes)).astype(np.int64)
+    return np.lexsort((hashes, r)), r
 
-STAGED = "chunk long, doc_id long, held_out boolean, text binary, q long, w binary, u binary, n binary"
 
+def numbers_of(words: Words, replies: pa.Table, nodes: int) -> np.ndarray:
+    """Corpus-wide numbers of a chunk's words: rank in the word's range * ``nodes`` + range."""
+    h, back = np.unique(words.hashes(), return_inverse=True)
+    order, r = ranged(h, nodes)
+    out = np.empty(len(h), np.int64)
+    out[order] = joined(replies.sort_by("r").column("ranks"), True)
+    return (out * nodes + r)[back]
+
+
+def pairs_of(number: np.ndarray, keys: np.ndarray, groups: int) -> tuple[np.ndarray, ...]:
+    """(at, word number, context number, group) of the distinct pairs, by group and numbers, whatever the texts' order;
+    ``at`` gives each token's pair."""
+    order = np.argsort(number)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    got, at = np.unique(rank[keys >> 32] << 32 | rank[keys & 0xFFFFFFFF], return_inverse=True)
+    w, u = number[order[got >> 32]], number[order[got & 0xFFFFFFFF]]
+    q = (mixed(w.view(np.uint64) + np.uint64(GOLD) * (u & SALT).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    by = np.argsort(q, kind="stable")
+    back = np.empty(len(by), np.int64)
+    back[by] = np.arange(len(by))
+    return back[at], w[by], u[by], q[by]
 
-def staged(docs: DataFrame, groups: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents (q null) with their chunk, and per chunk and group the distinct pairs: hashes of the word and of the
-    one before, and training counts (0 where only held-out texts have the pair)."""
+
+def bytes_of(column: pa.ChunkedArray) -> list[bytes]:
+    """UTF-8 bytes of a string column; null is empty."""
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def staged(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents with their chunk."""
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
-    names = ["chunk", "doc_id", "held_out", "text", "q", "w", "u", "n"]
-
-    def lists(chunk: int, words: Words, keys: list[np.ndarray], train: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        at, w, u, q = pairs_of(words, np.concatenate(keys), groups)
-        n = np.bincount(at, np.concatenate(train), len(w)).astype("<i4")
-        got, lo = np.unique(q, return_index=True)
-        bounds, k = np.append(lo, len(q)), len(got)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(k, chunk, np.int64)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.binary()),
-            pa.array(got), packed(w, bounds), packed(u, bounds), packed(n, bounds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size = TaskContext.get().partitionId() << 24, 0
-        words, keys, train = Words(), [], []
         for b in batches:
-            raw, out = texts(b.column(2)), b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            start = 0
-            for i, t in enumerate(raw):
-                size += len(t) + 100
-                if size < CHUNK and i + 1 < len(raw):
-                    continue
-                k = i + 1 - start
-                key, at = coded(words, raw[start:i + 1])
-                keys.append(key)
-                train.append(np.repeat(~out[start:i + 1], np.diff(np.append(at, len(key)))))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(k, chunk, np.int64)), b.column(0).slice(start, k), b.column(1).slice(start, k),
-                    pa.array(raw[start:i + 1], pa.binary()), pa.nulls(k, pa.int64()), *[pa.nulls(k, pa.binary())] * 3], names=names)
-                start = i + 1
+            sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
+            at = np.empty(b.num_rows, np.int64)
+            for i, n in enumerate(sizes.tolist()):
                 if size >= CHUNK:
-                    yield from lists(chunk, words, keys, train)
-                    chunk, size, words, keys, train = chunk + 1, 0, Words(), [], []
-        if size:
-            yield from lists(chunk, words, keys, train)
+                    chunk, size = chunk + 1, 0
+                size += n + 100
+                at[i] = chunk
+            yield pa.RecordBatch.from_arrays([pa.array(at), *b.columns], names=["chunk", "doc_id", "held_out", "text"])
+
+    return map_arrow(rows, run, "chunk long, doc_id long, held_out boolean, text string")
 
-    return map_arrow(rows, run, STAGED)
+
+def numbering(both: DataFrame, nodes: int) -> DataFrame:
+    """chunk, r, ranks: for each chunk and range of words, the ranks of the chunk's words, by hash."""
+
+    def hashed(docs: pa.Table) -> pa.Table:
+        words = Words()
+        for t in bytes_of(docs.column("text")):
+            for w in set(tokens(t)):
+                words[w]
+        h = np.unique(words.hashes())
+        order, r = ranged(h, nodes)
+        lo = np.searchsorted(r[order], np.arange(nodes + 1))
+        some = np.flatnonzero(np.diff(lo))
+        return pa.table({"r": some, "chunk": np.full(len(some), docs.column("chunk")[0].as_py(), np.int64),
+                         "keys": pa.array([h[order[lo[k]:lo[k + 1]]].tobytes() for k in some], pa.binary())})
+
+    def ranked(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = [np.frombuffer(b, np.uint64) for b in rows.column("keys").to_pylist()]
+        all_ = np.unique(np.concatenate(keys))
+        yield pa.RecordBatch.from_arrays([
+            rows.column("chunk").combine_chunks(), rows.column("r").combine_chunks(),
+            pa.array([squeeze(np.searchsorted(all_, k), True) for k in keys], pa.binary())], names=["chunk", "r", "ranks"])
+
+    sent = both.groupBy("chunk").applyInArrow(hashed, "r long, chunk long, keys binary")
+    return materialize(by_key(sent, "r", ranked, "chunk long, r long, ranks binary"), compression="zstd")
+
+
+def lists(both: DataFrame, numbers: DataFrame, nodes: int, groups: int) -> DataFrame:
+    """Per chunk and group the distinct pairs: words, pairs a word, contexts, training counts (0 where only held-out texts
+    have the pair)."""
+
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        words = Words()
+        keys, starts = coded(words, bytes_of(docs.column("text")))
+        train = np.repeat(~docs.column("held_out").to_numpy(), np.diff(np.append(starts, len(keys))))
+        at, w, u, q = pairs_of(numbers_of(words, told, nodes), keys, groups)
+        n = np.bincount(at, train, len(w)).astype(np.int64)
+        lo = np.searchsorted(q, np.arange(groups + 1))
+        rows = []
+        for k in np.flatnonzero(np.diff(lo)):
+            s = slice(lo[k], lo[k + 1])
+            first = np.flatnonzero(np.diff(w[s], prepend=-1))
+            rows.append((k, squeeze(w[s][first], True), squeeze(np.diff(np.append(first, s.stop - s.start))),
+                         squeeze(u[s], True), squeeze(n[s])))
+        q, *blobs = zip(*rows)
+        return pa.table({"q": np.array(q, np.int64), "chunk": np.full(len(q), docs.column("chunk")[0].as_py(), np.int64),
+                         **{c: pa.array(b, pa.binary()) for c, b in zip(("w", "k", "u", "n"), blobs)}})
+
+    return both.groupBy("chunk").cogroup(numbers.groupBy("chunk")).applyInArrow(
+        run, "q long, chunk long, w binary, k binary, u binary, n binary")
 
 
 def bucketed(df: DataFrame, key: str) -> DataFrame:
@@ -177,25 +238,30 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
 
 
 def dishes(lists: DataFrame) -> DataFrame:
-    """One row a group: its dishes (word, context, count) by word, and the asking chunks with the dishes they ask for."""
+    """One row a group: its dishes (word, context, count) by word, how many have one and two customers, and the asking chunks
+    with the dishes they ask for."""
 
     def summed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        rows = rows.combine_chunks()
-        get = lambda c, kind: unpacked(rows.column(c).chunk(0), kind)
-        (w, bounds), u, n = get("w", "<u8"), get("u", "<u8")[0], get("n", "<i4")[0]
+        rows = rows.sort_by("chunk")
+        w = np.concatenate([np.repeat(spread(a, True), spread(b)) for a, b in zip(*(rows.column(c).to_pylist() for c in "wk"))])
+        u = [spread(b, True) for b in rows.column("u").to_pylist()]
+        bounds, u = np.cumsum([0, *map(len, u)]), np.concatenate(u)
         order = np.lexsort((u, w))
         ws, us = w[order], u[order]
         new = np.concatenate([[True], (ws[1:] != ws[:-1]) | (us[1:] != us[:-1])])
-        at = np.empty(len(w), "<u4")
+        at = np.empty(len(w), np.int64)
         at[order] = np.cumsum(new) - 1
-        c = np.bincount(at, n, int(new.sum())).astype("<i8")
-        one = lambda x: packed(x, np.array([0, len(x)]))
-        yield pa.RecordBatch.from_arrays([
-            rows.column("q").chunk(0).slice(0, 1), one(ws[new]), one(us[new]), one(c), one(rows.column("chunk").to_numpy()),
-            one(bounds), one(at)], names=["q", "w", "u", "c", "chunk", "bounds", "at"])
+        ws, us, c = ws[new], us[new], np.bincount(at, joined(rows.column("n")), int(new.sum())).astype(np.int64)
+        first = np.flatnonzero(np.diff(ws, prepend=-1))
+        out = {"w": squeeze(ws[first], True), "k": squeeze(np.diff(np.append(first, len(ws)))), "u": squeeze(us, True),
+               "c": squeeze(c), "chunk": squeeze(rows.column("chunk").to_numpy(), True), "bounds": squeeze(bounds, True),
+               "at": squeeze(at, True)}
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("q").combine_chunks().slice(0, 1), pa.array([int((c == 1).sum())]), pa.array([int((c == 2).sum())]),
+             *(pa.array([b], pa.binary()) for b in out.values())], names=["q", "ones", "twos", *out])
 
-    return by_key(lists.select("q", "chunk", "w", "u", "n"), "q", summed,
-                  "q long, w binary, u binary, c binary, chunk binary, bounds binary, at binary")
+    return by_key(lists, "q", summed, "q long, ones long, twos long, w binary, k binary, u binary, c binary, chunk binary, "
+                                      "bounds binary, at binary")
 
 
 def uniforms(seed: np.ndarray, step: int) -> np.ndarray:
@@ -236,6 +302,14 @@ class Seats:
         self.free[self.off[own[none]] + at] = none - self.off[own[none]]
         self.t[self.some] = self.tab
 
+    def sizes(self) -> np.ndarray:
+        """Sizes of the tables, by dish."""
+        return self.size[self.size > 0]
+
+    def seated(self, tab: np.ndarray, sizes: np.ndarray) -> None:
+        """Go on from ``tab`` tables a dish of these sizes."""
+        self.load(np.repeat(np.arange(len(sizes)) - np.repeat(np.cumsum(tab) - tab, tab), sizes))
+
     def sweep(self, i: int, fresh: np.ndarray, more: np.ndarray) -> None:
         """Every customer gets up and sits down again; a new table weighs ``fresh`` + ``more`` per table opened since."""
         if len(self.c):
@@ -325,142 +399,163 @@ class Group:
     """The dishes of one group and the keys of their words (odd) and contexts (even), all and of dishes of two or more."""
 
     def __init__(self, row: pa.Table, nodes: int):
-        row = row.combine_chunks()
-        get = lambda c, kind: unpacked(row.column(c).chunk(0), kind)[0]
-        self.q = row.column("q")[0].as_py()
-        w, u, self.c = get("w", "<u8"), get("u", "<u8"), get("c", "<i8")
-        self.chunk, self.bounds, self.at = get("chunk", "<i8"), get("bounds", "<i8"), get("at", "<u4")
-        self.seed = mixed(w + np.uint64(GOLD) * u)
-        self.nodes = nodes
-        both = np.concatenate([w | np.uint64(1), u & ~np.uint64(1)])
-        self.all = self._asked(both)
-        self.some = self._asked(both[np.tile(self.c > 1, 2)])
-
-    def _asked(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(keys by range, positions of each dish's word and context among them, ranges)."""
-        got, at = np.unique(keys, return_inverse=True)
-        r = (mixed(got >> np.uint64(1)) % np.uint64(self.nodes)).astype(np.int64)
-        order = np.argsort(r, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        return got[order], rank[at], r[order]
-
-    def send(self, asked: tuple, values: list[np.ndarray]) -> pa.Table:
-        """Blobs of the keys and of the sums of ``values`` over their dishes, a row a range."""
-        keys, at, r = asked
-        vals = np.stack([np.bincount(at, np.tile(v, 2), len(keys)) for v in values], axis=1).reshape(-1)
-        got, lo = np.unique(r, return_index=True)
-        bounds = np.append(lo, len(r))
-        return pa.table({"r": got, "q": np.full(len(got), self.q), "keys": packed(keys, bounds),
-                         "vals": packed(vals.astype("<f8"), bounds * len(values))})
+        get = lambda c, ordered=False: spread(row.column(c)[0].as_py(), ordered)
+        self.row, self.q, self.nodes = row, row.column("q")[0].as_py(), nodes
+        w, u, self.c = np.repeat(get("w", True), get("k")), get("u", True), get("c")
+        self.seed = mixed(w.view(np.uint64) + np.uint64(GOLD) * u.view(np.uint64))
+        # range << 40 | twice the rank in it, and 1 for a word
+        both = np.concatenate([w % nodes << 40 | w // nodes << 1 | 1, u % nodes << 40 | u // nodes << 1])
+        self.all = np.unique(both, return_inverse=True)
+        self.several = np.tile(self.c > 1, 2)
+        self.some = np.unique(both[self.several], return_inverse=True)
+
+    def asking(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(chunks, bounds, dishes): the dishes of the pairs that each chunk asks for."""
+        return tuple(spread(self.row.column(c)[0].as_py(), True) for c in ("chunk", "bounds", "at"))
+
+    def send(self, asked: tuple, values: list[np.ndarray], reply: np.ndarray | None = None) -> pa.Table:
+        """Keys and sums of ``values`` over their dishes, a row a range; replies are wanted where ``reply``, or for all."""
+        keys, at = asked
+        sums = [np.bincount(at, np.tile(v, 2), len(keys)).astype(np.int64) for v in values]
+        lo = np.searchsorted(keys, np.arange(self.nodes + 1) << 40)
+        some = np.flatnonzero(np.diff(lo))
+        cut = lambda x: [x[lo[k]:lo[k + 1]] for k in some]
+        return pa.table({
+            "r": some, "q": np.full(len(some), self.q, np.int64),
+            "keys": pa.array([squeeze(x & (1 << 40) - 1, True) for x in cut(keys)], pa.binary()),
+            "vals": pa.array([squeeze(np.concatenate(x)) for x in zip(*map(cut, sums))], pa.binary()),
+            "reply": pa.array([b""] * len(some) if reply is None else [squeeze(x) for x in cut(reply)], pa.binary())})
 
     def told(self, asked: tuple, replies: pa.Table, step: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Totals of each dish's word and context (rows of k) in the replies of ``step``."""
+        """Totals of each dish's word and context (columns of k) in the replies of ``step``."""
         mine = replies.filter(pc.and_(pc.equal(replies.column("step"), step), pc.greater_equal(replies.column("r"), 0))).sort_by("r")
-        vals = np.frombuffer(b"".join(mine.column("vals").to_pylist()), "<f8").reshape(-1, k)[asked[1]]
+        vals = [spread(b).reshape(k, -1) for b in mine.column("vals").to_pylist()]
+        vals = np.concatenate([np.empty((k, 0), np.int64), *vals], axis=1).T[asked[1]]
         return vals[:len(vals) // 2], vals[len(vals) // 2:]
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
-    groups, nodes = 2 * partitions(docs), partitions(docs)
-    both = bucketed(staged(docs, groups, id_col, text), "chunk")
-    static = bucketed(dishes(both.where("q is not null")), "q")
+    both = bucketed(staged(docs, id_col, text), "chunk")
+    size = both.agg(F.sum(F.octet_length("text") + 100)).first()[0] or 0
+    groups = nodes = max(partitions(docs), size // SHARE + 1)
+    numbers = numbering(both, nodes)
+    static = bucketed(dishes(lists(both, numbers, nodes, groups)), "q")
 
     def exchange(sent: DataFrame, step: int, k: int) -> tuple[DataFrame, np.ndarray]:
-        """(totals of every key that a group sent, for the groups; sums over words: totals, and how many have 1, 2, more)."""
+        """(totals of the keys that groups ask for; sums over words: totals, and how many have 1, 2, more)."""
 
         def totals(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            rows = rows.combine_chunks()
-            keys = unpacked(rows.column("keys").chunk(0), "<u8")
-            vals, bounds = unpacked(rows.column("vals").chunk(0), "<f8")
-            vals = vals.reshape(-1, k)
-            got, at = np.unique(keys[0], return_inverse=True)
-            total = np.stack([np.bincount(at, vals[:, j], len(got)) for j in range(k)], axis=1)
-            word = total[(got & np.uint64(1)) == 1]
-            stat = np.stack([word.sum(axis=0), (word == 1).sum(axis=0), (word == 2).sum(axis=0), (word > 0).sum(axis=0)])
-            none = pa.nulls(rows.num_rows, pa.list_(pa.float64()))
-            names, q, r = ["step", "q", "r", "vals", "stat"], rows.column("q").chunk(0), rows.column("r").chunk(0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), step)), q, r, packed(total[at].reshape(-1), bounds), none], names=names)
-            yield pa.RecordBatch.from_arrays([pa.array([step]), pa.array([-1]), r.slice(0, 1), pa.array([b""]),
-                                              pa.array([stat.reshape(-1).tolist()], pa.list_(pa.float64()))], names=names)
-
-        out = materialize(by_key(sent, "r", totals, "step long, q long, r long, vals binary, stat array<double>"), compression="zstd")
+            keys = [spread(b, True) for b in rows.column("keys").to_pylist()]
+            vals = np.concatenate([spread(b).reshape(k, -1) for b in rows.column("vals").to_pylist()], axis=1)
+            bounds = np.cumsum([0, *map(len, keys)])
+            got, at = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.stack([np.bincount(at, v, len(got)).astype(np.int64) for v in vals])
+            word = total[:, (got & 1) == 1]
+            stat = np.stack([word.sum(axis=1), (word == 1).sum(axis=1), (word == 2).sum(axis=1), (word > 0).sum(axis=1)])
+            out = []
+            for lo, hi, mask in zip(bounds, bounds[1:], rows.column("reply").to_pylist()):
+                mine = at[lo:hi][spread(mask) > 0] if mask else at[lo:hi]
+                # what is asked for first is added to by later steps: tables beyond one a dish
+                out.append(squeeze((total[1:] if step == 0 else total)[:, mine].reshape(-1)))
+            n, names = rows.num_rows, ["step", "q", "r", "keys", "vals", "stat"]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(n, step)), rows.column("q").combine_chunks(), rows.column("r").combine_chunks(),
+                pa.array([b""] * n), pa.array(out, pa.binary()), pa.nulls(n, pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([step]), pa.array([-1]), pa.array([rows.column("r")[0].as_py()]), pa.array([b""]), pa.array([b""]),
+                pa.array([stat.reshape(-1).tolist()], pa.list_(pa.int64()))], names=names)
+
+        out = materialize(by_key(sent, "r", totals, "step long, q long, r long, keys binary, vals binary, stat array<long>"),
+                          compression="zstd")
         s = out.where("q = -1").agg(*[F.sum(F.col("stat")[i]) for i in range(4 * k)]).first()
-        return out.where("q >= 0").drop("stat"), np.array([x or 0.0 for x in s]).reshape(4, k)
+        return out.where("q >= 0").drop("stat"), np.array([x or 0 for x in s], np.float64).reshape(4, k)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 g = Group(pa.Table.from_batches([b.slice(i, 1)]), nodes)
-                yield from g.send(g.all, [g.c, np.minimum(g.c, 1), g.c == 1, g.c == 2]).combine_chunks().to_batches()
-
-    sent = "r long, q long, keys binary, vals binary"
-    replies, stat = exchange(map_arrow(static, first, sent), 0, 4)
-    total, types = int(stat[0, 0]), stat[3, 0]
-    d1, d0 = discount(stat[0, 2], stat[0, 3]), discount(stat[1, 1], stat[2, 1])
-    tables0 = stat[0, 1]
+                reply = np.bincount(g.all[1], g.several, len(g.all[0])).astype(bool)
+                yield from g.send(g.all, [g.c, np.minimum(g.c, 1)], reply).combine_chunks().to_batches()
+
+    sent = "r long, q long, keys binary, vals binary, reply binary"
+    replies, stat = exchange(map_arrow(static, first, sent), 0, 2)
+    total, types, tables0 = int(stat[0, 0]), stat[3, 0], stat[0, 1]
+    d1 = discount(*(x or 0 for x in static.agg(F.sum("ones"), F.sum("twos")).first()))
+    d0 = discount(stat[1, 1], stat[2, 1])
     opened = [0.0]  # tables beyond one a dish after each sweep
 
-    def kept(g: Group, told: pa.Table, step: int) -> Seats:
-        """The seatings of the group after a sweep; its blobs have range -1."""
-        s = Seats(g.c, d1, g.seed)
+    def state(told: pa.Table, step: int, column: str) -> np.ndarray:
+        """Tables a dish (keys) or their sizes (vals) after a sweep; a group's state has range -1."""
         row = told.filter(pc.and_(pc.equal(told.column("step"), step), pc.equal(told.column("r"), -1)))
-        s.load(np.frombuffer(row.column("vals")[0].as_py(), "<i4"))
-        return s
+        return spread(row.column(column)[0].as_py())
 
     def swept(i: int):
         def run(row: pa.Table, told: pa.Table) -> pa.Table:
             """Sends the group's new tables, and its seatings for the next sweep."""
             g = Group(row, nodes)
-            s, some = kept(g, told, i - 1) if i > 1 else Seats(g.c, d1, g.seed), g.c > 1
-            word, ctx = (x[:, 1][some] for x in g.told(g.all, told, 0, 4))
+            s, some = Seats(g.c, d1, g.seed), g.c > 1
+            if i > 1:
+                s.seated(state(told, i - 1, "keys"), state(told, i - 1, "vals"))
+            word, ctx = (x[:, 0] for x in g.told(g.some, told, 0, 1))
             w, u = (x[:, 0] for x in g.told(g.some, told, i - 1, 1)) if i > 1 else (0.0, 0.0)
             fresh, more = np.zeros(len(g.c)), np.zeros(len(g.c))
             p = np.maximum((word + w - d0) / (THETA + tables0 + opened[i - 1]), 1e-12)
             fresh[some], more[some] = (THETA + d1 * (ctx + u)) * p, d1 * p
+            before = s.t.copy()  # the first of the two samples, when this is the last sweep
             s.sweep(i, fresh, more)
             if i < SWEEPS:
-                out = g.send(g.some, [(s.t - np.minimum(g.c, 1))[some]])
+                out = g.send(g.some, [(s.t - 1)[some]])
             else:
-                out = g.send(g.all, [*(kept(g, told, k).t for k in range(2, SWEEPS)), s.t])
-            return pa.concat_tables([out, pa.table({"r": [-1], "q": [g.q], "keys": [b""], "vals": [s.table.astype("<i4").tobytes()]})])
+                out = g.send(g.all, [g.c, before, s.t])
+            return pa.concat_tables([out, pa.table({"r": [-1], "q": [g.q], "keys": [squeeze(s.tab)], "vals": [squeeze(s.sizes())],
+                                                    "reply": [b""]})])
 
         return run
 
-    def job(fn, schema: str) -> DataFrame:
-        return static.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(fn, schema)
+    def job(fn, told: DataFrame, schema: str) -> DataFrame:
+        return static.groupBy("q").cogroup(told.groupBy("q")).applyInArrow(fn, schema)
 
+    start, states = replies, []
     for i in range(1, SWEEPS + 1):
-        out = materialize(job(swept(i), sent), compression="zstd")
-        new, stat = exchange(out.where("r >= 0"), i, 1 if i < SWEEPS else SAMPLES)
+        out = materialize(job(swept(i), replies, sent), compression="zstd")
+        new, stat = exchange(out.where("r >= 0"), i, 1 if i < SWEEPS else 1 + SAMPLES)
         opened.append(stat[0, 0])
-        state = out.where("r = -1").select(F.lit(i).cast("long").alias("step"), "q", "r", "vals")
-        replies = replies.unionAll(new).unionAll(state)
-    roots = [(stat[0, k], discount(stat[1, k], stat[2, k])) for k in range(SAMPLES)]
+        states.append(out.where("r = -1").select(F.lit(i).cast("long").alias("step"), "q", "r", "keys", "vals"))
+        replies = start.unionAll(new).unionAll(states[-1])
+    told = new.unionAll(states[-2]).unionAll(states[-1])
+    roots = [(stat[0, 1 + k], discount(stat[1, 1 + k], stat[2, 1 + k])) for k in range(SAMPLES)]
 
     def price(row: pa.Table, told: pa.Table) -> pa.Table:
         """Answers by chunk: the counts of its pairs' words and log10 of the pairs' averaged probabilities."""
         g = Group(row, nodes)
-        word, ctx = g.told(g.all, told, 0, 4)
-        t_word, t_ctx = g.told(g.all, told, SWEEPS, SAMPLES)
+        word, ctx = g.told(g.all, told, SWEEPS, 1 + SAMPLES)
         scale, p = THETA + ctx[:, 0], np.zeros(len(g.c))
+        several = Seats(g.c, d1, g.seed).some
         for k in range(SAMPLES):
-            t, (tabs, d) = kept(g, told, 2 + k).t, roots[k]
-            root = np.where(t_word[:, k] > 0, t_word[:, k] - d, THETA + d * types) / (THETA + tabs)
-            p += (np.maximum(g.c - d1 * t, 0.0) + (THETA + d1 * t_ctx[:, k]) * root) / scale / SAMPLES
-        return pa.table({"chunk": g.chunk, "q": np.full(len(g.chunk), g.q), "c": packed(word[:, 0].astype("<i8")[g.at], g.bounds),
-                         "p": packed(np.log10(p).astype("<f4")[g.at], g.bounds)})
-
-    answers = job(price, "chunk long, q long, c binary, p binary")
+            t, (tabs, d) = np.minimum(g.c, 1), roots[k]
+            t[several] = state(told, SWEEPS - 1 + k, "keys")
+            root = np.where(word[:, 1 + k] > 0, word[:, 1 + k] - d, THETA + d * types) / (THETA + tabs)
+            p += (np.maximum(g.c - d1 * t, 0.0) + (THETA + d1 * ctx[:, 1 + k]) * root) / scale / SAMPLES
+        chunks, bounds, at = g.asking()
+        c, p = word[:, 0], np.log10(p).astype("<f4").view("<i4")
+        cut = lambda x, ordered: pa.array(
+            [squeeze(x[at[lo:hi]], ordered) for lo, hi in zip(bounds, bounds[1:])], pa.binary())
+        return pa.table({"chunk": chunks, "q": np.full(len(chunks), g.q, np.int64), "c": cut(c, True), "p": cut(p, False)})
+
+    # a chunk also needs its words' numbers again, in rows with q below 0
+    answers = job(price, told, "chunk long, q long, c binary, p binary").unionAll(
+        numbers.select("chunk", (-1 - F.col("r")).alias("q"), F.col("ranks").alias("c"), F.lit(None).cast("binary").alias("p")))
 
     def score(asks: pa.Table, told: pa.Table) -> pa.Table:
-        told = told.sort_by("q")
-        c, p = (np.frombuffer(b"".join(told.column(x).to_pylist()), kind) for x, kind in (("c", "<i8"), ("p", "<f4")))
-        # the texts' distinct pairs by group and hashes are the answers in order
+        own = told.filter(pc.less(told.column("q"), 0))
+        number = pa.table({"r": pc.subtract(-1, own.column("q")), "ranks": own.column("c")})
+        told = told.filter(pc.greater_equal(told.column("q"), 0)).sort_by("q")
+        c, p = joined(told.column("c"), True), joined(told.column("p")).astype("<i4").view("<f4")
+        # the texts' distinct pairs by group and numbers are the answers in order
         words = Words()
-        keys, starts = coded(words, asks.column("text").to_pylist())
-        at = pairs_of(words, keys, groups)[0]
+        keys, starts = coded(words, bytes_of(asks.column("text")))
+        at = pairs_of(numbers_of(words, number, nodes), keys, groups)[0]
         own = c[at]
         base = np.log10((own + 0.5) / (total + 0.5 * (types + 1)))
         n = np.diff(np.append(starts, len(keys)))
@@ -469,8 +564,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
             "n_known": np.add.reduceat((own > 0).astype(np.int64), starts), "train_tokens": np.full(len(n), total, np.int64),
             "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(p[at].astype(np.float64), starts)})
 
-    asked = both.where("q is null").select("chunk", "doc_id", "held_out", "text")
-    return asked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    return both.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
