@@ -1,5 +1,7 @@
 """Version and tombstone semantics of the published store."""
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import history as H
 
 KEY, COL, T0 = "000004711", "mysql:price", 1_700_000_000
@@ -57,3 +59,12 @@ def test_row_tombstone_hides_all_columns(spark):
 
 def test_cap_versions(spark):
     assert sorted(r["ts"] - T0 for r in H.cap_versions(_cells(spark, PRICES), 3).collect()) == [40, 70, 95]
+
+
+def test_cap_versions_query_keeps_the_stores_limit(spark, tmpdir_run):
+    from tidemark.queries import Q
+    spark.range(1005).select(
+        F.col("id").alias("event_id"), F.lit(7).cast("bigint").alias("user_id"), F.lit("view").alias("event_type"),
+        F.timestamp_micros(F.col("id") * 1000000).cast("timestamp_ntz").alias("ts"), F.col("id").cast("double").alias("value"),
+    ).write.parquet(f"{tmpdir_run}/events.parquet")
+    assert sorted(int(r["value"]) for r in Q["cap_versions"](spark, tmpdir_run).collect()) == [i * 100 for i in range(6, 1005)]
