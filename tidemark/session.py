@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,8 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder (survives executor loss)."""
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: the rows are written to the shared folder (survives executor loss) as compressed Parquet, so that each
+    later read fetches only the columns it needs. The files stay until the folder is removed."""
+    path = f"{work_dir(df.sparkSession)}/frame-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
