@@ -9,6 +9,7 @@ from tidemark.operators.cells import bounded_broadcast
 from tidemark.operators.positions import positions
 from tidemark.session import checkpointed
 
+LINE_BUCKET = 16  # order values of one bucket of text lines: an INSERT line may have 16 MB
 SPLIT_BROADCAST_ROWS = 1_000_000  # one row per file split: 1M splits = 128 TB of text at 128 MB per split
 
 
@@ -48,7 +49,7 @@ def scan_dumps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def dense_lines(lines: DataFrame, order: str = "ord") -> DataFrame:
     """Dense 0-based line numbers for a (dump_id, ord, value) frame whose ord has gaps."""
-    return positions(lines, ["dump_id"], order, "line_no").select("dump_id", "line_no", "value")
+    return positions(lines, ["dump_id"], order, "line_no", width=LINE_BUCKET).select("dump_id", "line_no", "value")
 
 
 def write_dump(lines: DataFrame, path: str, parts: int = 4) -> str:
