@@ -10,6 +10,7 @@ from tidemark.operators.positions import positions
 from tidemark.session import checkpointed
 
 LINE_BUCKET = 16  # order values of one bucket of text lines: an INSERT line may have 16 MB
+PART_BYTES = 64 << 20  # text of one part file of a dump, about
 SPLIT_BROADCAST_ROWS = 1_000_000  # one row per file split: 1M splits = 128 TB of text at 128 MB per split
 
 
@@ -53,7 +54,9 @@ def dense_lines(lines: DataFrame, order: str = "ord") -> DataFrame:
 
 
 def write_dump(lines: DataFrame, path: str, parts: int = 4) -> str:
-    """Write (…, ord, value) lines as ordered text part files (range-partitioned, part names follow ord)."""
+    """Write (…, ord, value) lines as ordered text part files (range-partitioned, part names follow ord): at least ``parts``,
+    and as many as the text needs for parts of about ``PART_BYTES``."""
+    parts = max(parts, -(-(lines.agg(F.sum(F.octet_length("value"))).first()[0] or 0) // PART_BYTES))
     lines.repartitionByRange(parts, "ord").sortWithinPartitions("ord").select("value").write.mode(
         "overwrite").option("lineSep", "\n").text(path)
     return path
