@@ -46,7 +46,8 @@ def split_tuples(payload) -> Column:
 def split_fields(tuple_text) -> Column:
     """Array of raw field tokens of one tuple text (outer parentheses included or not)."""
     t = _c(tuple_text)
-    inner = F.regexp_replace(F.regexp_replace(t, r"^\s*\(", ""), r"\)\s*$", "")
+    inner = F.when(t.startswith("(") & t.endswith(")"), F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(
+        F.regexp_replace(F.regexp_replace(t, r"^\s*\(", ""), r"\)\s*$", ""))
     return F.transform(F.regexp_extract_all(inner, F.lit(FIELD_RX), 0), lambda x: F.trim(x))
 
 
@@ -64,7 +65,8 @@ def unescape(token) -> Column:
     t = _c(token)
     inner = F.substring(t, F.lit(2), F.length(t) - 2)
     parts = F.split(inner, r"\\\\", -1)
-    return F.when(t.startswith("'"), F.array_join(F.transform(parts, unescape_part), "\\")).otherwise(t)
+    plain = ~inner.contains("\\") & ~inner.contains("''")  # nothing to unescape, as in most values
+    return F.when(~t.startswith("'"), t).when(plain, inner).otherwise(F.array_join(F.transform(parts, unescape_part), "\\"))
 
 
 def _bits_hex(bits: Column) -> Column:

@@ -38,7 +38,8 @@ def chunk_rows(chunks: DataFrame, payload: str = "payload", keep: list[str] | No
 def _arity_checked(rows: DataFrame, n: Column) -> DataFrame:
     msg = F.concat(F.lit("Mismatching column/value count: "), F.size("fields").cast("string"), F.lit(" vs "),
                    n.cast("string"))
-    return rows.filter(F.when(F.size("fields") == n, F.lit(True)).otherwise(F.raise_error(msg).cast("boolean")))
+    # checked where the fields are made: a filter would be moved below that step and split every row again
+    return rows.withColumn("fields", F.when(F.size("fields") == n, F.col("fields")).otherwise(F.raise_error(msg).cast("array<string>")))
 
 
 def rows_to_cells(rows: DataFrame, columns: list[str] | None = None, names: str | None = None,
@@ -56,25 +57,27 @@ def rows_to_cells(rows: DataFrame, columns: list[str] | None = None, names: str
         name_arr = F.col(names)
         n = F.size(names)
     r = _arity_checked(rows, n)
-    k, i = key_columns(columns, key)
-    r = r.select(*keep, k.alias("row_key"), i.alias("row_id"),
+    r = row_keys(r, columns, key, [*keep, "fields"] + ([] if columns is not None else [names]))
+    r = r.select(*keep, "row_key", "row_id",
                  F.arrays_zip(F.col("fields").alias("tok"), name_arr.alias("name")).alias("_zip"))
     if key is None:
         body = F.slice("_zip", 2, F.size("_zip"))
     else:
         body = F.filter("_zip", lambda z: z["name"] != F.lit(key.columns[0])) if key.plain else F.col("_zip")
-    c = r.select(*keep, "row_key", "row_id", F.explode(body).alias("_z"))
+    # the outer form: for the inner one Spark adds a filter below the split, which then runs once more per condition
+    c = r.select(*keep, "row_key", "row_id", F.explode_outer(body).alias("_z")).filter(F.col("_z").isNotNull())
     value, is_null = token_value(F.col("_z.tok"), literal_nulls)
     return c.select(*keep, "row_key", "row_id", F.concat(F.lit(FAMILY + ":"), F.col("_z.name")).alias("column"),
                     value.alias("value"), is_null.alias("is_null"))
 
 
-def key_columns(columns: list[str] | None, key: Key | None) -> tuple[Column, Column]:
-    """(row_key, row_id) of a row's ``fields``."""
-    if key is None:
-        first, _ = token_value(F.element_at("fields", 1))
-        return zero_pad(first), first.try_cast("bigint")
-    return row_key([token_value(F.element_at("fields", columns.index(c) + 1))[0] for c in key.columns], key)
+def row_keys(rows: DataFrame, columns: list[str] | None, key: Key | None, keep: list[str]) -> DataFrame:
+    """(keep…, row_key, row_id) of rows with ``fields``; each key value is parsed once, however often the key's encoding uses it."""
+    at = [1] if key is None else [columns.index(c) + 1 for c in key.columns]
+    names = [f"_k{i}" for i in range(len(at))]
+    r = rows.select(*keep, *[token_value(F.element_at("fields", a))[0].alias(n) for a, n in zip(at, names)])
+    k, i = (zero_pad("_k0"), F.col("_k0").try_cast("bigint")) if key is None else row_key([F.col(n) for n in names], key)
+    return r.select(*keep, k.alias("row_key"), i.alias("row_id"))
 
 
 def chunk_cells(chunks: DataFrame, columns: list[str], literal_nulls: bool = False,

@@ -22,7 +22,7 @@ from tidemark.functions.keys import Key, key_of
 from tidemark.operators import diff as D
 from tidemark.operators import history as H
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import bounded_broadcast, chunk_cells, chunk_id_range, chunk_rows, key_columns, last_puts
+from tidemark.operators.cells import bounded_broadcast, chunk_cells, chunk_id_range, chunk_rows, last_puts, row_keys
 from tidemark.session import checkpointed
 
 HISTORY_COLS = ["row_key", "row_id", "column", "ts", "value", "is_null"]
@@ -100,9 +100,7 @@ def table_def(staged: Staged, namespace: str, tbl: str, when: int) -> tuple[list
 def _keys_of(chunks: DataFrame, columns: list[str] | None = None, key: Key | None = None,
              keep: list[str] | None = None) -> DataFrame:
     keep = keep or ["md5"]
-    rows = chunk_rows(chunks.select(*keep, "payload"), keep=keep)
-    k, i = key_columns(columns, key)
-    return rows.select(*keep, k.alias("row_key"), i.alias("row_id"))
+    return row_keys(chunk_rows(chunks.select(*keep, "payload"), keep=keep), columns, key, keep)
 
 
 def _wanted(chunks: DataFrame, keys: DataFrame) -> tuple[DataFrame, int]:
