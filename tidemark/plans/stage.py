@@ -79,6 +79,8 @@ def new_chunks_to_store(chunks: DataFrame, existing: DataFrame | None, keys: Dat
     if picks is not None:
         new = picks if existing is None else picks.join(existing.select(*key), key, "left_anti")
         return chunks.join(bounded_broadcast(new.select("dump_id", "seq"), NEW_KEYS_BROADCAST_ROWS), ["dump_id", "seq"], "left_semi")
+    if existing is None and keys is None:  # every chunk with a key is new
+        return chunks.dropna(subset=key).dropDuplicates(key)
     cur = (keys if keys is not None else chunks).select(*key).distinct()
     new_keys = cur if existing is None else cur.join(existing.select(*key), key, "left_anti")
     payloads = chunks.join(bounded_broadcast(new_keys, NEW_KEYS_BROADCAST_ROWS), key, "left_semi")

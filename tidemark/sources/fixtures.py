@@ -115,8 +115,9 @@ def events_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ORD
-def orders_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ORD: (dump_ts, id, custkey, st, cents, pr, chunk) for dumps 100..500."""
+def _orders_base(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Orders with what each dump holds of them: ``in1`` (dumps 100 and 200) and ``in3`` (300 to 500) tell presence, ``st3`` and
+    ``cents5`` the values from 300 and 500 on. Also the last chunk, which dump 400 lacks (a scalar subquery, evaluated once)."""
     o = read(spark, sf_dir, "orders")
     chunk = F.floor(F.col("o_orderkey") / ORD_CHUNK).cast("bigint")
     b = o.select(
@@ -128,33 +129,29 @@ def orders_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         chunk.alias("chunk"),
         ((chunk % 3) == 0).alias("ch"),
     )
-    cols = ["id", "custkey", "st", "cents", "pr", "chunk"]
     idc, ch = F.col("id"), F.col("ch")
-    s1 = b.filter(idc % 10 != 7).select(*cols)
-    s3 = b.filter(((idc % 10 != 7) & ~(ch & (idc % 17 == 0))) | (ch & (idc % 20 == 7))).select(
-        "id", "custkey", F.when(ch & (idc % 130 == 0), F.lit("X")).otherwise(F.col("st")).alias("st"),
-        "cents", "pr", "chunk", "ch")
-    max_chunk = b.select(F.max("chunk")).scalar()  # scalar subquery, evaluated once
-    s5 = s3.select("id", "custkey", "st",
-                   F.when(ch & (idc % 260 == 1), F.col("cents") + 1).otherwise(F.col("cents")).alias("cents"),
-                   "pr", "chunk")
-    parts = [
-        s1.withColumn("dump_ts", F.lit(100)),
-        s1.withColumn("dump_ts", F.lit(200)),
-        s3.select(*cols).withColumn("dump_ts", F.lit(300)),
-        s3.filter(F.col("chunk") < max_chunk).select(*cols).withColumn("dump_ts", F.lit(400)),
-        s5.withColumn("dump_ts", F.lit(500)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.col("dump_ts").cast("bigint").alias("dump_ts"), *cols)
+    rows = b.select(
+        "id", "custkey", "st", "cents", "pr", "chunk", (idc % 10 != 7).alias("in1"),
+        (((idc % 10 != 7) & ~(ch & (idc % 17 == 0))) | (ch & (idc % 20 == 7))).alias("in3"),
+        F.when(ch & (idc % 130 == 0), F.lit("X")).otherwise(F.col("st")).alias("st3"),
+        F.when(ch & (idc % 260 == 1), F.col("cents") + 1).otherwise(F.col("cents")).alias("cents5"))
+    return rows.filter("in1 or in3"), b.select(F.max("chunk")).scalar()
+
 
+def orders_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ORD: (dump_ts, id, custkey, st, cents, pr, chunk) for dumps 100..500."""
+    rows, max_chunk = _orders_base(spark, sf_dir)
+    d = F.col("dump_ts")
+    each = rows.withColumn("dump_ts", F.explode(F.array(*[F.lit(x).cast("bigint") for x in ORD_DUMPS]))).filter(
+        F.when(d < 300, F.col("in1")).otherwise(F.col("in3")) & ((d != 400) | (F.col("chunk") < max_chunk)))
+    return each.select("dump_ts", "id", "custkey", F.when(d < 300, F.col("st")).otherwise(F.col("st3")).alias("st"),
+                       F.when(d < 500, F.col("cents")).otherwise(F.col("cents5")).alias("cents"), "pr", "chunk")
 
-def order_row_text() -> Column:
+
+def order_row_text(st: str = "st", cents: str = "cents") -> Column:
     q = F.lit("'")
     return F.concat(F.lit("("), F.col("id").cast("string"), F.lit(","), F.col("custkey").cast("string"), F.lit(","),
-                    q, F.col("st"), q, F.lit(","), F.col("cents").cast("string"), F.lit(","), q, F.col("pr"), q,
+                    q, F.col(st), q, F.lit(","), F.col(cents).cast("string"), F.lit(","), q, F.col("pr"), q,
                     F.lit(")"))
 
 
@@ -162,12 +159,19 @@ def orders_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ORD staged: (namespace, tbl_name, dump_ts, seq, md5, payload, n_rows) — one INSERT chunk per 100 ids.
 
     The group is one chunk (≤ 100 rows), so the ordered collect is bounded."""
-    s = orders_snapshots(spark, sf_dir).withColumn("r", order_row_text())
-    g = s.groupBy("dump_ts", "chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "r"))), lambda x: x["r"]), ",")
-        .alias("payload"),
-        F.count("*").alias("n_rows"),
-    )
+    rows, max_chunk = _orders_base(spark, sf_dir)
+    own = F.collect_list(F.struct("id", "in1", "in3", *[order_row_text(st, cents).alias(r) for r, st, cents in (
+        ("r1", "st", "cents"), ("r3", "st3", "cents"), ("r5", "st3", "cents5"))]))
+    g = rows.groupBy("chunk").agg(own.alias("o"))  # one shuffle of the orders serves all dumps
+    texts = {}
+    for r, kept in (("r1", "in1"), ("r3", "in3"), ("r5", "in3")):
+        mine = F.sort_array(F.transform(F.filter("o", lambda x: x[kept]), lambda x: F.struct(x["id"].alias("id"), x[r].alias("r"))))  # noqa: B023
+        texts[r] = F.struct(F.concat_ws(",", mine["r"]).alias("payload"), F.size(mine).cast("bigint").alias("n_rows"))
+    g = g.select("chunk", *[t.alias(r) for r, t in texts.items()])
+    dumps = F.array(*[F.struct(F.lit(d).cast("bigint").alias("dump_ts"), F.col(r).alias("t"))
+                      for d, r in zip(ORD_DUMPS, ("r1", "r1", "r3", "r3", "r5"))])
+    g = g.select("chunk", F.explode(dumps).alias("d")).select("d.dump_ts", "chunk", "d.t.payload", "d.t.n_rows").filter(
+        (F.col("n_rows") > 0) & ((F.col("dump_ts") != 400) | (F.col("chunk") < max_chunk)))
     return g.select(
         F.lit(NAMESPACE).alias("namespace"), F.lit(ORD_TABLE).alias("tbl_name"), "dump_ts",
         F.col("chunk").alias("seq"), F.md5("payload").alias("md5"), "payload", "n_rows",
@@ -193,7 +197,7 @@ def rendered(columns: list[tuple[str, str]]) -> Column:
 def _chunked(rows: DataFrame, tbl: str) -> DataFrame:
     """(namespace, tbl_name, dump_ts, seq, md5, payload) of (dump_ts, chunk, order, r) rows; a chunk is bounded."""
     g = rows.groupBy("dump_ts", "chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", "r"))), lambda x: x["r"]), ",").alias("payload"))
+        F.concat_ws(",", F.sort_array(F.collect_list(F.struct("order", "r")))["r"]).alias("payload"))
     return g.select(F.lit(NAMESPACE).alias("namespace"), F.lit(tbl).alias("tbl_name"), F.col("dump_ts").cast("bigint").alias("dump_ts"),
                     F.col("chunk").alias("seq"), F.md5("payload").alias("md5"), "payload")
 
@@ -242,7 +246,7 @@ def blob_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                    put(F.concat(F.lit(","), hexed, F.lit(","), bits, F.lit(",_utf8 '"), mysql_escape(F.concat("c_name", F.lit(" é'\\"))), F.lit("')"))))
     chunk = F.floor(F.col("c_custkey") / DUMP_CHUNK).cast("bigint")
     rows = c.select(chunk.alias("chunk"), "c_custkey", F.hex(row).alias("h")).groupBy("chunk").agg(
-        F.unhex(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "h"))), lambda x: x["h"]), "2C")).alias("body"))
+        F.unhex(F.concat_ws("2C", F.sort_array(F.collect_list(F.struct("c_custkey", "h")))["h"])).alias("body"))
     inserts = rows.select(F.lit(3).cast("bigint").alias("dump_id"), (F.col("chunk") + 10).alias("ord"),
                           F.concat(put(F.lit(f"INSERT INTO `{BLOB_TABLE}` VALUES ")), "body", put(F.lit(";"))).cast("string").alias("value"))
     last = F.lit(1 << 40).cast("bigint")
@@ -333,7 +337,7 @@ def dump_insert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         tup = F.concat(F.lit("("), *parts[:-1], F.lit(")"))
         g = df.select(F.col(key).cast("bigint").alias("k"), tup.alias("t")).groupBy(
             F.floor(F.col("k") / DUMP_CHUNK).cast("bigint").alias("chunk")
-        ).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "t"))), lambda x: x["t"]), ",")
+        ).agg(F.concat_ws(",", F.sort_array(F.collect_list(F.struct("k", "t")))["t"])
               .alias("vals"))
         frames.append(g.select(
             F.lit(DUMP_ID).cast("bigint").alias("dump_id"),
