@@ -8,11 +8,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import maxscore, mincut, neardup, packing, pitmanyor, pseudonyms, viterbi, wordpiece
+from tidemark.llm import maxscore, mincut, neardup, packing, pitmanyor, pseudonyms, viterbi, wordcache, wordpiece
 from tidemark.llm.groups import union
 from tidemark.llm.wordcache import encoder
 
@@ -28,6 +29,26 @@ def test_cached_ids_equal_the_library(name):
         assert e.ids(t) == e.whole(t), repr(t)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_texts_encoded_together_equal_the_library(name, monkeypatch):
+    monkeypatch.setattr(wordcache, "SLICE", 100)
+    e, r = wordcache.Encoder(public_tokenizers.path(name)), random.Random(6)
+    for n in (0, 1, 5, 40):
+        for _ in range(100):
+            texts = ["".join(r.choices([*ODD, "", "\n", "ÿ", "</w>", "x" * 99], k=r.randint(0, n))) for _ in range(n)]
+            e.words.clear()
+            assert e.many(pa.array(texts, pa.string())) == [e.whole(t) for t in texts], repr(texts)
+
+
+def test_unseen_words_go_through_the_library_once_and_together(monkeypatch):
+    e, calls = wordcache.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    monkeypatch.setattr(e, "piece", calls.append)
+    monkeypatch.setattr(e, "learn", lambda parts, learn=e.learn: calls.append(len(parts)) or learn(parts))
+    texts = [f"word{'abcdefghij'[i % 10]}, WORD{'abcdefghij'[i % 7]}. word" for i in range(500)]
+    assert e.many(pa.array(texts)) == list(map(e.whole, texts))
+    assert len(calls) == 1 and len(e.words) == 10 + 3 + 1  # worda to wordj, word, "," and "."; line breaks
+
+
 def test_superminhash_is_the_minimum_over_permutations():
     r = np.random.default_rng(1)
     sets = [np.unique(r.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 3, 40, 900)]

@@ -42,7 +42,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int, id_col: str
         enc = encoder(tokenizer)
         part, before = TaskContext.get().partitionId(), 0
         for b in batches:
-            got = [enc.ids(t) + tail for t in b.column(1).to_pylist()]
+            got = [x + tail for x in enc.many(b.column(1))]
             n = np.array([len(x) // 4 for x in got], np.int64)
             ends = np.cumsum(n)
             ids = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32),

@@ -2,14 +2,21 @@
 
 Both vocabularies split a text before merging, and no merge crosses white space. A text whose white space is plain
 is cut at it, words are looked up in a bounded cache, and only unseen words go through the library; any other text
-goes through the library whole. Ids are little-endian unsigned 32-bit integers in one byte string.
+goes through the library whole. Where the vocabulary drops white space, the distinct words of many texts are looked up
+together, by the splitter's parts, which are fewer than words with their punctuation. Ids are little-endian unsigned 32-bit integers in one byte string.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import struct
+from itertools import filterfalse
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -20,6 +27,8 @@ UNEVEN = re.compile("[\x01\x02\t\x0b\x0c\r]| [ \n]|\n |\n\n\n|\n\n\\Z")
 #: ASCII and the Latin-1 letters, where Python's letter, digit and case tables are the library's.
 SIMPLE = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+\\Z")
 KEPT = 700_000  # distinct words that a worker remembers
+SLICE, TOGETHER = 8 << 20, 1 << 13  # bytes of texts encoded at a time; unseen parts sent to the library in one call
+END = b"\xff" * 4  # stands for a line break between words
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -30,7 +39,7 @@ class Encoder:
     """``ids(text)``: the ids of a text by a tokenizer file, as bytes."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -42,7 +51,14 @@ class Encoder:
         rest = [b for b in range(256) if b not in shown]
         self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
         if self.lowers:
-            self.split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xe0-\xf6\xf8-\xff\xdf]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+")
+            self.split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xe0-\xf6\xf8-\xff\xdf]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9\n]+|\n")
+            # the same merges, for parts that are cut and spelt in the alphabet already
+            self.cut = Tokenizer(self.model)
+            self.cut.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.spelt = "".join([" " if b == 32 else self.alphabet[b] for b in range(256)])
+            vocabulary = self.lib.get_vocab(with_added_tokens=False)
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # the ids that end a part
+            self.last[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
         else:
             self.split = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+| ?[0-9]+"
                                     "| ?[^ A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff0-9]+")
@@ -66,7 +82,7 @@ class Encoder:
 
     def entry(self, key: str) -> bytes:
         if self.lowers:
-            return self.piece(key)
+            return END if key == "\n" else self.piece(key)
         if key[:1] == "\x02":  # the first word of a text
             return self.piece(key[1:])
         if key[:1] == "\x01":  # a line break and the word after it
@@ -84,6 +100,61 @@ class Encoder:
             return self.whole(text)
         return b"".join(map(self.words.__getitem__, ("\x02" + text.replace("\n", " \x01")).split(" ")))
 
+    def many(self, texts: pa.Array) -> list[bytes]:
+        """:meth:`ids` of several texts; where white space is dropped, a slice's distinct words are looked up together."""
+        if not self.lowers:
+            return list(map(self.ids, texts.to_pylist()))
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
+        return [x for lo, hi in zip(cuts, cuts[1:]) for x in self._slice(texts.slice(lo, hi - lo).cast(pa.large_string()))]
+
+    def _slice(self, texts: pa.Array) -> list[bytes]:
+        odd = pc.match_substring_regex(texts, ODD_SPACE.pattern)
+        split = pc.ascii_split_whitespace(texts.filter(pc.invert(odd)))
+        words = split.flatten()
+        some = pc.greater(pc.binary_length(words), 0)  # white space at a text's ends leaves empty words
+        ends = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[split.offsets.to_numpy()]
+        words = words.filter(some).dictionary_encode()
+        start, length, ids = self._words(words.dictionary)
+        at = words.indices.to_numpy(zero_copy_only=False)
+        n = length[at]
+        to = np.append(0, np.cumsum(n))
+        take = np.repeat(start[at] - to[:-1], n)
+        take += np.arange(to[-1])
+        raw, bounds = ids[take].tobytes(), (4 * to[ends]).tolist()
+        plain = iter([raw[a:b] for a, b in zip(bounds, bounds[1:])])
+        whole = iter(map(self.whole, texts.filter(odd).to_pylist()))
+        return [next(whole if o else plain) for o in odd.to_pylist()]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, ids): where the ids of each word are."""
+        simple = pc.match_substring_regex(words, f"\\A{SIMPLE.pattern[:-2]}\\z")
+        cut = words.filter(simple)
+        lines = pc.binary_join(pa.ListArray.from_arrays([0, len(cut)], cut), pa.scalar("\n", pa.large_string()))[0].as_py()
+        parts = self.split.findall(f"{lines}\n".lower() if len(cut) else "")
+        self.learn(parts)
+        rest = [b for w in words.filter(pc.invert(simple)).to_pylist() for b in (self.words[w], END)]
+        ids = np.frombuffer(b"".join([*map(self.words.__getitem__, parts), *rest]), "<u4")
+        ends = np.flatnonzero(ids == 0xFFFFFFFF)
+        order = np.argsort(~simple.to_numpy(zero_copy_only=False), kind="stable")  # simple words come first
+        start, length = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        start[order] = np.append(0, ends + 1)[:-1]
+        length[order] = np.diff(ends, prepend=-1) - 1
+        return start, length, ids
+
+    def learn(self, parts: list[str]) -> None:
+        """Fills the cache with the unseen ones of the parts of simple words."""
+        if len(self.words) >= KEPT:
+            self.words.clear()
+        new = [x for x in dict.fromkeys(filterfalse(self.words.__contains__, parts)) if x != "\n"]
+        for lo in range(0, len(new), TOGETHER):
+            some = new[lo:lo + TOGETHER]
+            spelt = codecs.charmap_decode(" ".join(some).encode(), "strict", self.spelt)[0]
+            ids = np.array(self.cut.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+            ends, raw = (4 * np.flatnonzero(self.last[ids]) + 4).tolist(), ids.tobytes()
+            if len(ends) == len(some):  # else they come one by one
+                self.words.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
 
 class _Cache(dict):
     def __init__(self, encoder: Encoder):
