@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from tidemark.llm import pitmanyor as lm
 
@@ -50,3 +51,28 @@ def test_seatings_come_back_from_the_sizes_of_tables():
     again.sweep(2, np.full(6, 2.0), np.zeros(6))
     for k, (a, m) in enumerate(zip(again.off, again.c)):
         assert again.sizes()[again.tab[:k].sum():again.tab[:k + 1].sum()].sum() == m == np.bincount(again.table[a:a + m]).sum()
+
+
+def test_distinct_numbers_and_their_positions():
+    r = np.random.default_rng(2)
+    for x in ([], [7], r.integers(0, 50, 1000), r.integers(0, 2**62, 1000), np.repeat(r.integers(0, 2**40, 100), 9)):
+        x = np.array(x, np.int64)
+        for got, want in zip(lm.distinct(x), np.unique(x, return_inverse=True)):
+            assert (got == want).all()
+
+
+def test_texts_are_read_once_and_kept_as_tokens(spark):
+    rows = [(None if i % 7 == 0 else i, None if i % 5 == 0 else f"Word{i % 3}  and\u3000{i}\t" * (i % 4) + "x y " * 2000) for i in range(200)]
+    both = lm.staged(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert not any(t == "string" or t.endswith("<string>") for _, t in both.dtypes)
+    kept = both.toArrow().sort_by([("chunk", "ascending"), ("piece", "ascending")])
+    assert set(kept.column("chunk").to_pylist()) == {0} and kept.num_rows > 1
+    keys, n = lm.tokens_of(kept)
+    words = [[*(t or "").encode().lower().split(), b""] for _, t in rows]
+    flat = sum(words, [])
+    name = [xxhash.xxh3_64_intdigest(w) for w in flat]
+    hashes = lm.hashes_of(kept)
+    assert n.tolist() == list(map(len, words)) and hashes[keys >> 32].tolist() == name
+    assert hashes[keys & 0xFFFFFFFF].tolist() == [xxhash.xxh3_64_intdigest(b""), *name[:-1]]
+    assert [i for x in kept.column("doc_id").to_pylist() for i in x] == [i for i, _ in rows]
+    assert sum(kept.column("size").to_pylist()) == sum(len(t.encode()) + 100 for _, t in rows if t is not None)

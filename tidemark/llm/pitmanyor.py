@@ -14,13 +14,13 @@ after one of burn-in; discounts come from the counts of counts. Draws depend on
 a recomputed task repeats them. The sizes of the tables are written once a sweep, and the next sweep goes on from them:
 customers of a dish are exchangeable, so who sits where need not be kept.
 
-Work: texts are cut into chunks of about ``CHUNK`` bytes. The chunks' words are numbered once: a hashed range of words
-ranks their 64-bit hashes. Each chunk then sends its distinct (context, word) pairs with training counts to groups, by a
+Work: texts are cut into chunks of about ``CHUNK`` bytes and read once: a chunk keeps its tokens as numbers in order of
+arrival, and the 64-bit hashes of its words. The chunks' words are numbered once: a hashed range of words ranks the hashes. Each chunk then sends its distinct (context, word) pairs with training counts to groups, by a
 hash of the word and ``SALT`` bits of the context, so that neither a common word nor a common context meets in one task.
 Lists of numbers are sorted and sent as differences in compressed byte planes (:func:`squeeze`): two to four bytes a pair
 instead of two hashes. Totals of contexts (T_u, c_u) and words (t_w, c_w) are exchanged between groups and ranges; all keys
 go to the ranges only first and last, in between those of dishes with two customers or more. The probabilities go back to
-the chunk in the order of its pairs; the chunk, stored bucketed so that its texts are not shuffled, scores its documents.
+the chunk in the order of its pairs; the chunk, stored bucketed so that its tokens are not shuffled, scores its documents.
 There is a group and a range for every ``SHARE`` bytes of text. Only a few totals go to the driver; nothing that grows is
 broadcast or collected.
 
@@ -50,6 +50,7 @@ from tidemark.session import work_dir
 from .common import by_key, map_arrow, materialize, partitions
 
 CHUNK, SHARE, SAMPLES, THETA = 24 << 20, 12 << 20, 2, 1.0
+PIECE = 1 << 17
 SWEEPS = 1 + SAMPLES
 SALT, FEW = 15, 128  # mask of the context's bits in a pair's group; so many dishes or more take a step together
 GOLD = 0x9E3779B97F4A7C15
@@ -70,10 +71,10 @@ class Words(dict):
         return np.fromiter(map(xxhash.xxh3_64_intdigest, self), np.uint64, len(self))
 
 
-def split(docs: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+def split(docs: list[bytes] | pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(words of all texts, words a text)."""
-    raw = pa.array(docs, pa.large_binary()).cast(pa.large_string(), safe=False)  # bytes that aren't UTF-8 stay as they are
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(raw))
+    raw = docs if isinstance(docs, pa.Array) else pa.array(docs, pa.large_binary())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(raw.cast(pa.large_string(), safe=False)))  # other bytes than UTF-8 stay
     words = parts.flatten()
     some = pc.binary_length(words).to_numpy() > 0  # white space at a text's ends leaves empty parts
     n = np.diff(np.append(0, np.cumsum(some))[parts.offsets.to_numpy()])
@@ -87,7 +88,7 @@ def listed(words: pa.Array) -> list[bytes]:
     return [body[a:b] for a, b in zip(lo, lo[1:])]
 
 
-def coded(words: Words, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def coded(words: Words, docs: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(keys, starts): word number << 32 | number of the word before, of every token, and each text's first token."""
     got, n = split(docs)
     got = got.dictionary_encode()
@@ -132,15 +133,39 @@ def joined(blobs: pa.ChunkedArray, ordered: bool = False) -> np.ndarray:
     return np.concatenate([np.empty(0, np.int64), *(spread(b, ordered) for b in blobs.to_pylist())])
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` of numbers from 0 with their positions in it; one sort of numbers and places together where both fit."""
+    bits = len(x).bit_length()
+    if not len(x) or int(x.max()).bit_length() + bits > 63:
+        return np.unique(x, return_inverse=True)
+    both = x << bits
+    del x
+    both |= np.arange(len(both))
+    both.sort()
+    at = both & (1 << bits) - 1
+    both >>= bits
+    new = np.concatenate([[True], both[1:] != both[:-1]])
+    rank, both = np.cumsum(new), both[new]
+    rank -= 1
+    back = np.empty(len(at), np.int64)
+    back[at] = rank
+    return both, back
+
+
+def by_small(x: np.ndarray, n: int) -> np.ndarray:
+    """Stable order of numbers below ``n``; 16 bits are sorted by radix."""
+    return np.argsort(x.astype(np.uint16) if n <= 1 << 16 else x, kind="stable")
+
+
 def ranged(hashes: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the hashes by range and hash, and the ranges."""
+    """Positions of the sorted hashes by range and hash, and the ranges."""
     r = (hashes % np.uint64(nodes)).astype(np.int64)
-    return np.lexsort((hashes, r)), r
+    return by_small(r, nodes), r
 
 
-def numbers_of(words: Words, replies: pa.Table, nodes: int) -> np.ndarray:
+def numbers_of(hashes: np.ndarray, replies: pa.Table, nodes: int) -> np.ndarray:
     """Corpus-wide numbers of a chunk's words: rank in the word's range * ``nodes`` + range."""
-    h, back = np.unique(words.hashes(), return_inverse=True)
+    h, back = np.unique(hashes, return_inverse=True)
     order, r = ranged(h, nodes)
     out = np.empty(len(h), np.int64)
     out[order] = joined(replies.sort_by("r").column("ranks"), True)
@@ -151,7 +176,7 @@ def dealt(number: np.ndarray, got: np.ndarray, groups: int) -> tuple[np.ndarray,
     """(order by group, word numbers, context numbers, groups) of distinct pairs of positions among the sorted numbers."""
     w, u = number[got >> 32], number[got & 0xFFFFFFFF]
     q = (mixed(w.view(np.uint64) + np.uint64(GOLD) * (u & SALT).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
-    by = np.argsort(q, kind="stable")
+    by = by_small(q, groups)
     return by, w[by], u[by], q[by]
 
 
@@ -174,51 +199,84 @@ def counted(number: np.ndarray, keys: np.ndarray, train: np.ndarray, groups: int
 
 def pairs_at(number: np.ndarray, keys: np.ndarray, groups: int) -> np.ndarray:
     """Each token's pair in the order of :func:`counted`."""
-    number, at = positions(number, keys)
-    got, at = np.unique(at, return_inverse=True)
-    by = dealt(number, got, groups)[0]
+    number, keys = positions(number, keys)
+    bits = len(number).bit_length()
+    got, at = distinct(keys >> 32 << bits | keys & 0xFFFFFFFF)
+    del keys
+    by = dealt(number, got >> bits << 32 | got & (1 << bits) - 1, groups)[0]
     back = np.empty(len(by), np.int64)
     back[by] = np.arange(len(by))
     return back[at]
 
 
-def bytes_of(column: pa.ChunkedArray) -> list[bytes]:
-    """UTF-8 bytes of a string column; null is empty."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
-
-
 def staged(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents with their chunk."""
+    """Rows of about ``PIECE`` tokens of a chunk: documents, the tokens of each, the tokens as numbers of the chunk's words, and
+    a share of the words' hashes."""
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
 
+    def row(chunk: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        docs, words = pa.Table.from_batches(batches), Words()
+        texts = docs.column("text").cast(pa.large_binary()).combine_chunks()
+        keys, starts = coded(words, texts.fill_null(b""))
+        size = (pc.sum(pc.binary_length(texts)).as_py() or 0) + 100 * (len(texts) - texts.null_count)
+        lo = np.flatnonzero(np.diff(starts // PIECE, prepend=-1))  # first text of each piece
+        k, hashes, ends = len(lo), words.hashes(), np.append(starts, len(keys))
+        cuts = np.append(lo, len(texts))
+        listed = lambda c: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), docs.column(c).combine_chunks())
+        blobs = ([squeeze(np.diff(ends[a:b + 1])) for a, b in zip(cuts, cuts[1:])],
+                 [squeeze(keys[a:b] >> 32) for a, b in zip(ends[cuts], ends[cuts[1:]])],
+                 [h.tobytes() for h in np.array_split(hashes, k)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(k, chunk)), pa.array(np.arange(k)), pa.array([size] + [0] * (k - 1)), listed("doc_id"),
+             listed("held_out"), *(pa.array(b, pa.binary()) for b in blobs)],
+            names=["chunk", "piece", "size", "doc_id", "held_out", "n", "tokens", "hashes"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size = TaskContext.get().partitionId() << 24, 0
+        kept: list[pa.RecordBatch] = []
         for b in batches:
-            sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
-            at = np.empty(b.num_rows, np.int64)
+            sizes, lo = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False), 0
             for i, n in enumerate(sizes.tolist()):
                 if size >= CHUNK:
-                    chunk, size = chunk + 1, 0
+                    yield row(chunk, [*kept, b.slice(lo, i - lo)])
+                    release()
+                    chunk, size, lo, kept = chunk + 1, 0, i, []
                 size += n + 100
-                at[i] = chunk
-            yield pa.RecordBatch.from_arrays([pa.array(at), *b.columns], names=["chunk", "doc_id", "held_out", "text"])
+            kept.append(b.slice(lo))
+        if size:
+            yield row(chunk, kept)
+            release()
 
-    return map_arrow(rows, run, "chunk long, doc_id long, held_out boolean, text string")
+    return map_arrow(rows, run, "chunk long, piece long, size long, doc_id array<long>, held_out array<boolean>, n binary, "
+                                "tokens binary, hashes binary")
+
+
+def release() -> None:
+    """Gives the worker's unused Arrow memory back; workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+
+
+def hashes_of(chunk: pa.Table) -> np.ndarray:
+    """Hashes of the words of a chunk's pieces in order."""
+    return np.frombuffer(b"".join(chunk.column("hashes").to_pylist()), np.uint64)
+
+
+def tokens_of(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(keys as :func:`coded` gives them, tokens a text) of a chunk's pieces in order."""
+    tokens = joined(chunk.column("tokens"))
+    return tokens << 32 | np.concatenate([[0], tokens[:-1]]), joined(chunk.column("n"))
 
 
 def numbering(both: DataFrame, nodes: int) -> DataFrame:
     """chunk, r, ranks: for each chunk and range of words, the ranks of the chunk's words, by hash."""
 
-    def hashed(docs: pa.Table) -> pa.Table:
-        words = Words()
-        for w in listed(split(bytes_of(docs.column("text")))[0].unique()):
-            words[w]
-        h = np.unique(words.hashes())
+    def hashed(chunk: pa.Table) -> pa.Table:
+        h = np.unique(hashes_of(chunk))
         order, r = ranged(h, nodes)
         lo = np.searchsorted(r[order], np.arange(nodes + 1))
         some = np.flatnonzero(np.diff(lo))
-        return pa.table({"r": some, "chunk": np.full(len(some), docs.column("chunk")[0].as_py(), np.int64),
+        return pa.table({"r": some, "chunk": np.full(len(some), chunk.column("chunk")[0].as_py(), np.int64),
                          "keys": pa.array([h[order[lo[k]:lo[k + 1]]].tobytes() for k in some], pa.binary())})
 
     def ranked(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -228,7 +286,7 @@ def numbering(both: DataFrame, nodes: int) -> DataFrame:
             rows.column("chunk").combine_chunks(), rows.column("r").combine_chunks(),
             pa.array([squeeze(np.searchsorted(all_, k), True) for k in keys], pa.binary())], names=["chunk", "r", "ranks"])
 
-    sent = both.groupBy("chunk").applyInArrow(hashed, "r long, chunk long, keys binary")
+    sent = both.select("chunk", "hashes").groupBy("chunk").applyInArrow(hashed, "r long, chunk long, keys binary")
     return materialize(by_key(sent, "r", ranked, "chunk long, r long, ranks binary"), compression="zstd")
 
 
@@ -237,10 +295,11 @@ def lists(both: DataFrame, numbers: DataFrame, nodes: int, groups: int) -> DataF
     have the pair)."""
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        words = Words()
-        keys, starts = coded(words, bytes_of(docs.column("text")))
-        train = np.repeat(~docs.column("held_out").to_numpy(), np.diff(np.append(starts, len(keys))))
-        w, u, q, n = counted(numbers_of(words, told, nodes), keys, train, groups)
+        release()
+        docs = docs.sort_by("piece")
+        keys, n = tokens_of(docs)
+        train = np.repeat(~pc.list_flatten(docs.column("held_out")).to_numpy(), n)
+        w, u, q, n = counted(numbers_of(hashes_of(docs), told, nodes), keys, train, groups)
         lo = np.searchsorted(q, np.arange(groups + 1))
         rows = []
         for k in np.flatnonzero(np.diff(lo)):
@@ -252,7 +311,8 @@ def lists(both: DataFrame, numbers: DataFrame, nodes: int, groups: int) -> DataF
         return pa.table({"q": np.array(q, np.int64), "chunk": np.full(len(q), docs.column("chunk")[0].as_py(), np.int64),
                          **{c: pa.array(b, pa.binary()) for c, b in zip(("w", "k", "u", "n"), blobs)}})
 
-    return both.groupBy("chunk").cogroup(numbers.groupBy("chunk")).applyInArrow(
+    kept = both.select("chunk", "piece", "held_out", "n", "tokens", "hashes")
+    return kept.groupBy("chunk").cogroup(numbers.groupBy("chunk")).applyInArrow(
         run, "q long, chunk long, w binary, k binary, u binary, n binary")
 
 
@@ -277,7 +337,9 @@ def dishes(lists: DataFrame) -> DataFrame:
         w = np.concatenate([np.repeat(spread(a, True), spread(b)) for a, b in zip(*(rows.column(c).to_pylist() for c in "wk"))])
         u = [spread(b, True) for b in rows.column("u").to_pylist()]
         bounds, u = np.cumsum([0, *map(len, u)]), np.concatenate(u)
-        order = np.lexsort((u, w))
+        bits = int(u.max()).bit_length()
+        fits = int(w.max()).bit_length() + bits < 64
+        order = np.argsort(w << bits | u, kind="stable") if fits else np.lexsort((u, w))  # merges the chunks' sorted lists
         ws, us = w[order], u[order]
         new = np.concatenate([[True], (ws[1:] != ws[:-1]) | (us[1:] != us[:-1])])
         at = np.empty(len(w), np.int64)
@@ -349,8 +411,8 @@ class Seats:
                 base = (2 * i + seated) << 33
                 lo = min(FEW, len(self.c))
                 steps = int(self.c[lo]) if lo < len(self.c) else 0
-                for k in range(steps):
-                    self._step(k, lo, int(np.searchsorted(-self.c, -k, "left")), f, g, start, seated, base)
+                for k, hi in enumerate(np.searchsorted(-self.c, -np.arange(steps), "left").tolist()):
+                    self._step(k, lo, hi, f, g, start, seated, base)
                 for j in range(lo):
                     self._alone(j, float(f[j]), float(g[j]), int(start[j]), seated, base)
             self.first = False
@@ -392,23 +454,28 @@ class Seats:
         a, c, d = int(self.off[j]), int(self.c[j]), self.d
         table, size, free = (x[a:a + c].tolist() for x in (self.table, self.size, self.free))
         tab, draw = int(self.tab[j]), random.Random(int(self.seed[j]) + base).random
+        n = c - 1  # others when all are seated
+        old, new = n - d * tab, max(f + g * (tab - start), 1e-300)
         for i in range(c):
-            n = i
             if seated:
-                n, k = c - 1, table[i]
+                k = table[i]
                 size[k] -= 1
                 if not size[k]:
                     tab -= 1
                     free[c - tab - 1] = k
-            old = n - d * tab
-            if draw() * (old + max(f + g * (tab - start), 1e-300)) >= old:
+                    old, new = n - d * tab, max(f + g * (tab - start), 1e-300)
+            else:
+                n, old = i, i - d * tab
+            if draw() * (old + new) >= old:
                 k = free[c - tab - 1]
                 tab += 1
+                old, new = n - d * tab, max(f + g * (tab - start), 1e-300)
             else:
                 while True:
                     r = int(draw() * n)
-                    k = table[r + (seated and r >= i)]
-                    if draw() * size[k] < size[k] - d:
+                    k = table[r + 1 if seated and r >= i else r]
+                    s = size[k]
+                    if draw() * s < s - d:
                         break
             size[k] += 1
             table[i] = k
@@ -434,19 +501,22 @@ class Group:
         self.row, self.q, self.nodes = row, row.column("q")[0].as_py(), nodes
         w, u, self.c = np.repeat(get("w", True), get("k")), get("u", True), get("c")
         self.seed = mixed(w.view(np.uint64) + np.uint64(GOLD) * u.view(np.uint64))
-        # range << 40 | twice the rank in it, and 1 for a word
-        self.keys = np.concatenate([w % nodes << 40 | w // nodes << 1 | 1, u % nodes << 40 | u // nodes << 1])
+        # range << shift | twice the rank in it, and 1 for a word
+        w, wr = np.divmod(w, nodes)
+        u, ur = np.divmod(u, nodes)
+        self.shift = int(max(w.max(), u.max())).bit_length() + 1
+        self.keys = np.concatenate([wr << self.shift | w << 1 | 1, ur << self.shift | u << 1])
         self.several = np.tile(self.c > 1, 2)
 
     @cached_property
     def all(self) -> tuple[np.ndarray, np.ndarray]:
         """(sorted keys of all dishes, positions of the dishes' words and contexts among them)."""
-        return np.unique(self.keys, return_inverse=True)
+        return distinct(self.keys)
 
     @cached_property
     def some(self) -> tuple[np.ndarray, np.ndarray]:
         """The same of the dishes of two customers or more."""
-        return np.unique(self.keys[self.several], return_inverse=True)
+        return distinct(self.keys[self.several])
 
     def asking(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(chunks, bounds, dishes): the dishes of the pairs that each chunk asks for."""
@@ -456,12 +526,12 @@ class Group:
         """Keys and sums of ``values`` over their dishes, a row a range; replies are wanted where ``reply``, or for all."""
         keys, at = asked
         sums = [np.bincount(at, np.tile(v, 2), len(keys)).astype(np.int64) for v in values]
-        lo = np.searchsorted(keys, np.arange(self.nodes + 1) << 40)
+        lo = np.searchsorted(keys, np.arange(self.nodes + 1) << self.shift)
         some = np.flatnonzero(np.diff(lo))
         cut = lambda x: [x[lo[k]:lo[k + 1]] for k in some]
         return pa.table({
             "r": some, "q": np.full(len(some), self.q, np.int64),
-            "keys": pa.array([squeeze(x & (1 << 40) - 1, True) for x in cut(keys)], pa.binary()),
+            "keys": pa.array([squeeze(x & (1 << self.shift) - 1, True) for x in cut(keys)], pa.binary()),
             "vals": pa.array([squeeze(np.concatenate(x)) for x in zip(*map(cut, sums))], pa.binary()),
             "reply": pa.array([b""] * len(some) if reply is None else [squeeze(x) for x in cut(reply)], pa.binary())})
 
@@ -476,7 +546,7 @@ class Group:
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
     both = bucketed(staged(docs, id_col, text), "chunk")
-    size = both.agg(F.sum(F.octet_length("text") + 100)).first()[0] or 0
+    size = both.agg(F.sum("size")).first()[0] or 0
     groups = nodes = max(partitions(docs), size // SHARE + 1)
     numbers = numbering(both, nodes)
     static = bucketed(dishes(lists(both, numbers, nodes, groups)), "q")
@@ -488,7 +558,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
             keys = [spread(b, True) for b in rows.column("keys").to_pylist()]
             vals = np.concatenate([spread(b).reshape(k, -1) for b in rows.column("vals").to_pylist()], axis=1)
             bounds = np.cumsum([0, *map(len, keys)])
-            got, at = np.unique(np.concatenate(keys), return_inverse=True)
+            got, at = distinct(np.concatenate(keys))
             total = np.stack([np.bincount(at, v, len(got)).astype(np.int64) for v in vals])
             word = total[:, (got & 1) == 1]
             stat = np.stack([word.sum(axis=1), (word == 1).sum(axis=1), (word == 2).sum(axis=1), (word > 0).sum(axis=1)])
@@ -592,16 +662,19 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
         told = told.filter(pc.greater_equal(told.column("q"), 0)).sort_by("q")
         c, p = joined(told.column("c"), True), joined(told.column("p")).astype("<i4").view("<f4")
         # the texts' distinct pairs by group and numbers are the answers in order
-        words = Words()
-        keys, starts = coded(words, bytes_of(asks.column("text")))
-        at = pairs_at(numbers_of(words, number, nodes), keys, groups)
-        own = c[at]
-        base = np.log10((own + 0.5) / (total + 0.5 * (types + 1)))
-        n = np.diff(np.append(starts, len(keys)))
+        asks = asks.sort_by("piece")
+        keys, n = tokens_of(asks)
+        number = numbers_of(hashes_of(asks), number, nodes)
+        del told, own
+        release()
+        at = pairs_at(number, keys, groups)
+        del keys
+        starts = np.cumsum(n) - n
+        base = np.log10((c + 0.5) / (total + 0.5 * (types + 1)))
         return pa.table({
-            "doc_id": asks.column("doc_id"), "held_out": asks.column("held_out"), "n_tokens": n,
-            "n_known": np.add.reduceat((own > 0).astype(np.int64), starts), "train_tokens": np.full(len(n), total, np.int64),
-            "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(p[at].astype(np.float64), starts)})
+            "doc_id": pc.list_flatten(asks.column("doc_id")), "held_out": pc.list_flatten(asks.column("held_out")), "n_tokens": n,
+            "n_known": np.add.reduceat((c > 0).astype(np.int64)[at], starts), "train_tokens": np.full(len(n), total, np.int64),
+            "base_score": np.add.reduceat(base[at], starts), "score": np.add.reduceat(p.astype(np.float64)[at], starts)})
 
     return both.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
