@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import maxscore, mincut, neardup, packing, pitmanyor, pseudonyms, viterbi, wordcache, wordpiece
+from tidemark.llm import maxscore, mincut, neardup, orcids, packing, pitmanyor, pseudonyms, viterbi, wordcache, wordpiece
 from tidemark.llm.groups import union
 from tidemark.llm.wordcache import encoder
 
@@ -49,6 +49,28 @@ def test_unseen_words_go_through_the_library_once_and_together(monkeypatch):
     assert len(calls) == 1 and len(e.words) == 10 + 3 + 1  # worda to wordj, word, "," and "."; line breaks
 
 
+def test_odd_white_space_sends_only_its_own_word_to_the_library(monkeypatch):
+    e, sent = wordcache.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    texts = [f"Plain words,{x}and more plain words" for x in ("\xa0", "\u2003", "\u3000", "\x85", "\x1c", " \xa0 ")] + ["\xa0" + "中" * 100]
+    want = list(map(e.whole, texts))
+    monkeypatch.setattr(e, "whole", lambda text, whole=e.whole: sent.append(text) or whole(text))
+    assert e.many(pa.array(texts)) == want
+    assert sent == texts[-1:] and texts[-1] not in e.words  # long words are not kept
+
+
+@pytest.mark.parametrize("size", [1, 40, 10**6])
+def test_rows_of_a_file_count_on_over_slices_and_batches(size, monkeypatch):
+    monkeypatch.setattr(wordcache, "SLICE", size)
+    e, r = wordcache.Encoder(public_tokenizers.path("word_bpe_49k.json")), random.Random(7)
+    texts = ["", *("".join(r.choices(ODD, k=r.randint(0, 30))) for _ in range(50)), ""]
+    keys = [None, *range(1, len(texts))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[a:b], pa.int64()), pa.array(texts[a:b], pa.string())], names=["doc_id", "text"])
+               for a, b in ((0, 20), (20, 20), (20, len(texts)))]
+    rows = [x for b in orcids.encoded(iter(batches), e, 2, 3) for x in b.to_pylist()]
+    ids = [[*np.frombuffer(e.whole(t), "<u4").tolist(), 2] for t in texts]
+    assert rows == [{"doc_id": k, "ids": x, "n_tokens": len(x), "part": 3, "before": sum(map(len, ids[:i]))} for i, (k, x) in enumerate(zip(keys, ids))]
+
+
 def test_superminhash_is_the_minimum_over_permutations():
     r = np.random.default_rng(1)
     sets = [np.unique(r.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 3, 40, 900)]

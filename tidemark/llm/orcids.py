@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from .common import map_arrow
-from .wordcache import encoder
+from .wordcache import Encoder, encoder
 from tidemark.session import work_dir
 
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, part int, before long"
@@ -32,25 +32,28 @@ OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
            "orc.row.index.stride": "10000", "orc.stripe.size": str(64 << 20), "compression": "zstd"}
 
 
+def encoded(batches: Iterator[pa.RecordBatch], enc: Encoder, end: int, part: int) -> Iterator[pa.RecordBatch]:
+    """Rows of file ``part`` for batches of (doc_id, text); ids go from the encoder's slices to the rows as arrays."""
+    before = 0
+    for b in batches:
+        at = 0
+        for ids, ends in enc.slices(b.column(1)):
+            ids, ends = np.insert(ids.view("<i4"), ends, end), ends + np.arange(1, len(ends) + 1)
+            n = np.diff(ends, prepend=0)
+            yield pa.RecordBatch.from_arrays([
+                b.column(0).slice(at, len(n)), pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), pa.array(ids)),
+                pa.array(n), pa.array(np.full(len(n), part, np.int32)), pa.array(before + ends - n)],
+                names=["doc_id", "ids", "n_tokens", "part", "before"])
+            before, at = before + len(ids), at + len(n)
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int, id_col: str = "doc_id", text: str = "text") -> None:
     """Encode every text, append ``end`` and write ORC files in ascending id order under ``path``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        part, before = TaskContext.get().partitionId(), 0
-        for b in batches:
-            got = [x + tail for x in enc.many(b.column(1))]
-            n = np.array([len(x) // 4 for x in got], np.int64)
-            ends = np.cumsum(n)
-            ids = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32),
-                                           pa.array(np.frombuffer(b"".join(got), "<i4")))
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), ids, pa.array(n), pa.array(np.full(len(n), part, np.int32)),
-                pa.array(before + ends - n)], names=["doc_id", "ids", "n_tokens", "part", "before"])
-            before += int(ends[-1]) if len(ends) else 0
+        return encoded(batches, encoder(tokenizer), end, TaskContext.get().partitionId())
 
     ranged = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     map_arrow(ranged, run, SCHEMA).write.options(**OPTIONS).orc(path)

@@ -2,8 +2,10 @@
 
 Both vocabularies split a text before merging, and no merge crosses white space. A text whose white space is plain
 is cut at it, words are looked up in a bounded cache, and only unseen words go through the library; any other text
-goes through the library whole. Where the vocabulary drops white space, the distinct words of many texts are looked up
-together, by the splitter's parts, which are fewer than words with their punctuation. Ids are little-endian unsigned 32-bit integers in one byte string.
+goes through the library whole. Where the vocabulary drops white space, every text is cut at its ASCII white space and the
+distinct words of many texts are looked up together, by the splitter's parts, which are fewer than words with their
+punctuation; words of other characters, odd white space included, go through the library as they are. Ids are
+little-endian unsigned 32-bit integers in one byte string.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import codecs
 import os
 import re
 import struct
-from itertools import filterfalse
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 UNEVEN = re.compile("[\x01\x02\t\x0b\x0c\r]| [ \n]|\n |\n\n\n|\n\n\\Z")
 #: ASCII and the Latin-1 letters, where Python's letter, digit and case tables are the library's.
 SIMPLE = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+\\Z")
-KEPT = 700_000  # distinct words that a worker remembers
+KEPT, LONG = 700_000, 64  # distinct words that a worker remembers; characters of the longest that is remembered for itself, of words with others
 SLICE, TOGETHER = 8 << 20, 1 << 13  # bytes of texts encoded at a time; unseen parts sent to the library in one call
 END = b"\xff" * 4  # stands for a line break between words
 
@@ -101,52 +103,70 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, ("\x02" + text.replace("\n", " \x01")).split(" ")))
 
     def many(self, texts: pa.Array) -> list[bytes]:
-        """:meth:`ids` of several texts; where white space is dropped, a slice's distinct words are looked up together."""
-        if not self.lowers:
-            return list(map(self.ids, texts.to_pylist()))
+        """:meth:`ids` of several texts."""
+        out = []
+        for ids, ends in self.slices(texts):
+            raw, to = ids.tobytes(), (4 * ends).tolist()
+            out += [raw[a:b] for a, b in zip([0, *to], to)]
+        return out
+
+    def slices(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, ends): the ids of a slice's texts one after the other and where each text's end, slice by slice; where
+        white space is dropped, a slice's distinct words are looked up together."""
         size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE
         cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
-        return [x for lo, hi in zip(cuts, cuts[1:]) for x in self._slice(texts.slice(lo, hi - lo).cast(pa.large_string()))]
-
-    def _slice(self, texts: pa.Array) -> list[bytes]:
-        odd = pc.match_substring_regex(texts, ODD_SPACE.pattern)
-        split = pc.ascii_split_whitespace(texts.filter(pc.invert(odd)))
-        words = split.flatten()
-        some = pc.greater(pc.binary_length(words), 0)  # white space at a text's ends leaves empty words
-        ends = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[split.offsets.to_numpy()]
-        words = words.filter(some).dictionary_encode()
-        start, length, ids = self._words(words.dictionary)
-        at = words.indices.to_numpy(zero_copy_only=False)
-        n = length[at]
-        to = np.append(0, np.cumsum(n))
-        take = np.repeat(start[at] - to[:-1], n)
-        take += np.arange(to[-1])
-        raw, bounds = ids[take].tobytes(), (4 * to[ends]).tolist()
-        plain = iter([raw[a:b] for a, b in zip(bounds, bounds[1:])])
-        whole = iter(map(self.whole, texts.filter(odd).to_pylist()))
-        return [next(whole if o else plain) for o in odd.to_pylist()]
-
-    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, length, ids): where the ids of each word are."""
+        for lo, hi in zip(cuts, cuts[1:]):
+            some = texts.slice(lo, hi - lo)
+            if self.lowers:
+                yield self._slice(some.cast(pa.large_string()))
+            else:
+                raw = list(map(self.ids, some.to_pylist()))
+                yield np.frombuffer(b"".join(raw), "<u4"), np.cumsum([len(x) // 4 for x in raw], dtype=np.int64)
+
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.ascii_split_whitespace(texts)  # no word, token or normal form crosses it; white space at a text's ends leaves empty words
+        words = split.flatten().dictionary_encode()
+        got = self._words(words.dictionary).take(words.indices)
+        at = np.frombuffer(got.buffers()[1], np.int64)[got.offset:got.offset + len(got) + 1] // 4
+        ids = np.frombuffer(got.buffers()[2] or b"", "<u4")[at[0]:at[-1]]
+        return ids, (at - at[0])[split.offsets.to_numpy()[1:]]
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of each of some distinct words, as bytes."""
         simple = pc.match_substring_regex(words, f"\\A{SIMPLE.pattern[:-2]}\\z")
         cut = words.filter(simple)
         lines = pc.binary_join(pa.ListArray.from_arrays([0, len(cut)], cut), pa.scalar("\n", pa.large_string()))[0].as_py()
-        parts = self.split.findall(f"{lines}\n".lower() if len(cut) else "")
-        self.learn(parts)
-        rest = [b for w in words.filter(pc.invert(simple)).to_pylist() for b in (self.words[w], END)]
-        ids = np.frombuffer(b"".join([*map(self.words.__getitem__, parts), *rest]), "<u4")
-        ends = np.flatnonzero(ids == 0xFFFFFFFF)
-        order = np.argsort(~simple.to_numpy(zero_copy_only=False), kind="stable")  # simple words come first
-        start, length = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        start[order] = np.append(0, ends + 1)[:-1]
-        length[order] = np.diff(ends, prepend=-1) - 1
-        return start, length, ids
-
-    def learn(self, parts: list[str]) -> None:
-        """Fills the cache with the unseen ones of the parts of simple words."""
+        found = self.learn(self.split.findall(f"{lines}\n".lower() if len(cut) else ""))
+        for x in self._others(words.filter(pc.invert(simple)).to_pylist()):
+            found += x, END
+        ids = np.frombuffer(b"".join(found), "<u4")
+        end = ids == 0xFFFFFFFF
+        ends = np.flatnonzero(end)
+        offsets = np.zeros(len(words) + 1, np.int64)
+        offsets[1:] = 4 * (ends - np.arange(len(ends)))
+        out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(ids[~end])])
+        if len(cut) == len(words):
+            return out
+        place = np.empty(len(words), np.int64)  # simple words come first
+        place[np.argsort(~simple.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(words))
+        return out.take(pa.array(place))
+
+    def _others(self, words: list[str]) -> list[bytes]:
+        """The ids of words that are not simple; long ones, such as lines without plain white space, aren't kept."""
+        new = [x for x in words if len(x) <= LONG and x not in self.words]
+        for lo in range(0, len(new), TOGETHER // 8):
+            some = new[lo:lo + TOGETHER // 8]
+            self.words.update(zip(some, [_pack(x.ids) for x in self.lib.encode_batch_fast(some, add_special_tokens=False)]))
+        return [self.words[x] if len(x) <= LONG else self.whole(x) for x in words]
+
+    def learn(self, parts: list[str]) -> list[bytes]:
+        """The ids of each of the parts of simple words; unseen ones are encoded together and kept."""
         if len(self.words) >= KEPT:
             self.words.clear()
-        new = [x for x in dict.fromkeys(filterfalse(self.words.__contains__, parts)) if x != "\n"]
+        self.words["\n"] = END
+        found = list(map(self.words.get, parts))
+        missing = [i for i, x in enumerate(found) if x is None]
+        new = list(dict.fromkeys([parts[i] for i in missing]))
         for lo in range(0, len(new), TOGETHER):
             some = new[lo:lo + TOGETHER]
             spelt = codecs.charmap_decode(" ".join(some).encode(), "strict", self.spelt)[0]
@@ -154,6 +174,9 @@ class Encoder:
             ends, raw = (4 * np.flatnonzero(self.last[ids]) + 4).tolist(), ids.tobytes()
             if len(ends) == len(some):  # else they come one by one
                 self.words.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        for i in missing:
+            found[i] = self.words[parts[i]]
+        return found
 
 
 class _Cache(dict):
