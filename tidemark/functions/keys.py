@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import zero_pad
+from tidemark.functions.scalars import seldom, zero_pad
 
 INTEGER = {"tinyint", "smallint", "mediumint", "int", "integer", "bigint", "year"}
 INT_WIDTH, DECIMAL_WIDTH = 20, 40
@@ -67,6 +67,14 @@ def _text(value: Column, last: bool) -> Column:
 
 def encoded(value: Column, kind: str, last: bool = True) -> Column:
     """One key column as text; ``last`` columns need no end mark. A value that isn't of its kind is kept as text."""
+    if kind == "int":  # a number as Spark writes it, like most keys, needs no decimal arithmetic
+        n = value.try_cast("bigint")
+        return F.when((n >= 0) & (n.cast("string") == value), F.concat(F.lit("1"), F.lpad(value, INT_WIDTH, "0"))).otherwise(
+            seldom(value, lambda v: _encoded(v, kind, last)))
+    return _encoded(value, kind, last)
+
+
+def _encoded(value: Column, kind: str, last: bool) -> Column:
     out = _text(value, last)
     if kind != "text":
         n = value.try_cast("decimal(20,0)" if kind == "int" else kind)

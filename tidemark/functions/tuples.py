@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import seldom
+
 # Fixed patterns (Java regex syntax).
 TUPLE_RX = r"(?s)\((?:[^'()]++|'(?:[^'\\]++|\\.|'')*+')*+\)"
 FIELD_RX = r"(?s)\s*+(?:_[A-Za-z0-9]++\s*+|[xXbBnN])?+'(?:[^'\\]++|\\.|'')*+'\s*+|[^,()']++"
@@ -80,6 +82,14 @@ def _bits_hex(bits: Column) -> Column:
 def literal_view(token) -> Column:
     """Byte view of the value of one field token (not NULL)."""
     t = _c(token)
+    inner = F.substring(t, F.lit(2), F.length(t) - 2)
+    quote = t.startswith("'")
+    return (F.when(quote & ~inner.contains("\\") & ~inner.contains("''"), inner)
+            .when(~quote & ~t.endswith("'") & ~t.startswith("0x") & ~t.startswith("0X"), t)
+            .otherwise(seldom(t, _literal_view)))
+
+
+def _literal_view(t: Column) -> Column:
     quoted = F.substring(t, F.instr(t, "'"), F.length(t))  # without an introducer
     body = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
     of_hex = lambda h: F.decode(F.unhex(h), VIEW)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import Key, row_key
-from tidemark.functions.scalars import FAMILY, zero_pad
+from tidemark.functions.scalars import FAMILY, key_hash, zero_pad
 from tidemark.functions.tuples import split_fields, split_tuples, token_value
 
 SCHEMA_BROADCAST_ROWS = 100_000  # tables×columns above this are joined by shuffle instead of broadcast
@@ -71,6 +71,40 @@ def rows_to_cells(rows: DataFrame, columns: list[str] | None = None, names: str
                     value.alias("value"), is_null.alias("is_null"))
 
 
+def cell_columns(columns: list[str], key: Key | None) -> list[str]:
+    """Columns that are cells: all but the key's, where it is one integer column or none is declared."""
+    own = columns[0] if key is None else key.columns[0] if key.plain else None
+    return [c for c in columns if c != own]
+
+
+def chunk_packed(chunks: DataFrame, columns: list[str], keep: list[str] | None = None, key: Key | None = None) -> DataFrame:
+    """As ``chunk_cells`` with one row per row: (keep…, tuple_pos, row_key, row_id, tokens), the tokens of its cells in one array.
+    Steps that take whole rows, such as the last of several puts, then move each key once instead of once per cell."""
+    rows = chunk_rows(chunks, keep=keep)
+    keep = [c for c in rows.columns if c != "fields"]
+    r = row_keys(_arity_checked(rows, F.lit(len(columns))), columns, key, [*keep, "fields"])
+    cells = cell_columns(columns, key)
+    at = next((i for i, c in enumerate(columns) if c not in cells), None)  # the field that is no cell
+    tokens = F.col("fields") if at is None else F.concat(F.slice("fields", 1, at), F.slice("fields", at + 2, max(1, len(columns))))
+    packed = r.select(*keep, "row_key", "row_id", tokens.alias("tokens"))
+    return packed if cells else packed.filter(F.lit(False))  # a row without cells leaves no trace
+
+
+def named(packed: DataFrame, names: list[str]) -> DataFrame:
+    """Packed rows that carry their cells' columns, for frames in which these differ."""
+    return packed.withColumn("names", F.array(*[F.lit(c) for c in names]).cast("array<string>"))
+
+
+def unpacked(packed: DataFrame, names: list[str] | None = None, literal_nulls: bool = False) -> DataFrame:
+    """Cells of packed rows; their columns are ``names``, or else those that each row carries."""
+    keep = [c for c in packed.columns if c not in ("tokens", "names")]
+    own = F.col("names") if names is None else F.array(*[F.lit(c) for c in names])
+    # the outer form, as in rows_to_cells
+    c = packed.select(*keep, *([] if names is not None else ["names"]), F.posexplode_outer("tokens").alias("_p", "_t")).filter(F.col("_p").isNotNull())
+    value, is_null = token_value("_t", literal_nulls)
+    return c.select(*keep, F.concat(F.lit(FAMILY + ":"), F.get(own, F.col("_p"))).alias("column"), value.alias("value"), is_null.alias("is_null"))
+
+
 def row_keys(rows: DataFrame, columns: list[str] | None, key: Key | None, keep: list[str]) -> DataFrame:
     """(keep…, row_key, row_id) of rows with ``fields``; each key value is parsed once, however often the key's encoding uses it."""
     at = [1] if key is None else [columns.index(c) + 1 for c in key.columns]
@@ -87,6 +121,15 @@ def chunk_cells(chunks: DataFrame, columns: list[str], literal_nulls: bool = Fal
     return rows_to_cells(rows, columns, literal_nulls=literal_nulls, key=key)
 
 
+def last_rows(packed: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """One packed row per (group…, row_key): the last put by seq and tuple_pos."""
+    keys = [*(group or []), "row_key"]
+    rest = [c for c in packed.columns if c not in (*keys, "seq", "tuple_pos")]
+    last = F.max_by(F.struct(*rest), F.struct("seq", "tuple_pos"))
+    return packed.withColumn("_h", key_hash(*keys)).groupBy("_h", *keys).agg(last.alias("_l")).select(
+        *keys, *[F.col(f"_l.{c}").alias(c) for c in rest])
+
+
 def last_puts(cells: DataFrame, order: list[str], group: list[str] | None = None) -> DataFrame:
     """One cell per (group…, row_key, column): the last put by ``order`` wins, and ``n_puts`` tells how many there were
     (more than one: rows of a dump share a key)."""

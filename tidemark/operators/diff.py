@@ -17,7 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import key_hash
+
 KEY = ["row_key", "column"]
+HASHED = ["_h", *KEY]  # joins of cells sort by the hash
 RANK_BLOCK = 1024  # key ids of one block of a range join
 
 
@@ -25,8 +28,12 @@ def same(a_val: str, a_null: str, b_val: str, b_null: str) -> Column:
     return F.col(a_val).eqNullSafe(F.col(b_val)) & F.col(a_null).eqNullSafe(F.col(b_null))
 
 
+def _hashed(cells: DataFrame) -> DataFrame:
+    return cells if "_h" in cells.columns else cells.withColumn("_h", key_hash(*KEY))
+
+
 def _side(state: DataFrame, p: str) -> DataFrame:
-    return state.select(*KEY, F.lit(True).alias(f"{p}_present"), F.col("ts").alias(f"{p}_ts"),
+    return _hashed(state).select(*HASHED, F.lit(True).alias(f"{p}_present"), F.col("ts").alias(f"{p}_ts"),
                         F.col("value").alias(f"{p}_value"), F.col("is_null").alias(f"{p}_is_null"))
 
 
@@ -103,9 +110,9 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
       are not written; deletes = previous rows of the chunk's id range absent from the chunk
       (``prev_in_chunk``: md5, row_key, row_id)."""
     inc = incoming
-    j = inc.join(_side(prev, "p"), KEY, "left")
+    j = _hashed(inc).join(_side(prev, "p"), HASHED, "left")
     changed = j.filter(~F.coalesce(same("value", "is_null", "p_value", "p_is_null") & F.col("p_present"),
-                                   F.lit(False)))
+                                   F.lit(False))).select(*inc.columns)
     if materialize:  # read by the writes, the restores and the reports: join once
         from tidemark.session import checkpointed
         changed = checkpointed(changed)
@@ -121,7 +128,7 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
     empty_ref = inc.select("row_key", "row_id").limit(0)
     if nxt is not None:
         n = _side(nxt, "n")
-        ident = inc.join(n, KEY).filter(same("value", "is_null", "n_value", "n_is_null"))
+        ident = _hashed(inc).join(n, HASHED).filter(same("value", "is_null", "n_value", "n_is_null"))
         n_cells = nxt.groupBy("row_key").agg(F.count(F.lit(1)).alias("_n_cells"))
         per_row = ident.groupBy("row_key").agg(
             F.count(F.lit(1)).alias("_n_same"), F.max("row_id").alias("row_id"),
@@ -168,7 +175,7 @@ def diff(incoming: DataFrame, prev: DataFrame, nxt: DataFrame | None, when: int,
 
     if mode == "corrected" and nxt is not None and next_ts is not None:
         n = _side(nxt, "n")
-        restores = writes.select("row_key", "row_id", "column", "value", "is_null").join(n, KEY).filter(
+        restores = _hashed(writes.select("row_key", "row_id", "column", "value", "is_null")).join(n, HASHED).filter(
             (F.col("n_ts") < when) & ~same("value", "is_null", "n_value", "n_is_null")).select(
             F.lit(next_ts).cast("bigint").alias("ts"), "row_key", "row_id", "column",
             F.col("n_value").alias("value"), F.col("n_is_null").alias("is_null"))

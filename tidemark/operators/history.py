@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import key_hash
+
 CELL_KEY = ["row_key", "column"]
 MAX_VERSIONS = 999  # versions kept per published cell
 
@@ -67,7 +69,7 @@ def _events(cells: DataFrame, tombstones: DataFrame, read_ts, mode: str, group:
         cells = cells.filter(F.col("ts") <= F.lit(read_ts))
         t = t.filter(F.col("ts") <= F.lit(read_ts)) if mode == "corrected" else t
     return cells.withColumn("_dead", F.lit(False)).unionByName(t.withColumn("_dead", F.lit(True)), allowMissingColumns=True) \
-        .repartition(*group, "row_key")
+        .withColumn("_h", key_hash(*group, "row_key")).repartition("_h")
 
 
 def mask_tombstones(cells: DataFrame, tombstones: DataFrame, read_ts=None, mode: str = "corrected",
@@ -78,13 +80,13 @@ def mask_tombstones(cells: DataFrame, tombstones: DataFrame, read_ts=None, mode:
     regardless of the read time (the store behaviour); ``corrected`` only those with ts <= read_ts. Tombstones are events of
     their row, resolved by windows in the rows' own partitioning."""
     group = group or []
-    row = Window.partitionBy(*group, "row_key")
-    cell = Window.partitionBy(*group, *CELL_KEY)
+    row = Window.partitionBy("_h", *group, "row_key")
+    cell = Window.partitionBy("_h", *group, *CELL_KEY)
     dead = F.when(F.col("_dead"), F.col("ts"))
     e = _events(cells, tombstones, read_ts, mode, group)
     e = e.withColumn("_tr", F.max(F.when(F.col("column").isNull(), dead)).over(row)).withColumn("_tc", F.max(dead).over(cell))
     last = F.greatest("_tr", "_tc")  # ignores nulls
-    return e.filter(~F.col("_dead") & (last.isNull() | (F.col("ts") > last))).drop("_dead", "_tr", "_tc")
+    return e.filter(~F.col("_dead") & (last.isNull() | (F.col("ts") > last))).drop("_dead", "_tr", "_tc", "_h")
 
 
 def masked_states(cells: DataFrame, tombstones: DataFrame, bounds: dict[str, int | None], mode: str = "corrected",
@@ -99,8 +101,8 @@ def masked_states(cells: DataFrame, tombstones: DataFrame, bounds: dict[str, int
     v = F.struct("ts", "value", "is_null", "row_id")
     aggs = [x for n, b in bounds.items() for x in (
         F.max(F.when(~F.col("_dead") & seen(b), v)).alias(n), F.max(F.when(F.col("_dead") & past(b), F.col("ts"))).alias(f"_t_{n}"))]
-    g = _events(cells, tombstones, top, mode, group).groupBy(*group, *CELL_KEY).agg(*aggs)
-    row = Window.partitionBy(*group, "row_key")
+    g = _events(cells, tombstones, top, mode, group).groupBy("_h", *group, *CELL_KEY).agg(*aggs)
+    row = Window.partitionBy("_h", *group, "row_key")
     for n in bounds:  # no exchange: the rows' partitioning holds for their cells
         whole = F.max(F.when(F.col("column").isNull(), F.col(f"_t_{n}"))).over(row)
         last = F.greatest(whole, F.col(f"_t_{n}"))
@@ -139,9 +141,10 @@ def asof_wide(cells: DataFrame, columns: list[str], ts=None, group: list[str] |
         cells = cells.filter(F.col("ts") <= (ts if isinstance(ts, Column) else F.lit(ts)))
     names = {c: c.split(":", 1)[1] if (strip_family and ":" in c) else c for c in columns}
     newest = {c: F.max(F.when(F.col("column") == c, F.struct("ts", "value"))) for c in columns}
+    by = key_hash(*group, "row_key")
     if tombstones is None:
-        return cells.groupBy(*group, "row_key").agg(
-            F.max("row_id").alias("row_id"), *[newest[c]["value"].alias(n) for c, n in names.items()])
+        return cells.withColumn("_h", by).groupBy("_h", *group, "row_key").agg(
+            F.max("row_id").alias("row_id"), *[newest[c]["value"].alias(n) for c, n in names.items()]).drop("_h")
     t = tombstones.select(*group, *CELL_KEY, "ts")
     t = t if ts is None else t.filter(F.col("ts") <= (ts if isinstance(ts, Column) else F.lit(ts)))
     e = cells.withColumn("_dead", F.lit(False)).unionByName(t.withColumn("_dead", F.lit(True)), allowMissingColumns=True)
@@ -149,7 +152,7 @@ def asof_wide(cells: DataFrame, columns: list[str], ts=None, group: list[str] |
     dead = lambda c: F.max(F.when(F.col("_dead") & own(c), F.col("ts")))
     live = lambda c: F.max(F.when(~F.col("_dead") & own(c), F.struct("ts", "value")))
     others = F.max(F.when(~F.col("_dead") & ~F.col("column").isin(columns), F.col("ts"))) if columns else F.max(F.when(~F.col("_dead"), F.col("ts")))
-    g = e.groupBy(*group, "row_key").agg(
+    g = e.withColumn("_h", by).groupBy("_h", *group, "row_key").agg(
         F.max("row_id").alias("row_id"), dead(None).alias("_row"), others.alias("_other"),
         *[x for i, c in enumerate(columns) for x in (live(c).alias(f"_v{i}"), dead(c).alias(f"_t{i}"))])
     shown = []

@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ddl import parse_ddl, with_types
 from tidemark.functions.keys import Key, key_of
+from tidemark.functions.scalars import key_hash
 from tidemark.operators import diff as D
 from tidemark.operators import history as H
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import bounded_broadcast, chunk_cells, chunk_id_range, chunk_rows, last_puts, row_keys
+from tidemark.operators.cells import cell_columns, chunk_id_range, chunk_packed, chunk_rows, last_rows, named, row_keys, unpacked
 from tidemark.session import checkpointed
 
 HISTORY_COLS = ["row_key", "row_id", "column", "ts", "value", "is_null"]
@@ -57,6 +58,7 @@ class StepResult:
     columns: list[str] = field(default_factory=list)
     tombstones: DataFrame | None = None  # apply_deletes: (row_key, column|null, ts) to add, publish_id = when
     duplicates: DataFrame | None = None  # (row_key, n_puts) of keys that several rows of the new chunks share
+    stored: bool = False  # cells only read what the step has materialised
 
     @property
     def cells(self) -> DataFrame:
@@ -135,13 +137,14 @@ def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None, materiali
         g = H.masked_states(h, tomb, bounds)
     else:
         v = F.struct("ts", "value", "is_null", "row_id")
-        g = h.groupBy("row_key", "column").agg(*[F.max(F.when(F.col("ts") <= b, v)).alias(n) for n, b in bounds.items()])
+        g = h.withColumn("_h", key_hash(*D.KEY)).groupBy(*D.HASHED).agg(
+            *[F.max(F.when(F.col("ts") <= b, v)).alias(n) for n, b in bounds.items()])
     if materialize:
         g = checkpointed(g)
 
     def side(a):
         return g.filter(F.col(a).isNotNull()).select(
-            "row_key", "column", F.col(f"{a}.row_id").alias("row_id"), F.col(f"{a}.ts").alias("ts"),
+            *[c for c in D.HASHED if c in g.columns], F.col(f"{a}.row_id").alias("row_id"), F.col(f"{a}.ts").alias("ts"),
             F.col(f"{a}.value").alias("value"), F.col(f"{a}.is_null").alias("is_null"))
     return side("p"), (side("n") if next_bound is not None else None)
 
@@ -167,11 +170,15 @@ def _delete_effects(d: D.Diff, nxt: DataFrame | None, tomb: DataFrame | None, wh
     return t_when.unionByName(t_next), rest
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, and known to be none by the planner, which leaves out the steps on them."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def _no_change_diff(removed_keys: DataFrame | None, when: int) -> D.Diff:
     """Diff of a dump without new chunks: nothing to write; rows of removed chunks are the delete report."""
     spark = SparkSession.getActiveSession()
-    cells = spark.createDataFrame([], "md5 string, row_key string, row_id bigint, column string, value string, "
-                                      "is_null boolean")
+    cells = _empty(spark, "md5 string, row_key string, row_id bigint, column string, value string, is_null boolean")
     ts = F.lit(None).cast("bigint").alias("ts")
     null_col = F.lit(None).cast("string").alias("column")
     if removed_keys is not None:
@@ -189,40 +196,45 @@ def _no_change_diff(removed_keys: DataFrame | None, when: int) -> D.Diff:
         full_rows=cells.select("row_key", "row_id"))
 
 
-def _single_puts(inc: DataFrame, materialize: bool) -> tuple[DataFrame, DataFrame]:
-    """(cells, duplicates): rows of a dump that share a key count by their last put, and the keys are reported (row_key,
-    n_puts). A PRIMARY KEY allows none, so they are looked for on keys alone first."""
+def _single_puts(rows: DataFrame, materialize: bool) -> tuple[DataFrame, DataFrame]:
+    """(rows, duplicates): packed rows of a dump that share a key count by their last put, and the keys are reported (row_key,
+    n_puts). A PRIMARY KEY allows none, so they are looked for on keys alone first. Rows without a key share none."""
     ends = [f(c).alias(f"{n}_{c}") for c in ("seq", "tuple_pos") for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    twice = inc.groupBy("row_key").agg(*ends).filter("lo_seq < hi_seq or lo_tuple_pos < hi_tuple_pos").select("row_key")
-    single = inc.drop("seq", "tuple_pos")
+    shared = "lo_seq < hi_seq or lo_tuple_pos < hi_tuple_pos"
     if materialize:
+        twice = rows.groupBy("row_key").agg(*ends).filter(shared).select("row_key")
         if twice.isEmpty():
-            return single, twice.limit(0).select("row_key", F.lit(0).cast("bigint").alias("n_puts"))
-        twice = checkpointed(twice)
-    many = inc.join(twice, "row_key", "left_semi")
-    puts = many.groupBy("row_key").agg(F.count_distinct("seq", "tuple_pos").alias("n_puts"))
-    last = last_puts(many, ["seq", "tuple_pos"]).select(*single.columns)
-    return single.join(twice, "row_key", "left_anti").unionByName(last), puts
-
-
-def _compared(inc: DataFrame, removed_keys: DataFrame | None, hist: DataFrame, tomb: DataFrame | None, when: int,
-              next_ts: int | None, apply_deletes: bool, materialize: bool) -> StepResult:
-    """Corrected publish of incoming cells (with seq and tuple_pos) and removed keys against the history of the same rows."""
-    inc, duplicates = _single_puts(inc, materialize)
-    keys = inc.select("row_key")
+            return rows.drop("seq", "tuple_pos"), twice.limit(0).select("row_key", F.lit(0).cast("bigint").alias("n_puts"))
+    puts = rows.filter(F.col("row_key").isNotNull()).select("row_key", "seq", "tuple_pos").repartition("row_key").groupBy("row_key").agg(
+        *ends, F.count_distinct("seq", "tuple_pos").alias("n_puts")).filter(shared).select("row_key", "n_puts")
+    own = F.when(F.col("row_key").isNull(), F.struct("md5", "seq", "tuple_pos"))
+    last = last_rows(rows.withColumn("_own", own), ["_own"]).drop("_own")
+    return checkpointed(last) if materialize else last, puts
+
+
+def _compared(rows: DataFrame, removed_keys: DataFrame | None, hist: DataFrame, tomb: DataFrame | None, when: int,
+              next_ts: int | None, apply_deletes: bool, materialize: bool, names: list[str] | None = None,
+              literal_nulls: bool = False) -> StepResult:
+    """Corrected publish of incoming packed rows (with seq and tuple_pos) and removed keys against the history of the same rows."""
+    rows, duplicates = _single_puts(rows, materialize)
+    inc = unpacked(rows, names, literal_nulls)
+    keys = rows.select("row_key")
     if apply_deletes and removed_keys is not None:
         keys = keys.unionByName(removed_keys.select("row_key"))
-    keys = keys.distinct()
-    if materialize:
-        keys = checkpointed(keys)
-    # the changed keys of an incremental dump are usually few: broadcast them (size-checked) so the history is
-    # filtered where it is scanned; a large key set falls back to a shuffle semi join
-    keys = bounded_broadcast(keys, KEY_BROADCAST_ROWS)
-    hk = hist.join(keys, "row_key", "left_semi")
-    tk = tomb.join(keys, "row_key", "left_semi") if apply_deletes and tomb is not None else None
-    prev, nxt = _dual_state(hk, when - 1, next_ts, materialize, tk)
+    # the changed keys of an incremental dump are usually few: broadcast them (size-checked) so the history is filtered where
+    # it is scanned. Beyond that the history meets the incoming cells in the diff: a semi join would only shuffle it once more
+    few = (keys.count() if materialize else keys.limit(KEY_BROADCAST_ROWS + 1).count()) <= KEY_BROADCAST_ROWS
+    tk = tomb if apply_deletes else None
+    hk = hist
+    if few:
+        keys = F.broadcast(checkpointed(keys.distinct()) if materialize else keys.distinct())
+        hk = hist.join(keys, "row_key", "left_semi")
+        tk = None if tk is None else tk.join(keys, "row_key", "left_semi")
+    if tk is not None and tk.isEmpty():
+        tk = None
+    prev, nxt = _dual_state(hk, when - 1, next_ts, materialize and next_ts is not None, tk)  # without a next dump read once
     d = D.diff(inc, prev, nxt, when, next_ts, "corrected", removed_keys=removed_keys, materialize=materialize)
-    res = StepResult(when, "published", d, None, next_ts, duplicates=duplicates)
+    res = StepResult(when, "published", d, None, next_ts, duplicates=duplicates, stored=materialize and next_ts is None)
     if apply_deletes:
         res.tombstones, rest = _delete_effects(d, nxt, tk, when, next_ts)
         if rest is not None:
@@ -303,7 +315,7 @@ def publish_tables(staged: Staged, history: DataFrame, published: dict[str, list
             return checkpointed(whole) if materialize else whole
 
         keep = ["tbl_name", "md5", "seq"]
-        inc = tagged(parsed(new, lambda c, cols, key: chunk_cells(c, cols, keep=keep, key=key), keep))
+        inc = tagged(parsed(new, lambda c, cols, key: named(chunk_packed(c, cols, keep, key), cell_columns(cols, key)), keep))
         removed = None
         if old is not None:
             gone = old.join(cur.select("tbl_name", "md5"), ["tbl_name", "md5"], "left_anti")
@@ -362,7 +374,7 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
                 removed_keys = checkpointed(removed_keys)
         if n_new == 0 and not apply_deletes:
             return StepResult(when, "published", _no_change_diff(removed_keys, when), baseline, next_ts, names)
-        inc = chunk_cells(new_chunks.select("md5", "seq", "payload"), names, literal_nulls=literal_nulls, keep=["md5", "seq"], key=key)
+        inc = chunk_packed(new_chunks.select("md5", "seq", "payload"), names, ["md5", "seq"], key)
         if materialize:
             inc = checkpointed(inc)
         tk = None
@@ -372,7 +384,7 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
                 tk = tk.filter((F.col("namespace") == namespace) & (F.col("tbl_name") == tbl))
             if "publish_id" in tk.columns:
                 tk = tk.filter(F.col("publish_id") != when)
-        res = _compared(inc, removed_keys, hist, tk, when, next_ts, apply_deletes, materialize)
+        res = _compared(inc, removed_keys, hist, tk, when, next_ts, apply_deletes, materialize, cell_columns(names, key), literal_nulls)
         res.baseline, res.columns = baseline, names
         return res
 
@@ -385,22 +397,21 @@ def publish_step(staged: Staged, history: DataFrame, published: list[int], names
     new = M.new_chunks(m).filter(F.col("dump_ts") == when).select("md5")
     where = ["md5"] + [c for c in ["first_stage"] if c in m.columns]
     new = m.filter(F.col("dump_ts") == when).groupBy(*where).agg(F.max("seq").alias("seq")).join(new, "md5", "left_semi")
-    inc = last_puts(chunk_cells(_wanted(st.chunks, new)[0].select("md5", "seq", "payload"), names,
-                                literal_nulls=literal_nulls, keep=["md5", "seq"], key=key), ["seq", "tuple_pos"]).drop("n_puts")
+    rows = last_rows(chunk_packed(_wanted(st.chunks, new)[0].select("md5", "seq", "payload"), names, ["md5", "seq"], key))
     if materialize:
-        inc = checkpointed(inc)
-    ranges = chunk_id_range(inc)
-    hk = D.range_join(ranges.select("md5", "first_id", "last_id"), hist).drop("md5", "first_id", "last_id")
-    prev, nxt = _dual_state(hk, prev_ts, next_ts)
-    prev_in_chunk = D.range_join(ranges.select("md5", "first_id", "last_id"),
-                                 prev.select("row_key", "row_id").distinct()).select("md5", "row_key", "row_id")
-    d = D.diff(inc, prev, nxt, when, next_ts, "literal", prev_in_chunk=prev_in_chunk)
+        rows = checkpointed(rows)
+    ranges = chunk_id_range(rows).select("md5", "first_id", "last_id")
+    if materialize:  # read by every sweep and join below
+        ranges = checkpointed(ranges)
+    hk = D.range_join(ranges, hist).drop("md5", "first_id", "last_id")
+    prev, nxt = _dual_state(hk, prev_ts, next_ts, materialize)
+    prev_in_chunk = D.range_join(ranges, prev.select("row_key", "row_id").distinct()).select("md5", "row_key", "row_id")
+    d = D.diff(unpacked(rows, cell_columns(names, key), literal_nulls), prev, nxt, when, next_ts, "literal", prev_in_chunk=prev_in_chunk, materialize=materialize)
     return StepResult(when, "published", d, prev_ts, next_ts, names)
 
 
 def empty_history(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "row_key string, row_id bigint, column string, ts bigint, value string, "
-                                     "is_null boolean, publish_id bigint")
+    return _empty(spark, "row_key string, row_id bigint, column string, ts bigint, value string, is_null boolean, publish_id bigint")
 
 
 def publish_sequence(spark: SparkSession, staged: Staged, namespace: str, tbl: str, order: list[int],
@@ -419,7 +430,7 @@ def publish_sequence(spark: SparkSession, staged: Staged, namespace: str, tbl: s
         results.append(r)
         if r.status == "published":
             # only the step's own cells are materialised; history = union of checkpointed pieces
-            h = h.unionByName(checkpointed(r.cells) if materialize else r.cells)
+            h = h.unionByName(checkpointed(r.cells) if materialize and not r.stored else r.cells)
         published.append(when)
     return h, results
 
@@ -428,7 +439,7 @@ def publish_sequence_with_deletes(spark: SparkSession, staged: Staged, namespace
                                   materialize: bool = True):
     """Like ``publish_sequence`` with ``apply_deletes``: returns (history, tombstones, results)."""
     h = empty_history(spark)
-    t = spark.createDataFrame([], "row_key string, column string, ts bigint, publish_id bigint")
+    t = _empty(spark, "row_key string, column string, ts bigint, publish_id bigint")
     published, results = [], []
     for when in order:
         if when in published:
@@ -436,7 +447,7 @@ def publish_sequence_with_deletes(spark: SparkSession, staged: Staged, namespace
             continue
         r = publish_step(staged, h, published, namespace, tbl, when, apply_deletes=True, tombstones=t)
         results.append(r)
-        h = h.unionByName(checkpointed(r.cells) if materialize else r.cells)
+        h = h.unionByName(checkpointed(r.cells) if materialize and not r.stored else r.cells)
         t = t.unionByName(checkpointed(r.new_tombstones) if materialize else r.new_tombstones)
         published.append(when)
     return h, t, results

@@ -208,14 +208,18 @@ def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select(
         F.round("l_quantity").cast("bigint").alias("l_quantity"), "l_orderkey", "l_partkey", "l_returnflag", "l_linenumber")
     o, n = F.col("l_orderkey"), F.col("l_linenumber")
-    a = li.filter(o % 7 != 3).withColumn("dump_ts", F.lit(100))
-    b = li.filter(~((o % 13 == 0) & (n == 1))).withColumn(
-        "l_quantity", F.col("l_quantity") + F.when((o % 11 == 0) & (n == 2), 1).otherwise(0)).withColumn("dump_ts", F.lit(200))
-    rows = a.unionByName(b).select(
-        "dump_ts", F.floor(o / 50).cast("bigint").alias("chunk"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag").alias("order"),
-        rendered([("l_quantity", "int"), ("l_orderkey", "int"), ("l_partkey", "int"), ("l_returnflag", "str"), ("l_linenumber", "int")]).alias("r"))
-    return _chunked(rows, LINE_TABLE)
+    li = li.withColumn("q2", F.col("l_quantity") + F.when((o % 11 == 0) & (n == 2), 1).otherwise(0))
+    own = {}
+    for d, q, kept in ((100, "l_quantity", o % 7 != 3), (200, "q2", ~((o % 13 == 0) & (n == 1)))):
+        r = rendered([(q, "int"), ("l_orderkey", "int"), ("l_partkey", "int"), ("l_returnflag", "str"), ("l_linenumber", "int")])
+        own[d] = F.when(kept, F.struct("l_orderkey", "l_linenumber", "l_partkey", F.col(q), "l_returnflag", r.alias("r")))
+    # one shuffle of the lines serves both dumps; a row that a dump lacks is null and not collected
+    g = li.groupBy(F.floor(o / 50).cast("bigint").alias("chunk")).agg(*[F.collect_list(x).alias(f"d{d}") for d, x in own.items()])
+    dumps = F.array(*[F.struct(F.lit(d).cast("bigint").alias("dump_ts"), F.size(f"d{d}").alias("n"),
+                               F.concat_ws(",", F.sort_array(f"d{d}")["r"]).alias("payload")) for d in own])
+    g = g.select("chunk", F.explode(dumps).alias("d")).filter("d.n > 0")
+    return g.select(F.lit(NAMESPACE).alias("namespace"), F.lit(LINE_TABLE).alias("tbl_name"), "d.dump_ts", F.col("chunk").alias("seq"),
+                    F.md5("d.payload").alias("md5"), "d.payload")
 
 
 def code_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
