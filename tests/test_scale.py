@@ -60,3 +60,58 @@ def test_fields_are_split_once_per_row(spark):
     assert sorted((r["row_id"], r["column"], r["value"]) for r in cells.collect() if r["value"]) == [
         (1, "mysql:a", "1"), (1, "mysql:b", "2"), (1, "mysql:c", "a'b\\n"), (3, "mysql:a", "3"), (3, "mysql:b", "4")]
     assert cells._jdf.queryExecution().optimizedPlan().toString().count(FIELD_RX) == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _staged(spark, ddl, chunks):
+    from tidemark.plans.publish import Staged
+    rows = spark.createDataFrame([("n", "t", d, s, f"m{s}-{d}", p) for d, s, p in chunks],
+                                 "namespace string, tbl_name string, dump_ts long, seq long, md5 string, payload string")
+    defs = rows.select("namespace", "dump_ts").distinct().select("namespace", "dump_ts", F.lit("t").alias("name"), F.lit(ddl).alias("stmt"))
+    return Staged(rows.select("namespace", "tbl_name", "dump_ts", "seq", "md5"), rows.select("namespace", "tbl_name", "md5", "payload"), defs)
+
+
+def test_shared_keys_are_settled_on_whole_rows(spark):
+    from tidemark.plans.publish import publish_sequence_with_deletes
+    st = _staged(spark, "(`q` int, `a` bigint NOT NULL, `b` varchar(9), `n` int, PRIMARY KEY (`a`,`n`)) ENGINE=InnoDB", [
+        (1, 0, "(1,7,'x',1),(2,7,'y',1),(3,8,NULL,2)"), (1, 1, "(4,7,'z',1),(5,NULL,'w',1)"), (2, 0, "(9,7,'z',1),(3,8,'',2),(6,-8,'v''v',2)")])
+    h, t, r = publish_sequence_with_deletes(spark, st, "n", "t", [1, 2])
+    # nothing was published before: the first dump meets no history, and its cells are stored once
+    assert "Join" not in _plan(r[0].diff.writes) and r[0].stored
+    key = lambda n, m: f"1{n:020d}1{m:020d}"
+    assert [tuple(x) for x in r[0].duplicates.collect()] == [(key(7, 1), 3)]
+    cells = {(x["ts"], x["row_key"], x["column"]): x["value"] for x in h.collect()}
+    first = {k[1:]: v for k, v in cells.items() if k[0] == 1}
+    assert len(first) == 12 and first[key(7, 1), "mysql:q"] == "4" and first[key(7, 1), "mysql:b"] == "z" and first[key(8, 2), "mysql:b"] is None
+    low = "0" + "9" * 19 + "11" + f"{2:020d}"
+    assert {k[1:]: v for k, v in cells.items() if k[0] == 2} == {
+        (key(7, 1), "mysql:q"): "9", (key(8, 2), "mysql:b"): "", (low, "mysql:q"): "6", (low, "mysql:a"): "-8", (low, "mysql:b"): "v'v", (low, "mysql:n"): "2"}
+    assert [(x["row_key"], x["ts"]) for x in t.collect()] == [("!" + f"1{1:020d}", 2)]
+
+
+def test_integer_keys_of_any_notation(spark):
+    from tidemark.functions.keys import _encoded, encoded
+    odd = ["0", "7", "007", "-5", "-0", "+5", " 5", "5.0", "", "x", "9223372036854775807", "9223372036854775808", "-9223372036854775808", "1" * 30, None]
+    df = spark.createDataFrame([(x,) for x in odd], "v string")
+    for last in (True, False):
+        got = df.select(encoded(F.col("v"), "int", last).alias("e"), _encoded(F.col("v"), "int", last).alias("f")).collect()
+        assert [r["e"] for r in got] == [r["f"] for r in got]
+    assert df.filter("v = '7'").select(encoded(F.col("v"), "int")).first()[0] == "1" + "7".zfill(20)
+
+
+def test_rebuild_and_literal_publish_parse_chunks_once(spark):
+    from tidemark.plans.publish import publish_sequence
+    from tidemark.plans.rebuild import rebuild_with_deletes
+    st = _staged(spark, "(`id` bigint NOT NULL, `v` int, PRIMARY KEY (`id`)) ENGINE=InnoDB", [(1, 0, "(1,1),(2,2)"), (2, 0, "(1,1),(3,NULL)")])
+    h, t = rebuild_with_deletes(st, "n", "t", ["id", "v"])
+    assert "regexp_extract_all" not in _plan(h) and "regexp_extract_all" not in _plan(t)
+    assert sorted((x["ts"], x["row_id"], x["value"] or "-") for x in h.collect()) == [(1, 1, "1"), (1, 2, "2"), (2, 3, "-")]
+    assert [(x["ts"], x["row_key"]) for x in t.collect()] == [(2, "000000002")]
+    h, r = publish_sequence(spark, st, "n", "t", [1, 2], mode="literal")
+    assert all("regexp_extract_all" not in _plan(x.diff.writes) for x in r)
+    assert "Window" not in _plan(r[1].diff.changed)  # the range join's sweep ran once and its state is stored
+    # a new row is written only where its chunk had no rows before
+    assert sorted((x["ts"], x["row_id"], x["value"]) for x in h.collect()) == [(1, 1, "1"), (1, 2, "2")]

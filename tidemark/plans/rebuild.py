@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import Key
 from tidemark.operators import diff as D
 from tidemark.operators import milestones as M
-from tidemark.operators.cells import chunk_cells
-from tidemark.plans.publish import Staged, _keys_of
+from tidemark.functions.scalars import key_hash
+from tidemark.operators.cells import bounded_broadcast, cell_columns, chunk_packed, last_rows, named, unpacked
+from tidemark.plans.publish import NEW_CHUNK_BROADCAST_ROWS, Staged, _keys_of
+from tidemark.session import checkpointed
 
 Columns = list[str] | dict[int, list[str]]
 
@@ -36,26 +38,27 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _cells(staged: Staged, appear: DataFrame, columns: Columns, literal_nulls: bool, key: Key | None) -> DataFrame:
-    """Cells of the chunks that appear in a dump, in the partitioning of the cells; of rows of a dump that share a key the
-    last put counts."""
+def _rows(staged: Staged, appear: DataFrame, columns: Columns, key: Key | None) -> DataFrame:
+    """Packed rows, with their cells' columns, of the chunks that appear in a dump; of rows of a dump that share a key the last put counts."""
     seq = staged.manifest.groupBy("dump_ts", "md5").agg(F.max("seq").alias("seq")).join(appear, ["dump_ts", "md5"])
-    ch = staged.chunks.select("md5", "payload").join(seq, "md5")
+    ch = staged.chunks.select("md5", "payload").join(bounded_broadcast(checkpointed(seq), NEW_CHUNK_BROADCAST_ROWS), "md5")
     keep = ["dump_ts", "md5", "seq"]
-    cells = _union([chunk_cells(c, names, literal_nulls=literal_nulls, keep=keep, key=key) for c, names in _by_columns(ch, columns)])
-    cells = cells.repartition("row_key", "column")
-    w = Window.partitionBy("row_key", "column", "dump_ts").orderBy(F.desc("seq"), F.desc("tuple_pos"))
-    return cells.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "seq", "tuple_pos")
+    return last_rows(_union([named(chunk_packed(c, names, keep, key), cell_columns(names, key)) for c, names in _by_columns(ch, columns)]),
+                     ["dump_ts"])
+
+
+def _with_previous(cells: DataFrame) -> DataFrame:
+    """Cells with the value (_pv), null flag (_pn) and dump (_pd) of their previous appearance."""
+    w = Window.partitionBy("_h", "row_key", "column").orderBy("dump_ts")
+    return cells.withColumn("_h", key_hash("row_key", "column")).withColumn("_pv", F.lag("value").over(w)) \
+        .withColumn("_pn", F.lag("is_null").over(w)).withColumn("_pd", F.lag("dump_ts").over(w))
 
 
 def rebuild_history(staged: Staged, namespace: str, tbl: str, columns: Columns, literal_nulls: bool = False,
                     key: Key | None = None) -> DataFrame:
     st = staged.table(namespace, tbl)
-    cells = _cells(st, M.new_chunks(st.manifest).select("dump_ts", "md5"), columns, literal_nulls, key)
-    w = Window.partitionBy("row_key", "column").orderBy("dump_ts")
-    prev = cells.withColumn("_pv", F.lag("value").over(w)).withColumn("_pn", F.lag("is_null").over(w)) \
-        .withColumn("_pd", F.lag("dump_ts").over(w))
-    changed = prev.filter(F.col("_pd").isNull() | ~D.same("value", "is_null", "_pv", "_pn"))
+    rows = _rows(st, M.new_chunks(st.manifest).select("dump_ts", "md5"), columns, key)
+    changed = _with_previous(unpacked(rows, None, literal_nulls)).filter(F.col("_pd").isNull() | ~D.same("value", "is_null", "_pv", "_pn"))
     return changed.select("row_key", "row_id", "column", F.col("dump_ts").alias("ts"), "value", "is_null",
                           F.col("dump_ts").alias("publish_id"))
 
@@ -72,22 +75,20 @@ def rebuild_with_deletes(staged: Staged, namespace: str, tbl: str, columns: Colu
     st = staged.table(namespace, tbl)
     appear = M.new_chunks(st.manifest).select("dump_ts", "md5")
     gone = M.removed_chunks(st.manifest).select("dump_ts", "md5")
-    cells = _cells(st, appear, columns, literal_nulls, key)
-    app_rows = cells.select("dump_ts", "row_key").distinct()
+    rows = checkpointed(_rows(st, appear, columns, key))  # parsed once for the events and the cells
+    app_rows = rows.select("dump_ts", "row_key")  # one row per dump and key
     if isinstance(columns, dict):  # a chunk that is gone was written under the DDL of the dump before
         dumps = sorted(columns)
         columns = {d: columns[dumps[max(0, i - 1)]] for i, d in enumerate(dumps)}
-    lost = st.chunks.select("md5", "payload").join(gone, "md5")
-    rem_rows = _union([_keys_of(c, names, key, ["dump_ts", "md5"]) for c, names in _by_columns(lost, columns)]) \
-        .select("dump_ts", "row_key", "row_id").distinct().join(app_rows, ["dump_ts", "row_key"], "left_anti")
-    events = app_rows.withColumn("_removal", F.lit(False)).unionByName(
-        rem_rows.select("dump_ts", "row_key").withColumn("_removal", F.lit(True)))
-    wr = Window.partitionBy("row_key").orderBy("dump_ts")
-    after = events.withColumn("_after_removal", F.coalesce(F.lag("_removal").over(wr), F.lit(False))) \
-        .filter(~F.col("_removal")).select("dump_ts", "row_key", "_after_removal")
-    wc = Window.partitionBy("row_key", "column").orderBy("dump_ts")
-    c = cells.join(after, ["dump_ts", "row_key"]).withColumn("_pv", F.lag("value").over(wc)) \
-        .withColumn("_pn", F.lag("is_null").over(wc)).withColumn("_pd", F.lag("dump_ts").over(wc))
+    lost = st.chunks.select("md5", "payload").join(bounded_broadcast(checkpointed(gone), NEW_CHUNK_BROADCAST_ROWS), "md5")
+    rem_rows = checkpointed(_union([_keys_of(c, names, key, ["dump_ts", "md5"]) for c, names in _by_columns(lost, columns)])
+                            .select("dump_ts", "row_key", "row_id").distinct().join(app_rows, ["dump_ts", "row_key"], "left_anti"))
+    events = rows.withColumn("_removal", F.lit(False)).unionByName(
+        rem_rows.select("dump_ts", "row_key").withColumn("_removal", F.lit(True)), allowMissingColumns=True)
+    wr = Window.partitionBy("_h", "row_key").orderBy("dump_ts")
+    after = events.withColumn("_h", key_hash("row_key")).withColumn("_after_removal", F.coalesce(F.lag("_removal").over(wr), F.lit(False))) \
+        .filter(~F.col("_removal") & F.col("row_key").isNotNull()).drop("_h", "_removal")
+    c = _with_previous(unpacked(after, None, literal_nulls))
     hist = c.filter(F.col("_pd").isNull() | F.col("_after_removal") | ~D.same("value", "is_null", "_pv", "_pn")) \
         .select("row_key", "row_id", "column", F.col("dump_ts").alias("ts"), "value", "is_null",
                 F.col("dump_ts").alias("publish_id"))

@@ -987,7 +987,7 @@ def rebuild_history_deletes(spark, sf):
     """L8 with deletes applied: one-pass rebuild (history + tombstones), read as of every dump; each read equals
     its snapshot exactly."""
     from tidemark.plans.rebuild import rebuild_with_deletes
-    h, t = rebuild_with_deletes(ord_staged(spark, sf), NS, TBL, FX.ORD_COLUMNS)
+    h, t = map(checkpointed, rebuild_with_deletes(ord_staged(spark, sf), NS, TBL, FX.ORD_COLUMNS))  # read once per dump
     out = None
     for d in FX.ORD_DUMPS:
         r = H.masked_asof(h, t, d, "corrected").select(F.lit(d).cast("bigint").alias("dump_ts"), "row_id", "column",
