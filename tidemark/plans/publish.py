@@ -141,6 +141,8 @@ def _dual_state(h: DataFrame, prev_bound: int, next_bound: int | None, materiali
             *[F.max(F.when(F.col("ts") <= b, v)).alias(n) for n, b in bounds.items()])
     if materialize:
         g = checkpointed(g)
+        if g.isEmpty():  # as before a first publish: the diff's joins with it are left out
+            g = g.limit(0)
 
     def side(a):
         return g.filter(F.col(a).isNotNull()).select(
